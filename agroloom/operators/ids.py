@@ -19,9 +19,9 @@ def latest_flag(df: DataFrame, group: list[str], date: str, name: str = "is_late
 
     The last date comes from a grouped maximum, so no group is sorted.
     """
-    last = df.groupBy(*group).agg(F.max(date).alias("__last"))
+    last = df.groupBy(*group).agg(F.max(date).alias("__max_date"))
     out = null_safe_join(df, last, group)
-    return out.withColumn(name, F.col(date) == F.col("__last")).drop("__last")
+    return out.withColumn(name, F.col(date) == F.col("__max_date")).drop("__max_date")
 
 
 def previous_year_value(df: DataFrame, group: list[str], year: str, value: str, name: str) -> DataFrame:

@@ -6,6 +6,7 @@ through one lazy plan per section.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -108,16 +109,21 @@ def find_roles(
     return Roles(year, plot, treatment, rep, plots_table, treatments_table, factors)
 
 
-def prepare(db: dict[str, DataFrame], roles: Roles, by: list[str]) -> tuple[dict[str, DataFrame], dict[str, dict], dict[str, list[str]]]:
-    """Standard design names, parsed dates and qualified columns, with the new catalog."""
-    named = {n: df.withColumnsRenamed(roles.renames()) for n, df in db.items()}
-    cat = profile.catalog(named, by)
-    keys = {k for e in cat.values() for k in e["key"]} | set(DESIGN_NAMES)
-    dated: dict[str, list[str]] = {}
-    for n, df in named.items():
-        layouts = profile.date_layouts(df, [c for c in df.columns if c not in keys and c not in by])
-        dated[n] = list(layouts)
-        named[n] = profile.dates_parsed(df, layouts) if layouts else df
+def prepare(
+    db: dict[str, DataFrame], roles: Roles, cat: dict[str, dict], by: list[str]
+) -> tuple[dict[str, DataFrame], dict[str, dict]]:
+    """Standard design names, parsed dates and qualified columns, with the renamed catalog."""
+    renames = roles.renames()
+    named = {n: df.withColumnsRenamed(renames) for n, df in db.items()}
+    own = {n: [renames.get(k, k) for k in cat[n]["key"]] for n in db}
+    keys = {k for ks in own.values() for k in ks} | set(DESIGN_NAMES)
+
+    def layouts_of(df: DataFrame) -> dict[str, str]:
+        return profile.date_layouts(df, [c for c in df.columns if c not in keys and c not in by])
+
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        dated = dict(zip(named, pool.map(layouts_of, named.values())))
+    named = {n: profile.dates_parsed(df, dated[n]) if dated[n] else df for n, df in named.items()}
     uses: dict[str, int] = {}
     for df in named.values():
         for c in df.columns:
@@ -128,11 +134,11 @@ def prepare(db: dict[str, DataFrame], roles: Roles, by: list[str]) -> tuple[dict
     renamed = {
         n: {
             "columns": list(out[n].columns),
-            "key": [k if k in join_keys else f"{n}__{k}" for k in cat[n]["key"]],
+            "key": [k if k in join_keys else f"{n}__{k}" for k in own[n]],
         }
         for n in out
     }
-    return out, renamed, {n: [f"{n}__{c}" for c in cs if c not in join_keys] for n, cs in dated.items()}
+    return out, renamed
 
 
 def fields_section(plots: DataFrame, metadata: DataFrame, by: list[str], keys: list[str]) -> tuple[DataFrame, DataFrame]:
@@ -221,8 +227,9 @@ def reshape_experiments(
     :func:`find_roles` and :func:`general_section` for its columns).
     """
     by = list(by)
-    roles = roles or find_roles(db, design, metadata, by)
-    tables, cat, _ = prepare(db, roles, by)
+    raw = profile.catalog(db, by)
+    roles = roles or find_roles(db, design, metadata, by, raw)
+    tables, cat = prepare(db, roles, raw, by)
 
     design_tables = {"TREATMENTS": roles.treatments_table, "PLOTS": roles.plots_table}
     parts = {k: tables[n] for k, n in design_tables.items() if n and n != design}

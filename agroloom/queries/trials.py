@@ -1 +1,310 @@
-"""todo"""
+"""Whole experiments: parts become the plots of field trials, with all their tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from agroloom.operators.columns import front
+from agroloom.plans import bundle, sections
+from agroloom.plans.reshape import general_section, header_section, reshape_experiments
+from agroloom.queries import Tables, query
+
+BY = ["experiment_id"]
+
+# forty plots a year, eight treatments (two by four factor levels) in five blocks, ten years
+BASE_SQL = """
+    base AS (SELECT 'E' || (p_partkey // 400) AS experiment_id, p_partkey // 400 AS e, p_partkey AS k, 1990 + (p_partkey // 40) % 10 AS y,
+                    100 + p_partkey % 40 AS plot, p_partkey % 8 + 1 AS trt, (p_partkey % 40) // 8 + 1 AS block,
+                    (p_partkey % 8) // 4 + 1 AS f1, p_partkey % 4 + 1 AS f2, p_retailprice AS price, p_size AS size FROM part)
+"""
+
+
+def base(t: Tables) -> DataFrame:
+    k = F.col("p_partkey")
+    return t.part.select(
+        F.concat(F.lit("E"), F.floor(k / 400).cast("string")).alias("experiment_id"),
+        F.floor(k / 400).alias("e"),
+        k.alias("k"),
+        (1990 + F.floor(k / 40) % 10).alias("y"),
+        (100 + k % 40).alias("plot"),
+        (k % 8 + 1).alias("trt"),
+        (F.floor(k % 40 / 8) + 1).alias("block"),
+        (F.floor(k % 8 / 4) + 1).alias("f1"),
+        (k % 4 + 1).alias("f2"),
+        F.col("p_retailprice").alias("price"),
+        F.col("p_size").alias("size"),
+    )
+
+
+def trial_tables(t: Tables) -> dict[str, DataFrame]:
+    """The tables as they would land: German headers, keys without declaration, text dates."""
+    b = base(t)
+
+    def pick(*cols, distinct: bool = False) -> DataFrame:
+        out = b.select("experiment_id", *cols)
+        return out.distinct() if distinct else out
+
+    k, y, plot = F.col("k"), F.col("y").alias("Versuchsjahr"), F.col("plot").alias("Parzelle_ID")
+    sort = F.col("y") % 3 + 1
+    twice = F.explode(F.array(F.lit(0), F.lit(1)))
+
+    def day(month: int, d: Column) -> Column:
+        return F.date_format(F.make_date("y", F.lit(month), d.cast("int")), "yyyy-MM-dd")
+
+    ratings = b.withColumn("j", twice)
+    return {
+        "VERSUCHSAUFBAU": pick(k.alias("Versuchsaufbau_ID"), y, plot, F.col("trt").alias("Pruefglied_ID")),
+        "PARZELLE": pick(
+            plot, F.concat(F.lit("P"), F.col("plot").cast("string")).alias("Parzelle"), F.col("block").alias("Wiederholung"),
+            F.col("trt").alias("Pruefglied_ID"), (100 + F.col("block") * 2).alias("Hoehe"), (51 + F.col("e") / 100).alias("Latitude"),
+            (12 + F.col("e") / 100).alias("Longitude"), distinct=True,
+        ),
+        "PRUEFGLIED": pick(F.col("trt").alias("Pruefglied_ID"), F.col("f1").alias("Faktor1_Stufe_ID"), F.col("f2").alias("Faktor2_Stufe_ID"), distinct=True),
+        "FAKTOR1_STUFE": pick(F.col("f1").alias("Faktor1_Stufe_ID"), F.concat(F.lit("org"), F.col("f1").cast("string")).alias("Name"), distinct=True),
+        "FAKTOR2_STUFE": pick(F.col("f2").alias("Faktor2_Stufe_ID"), F.concat(F.lit("min"), F.col("f2").cast("string")).alias("Name"), distinct=True),
+        "DUENGUNG": pick(
+            k.alias("Duengung_ID"), y, plot, day(4, F.col("f2") + 1).alias("Termin"), F.col("f1").alias("Duengemittel_ID"), (F.col("f2") * 50).alias("Menge")
+        ),
+        "DUENGEMITTEL": pick(F.col("f1").alias("Duengemittel_ID"), F.concat(F.lit("fert"), F.col("f1").cast("string")).alias("Mittel"), distinct=True),
+        "AUSSAAT": pick(k.alias("Aussaat_ID"), y, plot, day(3, F.lit(20)).alias("Saattermin"), sort.alias("Sorte_ID")),
+        "SORTE": pick(sort.alias("Sorte_ID"), F.concat(F.lit("S"), sort.cast("string")).alias("Sorte"), (sort % 2 + 1).alias("Kultur_ID"), distinct=True),
+        "KULTUR": pick((sort % 2 + 1).alias("Kultur_ID"), F.concat(F.lit("K"), (sort % 2 + 1).cast("string")).alias("Art"), distinct=True),
+        "ERNTE": pick(k.alias("Ernte_ID"), y, plot, F.col("price").alias("Ertrag")),
+        "BONITUR": ratings.select(
+            "experiment_id", (F.col("k") * 2 + F.col("j")).alias("Bonitur_ID"), y, plot, day(5, F.col("j") * 20 + 1).alias("Datum"), (F.col("size") + F.col("j")).alias("Wert")
+        ),
+    }
+
+
+def trial_metadata(t: Tables) -> DataFrame:
+    scopes = base(t).select("experiment_id", "e").distinct()
+    return scopes.select(
+        "experiment_id",
+        F.lit(1990).alias("start_year"),
+        F.lit(1999).alias("end_year"),
+        F.lit(40).alias("number_plots"),
+        F.lit(5).alias("replication"),
+        (51 + F.col("e") / 100).alias("latitude"),
+        (12 + F.col("e") / 100).alias("longitude"),
+        F.concat(F.lit("Trial "), "experiment_id").alias("name"),
+        F.lit("Seefeld").alias("site"),
+        F.lit("Germany").alias("country"),
+        F.lit("A. Person").alias("contact_name"),
+        F.lit("a@example.com").alias("contact_email"),
+        F.lit("Field Station").alias("trial_institution"),
+        F.lit(24.0).alias("size_plots"),
+        F.concat(F.lit("10.1/"), "experiment_id").alias("doi"),
+    )
+
+
+def trial_bundle(t: Tables) -> dict[str, DataFrame]:
+    return reshape_experiments(trial_tables(t), trial_metadata(t), "VERSUCHSAUFBAU", BY)
+
+
+_IDS_SQL = f"""
+    WITH {BASE_SQL},
+    n AS (SELECT *, dense_rank() OVER (PARTITION BY experiment_id ORDER BY y) AS yid,
+                 dense_rank() OVER (PARTITION BY experiment_id ORDER BY y, f1) AS id1, dense_rank() OVER (PARTITION BY experiment_id ORDER BY y, f2) AS id2 FROM base)
+"""
+
+
+@query(
+    _IDS_SQL
+    + """SELECT DISTINCT experiment_id, y AS "Year", f1 AS "Faktor1_Stufe_ID", f2 AS "Faktor2_Stufe_ID", yid::VARCHAR AS "AUSSAAT_ID",
+        id1 || '_' || id2 AS "DUENGUNG_ID", block AS "FL_ID", trt AS "TRTNO" FROM n"""
+)
+def trial_treatments(t: Tables) -> DataFrame:
+    return trial_bundle(t)["TREATMENTS"]
+
+
+@query(
+    _IDS_SQL
+    + """SELECT DISTINCT experiment_id, y AS "Year", id1 || '_' || id2 AS "DUENGUNG_ID", strftime(make_date(y::INT, 4, (f2 + 1)::INT), '%Y-%m-%d') AS "DUENGUNG__Termin",
+        f2 * 50 AS "DUENGUNG__Menge", 'fert' || f1 AS "DUENGEMITTEL__Mittel" FROM n"""
+)
+def trial_fertilizers(t: Tables) -> DataFrame:
+    return trial_bundle(t)["DUENGUNG"].withColumn("DUENGUNG__Termin", F.date_format("DUENGUNG__Termin", "yyyy-MM-dd"))
+
+
+@query(
+    _IDS_SQL
+    + """SELECT DISTINCT experiment_id, y AS "Year", yid::VARCHAR AS "AUSSAAT_ID", strftime(make_date(y::INT, 3, 20), '%Y-%m-%d') AS "AUSSAAT__Saattermin",
+        'S' || (y % 3 + 1) AS "SORTE__Sorte", 'K' || ((y % 3 + 1) % 2 + 1) AS "KULTUR__Art" FROM n"""
+)
+def trial_sowings(t: Tables) -> DataFrame:
+    return trial_bundle(t)["AUSSAAT"].withColumn("AUSSAAT__Saattermin", F.date_format("AUSSAAT__Saattermin", "yyyy-MM-dd"))
+
+
+@query(f"""
+    WITH {BASE_SQL} SELECT DISTINCT experiment_id, block AS "FL_ID", 100 + block * 2 AS "PARZELLE__Hoehe", 51 + e / 100 AS "FL_LAT", 12 + e / 100 AS "FL_LON" FROM base
+""")
+def trial_fields(t: Tables) -> DataFrame:
+    return trial_bundle(t)["FIELDS"]
+
+
+@query(f"""
+    WITH {BASE_SQL} SELECT experiment_id, y AS "Year", plot AS "Plot_id", trt AS "Treatment_id", block AS "Rep_no", price AS "ERNTE__Ertrag", trt AS "TRTNO" FROM base
+""")
+def trial_summary(t: Tables) -> DataFrame:
+    return trial_bundle(t)["OBSERVED_Summary"]
+
+
+@query(f"""
+    WITH {BASE_SQL} SELECT experiment_id, y AS "Year", plot AS "Plot_id", trt AS "Treatment_id", block AS "Rep_no",
+      strftime(make_date(y::INT, 5, (j * 20 + 1)::INT), '%Y-%m-%d') AS "BONITUR__Datum", size + j AS "BONITUR__Wert", trt AS "TRTNO" FROM base, (VALUES (0), (1)) v(j)
+""")
+def trial_series(t: Tables) -> DataFrame:
+    return trial_bundle(t)["OBSERVED_TimeSeries"].withColumn("BONITUR__Datum", F.date_format("BONITUR__Datum", "yyyy-MM-dd"))
+
+
+@query(f"""
+    WITH {BASE_SQL} SELECT DISTINCT experiment_id, 'Trial ' || experiment_id AS "EXP_DETAILS", 'SEDE' AS "SITE_CODE", 'A. Person' AS "PERSONS", '10.1/' || experiment_id AS "DOI",
+        'Source data DOI: 10.1/' || experiment_id AS note FROM base
+""")
+def trial_general(t: Tables) -> DataFrame:
+    meta = trial_metadata(t)
+    both = header_section(meta, BY).join(general_section(meta, BY), BY)
+    return both.select(*BY, "EXP_DETAILS", "SITE_CODE", "PERSONS", "DOI", F.col("NOTES")[1].alias("note"))
+
+
+# --- sections on top of a bundle -----------------------------------------------------------------
+
+def harvested(t: Tables) -> DataFrame:
+    """Orders as harvests: customers are plots, priorities treatments; some rows are empty."""
+    some = F.col("o_orderkey") % 6 != 0
+    return t.orders.select(
+        F.col("o_orderstatus").alias("experiment_id"), F.year("o_orderdate").alias("Year"), (F.col("o_custkey") % 50).alias("Plot_id"),
+        F.col("o_orderpriority").alias("TRTNO"), F.when(some, F.to_date("o_orderdate")).alias("ERNTE__Termin"),
+        F.when(some, F.col("o_totalprice")).alias("ERNTE__Ertrag"), F.col("o_orderkey").alias("OTHER__x"),
+    )
+
+
+@query("""
+    WITH h AS (SELECT o_orderstatus AS experiment_id, year(o_orderdate) AS y, o_custkey % 50 AS plot, o_orderpriority AS trt,
+                      o_orderdate::DATE AS d, o_totalprice AS p FROM orders WHERE o_orderkey % 6 <> 0),
+    l AS (SELECT * FROM h QUALIFY d = max(d) OVER (PARTITION BY experiment_id, y, plot, trt)),
+    u AS (SELECT DISTINCT experiment_id, y, d, p FROM l)
+    SELECT experiment_id, y AS "Year", strftime(d, '%Y-%m-%d') AS "ERNTE__Termin", p AS "ERNTE__Ertrag", dense_rank() OVER (PARTITION BY experiment_id ORDER BY y) AS "HA_ID" FROM u
+""")
+def harvest_section(t: Tables) -> DataFrame:
+    rows = harvested(t)
+    series, summary = rows.filter(F.col("Year") < 1998), rows.filter(F.col("Year") >= 1998)
+    out = sections.harvest(series, summary, BY, "ERNTE__Termin", ["ERNTE"])
+    return out.withColumn("ERNTE__Termin", F.date_format("ERNTE__Termin", "yyyy-MM-dd"))
+
+
+_DU_SQL = """
+    WITH d AS (SELECT l_returnflag AS experiment_id, year(l_shipdate) AS y, l_partkey % 3 AS a, l_suppkey % 4 AS b, l_linenumber % 2 AS org,
+                      l_quantity AS n, (l_partkey % 3) || '_' || (l_suppkey % 4) AS du FROM lineitem)
+"""
+
+
+def fertilized(t: Tables) -> DataFrame:
+    a, b = F.col("l_partkey") % 3, F.col("l_suppkey") % 4
+    return t.lineitem.select(
+        F.col("l_returnflag").alias("experiment_id"), F.year("l_shipdate").alias("Year"), F.concat_ws("_", a.cast("string"), b.cast("string")).alias("DU_ID"),
+        (F.col("l_linenumber") % 2).alias("Organisch"), F.col("l_quantity").alias("Stickstoff"), F.lit(None).cast("double").alias("Leer"),
+    )
+
+
+@query(
+    _DU_SQL
+    + """SELECT DISTINCT experiment_id, y AS "Year", n AS "Stickstoff", 3.0::DOUBLE AS "OMNPC", round(n * 0.03, 6) AS "OMAMT",
+        dense_rank() OVER (PARTITION BY experiment_id ORDER BY y, a) AS "OM_ID" FROM d WHERE org = 1"""
+)
+def organic_section(t: Tables) -> DataFrame:
+    out, _ = sections.fertilizer(fertilized(t), BY, "DU_ID", "Organisch", "OM_ID", 0, [], extra=sections.organic_amount("Stickstoff"))
+    return out.withColumn("OMAMT", F.round("OMAMT", 6))
+
+
+@query(
+    _DU_SQL
+    + """, o AS (SELECT DISTINCT experiment_id, y, du, dense_rank() OVER (PARTITION BY experiment_id ORDER BY y, a) AS om FROM d WHERE org = 1),
+    c AS (SELECT DISTINCT experiment_id, y, dense_rank() OVER (PARTITION BY experiment_id ORDER BY y) AS cu FROM d)
+    SELECT DISTINCT d.experiment_id, d.y AS "Year", d.a AS f1, d.b AS f2, coalesce(cu, 0) AS "CU_ID", coalesce(om, 0) AS "OM_ID", d.a || ' | ' || d.b AS "TRT_NAME"
+    FROM d LEFT JOIN o USING (experiment_id, y, du) LEFT JOIN c USING (experiment_id, y)"""
+)
+def treatment_names(t: Tables) -> DataFrame:
+    rows = fertilized(t)
+    parts = F.split("DU_ID", "_")
+    matrix = rows.select(*BY, "Year", "DU_ID", parts[0].cast("long").alias("f1"), parts[1].cast("long").alias("f2")).distinct()
+    _, links = sections.fertilizer(rows, BY, "DU_ID", "Organisch", "OM_ID", 0, [])
+    grown = sections.cultivars(rows.select(*BY, "Year", F.lit("x").alias("SORTE__s")), BY, ["SORTE"])
+    return sections.treatment_table(matrix, [(grown, "CU_ID")], [(links, "OM_ID")], "DU_ID", ("f1", "f2"), BY)
+
+
+@query("""
+    WITH s AS (SELECT o_orderstatus AS experiment_id, o_orderkey, year(o_orderdate) AS y, o_totalprice AS seeds FROM orders),
+    r AS (SELECT DISTINCT o_orderstatus AS experiment_id, year(o_orderdate) AS y FROM orders WHERE year(o_orderdate) % 2 = 0)
+    SELECT s.experiment_id, o_orderkey, s.y AS "Year", CASE WHEN r.y IS NOT NULL THEN seeds * 0.0001 ELSE seeds END AS seeds, 'S' AS "PLMA", 'R' AS "PLDS"
+    FROM s LEFT JOIN r ON s.experiment_id = r.experiment_id AND s.y = r.y
+""")
+def planting_section(t: Tables) -> DataFrame:
+    sowing = t.orders.select(
+        F.col("o_orderstatus").alias("experiment_id"), "o_orderkey", F.year("o_orderdate").alias("Year"), F.col("o_totalprice").alias("seeds"), F.lit("x").alias("SORTE__s")
+    )
+    rotation = sowing.select(*BY, "Year", F.when(F.col("Year") % 2 == 0, "Potato").otherwise("Wheat").alias("crop")).distinct()
+    return sections.plantings(sowing, rotation, BY, "seeds", "crop", "SORTE")
+
+
+# --- second bundle -------------------------------------------------------------------------------
+
+def sites(t: Tables) -> DataFrame:
+    return trial_metadata(t).select(
+        *BY, "site", "country", F.col("latitude").alias("lat"), F.col("longitude").alias("lon"), F.col("name").alias("exp_details"), F.lit("1.0").alias("version")
+    )
+
+
+def second_bundle(t: Tables) -> dict[str, DataFrame]:
+    tables = trial_tables(t)
+    notes = base(t).select("experiment_id", F.col("k").alias("Bemerkungen_ID"), F.concat(F.lit("size "), F.lpad(F.col("size").cast("string"), 2, "0")).alias("Bemerkungen"))
+    tables["PARZELLE"] = tables["PARZELLE"].withColumn("Standort_Nr", F.col("Wiederholung") * 10)
+    return bundle.complete_bundle(tables | {"BEMERKUNGEN": notes}, sites(t), {"PARZELLE": ["Plot_id"]})
+
+
+@query(f"""
+    WITH {BASE_SQL} SELECT DISTINCT experiment_id, trt AS "TRTNO", 'Treatment ' || trt AS "TREATMENT_NAME", trt AS "TREATMENT_ID", f1 AS "FAKTOR1_STUFE_ID", f2 AS "FAKTOR2_STUFE_ID" FROM base
+""")
+def bundle_treatments(t: Tables) -> DataFrame:
+    return second_bundle(t)["TREATMENTS"]
+
+
+@query(f"""
+    WITH {BASE_SQL} SELECT DISTINCT experiment_id, 1 AS "FL_ID", 'Seefeld' AS "FL_NAME", 51 + e / 100 AS "FL_LAT", 12 + e / 100 AS "FL_LON", 'Germany' AS "SITE_COUNTRY", 10 AS "STANDORT_NR" FROM base
+""")
+def bundle_fields(t: Tables) -> DataFrame:
+    return second_bundle(t)["DESIGN"]
+
+
+@query(f"""
+    WITH {BASE_SQL} SELECT experiment_id, string_agg(DISTINCT 'size ' || lpad(size::VARCHAR, 2, '0'), '; ' ORDER BY 'size ' || lpad(size::VARCHAR, 2, '0')) AS "REMARKS",
+        'Seefeld Germany' AS "ADDRESS", 'Trial ' || experiment_id AS "EXPERIMENT_DETAILS", '1.0' AS "VERSION" FROM base GROUP BY 1
+""")
+def bundle_metadata(t: Tables) -> DataFrame:
+    return second_bundle(t)["METADATA"].select(*BY, "REMARKS", "ADDRESS", "EXPERIMENT_DETAILS", "VERSION")
+
+
+@query(f"""
+    WITH {BASE_SQL} SELECT experiment_id AS "EXPERIMENT_ID", k * 2 + j AS "BONITUR_ID", y AS "YEAR", plot AS "PLOT_ID", size + j AS "WERT", 'CROP_ASSESSMENT' AS "DATA_TYPE"
+    FROM base, (VALUES (0), (1)) v(j)
+""")
+def bundle_assessments(t: Tables) -> DataFrame:
+    return second_bundle(t)["OBSERVATIONS.BONITUR"].drop("DATE")
+
+
+@query(f"""
+    WITH {BASE_SQL} SELECT experiment_id AS "EXPERIMENT_ID", row_number() OVER (PARTITION BY experiment_id ORDER BY k) AS "ID", k AS "ERNTE_ID", price AS "ERTRAG", 'ERNTE DATEN' AS "TYPE" FROM base
+""")
+def numbered_observations(t: Tables) -> DataFrame:
+    table, _ = bundle.observation_table(trial_tables(t)["ERNTE"].select(*BY, "Ernte_ID", "Ertrag"), "ERNTE_DATEN", ["Ernte_ID"])
+    return table
+
+
+@query(f"""
+    WITH {BASE_SQL} SELECT experiment_id AS "EXPERIMENT_ID", row_number() OVER (PARTITION BY experiment_id ORDER BY k) AS "ID", k AS "AUSSAAT_ID",
+        strftime(make_date(y::INT, 3, 20), '%j') AS day_of_year, 'AUSSAAT' AS "TYPE" FROM base
+""")
+def dated_management(t: Tables) -> DataFrame:
+    table = bundle.management_table(trial_tables(t)["AUSSAAT"].select(*BY, "Aussaat_ID", "Saattermin"), "AUSSAAT", ["Aussaat_ID"])
+    return front(table.withColumn("day_of_year", F.date_format("SAATTERMIN", "DDD")).drop("SAATTERMIN"), "ID")
