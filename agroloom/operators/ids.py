@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from agroloom.operators.scale import dense_ids, null_safe_join, row_numbers
+from agroloom.operators.scale import WINDOW_ROWS, dense_ids, null_safe_join, row_numbers
 
 
 def event_numbers(df: DataFrame, group: list[str], date: str, tie: list[str], name: str = "event_no") -> DataFrame:
@@ -49,19 +49,26 @@ def reset_ids(df: DataFrame, columns: list[str], by: list[str] = ()) -> DataFram
 
 
 def management_ids(
-    df: DataFrame, flags: DataFrame, factors: list[str], name: str, by: list[str] = (), year: str = "Year"
+    df: DataFrame,
+    flags: DataFrame,
+    factors: list[str],
+    name: str,
+    by: list[str] = (),
+    year: str = "Year",
+    max_rows: int | None = WINDOW_ROWS,
 ) -> DataFrame:
     """Id of a management record: factor ids joined by ``_`` in treatment years, else the year id.
 
-    ``flags`` holds (scope, year, is_trt).
+    ``flags`` holds (scope, year, is_trt). ``max_rows=None`` when the factors are levels of one
+    experiment, of which there are few per year.
     """
     by = list(by)
     out = null_safe_join(df, flags.select(*by, year, "is_trt"), [*by, year])
     parts = []
     for i, f in enumerate(factors):
-        out = dense_ids(out, [year, f], f"__id{i}", by)
+        out = dense_ids(out, [year, f], f"__id{i}", by, max_rows)
         parts.append(F.col(f"__id{i}").cast("string"))
-    out = dense_ids(out, [year], "__id", by)
+    out = dense_ids(out, [year], "__id", by, max_rows)
     value = F.when(F.col("is_trt"), F.concat_ws("_", *parts)).otherwise(F.col("__id").cast("string"))
     return out.withColumn(name, value).drop("is_trt", "__id", *[f"__id{i}" for i in range(len(factors))])
 

@@ -60,14 +60,15 @@ def _offsets(parts: DataFrame, by: list[str]) -> DataFrame:
 
 
 def row_numbers(
-    df: DataFrame, by: list[str], order: list[Column], name: str, max_rows: int = WINDOW_ROWS
+    df: DataFrame, by: list[str], order: list[Column], name: str, max_rows: int | None = WINDOW_ROWS
 ) -> DataFrame:
     """1..n per group in a total order (``order`` must have no ties).
 
     Groups up to ``max_rows`` use one window. A larger group is spread over range
     partitions: number within the partition plus the rows of the partitions before.
+    ``None`` skips the size check, for groups small by nature (years of an experiment).
     """
-    if largest_group(df, by) <= max_rows:
+    if max_rows is None or largest_group(df, by) <= max_rows:
         return df.withColumn(name, F.row_number().over(Window.partitionBy(*by).orderBy(*order)).cast("long"))
     ordered = [F.col(b).asc_nulls_last() for b in by] + list(order)
     parts = checkpointed(df.repartitionByRange(*ordered).withColumn("__part", F.spark_partition_id()))
@@ -77,7 +78,9 @@ def row_numbers(
     return out.withColumn(name, (F.col("__i") + F.col("__off")).cast("long")).drop("__part", "__i", "__off")
 
 
-def key_ids(df: DataFrame, keys: list[str], name: str, by: list[str] = (), max_rows: int = WINDOW_ROWS) -> DataFrame:
+def key_ids(
+    df: DataFrame, keys: list[str], name: str, by: list[str] = (), max_rows: int | None = WINDOW_ROWS
+) -> DataFrame:
     """The distinct keys with their dense ids 1..n (sorted, null last) per scope."""
     by = list(by)
     keys = [k for k in keys if k not in by]
@@ -87,7 +90,9 @@ def key_ids(df: DataFrame, keys: list[str], name: str, by: list[str] = (), max_r
     return row_numbers(distinct, by, nulls_last(keys), name, max_rows)
 
 
-def dense_ids(df: DataFrame, keys: list[str], name: str, by: list[str] = (), max_rows: int = WINDOW_ROWS) -> DataFrame:
+def dense_ids(
+    df: DataFrame, keys: list[str], name: str, by: list[str] = (), max_rows: int | None = WINDOW_ROWS
+) -> DataFrame:
     """Append the dense id of ``keys``: numbered on the distinct keys, then joined back."""
     by = list(by)
     ids = key_ids(df, keys, name, by, max_rows)

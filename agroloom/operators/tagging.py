@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -55,12 +56,17 @@ def tag_tables(
     """tag -> table -> rows. Tables without year or plot are ``other``; a table may appear under
     several tags, as the tag can change from year to year."""
     out: dict[str, dict[str, DataFrame]] = {}
+    linked = {n: df for n, df in sorted(db.items()) if year in df.columns and plot in df.columns}
+    tagged_years = {n: tag_years(df, year, plot, plots, keys.get(n, []), by, max_events) for n, df in linked.items()}
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        # three names at most per table
+        found = dict(zip(linked, pool.map(lambda d: d.select("tag").distinct().collect(), tagged_years.values())))
     for name, df in sorted(db.items()):
-        if year not in df.columns or plot not in df.columns:
+        if name not in linked:
             out.setdefault("other", {})[name] = df
             continue
-        tags = tag_years(df, year, plot, plots, keys.get(name, []), by, max_events)
-        seen = [r["tag"] for r in tags.select("tag").distinct().collect()]  # three names at most
+        tags = tagged_years[name]
+        seen = sorted(r["tag"] for r in found[name])
         if len(seen) == 1:
             out.setdefault(seen[0], {})[name] = df
             continue

@@ -19,6 +19,7 @@ from agroloom.operators.ids import management_ids
 from agroloom.operators.merge import chain_left, fold_attributes, full_align, merge_tables
 from agroloom.operators.scale import dense_ids, null_safe_join
 from agroloom.operators.tagging import MAX_EVENTS, tag_tables, treatment_years
+from agroloom.session import checkpointed
 
 DESIGN_NAMES = ("Year", "Plot_id", "Treatment_id", "Rep_no")
 
@@ -80,7 +81,8 @@ def find_roles(
         hit = same.groupBy("column_name").agg(F.bool_and(F.col("n_distinct") == F.col(target)).alias("hit"))
         return {r["column_name"] for r in hit.filter("hit").collect()}
 
-    plots = [c for c in cols if c in fitting(counts, "n_plots") and c not in (year, *key)]
+    sized = fitting(counts, "n_plots")
+    plots = [c for c in cols if c in sized and c not in (year, *key)]
     plot = next((c for c in plots if any(e["key"] == [c] for e in cat.values())), plots[0] if plots else None)
     if plot is None:
         raise LookupError(f"no column of {design} has as many values as there are plots")
@@ -148,7 +150,7 @@ def fields_section(plots: DataFrame, metadata: DataFrame, by: list[str], keys: l
     coordinates are added.
     """
     attrs = [c for c in plots.columns if c not in {*by, *keys, *DESIGN_NAMES}]
-    numbered = dense_ids(plots, attrs, "FL_ID", by)
+    numbered = dense_ids(plots, attrs, "FL_ID", by, None)  # plots of one experiment
     fields = numbered.select(*by, "FL_ID", *attrs).distinct()
     placed = null_safe_join(fields, metadata.select(*by, "latitude", "longitude"), by)
     numeric = [c for c in attrs if isinstance(plots.schema[c].dataType, profile.NUMBERS)]
@@ -176,7 +178,7 @@ def treatment_matrix(
     out = out.withColumns(
         {c: F.coalesce(F.col(c), F.lit(0).cast(out.schema[c].dataType)) for c in ids}
     )
-    return dense_ids(out, ["Treatment_id"], "TRTNO", by)
+    return dense_ids(out, ["Treatment_id"], "TRTNO", by, None)  # treatments of one experiment
 
 
 def observed_section(design: DataFrame, tables: dict[str, DataFrame], cat: dict[str, dict], by: list[str]) -> DataFrame:
@@ -184,7 +186,7 @@ def observed_section(design: DataFrame, tables: dict[str, DataFrame], cat: dict[
     slim = {n: df.drop(*cat[n]["key"]) for n, df in tables.items()}
     base = design.select(*by, "Year", "Plot_id", "Treatment_id", *[c for c in ("Rep_no",) if c in design.columns])
     joined = full_align({"DESIGN": base, **slim}, [*by, "Year", "Plot_id"])
-    return dense_ids(joined, ["Treatment_id"], "TRTNO", by).distinct()
+    return dense_ids(joined, ["Treatment_id"], "TRTNO", by, None).distinct()
 
 
 def general_section(metadata: DataFrame, by: list[str]) -> DataFrame:
@@ -220,11 +222,15 @@ def reshape_experiments(
     by: list[str] = ("experiment_id",),
     roles: Roles | None = None,
     max_events: float = MAX_EVENTS,
+    observed: bool = True,
+    materialize: bool = False,
 ) -> dict[str, DataFrame]:
     """The section bundle of all experiments in ``db``.
 
     Every table has the scope columns ``by``; ``metadata`` has one row per scope (see
-    :func:`find_roles` and :func:`general_section` for its columns).
+    :func:`find_roles` and :func:`general_section` for its columns). ``materialize=True`` writes
+    the joined data tables to the checkpoint folder, as several sections read them.
+    ``observed=False`` leaves the observed sections out.
     """
     by = list(by)
     raw = profile.catalog(db, by)
@@ -244,6 +250,8 @@ def reshape_experiments(
     attrs = fold_attributes({n: df for n, df in others.items() if n not in data}, cat, by)
     folded = cat | {n: {"columns": list(df.columns), "key": cat[n]["key"]} for n, df in attrs.items()}
     data, _ = merge_tables(data, attrs, folded, "bidirectional", True, by)
+    if materialize:
+        data = {n: checkpointed(df) for n, df in data.items()}
 
     plots = plan.select(*by, "Plot_id").distinct().groupBy(*by).agg(F.count(F.lit(1)).alias("n_plots"))
     keys = {n: [k for k in cat[n]["key"] if k in df.columns] for n, df in data.items()}
@@ -256,7 +264,7 @@ def reshape_experiments(
         name = f"{n}_ID"
         extra = [c for c in plan.columns if c not in df.columns or c in (*by, "Year", "Plot_id")]
         rows = null_safe_join(df, plan.select(*extra), [*by, "Year", "Plot_id"])
-        marked = management_ids(rows, flags, factors or ["Treatment_id"], name, by)
+        marked = management_ids(rows, flags, factors or ["Treatment_id"], name, by, max_rows=None)
         drops = {*keys[n], "Treatment_id", "Rep_no", *factors}
         slim = marked.select(name, *[c for c in marked.columns if c not in drops and c != name])
         management[n] = slim.drop("Plot_id").distinct()
@@ -271,8 +279,9 @@ def reshape_experiments(
         "FIELDS": fields,
         "TREATMENTS": matrix.drop("Plot_id", "Treatment_id").distinct(),
         **management,
-        "OBSERVED_Summary": observed_section(plan, tagged.get("observed_summary", {}), cat, by),
-        "OBSERVED_TimeSeries": observed_section(plan, tagged.get("observed_timeseries", {}), cat, by),
     }
+    if observed:
+        bundle["OBSERVED_Summary"] = observed_section(plan, tagged.get("observed_summary", {}), cat, by)
+        bundle["OBSERVED_TimeSeries"] = observed_section(plan, tagged.get("observed_timeseries", {}), cat, by)
     loose = tagged.get("other", {}) | attrs
     return bundle | {f"OTHER_{n}": df for n, df in sorted(loose.items())}

@@ -13,6 +13,12 @@ from agroloom.operators.profile import NUMBERS, drop_null_columns
 from agroloom.operators.scale import dense_ids, null_safe_join
 
 
+def year_ids(df: DataFrame, keys: list[str], name: str, by: list[str]) -> DataFrame:
+    """Dense ids over years and levels: few per experiment, so the size check is left out when
+    there is a scope."""
+    return dense_ids(df, keys, name, by, None) if by else dense_ids(df, keys, name)
+
+
 def zero_filled(df: DataFrame) -> DataFrame:
     """Null numbers as 0."""
     return df.fillna(0, subset=[f.name for f in df.schema if isinstance(f.dataType, NUMBERS)])
@@ -22,7 +28,7 @@ def initial_conditions(rotation: DataFrame, crop: str, by: list[str], year: str
     """Previous crop of every year and the id of (year, previous crop)."""
     yearly = rotation.select(*by, year, crop).distinct()
     before = previous_year_value(yearly, by, year, crop, "ICPCR")
-    return dense_ids(before, [year, "ICPCR"], "IC_ID", by).select("IC_ID", *by, year, crop, "ICPCR")
+    return year_ids(before, [year, "ICPCR"], "IC_ID", by).select("IC_ID", *by, year, crop, "ICPCR")
 
 
 def harvest(
@@ -36,7 +42,7 @@ def harvest(
     filled = drop_empty_rows(rows, [c for c in rows.columns if c not in keys])
     last = latest_flag(filled, keys, date).filter("is_latest")
     out = last.drop("Plot_id", "TRTNO", "is_latest").distinct()
-    return dense_ids(out, [year], "HA_ID", by)
+    return year_ids(out, [year], "HA_ID", by)
 
 
 def harvest_type(series: DataFrame, by: list[str], date: str, year: str = "Year") -> DataFrame:
@@ -66,7 +72,7 @@ def fertilizer(
     rows = rows.withColumn("__part", split_parts(F.col(id_column), "_", 2)[part])
     if extra:
         rows = rows.withColumns(extra)
-    numbered = dense_ids(rows, [year, "__part"], name, by).drop("__part", flag, *drops)
+    numbered = year_ids(rows, [year, "__part"], name, by).drop("__part", flag, *drops)
     slim = zero_filled(drop_null_columns(numbered, keep=[*by, year, name, id_column]))
     return slim.drop(id_column).distinct(), slim.select(*by, id_column, year, name).distinct()
 
@@ -78,7 +84,7 @@ def organic_amount(nitrogen: str, percent: float = 3.0) -> dict[str, Column]:
 
 def cultivars(sowing: DataFrame, by: list[str], prefixes: list[str], year: str = "Year") -> DataFrame:
     rows = sowing.select(*by, year, *[c for c in pick(sowing, starts=prefixes) if c not in (*by, year)]).distinct()
-    return dense_ids(rows, [year], "CU_ID", by)
+    return year_ids(rows, [year], "CU_ID", by)
 
 
 def plantings(

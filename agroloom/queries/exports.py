@@ -1 +1,160 @@
-"""todo"""
+"""Yearly sections, conformed tables and fixed-width lines."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from agroloom.operators.columns import drop_empty_rows
+from agroloom.operators.weather import daily_weather, to_model_names
+from agroloom.plans import export as ex
+from agroloom.plans import templates as tpl
+from agroloom.plans.sections import mid_elevation
+from agroloom.queries import Tables, query
+from agroloom.queries.trials import BASE_SQL, base
+from agroloom.session import scratch_path
+
+BY = ["experiment_id"]
+
+
+@query("""
+    SELECT l_orderkey, l_linenumber, printf('%6.0f', l_quantity) || printf('%12.2f', l_extendedprice) || lpad(l_returnflag, 6, ' ')
+        || CASE WHEN l_linenumber = 7 THEN '   -99' ELSE printf('%6d', l_linenumber) END AS line FROM lineitem
+""")
+def fixed_width_lines(t: Tables) -> DataFrame:
+    rows = t.lineitem.withColumn("no", F.when(F.col("l_linenumber") != 7, F.col("l_linenumber")))
+    formats = {"l_quantity": "%6.0f", "l_extendedprice": "%12.2f", "l_returnflag": "%6s", "no": "%6s"}
+    return rows.select("l_orderkey", "l_linenumber", ex.print_line(formats).alias("line"))
+
+
+@query("""
+    WITH d AS (SELECT o_orderstatus AS experiment_id, o_orderdate::DATE AS day, count(*) AS n, max(o_custkey) AS hi, min(o_custkey) AS lo FROM orders GROUP BY 1, 2)
+    SELECT experiment_id, year(day) AS "Year",
+           strftime(day, '%y%j') || printf('%6.1f', n::DOUBLE) || printf('%6.1f', hi::DOUBLE) || printf('%6.1f', lo::DOUBLE) || repeat('   -99', 6) AS line FROM d
+    UNION ALL SELECT experiment_id, year(day), '@DATE  SRAD  TMAX  TMIN  RAIN  DEWP  WIND   PAR  EVAP  RHUM' FROM (SELECT DISTINCT experiment_id, make_date(year(day), 1, 1) AS day FROM d)
+""")
+def weather_file(t: Tables) -> DataFrame:
+    raw = t.orders.select(F.col("o_orderstatus").alias("experiment_id"), F.col("o_orderdate").alias("ts"), F.col("o_custkey").cast("double").alias("v"), F.lit(1.0).alias("one"))
+    rules = [("SRAD", "one", "sum"), ("TMAX", "v", "max"), ("TMIN", "v", "min"), ("RAIN", None, None), ("TDEW", None, None)]
+    mapping = [{"std_var": s, "repo_var": r, "agg_fun": a, "conv_fct": 1.0} for s, r, a in rules]
+    daily = to_model_names(daily_weather(raw, "ts", mapping, BY).withColumn("Year", F.year("W_DATE")))
+    lines = ex.text_lines(ex.build_weather(daily, BY), tpl.WEATHER_FORMATS, [*BY, "Year"], ["DATE"], 0)
+    path = scratch_path(t.spark, "weather")
+    ex.write_text(lines, path, [*BY, "Year"])
+    back = t.spark.read.text(path)
+    return back.select("experiment_id", F.col("Year").cast("long").alias("Year"), F.col("value").alias("line"))
+
+
+_SECTIONS_SQL = f"""
+    WITH {BASE_SQL}, n AS (SELECT DISTINCT experiment_id, y, f2, trt FROM base)
+"""
+
+
+def section_tables(t: Tables) -> dict[str, DataFrame]:
+    """Treatments, fertilizers and cultivars of the trials in model names, ids over all years."""
+    b = base(t)
+    key = [F.col("experiment_id"), F.col("y").alias("Year")]
+    number = (F.col("y") - 1990) * 4 + F.col("f2")
+    return {
+        "TREATMENTS": b.select(*key, F.col("trt").alias("N"), F.concat(F.lit("T"), F.col("trt").cast("string")).alias("TNAME"), number.alias("MF"), F.lit(None).cast("double").alias("CU")).distinct(),
+        "CULTIVARS": b.select(*key, (F.col("y") - 1980).alias("C"), F.lit("WH").alias("CR"), F.lit("IB9999").alias("INGENO")).distinct(),
+        "FERTILIZERS": b.select(
+            *key, number.alias("F"), F.date_format(F.make_date("y", F.lit(4), F.col("f2").cast("int")), "yyyy-MM-dd").alias("FDATE"), F.lit("FE041").alias("FMCD"),
+            (F.col("f2") * 50).alias("FAMN"), F.lit(None).cast("string").alias("FACD"),
+        ).distinct(),
+        "FIELDS": b.select("experiment_id", F.lit(1).alias("L"), F.lit("IB00000001").alias("ID_SOIL")).distinct(),
+        "PLANTING_DETAILS": b.select(*key, F.lit(1).alias("P"), F.date_format(F.make_date("y", F.lit(3), F.lit(20)), "yyyy-MM-dd").alias("PDATE")).distinct(),
+        "OBSERVED_Summary": b.select(*key, F.col("trt").alias("TRTNO")).distinct(),
+    }
+
+
+def management(t: Tables) -> dict[str, DataFrame]:
+    yearly = ex.split_by_year(section_tables(t), BY)
+    return ex.build_management(yearly, BY)[0]
+
+
+@query(
+    _SECTIONS_SQL
+    + """SELECT experiment_id, y AS "Year", trt::DOUBLE AS "N", 'T' || trt AS "TNAME", f2::DOUBLE AS "MF", 0.0::DOUBLE AS "CU", 1.0::DOUBLE AS "R", 0.0::DOUBLE AS "MH", 1.0::DOUBLE AS "SM" FROM n"""
+)
+def yearly_treatments(t: Tables) -> DataFrame:
+    return management(t)["TREATMENTS"].select(*BY, F.col("Year").cast("long").alias("Year"), "N", "TNAME", "MF", "CU", "R", "MH", "SM")
+
+
+@query(
+    _SECTIONS_SQL
+    + """, f AS (SELECT DISTINCT experiment_id, y, f2 FROM n), s AS (SELECT DISTINCT experiment_id, y FROM n)
+    SELECT experiment_id, y AS "Year", '*FERTILIZERS' AS line FROM s
+    UNION ALL SELECT experiment_id, y, '@    F FDATE  FMCD  FACD  FDEP  FAMN  FAMP  FAMK  FAMC  FAMO  FOCD FERNAME' FROM s
+    UNION ALL SELECT experiment_id, y, printf('%6.0f', f2::DOUBLE) || ' ' || strftime(make_date(y::INT, 4, f2::INT), '%y%j') || ' FE041   -99   -99' || printf('%6.1f', f2 * 50.0)
+        || repeat('   -99', 5) || '     -99' FROM f"""
+)
+def fertilizer_block(t: Tables) -> DataFrame:
+    section = management(t)["FERTILIZERS"]
+    lines = ex.management_lines({"FERTILIZERS": section}, [*BY, "Year"])
+    return lines.select("experiment_id", F.col("Year").cast("long").alias("Year"), "line")
+
+
+@query(
+    _SECTIONS_SQL
+    + """SELECT DISTINCT experiment_id, y AS "Year", 1.0::DOUBLE AS "N", 'GE' AS "GENERAL", 'N' AS "WATER", 2150.0::DOUBLE AS "RSEED", 'SI' AS "SIMDATES",
+        'SEDE' || lpad((y % 100)::VARCHAR, 2, '0') || '01.WHX' AS file_name FROM n"""
+)
+def default_controls(t: Tables) -> DataFrame:
+    controls = management(t)["SIMULATION_CONTROLS"]
+    name = ex.file_name(F.lit("SEDE"), F.col("Year"), "WHX").alias("file_name")
+    return controls.select(*BY, F.col("Year").cast("long").alias("Year"), "N", "GENERAL", "WATER", "RSEED", "SIMDATES", name)
+
+
+@query("""
+    WITH k AS (SELECT p_partkey // 8 AS soil, list(p_partkey::DOUBLE ORDER BY p_partkey) AS slb, list(p_retailprice ORDER BY p_partkey) AS slll FROM part GROUP BY 1)
+    SELECT 'S' || soil AS "PEDON", 'SITE' AS "SITE", len(slb) AS n_layers, slb[1] AS first_depth, slll[len(slll)] AS last_value FROM k
+""")
+def soil_file(t: Tables) -> DataFrame:
+    soil = F.concat(F.lit("S"), F.floor(F.col("p_partkey") / 8).cast("string")).alias("PEDON")
+    layers = t.part.select(soil, F.col("p_partkey").cast("double").alias("SLB"), F.col("p_retailprice").alias("SLLL"))
+    header = layers.select("PEDON", F.lit("SITE").alias("SITE"), F.lit("Family").alias("SCS FAMILY")).distinct()
+    got = ex.build_soil(header, layers, ["PEDON"])
+    return got.select(
+        "PEDON", "SITE", F.size("SLB").cast("long").alias("n_layers"), F.col("SLB")[0].alias("first_depth"), F.element_at("SLLL", -1).alias("last_value")
+    )
+
+
+@query("""
+    SELECT o_orderstatus AS experiment_id, year(o_orderdate) AS "Year", o_custkey AS "TRTNO", strftime(o_orderdate, '%y%j') AS "MDAT", o_totalprice AS "HWAH" FROM orders
+""")
+def summary_codes(t: Tables) -> DataFrame:
+    observed = t.orders.select(
+        F.col("o_orderstatus").alias("experiment_id"), F.year("o_orderdate").alias("Year"), F.col("o_custkey").alias("TRTNO"), F.to_date("o_orderdate").alias("MDAT"),
+        F.col("o_totalprice").alias("HWAH"), "o_orderpriority",
+    )
+    return ex.build_summary(observed, BY)
+
+
+@query("""
+    SELECT o_orderstatus AS experiment_id, year(o_orderdate) AS "Year", strftime(o_orderdate, '%y%j') AS "DATE", o_custkey AS "TRTNO", o_totalprice AS "CDAD" FROM orders
+""")
+def series_codes(t: Tables) -> DataFrame:
+    observed = t.orders.select(
+        F.col("o_orderstatus").alias("experiment_id"), F.year("o_orderdate").alias("Year"), F.col("o_custkey").alias("TRTNO"), F.to_date("o_orderdate").alias("DATE"),
+        F.col("o_totalprice").alias("CDAD"),
+    )
+    return ex.build_series(observed, BY)
+
+
+@query("""
+    SELECT p_partkey, (p_size + 1)::DOUBLE AS "FLELE" FROM part WHERE p_partkey % 5 <> 0
+""")
+def field_elevation(t: Tables) -> DataFrame:
+    fields = t.part.select("p_partkey", F.when(F.col("p_partkey") % 5 != 0, F.col("p_size")).alias("low"), F.when(F.col("p_partkey") % 5 != 0, F.col("p_size") + 2).alias("high"))
+    return mid_elevation(drop_empty_rows(fields, ["low", "high"]), "low", "high").select("p_partkey", "FLELE")
+
+
+@query(
+    f"""WITH {BASE_SQL} SELECT DISTINCT experiment_id, y AS "Year", f2::DOUBLE AS "F", f2 * 50.0::DOUBLE AS "FAMN" FROM base"""
+)
+def section_folders(t: Tables) -> DataFrame:
+    path = scratch_path(t.spark, "sections")
+    ex.write_sections({"FERTILIZERS": management(t)["FERTILIZERS"]}, path, BY)
+    back = t.spark.read.parquet(f"{path}/FERTILIZERS")
+    return back.select("experiment_id", F.col("Year").cast("long").alias("Year"), "F", "FAMN")

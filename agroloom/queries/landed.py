@@ -1 +1,251 @@
-"""todo"""
+"""Landed files: CSV folders, XML, JSON observations, sectioned reports and the sensor stream.
+
+The files are written from the given tables into the shared scratch folder and read back.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from agroloom.operators.weather import daily_stats
+from agroloom.queries import Tables, query
+from agroloom.queries.weather import text_day
+from agroloom.session import scratch_path
+from agroloom.sources import reports, sensors, xml
+from agroloom.sources.files import load_tables
+from agroloom.streaming import sensors as live
+
+
+def land_csv(df: DataFrame, folder: str, by: str, table: str) -> None:
+    """Write one CSV per value of ``by`` and writing task, named like a published data file."""
+    raw = f"{folder}-raw-{table}"
+    df.withColumn("__f", F.col(by)).write.partitionBy("__f").option("header", True).csv(raw)
+    jvm = df.sparkSession.sparkContext._jvm
+    conf = df.sparkSession.sparkContext._jsc.hadoopConfiguration()
+    home = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = home.getFileSystem(conf)
+    fs.mkdirs(home)
+    for i, f in enumerate(fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{raw}/__f=*/part-*"))):
+        value = f.getPath().getParent().getName().split("=", 1)[1]
+        fs.rename(f.getPath(), jvm.org.apache.hadoop.fs.Path(f"{folder}/{value}.ID_L{i}_V1_0_{table}.{i}.csv"))
+
+
+def landed(t: Tables) -> dict[str, DataFrame]:
+    folder = scratch_path(t.spark, "folder")
+    customers = t.customer.withColumn("empty", F.lit(None).cast("string"))
+    land_csv(customers, folder, "c_mktsegment", "CUSTOMER")
+    land_csv(t.part.drop("p_name"), folder, "p_type", "PART")
+    return load_tables(t.spark, folder)
+
+
+@query("""
+    SELECT c_custkey, c_name, c_nationkey::BIGINT AS c_nationkey, c_acctbal, c_mktsegment, c_mktsegment AS experiment_id FROM customer
+""")
+def csv_folder_customers(t: Tables) -> DataFrame:
+    return landed(t)["CUSTOMER"]
+
+
+@query("""
+    SELECT p_partkey, p_brand, p_type, p_size::BIGINT AS p_size, p_retailprice, p_type AS experiment_id FROM part
+""")
+def csv_folder_parts(t: Tables) -> DataFrame:
+    return landed(t)["PART"]
+
+
+def _tag(name: str, body: Column) -> Column:
+    return F.concat(F.lit(f"<{name}>"), body, F.lit(f"</{name}>"))
+
+
+def _escaped(c: Column) -> Column:
+    out = F.regexp_replace(c, "&", "&amp;")
+    return F.regexp_replace(F.regexp_replace(out, "<", "&lt;"), ">", "&gt;")
+
+
+def descriptions(t: Tables) -> DataFrame:
+    """One dataset description per page: the url is the title, numbers come from the key."""
+    k = F.col("page_id")
+    text = lambda c: c.cast("string")
+    char = lambda c: _tag("gco:CharacterString", c)
+    party = _tag(
+        "gmd:CI_ResponsibleParty",
+        F.concat(
+            _tag("gmd:individualName", char(F.concat(F.lit("Person "), text(k % 7)))),
+            _tag("gmd:organisationName", char(F.lit("Institute"))),
+            _tag("gmd:electronicMailAddress", char(F.concat(F.lit("p"), text(k % 7), F.lit("@example.com")))),
+        ),
+    )
+    ident = _tag(
+        "gmd:identificationInfo",
+        F.concat(_tag("gmd:alternateTitle", char(_escaped(F.col("url")))), _tag("gmd:MD_Identifier", char(F.concat(F.lit("10.1/"), text(k))))),
+    )
+    box = _tag(
+        "gmd:EX_Extent",
+        F.concat(
+            _tag("gmd:westBoundLongitude", text(k % 10)), _tag("gmd:eastBoundLongitude", text(k % 10 + 1)),
+            _tag("gmd:southBoundLatitude", text(k % 50)), _tag("gmd:northBoundLatitude", text(k % 50 + 2)),
+        ),
+    )
+    time = _tag("gmd:EX_Extent", F.concat(_tag("gml:beginPosition", text(1960 + k % 30)), _tag("gml:endPosition", text(1995 + k % 20))))
+    column = lambda n, unit: _tag(
+        "bnr:MD_Column",
+        F.concat(_tag("bnr:tableName", F.concat(F.lit("T"), text(k % 3))), _tag("bnr:name", F.lit(n)), _tag("bnr:unit", F.lit(unit)), _tag("bnr:dataType", F.lit("number"))),
+    )
+    elements = _tag("MetElement", F.concat(_tag("ShortName", F.lit("TT")), _tag("UnitOfMeasurement", F.lit("K")), _tag("Description", text(k))))
+    # the party appears twice: provenance keeps it once
+    return t.pages.select("page_id", _tag("gmd:MD_Metadata", F.concat(party, ident, box, time, party, column("Yield", "dt/ha"), column("N", "kg/ha"), elements)).alias("value"))
+
+
+@query("""
+    SELECT page_id, '10.1/' || page_id AS doi, url AS title FROM pages
+""")
+def xml_identification(t: Tables) -> DataFrame:
+    return xml.read_metadata(descriptions(t), by=["page_id"])["Identification"]
+
+
+@query("""
+    SELECT page_id, 'Person ' || (page_id % 7) AS persons, 'Institute' AS organisation, '-' AS position, '-' AS street, '-' AS city, '-' AS postal_code,
+           'p' || (page_id % 7) || '@example.com' AS email FROM pages
+""")
+def xml_provenance(t: Tables) -> DataFrame:
+    return xml.read_metadata(descriptions(t), by=["page_id"])["Provenance"].fillna("-")
+
+
+@query("""
+    SELECT page_id, 'SW' AS corner, (page_id % 50)::DOUBLE AS latitude, (page_id % 10)::DOUBLE AS longitude, (1960 + page_id % 30)::VARCHAR AS start, (1995 + page_id % 20)::VARCHAR AS "end" FROM pages
+    UNION ALL SELECT page_id, 'NE', page_id % 50 + 2, page_id % 10 + 1, (1960 + page_id % 30)::VARCHAR, (1995 + page_id % 20)::VARCHAR FROM pages
+""")
+def xml_coverage(t: Tables) -> DataFrame:
+    got = xml.read_metadata(descriptions(t), by=["page_id"])
+    return got["Spatial_coverage"].join(got["Temporal_coverage"], "page_id")
+
+
+@query("""
+    SELECT page_id, 'T' || (page_id % 3) AS tbl_name, n AS name, u AS unit, 'number' AS data_type, 1 AS n_elements
+    FROM pages, (VALUES ('Yield', 'dt/ha'), ('N', 'kg/ha')) v(n, u)
+""")
+def xml_variable_key(t: Tables) -> DataFrame:
+    docs = descriptions(t)
+    key = xml.read_metadata(docs, by=["page_id"])["Variable_key"].select("page_id", "tbl_name", "name", "unit", "data_type")
+    elements = xml.read_elements(docs, by=["page_id"]).groupBy("page_id").agg(F.count(F.lit(1)).cast("int").alias("n_elements"))
+    return key.join(elements, "page_id")
+
+
+def land_observations(t: Tables) -> str:
+    """Events as JSON observations, some without result, every tenth sent twice."""
+    path = scratch_path(t.spark, "observations")
+    raw = t.events.select(
+        F.col("user_id").alias("stream_id"),
+        F.col("event_id").alias("obs_id"),
+        F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z")).alias("phenomenonTime"),
+        F.when(F.col("event_id") % 97 != 0, F.col("value").cast("string")).alias("result"),
+    )
+    raw.unionByName(raw.filter(F.col("obs_id") % 10 == 0)).write.option("ignoreNullFields", False).json(path)
+    return path
+
+
+@query("""
+    SELECT event_id AS obs_id, user_id AS stream_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS at, coalesce(CASE WHEN event_id % 97 <> 0 THEN value END, -99) AS value,
+           'sensor ' || (user_id % 4) AS sensor_name, 'prop ' || (user_id % 3) AS property_name FROM events
+""")
+def json_observations(t: Tables) -> DataFrame:
+    obs = sensors.read_observations(t.spark, land_observations(t)).dropDuplicates(["stream_id", "obs_id"])
+    users = t.events.select("user_id").distinct()
+    streams = users.select(F.col("user_id").alias("stream_id"), (F.col("user_id") % 5).alias("device_id"), (F.col("user_id") % 4).alias("sensor_id"), (F.col("user_id") % 3).alias("property_id"))
+
+    def dim(n: int, word: str) -> DataFrame:
+        key = (F.col("user_id") % n).alias("id")
+        return users.select(key).distinct().withColumn("name", F.concat(F.lit(word + " "), F.col("id").cast("string")))
+
+    meta = sensors.stream_metadata(streams, dim(5, "device"), dim(4, "sensor"), dim(3, "prop"))
+    joined = live.with_metadata(obs, meta, ["stream_id"])
+    return joined.select(
+        "obs_id", "stream_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("at"), F.coalesce("value", F.lit(-99.0)).alias("value"), "sensor_name", "property_name"
+    )
+
+
+@query("""
+    SELECT event_id, json_extract_string(props, '$.k')::BIGINT AS props_k FROM events
+""")
+def json_properties(t: Tables) -> DataFrame:
+    schema = T.StructType([T.StructField("k", T.LongType())])
+    parsed = t.events.select("event_id", sensors.parse_object(F.col("props"), schema).alias("props"))
+    return sensors.flatten(parsed)
+
+
+_STREAM_SQL = """
+    SELECT user_id % 5 AS device_id, strftime(ts, '%Y-%m-%d') AS day, min(v) AS TMIN, max(v) AS TMAX, round(avg(v), 10) AS TMEAN, count(v) AS n
+    FROM (SELECT user_id, ts, CASE WHEN event_id % 97 <> 0 THEN value END AS v FROM events) GROUP BY 1, 2
+"""
+
+
+@query(_STREAM_SQL + " HAVING max(ts)::DATE + 1 <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY")
+def sensor_stream_days(t: Tables) -> DataFrame:
+    obs = sensors.stream_observations(t.spark, land_observations(t), files_per_batch=10_000)
+    once = live.deduplicated(obs, ["stream_id", "obs_id"])
+    meta = t.events.select(F.col("user_id").alias("stream_id")).distinct().withColumn("device_id", F.col("stream_id") % 5)
+    daily = live.daily_stats_stream(live.with_metadata(once, meta, ["stream_id"]), ["device_id"])
+    path = scratch_path(t.spark, "days")
+    live.write_stream(daily, path, scratch_path(t.spark, "state")).awaitTermination()
+    return t.spark.read.schema(daily.schema).parquet(path).select("device_id", text_day("day"), "TMIN", "TMAX", F.round("TMEAN", 10).alias("TMEAN"), "n")
+
+
+@query(_STREAM_SQL)
+def sensor_backfill_days(t: Tables) -> DataFrame:
+    obs = sensors.read_observations(t.spark, land_observations(t)).dropDuplicates(["stream_id", "obs_id"])
+    rows = obs.withColumn("device_id", F.col("stream_id") % 5)
+    stats = daily_stats(rows, "ts", "value", ["device_id"])
+    counts = rows.groupBy("device_id", F.to_date("ts").alias("day")).agg(F.count("value").alias("n"))
+    return stats.join(counts, ["device_id", "day"]).select("device_id", text_day("day"), "TMIN", "TMAX", F.round("TMEAN", 10).alias("TMEAN"), "n")
+
+
+def land_report(t: Tables) -> str:
+    """A report with one section per eight orders, which are its daily rows."""
+    path = scratch_path(t.spark, "report")
+    run = F.floor(F.col("o_orderkey") / 8)
+    head = "@YEAR DOY       GWAD    LAID"
+    rows = t.orders.select(
+        run.alias("run"),
+        F.lit(2).alias("kind"),
+        "o_orderkey",
+        F.format_string(
+            " %4d %3d %10s %7s", F.year("o_orderdate"), F.dayofyear("o_orderdate"),
+            F.when(F.col("o_orderkey") % 11 == 0, "-99").otherwise(F.col("o_totalprice").cast("decimal(12,2)").cast("string")), (F.col("o_orderkey") % 1000).cast("string"),
+        ).alias("line"),
+    )
+    tops = t.orders.select(run.alias("run")).distinct()
+    lines = [(0, F.format_string("*RUN %6d        : treatment", "run")), (1, F.lit(" MODEL          : none\n! a comment\n" + head))]
+    marks = F.explode(F.array(*[F.struct(F.lit(i).alias("kind"), c.alias("line")) for i, c in lines])).alias("h")
+    heads = tops.select("run", marks).select("run", "h.kind", F.lit(-1).cast("long").alias("o_orderkey"), "h.line")
+    # a section never crosses files: partitions are ranges of whole runs
+    placed = rows.unionByName(heads).repartitionByRange("run").sortWithinPartitions("run", "kind", "o_orderkey")
+    placed.select("line").write.text(path)
+    return path
+
+
+@query("""
+    SELECT o_orderkey // 8 AS run, strftime(o_orderdate, '%Y-%m-%d') AS date, CASE WHEN o_orderkey % 11 = 0 THEN -1 ELSE o_totalprice END AS "GWAD", (o_orderkey % 1000)::DOUBLE AS "LAID" FROM orders
+""")
+def fixed_width_runs(t: Tables) -> DataFrame:
+    got = reports.read_runs(t.spark, land_report(t), {"GWAD": "double", "LAID": "double"})
+    return got.select(F.col("run").cast("long").alias("run"), text_day("date"), F.coalesce("GWAD", F.lit(-1.0)).alias("GWAD"), "LAID")
+
+
+def land_profiles(t: Tables) -> str:
+    """Soil profiles of eight layers each, one layer per part."""
+    path = scratch_path(t.spark, "profiles")
+    one = F.format_string("%6d %7.1f", "p_partkey", "p_retailprice")
+    name = F.format_string("IB%08d", F.floor(F.col("p_partkey") / 8)).alias("name")
+    layers = t.part.groupBy(name).agg(F.array_join(F.array_sort(F.collect_list(one)), "\n").alias("rows"))
+    body = F.concat(F.lit("*"), "name", F.lit("  SOURCE  SIC\n@SITE\n -99\n@  SLB    SLLL\n"), "rows")
+    layers.select(body.alias("value")).write.text(path)
+    return path
+
+
+@query("""
+    SELECT 'IB' || lpad((p_partkey // 8)::VARCHAR, 8, '0') AS profile_id, p_partkey::DOUBLE AS "SLB", round(p_retailprice, 1) AS "SLLL" FROM part
+""")
+def soil_profiles(t: Tables) -> DataFrame:
+    rows = reports.read_profiles(t.spark, land_profiles(t)).filter("block_no = 2")
+    return reports.fields_as(rows, {"SLB": "double", "SLLL": "double"}).select("profile_id", "SLB", "SLLL")

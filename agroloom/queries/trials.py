@@ -98,8 +98,8 @@ def trial_metadata(t: Tables) -> DataFrame:
     )
 
 
-def trial_bundle(t: Tables) -> dict[str, DataFrame]:
-    return reshape_experiments(trial_tables(t), trial_metadata(t), "VERSUCHSAUFBAU", BY)
+def trial_bundle(t: Tables, observed: bool = False) -> dict[str, DataFrame]:
+    return reshape_experiments(trial_tables(t), trial_metadata(t), "VERSUCHSAUFBAU", BY, observed=observed)
 
 
 _IDS_SQL = f"""
@@ -147,7 +147,7 @@ def trial_fields(t: Tables) -> DataFrame:
     WITH {BASE_SQL} SELECT experiment_id, y AS "Year", plot AS "Plot_id", trt AS "Treatment_id", block AS "Rep_no", price AS "ERNTE__Ertrag", trt AS "TRTNO" FROM base
 """)
 def trial_summary(t: Tables) -> DataFrame:
-    return trial_bundle(t)["OBSERVED_Summary"]
+    return trial_bundle(t, observed=True)["OBSERVED_Summary"]
 
 
 @query(f"""
@@ -155,7 +155,7 @@ def trial_summary(t: Tables) -> DataFrame:
       strftime(make_date(y::INT, 5, (j * 20 + 1)::INT), '%Y-%m-%d') AS "BONITUR__Datum", size + j AS "BONITUR__Wert", trt AS "TRTNO" FROM base, (VALUES (0), (1)) v(j)
 """)
 def trial_series(t: Tables) -> DataFrame:
-    return trial_bundle(t)["OBSERVED_TimeSeries"].withColumn("BONITUR__Datum", F.date_format("BONITUR__Datum", "yyyy-MM-dd"))
+    return trial_bundle(t, observed=True)["OBSERVED_TimeSeries"].withColumn("BONITUR__Datum", F.date_format("BONITUR__Datum", "yyyy-MM-dd"))
 
 
 @query(f"""

@@ -30,42 +30,42 @@ def text_day(c: str) -> Column:
 
 @query("""
     SELECT event_type, strftime(ts, '%Y-%m-%d') AS W_DATE, round(sum(value) * 0.01, 6) AS SRAD,
-           max(value) AS TMAX, min(value) AS TMIN, round(avg(value), 6) AS TMEAN
+           max(value) AS TMAX, min(value) AS TMIN, round(avg(value), 10) AS TMEAN
     FROM events GROUP BY 1, 2
 """)
 def daily_weather_agg(t: Tables) -> DataFrame:
     daily = w.daily_weather(t.events, "ts", EVENT_MAP, ["event_type"])
     return daily.select(
-        "event_type", text_day("W_DATE"), F.round("SRAD", 6).alias("SRAD"), "TMAX", "TMIN", F.round("TMEAN", 6).alias("TMEAN")
+        "event_type", text_day("W_DATE"), F.round("SRAD", 6).alias("SRAD"), "TMAX", "TMIN", F.round("TMEAN", 10).alias("TMEAN")
     )
 
 
 @query("""
     WITH e AS (SELECT *, CASE WHEN event_id % 97 <> 0 THEN value END AS v FROM events)
     SELECT event_type, strftime(ts, '%Y-%m-%d') AS W_DATE,
-           coalesce(round(CASE WHEN count(v) = count(*) THEN sum(v) * 0.01 END, 6), -99) AS SRAD,
+           coalesce(round(CASE WHEN count(v) = count(*) THEN sum(v) * 0.01 END, 10), -99) AS SRAD,
            coalesce(CASE WHEN count(v) = count(*) THEN max(v) END, -99) AS TMAX,
            coalesce(CASE WHEN count(v) = count(*) THEN min(v) END, -99) AS TMIN,
-           coalesce(round(CASE WHEN count(v) = count(*) THEN avg(v) END, 6), -99) AS TMEAN
+           coalesce(round(CASE WHEN count(v) = count(*) THEN avg(v) END, 10), -99) AS TMEAN
     FROM e GROUP BY 1, 2
 """)
 def daily_poison_nulls(t: Tables) -> DataFrame:
     gappy = t.events.withColumn("value", F.when(F.col("event_id") % 97 != 0, F.col("value")))
     daily = w.daily_weather(gappy, "ts", EVENT_MAP, ["event_type"])
     cols = ["SRAD", "TMAX", "TMIN", "TMEAN"]
-    return daily.select("event_type", text_day("W_DATE"), *[F.coalesce(F.round(c, 6), F.lit(-99.0)).alias(c) for c in cols])
+    return daily.select("event_type", text_day("W_DATE"), *[F.coalesce(F.round(c, 10), F.lit(-99.0)).alias(c) for c in cols])
 
 
 @query("""
     SELECT user_id, strftime(ts, '%Y-%m-%d') AS day, min(value) AS TMIN, max(value) AS TMAX,
-           round(avg(value), 6) AS TMEAN
+           round(avg(value), 10) AS TMEAN
     FROM (SELECT user_id, ts, CASE WHEN event_id % 97 <> 0 THEN value END AS value FROM events)
     GROUP BY 1, 2 HAVING count(value) > 0
 """)
 def sensor_daily_stats(t: Tables) -> DataFrame:
     gappy = t.events.withColumn("value", F.when(F.col("event_id") % 97 != 0, F.col("value")))
     stats = w.daily_stats(gappy, "ts", "value", ["user_id"]).filter("TMIN IS NOT NULL")
-    return stats.select("user_id", text_day("day"), "TMIN", "TMAX", F.round("TMEAN", 6).alias("TMEAN"))
+    return stats.select("user_id", text_day("day"), "TMIN", "TMAX", F.round("TMEAN", 10).alias("TMEAN"))
 
 
 _GAPPY_SQL = """
@@ -95,21 +95,21 @@ def gappy_days(t: Tables) -> DataFrame:
 @query(
     _GAPPY_SQL
     + f"""SELECT event_type, strftime(day, '%Y-%m-%d') AS day,
-            round({_LINE_SQL} ELSE coalesce(v0, v1) END, 6) AS v FROM s"""
+            round({_LINE_SQL} ELSE coalesce(v0, v1) END, 10) AS v FROM s"""
 )
 def impute_linear(t: Tables) -> DataFrame:
     full = w.impute(gappy_days(t), ["event_type", "year"], "day", ["v"])
-    return full.select("event_type", text_day("day"), F.round("v", 6).alias("v"))
+    return full.select("event_type", text_day("day"), F.round("v", 10).alias("v"))
 
 
 @query(
     _GAPPY_SQL
     + f"""SELECT event_type, strftime(day, '%Y-%m-%d') AS day,
-            coalesce(round({_LINE_SQL} END, 6), -99) AS v FROM s"""
+            coalesce(round({_LINE_SQL} END, 10), -99) AS v FROM s"""
 )
 def impute_inner(t: Tables) -> DataFrame:
     inner = w.impute(gappy_days(t), ["event_type", "year"], "day", ["v"], rule=1, position="day")
-    return inner.select("event_type", text_day("day"), F.coalesce(F.round("v", 6), F.lit(-99.0)).alias("v"))
+    return inner.select("event_type", text_day("day"), F.coalesce(F.round("v", 10), F.lit(-99.0)).alias("v"))
 
 
 _PRICE_DAYS = """
@@ -286,13 +286,13 @@ _DAILY_SQL = (
 
 @query(
     _DAILY_SQL
-    + """SELECT site_id, year AS "Year", strftime(day, '%Y-%m-%d') AS W_DATE, coalesce(round(TMAX, 6), -99) AS TMAX,
-        coalesce(round(TMIN, 6), -99) AS TMIN, coalesce(round(TMEAN, 6), -99) AS TMEAN, coalesce(round(RAIN, 6), -99) AS RAIN FROM wide"""
+    + """SELECT site_id, year AS "Year", strftime(day, '%Y-%m-%d') AS W_DATE, coalesce(round(TMAX, 10), -99) AS TMAX,
+        coalesce(round(TMIN, 10), -99) AS TMIN, coalesce(round(TMEAN, 10), -99) AS TMEAN, coalesce(round(RAIN, 10), -99) AS RAIN FROM wide"""
 )
 def site_weather_daily(t: Tables) -> DataFrame:
     data = w.get_weather(**station_inputs(t), mapping=WEATHER_MAP, params=PARAMS)["data"]
     cols = ["TMAX", "TMIN", "TMEAN", "RAIN"]
-    return data.select("site_id", "Year", text_day("W_DATE"), *[F.coalesce(F.round(c, 6), F.lit(-99.0)).alias(c) for c in cols])
+    return data.select("site_id", "Year", text_day("W_DATE"), *[F.coalesce(F.round(c, 10), F.lit(-99.0)).alias(c) for c in cols])
 
 
 @query(
@@ -304,7 +304,7 @@ def site_weather_daily(t: Tables) -> DataFrame:
            round(CASE WHEN min(station_id) = max(station_id) THEN max(lat) ELSE avg(lat) END, 6) AS WST_LAT,
            round(CASE WHEN min(station_id) = max(station_id) THEN max(lon) ELSE avg(lon) END, 6) AS WST_LONG,
            round(CASE WHEN min(station_id) = max(station_id) THEN max(elev) ELSE avg(elev) END, 6) AS WST_ELEV,
-           coalesce(round(max(TAV), 6), -99) AS TAV, coalesce(round(max(TAMP), 6), -99) AS TAMP, 2.0::DOUBLE AS REFHT, 2.0::DOUBLE AS WNDHT
+           coalesce(round(max(TAV), 10), -99) AS TAV, coalesce(round(max(TAMP), 10), -99) AS TAMP, 2.0::DOUBLE AS REFHT, 2.0::DOUBLE AS WNDHT
     FROM chosen c LEFT JOIN ta ON c.site_id = ta.site_id AND c.year = ta.year GROUP BY 1, 2
 """
 )
@@ -312,7 +312,7 @@ def site_weather_header(t: Tables) -> DataFrame:
     head = w.get_weather(**station_inputs(t), mapping=WEATHER_MAP, params=PARAMS)["header"]
     return head.select(
         "site_id", "Year", *[F.round(c, 6).alias(c) for c in ("WST_LAT", "WST_LONG", "WST_ELEV")],
-        *[F.coalesce(F.round(c, 6), F.lit(-99.0)).alias(c) for c in ("TAV", "TAMP")], "REFHT", "WNDHT",
+        *[F.coalesce(F.round(c, 10), F.lit(-99.0)).alias(c) for c in ("TAV", "TAMP")], "REFHT", "WNDHT",
     )
 
 
