@@ -5,18 +5,21 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Accepted layouts, tried in this order (year-first, month-first, day-first).
-DATE_LAYOUTS = (
-    "yyyy-MM-dd",
-    "yyyy-MM-dd'T'HH:mm:ss",
-    "yyyy/M/d",
-    "yyyyMMdd",
-    "M/d/yyyy",
-    "M-d-yyyy",
-    "d.M.yyyy",
-    "d/M/yyyy",
-    "d-M-yyyy",
-)
+_Y, _M, _D = r"\d{4}", r"(0?[1-9]|1[0-2])", r"(0?[1-9]|[12]\d|3[01])"
+
+# Accepted layouts, tried in this order (year-first, month-first, day-first), with
+# the shape a value must have. Testing the shape first spares a failed parse for most misfits.
+DATE_LAYOUTS = {
+    "yyyy-MM-dd": rf"^{_Y}-(0[1-9]|1[0-2])-(0[1-9]|[12]\d|3[01])$",
+    "yyyy-MM-dd'T'HH:mm:ss": rf"^{_Y}-(0[1-9]|1[0-2])-(0[1-9]|[12]\d|3[01])T\d\d:\d\d:\d\d$",
+    "yyyy/M/d": rf"^{_Y}/{_M}/{_D}$",
+    "yyyyMMdd": rf"^{_Y}(0[1-9]|1[0-2])(0[1-9]|[12]\d|3[01])$",
+    "M/d/yyyy": rf"^{_M}/{_D}/{_Y}$",
+    "M-d-yyyy": rf"^{_M}-{_D}-{_Y}$",
+    "d.M.yyyy": rf"^{_D}\.{_M}\.{_Y}$",
+    "d/M/yyyy": rf"^{_D}/{_M}/{_Y}$",
+    "d-M-yyyy": rf"^{_D}-{_M}-{_Y}$",
+}
 
 # Patterns of the 70 % rule for text columns.
 DATE_PATTERNS = (r"^\d{4}-\d{2}-\d{2}$", r"^\d{2}/\d{2}/\d{4}$", r"^\d{2}\.\d{2}\.\d{4}$")
@@ -28,7 +31,8 @@ def parse_date(c: Column, layout: str) -> Column:
     text = c.cast("string")
     if layout == "yyDDD":
         return from_doy(text)
-    return F.try_to_timestamp(text, F.lit(layout)).cast("date")
+    parsed = F.try_to_timestamp(text, F.lit(layout)).cast("date")
+    return F.when(text.rlike(DATE_LAYOUTS[layout]), parsed) if layout in DATE_LAYOUTS else parsed
 
 
 def parse_mixed(c: Column, layouts=DATE_LAYOUTS) -> Column:

@@ -36,11 +36,11 @@ def previous_year_value(df: DataFrame, group: list[str], year: str, value: str,
 def reset_ids(df: DataFrame, columns: list[str], by: list[str] = ()) -> DataFrame:
     """Shift positive ids so that the smallest non-zero id of the scope is 1; zero stays."""
     by = list(by)
-    lows = {c: F.min(F.when(F.col(c) != 0, F.col(c))).alias(f"__min_{c}") for c in columns}
+    lows = {f"__min_{c}": F.min(F.when(F.col(c) != 0, F.col(c))) for c in columns}
     if by:
-        out = null_safe_join(df, df.groupBy(*by).agg(*lows.values()), by)
+        out = null_safe_join(df, df.groupBy(*by).agg(*[v.alias(k) for k, v in lows.items()]), by)
     else:
-        out = df.join(F.broadcast(df.agg(*lows.values())))  # one row
+        out = df.withColumns({k: df.agg(v).scalar() for k, v in lows.items()})
 
     def shifted(c: str) -> Column:
         return F.when(F.col(c) > 0, F.col(c) - F.col(f"__min_{c}") + 1).otherwise(F.col(c))

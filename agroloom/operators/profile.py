@@ -56,8 +56,10 @@ def key_columns(df: DataFrame, by: list[str] = (), alternates: bool = False) ->
     as (scope, column) being unique.
     """
     candidates = key_candidates(df, by)
-    if alternates:
-        return [c for c in candidates if is_unique_id(df, c, by)]
+    if alternates and candidates:
+        exact = [F.count_distinct(_value(list(by), c)).alias(c) for c in candidates]
+        row = df.agg(F.count(F.lit(1)).alias("__n"), *exact).first()
+        return [c for c in candidates if row[c] == row["__n"]]
     for c in candidates:
         if is_unique_id(df, c, by):
             return [c]
@@ -280,14 +282,11 @@ def treatment_columns(
     """
     by = list(by)
     cols = [c for c in design.columns if c not in {*by, *key, year, plot}]
-    size = (
-        distinct_profile(design, by, [year, plot])
-        .groupBy(*by)
-        .agg(
-            F.max(F.when(F.col("column_name") == year, F.col("n_distinct"))).alias("n_years"),
-            F.max(F.when(F.col("column_name") == plot, F.col("n_distinct"))).alias("n_plots"),
-        )
-    )
+    sizes = distinct_profile(design, by, [year, plot])
+
+    def size_of(c: str) -> Column:
+        return F.max(F.when(F.col("column_name") == c, F.col("n_distinct")))
+
     pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("v")) for c in cols])
     counts = (
         design.drop(plot)
@@ -298,7 +297,13 @@ def treatment_columns(
         .groupBy(*by, "column_name")
         .agg(F.min("n").alias("n_min"), F.max("n").alias("n_max"))
     )
-    joined = null_safe_join(counts, size, by) if by else counts.join(F.broadcast(size))  # one row
+    if by:
+        size = sizes.groupBy(*by).agg(size_of(year).alias("n_years"), size_of(plot).alias("n_plots"))
+        joined = null_safe_join(counts, size, by)
+    else:
+        joined = counts.withColumns(
+            {"n_years": sizes.agg(size_of(year)).scalar(), "n_plots": sizes.agg(size_of(plot)).scalar()}
+        )
     reps = F.col("n_min") / F.col("n_years")
     return joined.select(
         *by,

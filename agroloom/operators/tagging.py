@@ -37,7 +37,7 @@ def tag_years(
         mean = yearly.groupBy(*by).agg(F.avg("n_records").alias("__mean"))
         yearly = null_safe_join(yearly, mean, by)
     else:
-        yearly = yearly.join(F.broadcast(yearly.agg(F.avg("n_records").alias("__mean"))))  # one row
+        yearly = yearly.withColumn("__mean", yearly.agg(F.avg("n_records")).scalar())
     if isinstance(plots, DataFrame):
         yearly = null_safe_join(yearly, plots.select(*by, "n_plots"), by)
     else:
@@ -96,8 +96,11 @@ def treatment_years(
     spread = held.groupBy(*by, year, "__rec").agg(
         F.count(F.lit(1)).alias("__plots"), F.min("__n").alias("__lo"), F.max("__n").alias("__hi")
     )
-    total = df.select(*by, plot).distinct().groupBy(*by).agg(F.count(F.lit(1)).alias("__all"))
-    joined = null_safe_join(spread, total, by) if by else spread.join(F.broadcast(total))  # one row
+    plots = df.select(*by, plot).distinct()
+    if by:
+        joined = null_safe_join(spread, plots.groupBy(*by).agg(F.count(F.lit(1)).alias("__all")), by)
+    else:
+        joined = spread.withColumn("__all", plots.agg(F.count(F.lit(1))).scalar())
     differs = (F.col("__plots") < F.col("__all")) | (F.col("__lo") < F.col("__hi"))
     return joined.groupBy(*by, year).agg(F.bool_or(differs).alias("is_trt"))
 

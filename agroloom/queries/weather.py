@@ -113,15 +113,15 @@ def impute_inner(t: Tables) -> DataFrame:
 
 
 _PRICE_DAYS = """
-    WITH d AS (SELECT o_orderstatus AS station, o_orderdate::DATE AS day, max(o_totalprice) / 10000 AS hi,
-                      min(o_totalprice) / 10000 AS lo FROM orders GROUP BY 1, 2)
+    WITH d AS (SELECT o_orderstatus AS station, o_orderdate::DATE AS day, max(o_totalprice) / 9973 AS hi,
+                      min(o_totalprice) / 9973 AS lo FROM orders GROUP BY 1, 2)
 """
 
 
 def price_days(t: Tables) -> DataFrame:
     """Order prices as daily temperatures of three stations."""
     return t.orders.groupBy(F.col("o_orderstatus").alias("station"), F.to_date("o_orderdate").alias("W_DATE")).agg(
-        (F.max("o_totalprice") / 10000).alias("TMAX"), (F.min("o_totalprice") / 10000).alias("TMIN")
+        (F.max("o_totalprice") / 9973).alias("TMAX"), (F.min("o_totalprice") / 9973).alias("TMIN")
     )
 
 
@@ -235,9 +235,9 @@ def station_inputs(t: Tables) -> dict[str, DataFrame]:
     )
     sites = t.region.withColumn("k", F.col("r_regionkey") + 3).select(F.col("r_regionkey").alias("site_id"), *spread("k", 11))
     years = t.orders.select(F.year("o_orderdate").alias("year")).distinct()
-    # a handful of years, one row each
-    every = years.agg(F.collect_set("year").alias("years"))
-    wanted = sites.crossJoin(F.broadcast(every)).select("site_id", "lat", "lon", F.explode("years").alias("year"))
+    # the calendar years of the orders: a handful of numbers
+    every = years.agg(F.collect_set("year")).scalar()
+    wanted = sites.withColumn("years", every).select("site_id", "lat", "lon", F.explode("years").alias("year"))
     var = F.when(F.col("l_linenumber") % 2 == 1, "TT_TU").otherwise("R1")
     readings = t.lineitem.join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey")).select(
         F.col("s_nationkey").alias("station_id"), var.alias("var"), F.col("l_shipdate").alias("ts"), F.col("l_quantity").alias("value")
