@@ -27,7 +27,8 @@ def collapse_columns(
     Structs keep the columns aligned and keep nulls; ``order`` gives the position of an item.
     """
     group = by if by is not None else [c for c in df.columns if c not in columns]
-    sort = [F.col(c).asc_nulls_last() for c in order]
+    # the nested columns break ties, so that the parts come out the same on every run
+    sort = [F.col(c).asc_nulls_last() for c in dict.fromkeys([*order, *columns])]
     parts = _parts(df.select(*group, *columns, *[c for c in order if c not in [*group, *columns]]), group, sort, size)
     cell = F.array_sort(F.collect_list(F.struct("__pos", *columns)))
     nested = parts.groupBy(*group, "part").agg(cell.alias("items"))

@@ -70,8 +70,11 @@ def row_numbers(
     """
     if max_rows is None or largest_group(df, by) <= max_rows:
         return df.withColumn(name, F.row_number().over(Window.partitionBy(*by).orderBy(*order)).cast("long"))
-    ordered = [F.col(b).asc_nulls_last() for b in by] + list(order)
-    parts = checkpointed(df.repartitionByRange(*ordered).withColumn("__part", F.spark_partition_id()))
+    # the input partition comes last in the order, so that even equal rows can be cut apart; the
+    # checkpoint then fixes which row is in which part
+    ordered = [F.col(b).asc_nulls_last() for b in by] + list(order) + [F.col("__in").asc()]
+    placed = df.withColumn("__in", F.spark_partition_id()).repartitionByRange(*ordered).drop("__in")
+    parts = checkpointed(placed.withColumn("__part", F.spark_partition_id()))
     local = Window.partitionBy(*by, "__part").orderBy(*order)
     numbered = parts.withColumn("__i", F.row_number().over(local))
     out = null_safe_join(numbered, _offsets(parts, by), [*by, "__part"])

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from agroloom.functions.aggregates import aggregate
+from agroloom.functions.dates import archive_period
 from agroloom.operators.profile import NUMBERS
 from agroloom.operators.scale import null_safe_join
 from agroloom.operators.stations import nearest_station
@@ -206,25 +207,29 @@ def _lookup(pairs: dict) -> Column:
 
 
 def choose_stations(
-    wanted: DataFrame, stations: DataFrame, covered: DataFrame, params: list[dict] = STATION_PARAMS
+    wanted: DataFrame,
+    stations: DataFrame,
+    covered: DataFrame,
+    params: list[dict] = STATION_PARAMS,
+    today: Column | None = None,
 ) -> DataFrame:
     """The nearest station per site, year and variable that is valid and has data all year.
 
     ``wanted``: site_id, lat, lon, year; ``stations``: station_id, variable, res, lat, lon,
-    start_date, end_date; ``covered``: station_id, variable, year. Without a usable station the
+    start_date, end_date and, if the archive is split by age, per (historical or recent, blank
+    counts as historical); ``covered``: station_id, variable, year. Without a usable station the
     site, year and variable are absent.
     """
     radius = _lookup({p["variable"]: float(p["max_radius"]) for p in params})
     allowed = _lookup({f"{p['variable']}/{r}": True for p in params for r in p["res"]})
     usable = stations.filter(F.coalesce(F.try_element_at(allowed, F.concat_ws("/", "variable", "res")), F.lit(False)))
-    on = null_safe_join(
-        covered, usable.select("station_id", "variable", "start_date", "end_date"),
-        ["station_id", "variable"], "inner",
-    )
-    valid = on.filter(
-        (F.col("start_date") <= F.make_date("year", F.lit(1), F.lit(1)))
-        & (F.col("end_date") >= F.make_date("year", F.lit(12), F.lit(31)))
-    ).select("station_id", "variable", "year").distinct()
+    spans = usable.select("station_id", "variable", "start_date", "end_date", *[c for c in ("per",) if c in usable.columns])
+    on = null_safe_join(covered, spans, ["station_id", "variable"], "inner")
+    first, last = F.make_date("year", F.lit(1), F.lit(1)), F.make_date("year", F.lit(12), F.lit(31))
+    fits = (F.col("start_date") <= first) & (F.col("end_date") >= last)
+    if "per" in usable.columns:
+        fits = fits & (F.coalesce(F.nullif("per", F.lit("")), F.lit("historical")) == archive_period(first, today))
+    valid = on.filter(fits).select("station_id", "variable", "year").distinct()
     places = usable.groupBy("station_id", "variable").agg(F.min("lat").alias("lat"), F.min("lon").alias("lon"))
     candidates = null_safe_join(valid, places, ["station_id", "variable"], "inner")
     names = F.array(*[F.lit(p["variable"]) for p in params])

@@ -195,10 +195,12 @@ def management_lines(sections: dict[str, DataFrame], scope: list[str]) -> DataFr
 def write_text(lines: DataFrame, path: str, scope: list[str]) -> None:
     """Folders per scope; lines in order inside and across the part files of a folder.
 
-    Range partitions keep the order and also divide one very large scope among tasks.
+    Range partitions keep the order and also divide one very large scope among tasks; the input
+    partition as last key lets them cut through equal lines.
     """
     order = [*scope, "block_no", "kind", "sort"]
-    placed = lines.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = lines.withColumn("__in", F.spark_partition_id()).repartitionByRange(*order, "__in")
+    placed = placed.sortWithinPartitions(*order)
     placed.select(*scope, "line").write.mode("overwrite").partitionBy(*scope).text(path)
 
 

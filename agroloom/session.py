@@ -18,6 +18,7 @@ def get_session(app: str = "agroloom", cpus: int | None = None) -> SparkSession:
         .config("spark.sql.shuffle.partitions", str(n))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("BENCH_DRIVER_MEM", "12g"))
         .config("spark.ui.enabled", "false")

@@ -43,7 +43,7 @@ def scan_headers(spark: SparkSession, path: str) -> DataFrame:
         .agg(
             F.min_by("value", F.struct("block", "row")).alias("header"),
             F.count(F.lit(1)).alias("n_lines"),
-            F.bool_or(F.col("value").contains("�")).alias("not_utf8"),
+            F.bool_or(~F.is_valid_utf8("value")).alias("not_utf8"),
         )
         .withColumns({"table_name": table_name(F.col("file_name")), "experiment_id": experiment_name(F.col("file_name"))})
     )
@@ -111,6 +111,7 @@ def load_tables(
             .option("encoding", "ISO-8859-1" if latin else "UTF-8")
             .option("nullValue", "NA")
             .option("mode", "PERMISSIVE")
+            .option("ignoreCorruptFiles", True)
             .csv(sorted(paths))
         )
         clean = df.withColumnsRenamed({c: re.sub("^(﻿|ï»¿|ï\\.\\.)", "", c) for c in df.columns})

@@ -13,7 +13,7 @@ def _nodes(doc: Column, tag: str) -> Column:
 
 def _text(fragment: Column, tag: str) -> Column:
     """Text of the first element of that name; null when absent. Prefixes are matched by name."""
-    value = F.trim(F.xpath_string(fragment, F.lit(f'//*[name()="{tag}"]')))
+    value = F.regexp_replace(F.xpath_string(fragment, F.lit(f'//*[name()="{tag}"]')), r"^\s+|\s+$", "")
     return F.nullif(value, F.lit(""))
 
 
