@@ -8,16 +8,18 @@ many stations crowd one place.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from agroloom.functions.geo import box_bounds_km, haversine_km
 from agroloom.operators.scale import null_safe_join
+from agroloom.session import checkpointed
 
-LEAF_POINTS = 16  # station points a cell may hold before it is divided
-MAX_DEPTH = 10
-SPLIT = 4  # a cell side is cut in four
+LEAF_POINTS = 32  # station points a cell may hold before it is divided
+MAX_DEPTH = 10  # a 50 km cell is then some centimetres wide
+SPLIT = 4  # a cell side is cut in four, so a child is named by one hex digit
 EPS_KM = 2e-6
 
 
@@ -66,10 +68,10 @@ def stations_within(
     """
     step = _step(radius_km)
     band, cell = _home_cell(F.col("lat"), F.col("lon"), step)
-    right = stations.select(
+    right = stations.dropna(subset=["lat", "lon"]).select(
         *by, station, F.col("lat").alias("st_lat"), F.col("lon").alias("st_lon"), band.alias("__band"), cell.alias("__cell")
     )
-    pairs = null_safe_join(_around(sites, step), right, [*by, "__band", "__cell"], "inner")
+    pairs = null_safe_join(_around(sites.dropna(subset=["lat", "lon"]), step), right, [*by, "__band", "__cell"], "inner")
     dist = haversine_km(F.col("lat"), F.col("lon"), F.col("st_lat"), F.col("st_lon"))
     return (
         pairs.filter(F.abs(F.col("lat") - F.col("st_lat")) <= step)
@@ -79,41 +81,50 @@ def stations_within(
     )
 
 
-def _depth(points: DataFrame, by: list[str]) -> int:
-    """How often cells must be divided until each holds a few points."""
-    for k in range(MAX_DEPTH + 1):
-        top = points.groupBy(*by, *_path(k)).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n")).first()
-        if (top["n"] or 0) <= LEAF_POINTS:
-            return k
-    return MAX_DEPTH
+def _cell_tree(points: DataFrame, by: list[str], station: str, step: float) -> tuple[DataFrame, DataFrame]:
+    """Station cells divided until they hold few points, and the points with their last cell.
 
-
-def _path(k: int) -> list[str]:
-    """Columns naming a cell at depth ``k``."""
-    return ["__band", "__cell"] + [f"__c{i}" for i in range(1, k + 1)]
-
-
-def _with_path(points: DataFrame, step: float) -> DataFrame:
-    """Grid cell of each point and its sub-cell at every depth."""
+    Cells are named by a path, ``band:column:`` plus one digit per division. Each cell has the
+    exact extent of its points and its parent; cells below an undivided one do not exist. The
+    counts of all depths come from one pass, and both tables are written once.
+    """
     band, cell = _home_cell(F.col("st_lat"), F.col("st_lon"), step)
     rows = points.withColumns({"__band": band, "__cell": cell})
     width = _lon_step(F.col("__band"), step)
     y = (F.col("st_lat") - F.col("__band") * step) / step
     x = (F.pmod(F.col("st_lon"), F.lit(360.0)) - F.col("__cell") * width) / width
-    subs = {}
-    for k in range(1, MAX_DEPTH + 1):
-        n = float(SPLIT**k)
-        row, col = F.floor(y * n), F.floor(x * n)
-        subs[f"__c{k}"] = F.pmod(row, F.lit(SPLIT)) * SPLIT + F.pmod(col, F.lit(SPLIT))
-    return rows.withColumns(subs)
-
 
-def _pruned(cand: DataFrame, key: list[str], radius_km: float) -> DataFrame:
-    """Keep the cells that can hold the nearest point of their site."""
-    lo, hi = box_bounds_km(*[F.col(c) for c in ("lat", "lon", "__lat0", "__lat1", "__lon0", "__lon1")])
-    bounded = cand.withColumns({"__lo": lo, "__hi": hi}).filter(F.col("__lo") <= radius_km + EPS_KM)
-    best = bounded.groupBy(*key).agg(F.min("__hi").alias("__best"))
-    return null_safe_join(bounded, best, key).filter(F.col("__lo") <= F.col("__best") + EPS_KM)
+    def digit(k: int) -> Column:
+        n = float(SPLIT**k)
+        sub = F.pmod(F.floor(y * n), F.lit(SPLIT)) * SPLIT + F.pmod(F.floor(x * n), F.lit(SPLIT))
+        return F.lower(F.conv(sub.cast("string"), 10, 16))
+
+    home = F.concat(F.col("__band").cast("string"), F.lit(":"), F.col("__cell").cast("string"), F.lit(":"))
+    full = F.concat(home, *[digit(k) for k in range(1, MAX_DEPTH + 1)])
+    named = rows.select(*by, station, "st_lat", "st_lon", full.alias("__full"))
+    depths = F.explode(F.sequence(F.lit(0), F.lit(MAX_DEPTH))).alias("__k")
+    spread = named.select("*", depths).withColumn(
+        "__path", F.expr(f"substring(__full, 1, length(__full) - {MAX_DEPTH} + __k)")
+    )
+    cells = spread.groupBy(*by, "__k", "__path").agg(
+        F.count(F.lit(1)).alias("__n"),
+        F.min("st_lat").alias("__lat0"),
+        F.max("st_lat").alias("__lat1"),
+        F.min("st_lon").alias("__lon0"),
+        F.max("st_lon").alias("__lon1"),
+    )
+    above = F.when(F.col("__k") > 0, F.expr("substring(__path, 1, length(__path) - 1)"))
+    cells = checkpointed(
+        cells.withColumns(
+            {"__parent": above, "__leaf": (F.col("__n") <= LEAF_POINTS) | (F.col("__k") == MAX_DEPTH)}
+        )
+    )
+    divided = cells.filter(~F.col("__leaf")).select(*by, F.col("__path").alias("__parent"))
+    inner = null_safe_join(cells.filter("__k > 0"), divided, [*by, "__parent"], "left_semi")
+    tree = checkpointed(cells.filter("__k = 0").unionByName(inner).drop("__n"))
+    leaves = tree.filter("__leaf").select(*by, "__path")
+    owned = null_safe_join(spread, leaves, [*by, "__path"], "left_semi")
+    return tree, owned.select(*by, "__path", station, "st_lat", "st_lon")
 
 
 def nearest_station(
@@ -133,37 +144,46 @@ def nearest_station(
     """
     by = list(by)
     step = _step(radius_km)
-    points = stations.groupBy(*by, F.col("lat").alias("st_lat"), F.col("lon").alias("st_lon")).agg(
+    placed = stations.dropna(subset=["lat", "lon"])
+    points = placed.groupBy(*by, F.col("lat").alias("st_lat"), F.col("lon").alias("st_lon")).agg(
         F.min(station).alias(station)
     )
-    points = _with_path(points, step)
-    depth = _depth(points, by)
-    spots = sites.select(*by, "lat", "lon").distinct()
+    tree, leaf_points = _cell_tree(points, by, station, step)
+    deepest = tree.agg(F.max("__k").alias("k")).first()["k"] or 0
     spot = [*by, "lat", "lon"]
-    cand = _around(spots, step)
-    for k in range(depth + 1) if depth else []:
-        boxes = points.groupBy(*by, *_path(k)).agg(
-            F.min("st_lat").alias("__lat0"),
-            F.max("st_lat").alias("__lat1"),
-            F.min("st_lon").alias("__lon0"),
-            F.max("st_lon").alias("__lon1"),
-        )
-        if k > 0:
-            # children of a kept cell: at most SPLIT * SPLIT rows per key
-            kids = boxes.select(*by, *_path(k - 1), f"__c{k}", "__lat0", "__lat1", "__lon0", "__lon1")
-            cand = null_safe_join(cand, kids, [*by, *_path(k - 1)], "inner")
+    spots = sites.select(*spot).dropna(subset=["lat", "lon"]).distinct()
+    home = F.concat(F.col("__band").cast("string"), F.lit(":"), F.col("__cell").cast("string"), F.lit(":"))
+    cand = _around(spots, step).select(*spot, home.alias("__path"), F.lit(float("inf")).alias("__best"))
+    extent = ["__lat0", "__lat1", "__lon0", "__lon1"]
+    found = []
+    for k in range(deepest + 1):
+        # level 0: the cells around the site; then the children of a kept cell, sixteen at most
+        level = tree.filter(F.col("__k") == k)
+        if k == 0:
+            reached = null_safe_join(cand, level.select(*by, "__path", "__leaf", *extent), [*by, "__path"], "inner")
         else:
-            cand = null_safe_join(cand, boxes, [*by, *_path(0)], "inner")
-        cand = _pruned(cand, spot, radius_km).select(*spot, *_path(k))
-    # the last cell holds at most LEAF_POINTS points (after MAX_DEPTH divisions: centimetres wide)
-    leaf = points.select(*by, *_path(depth), station, "st_lat", "st_lon")
-    pairs = null_safe_join(cand, leaf, [*by, *_path(depth)], "inner")
+            kids = level.select(*by, "__parent", F.col("__path").alias("__kid"), "__leaf", *extent)
+            up = cand.withColumnRenamed("__path", "__parent")
+            reached = null_safe_join(up, kids, [*by, "__parent"], "inner").withColumnRenamed("__kid", "__path")
+        lo, hi = box_bounds_km(F.col("lat"), F.col("lon"), *[F.col(c) for c in extent])
+        bounded = reached.withColumns({"__lo": lo, "__hi": hi}).filter(F.col("__lo") <= radius_km + EPS_KM)
+        # a site has a bounded number of candidate cells, so its window is small
+        own = Window.partitionBy(*spot)
+        best = F.least(F.min("__hi").over(own), F.min("__best").over(own))
+        kept = bounded.withColumn("__best", best).filter(F.col("__lo") <= F.col("__best") + EPS_KM)
+        kept = kept.select(*spot, "__path", "__leaf", "__best")
+        if deepest > 0:
+            kept = checkpointed(kept)  # read twice: by the next division and by the last join
+        found.append(kept.filter("__leaf").select(*spot, "__path"))
+        cand = kept.filter(~F.col("__leaf")).select(*spot, "__path", "__best")
+    leaves = reduce(DataFrame.unionByName, found)
+    pairs = null_safe_join(leaves, leaf_points, [*by, "__path"], "inner")
     dist = haversine_km(F.col("lat"), F.col("lon"), F.col("st_lat"), F.col("st_lon"))
-    best = (
+    nearest = (
         pairs.withColumn("__d", dist)
         .filter(F.col("__d") <= radius_km)
         .groupBy(*spot)
         .agg(F.min(F.struct(F.round("__d", 6).alias("dist_km"), F.col(station), "st_lat", "st_lon")).alias("b"))
         .select(*spot, f"b.{station}", "b.dist_km", "b.st_lat", "b.st_lon")
     )
-    return null_safe_join(sites, best, spot, "inner")
+    return null_safe_join(sites, nearest, spot, "inner")
