@@ -23,16 +23,18 @@ INTEGERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 NUMBERS = INTEGERS + (T.FloatType, T.DoubleType, T.DecimalType)
 
 
-def _value(by: list[str], c: str) -> Column:
-    """Scope and value as one non-null struct, so that a null counts as a value."""
-    return F.struct(*[F.col(b) for b in by], F.col(c).alias("v"))
+def _distinct(by: list[str], c: str) -> Column:
+    """Aggregate: distinct values of a column (per scope, summed over the scopes); null is one value."""
+    if by:
+        return F.count_distinct(F.struct(*[F.col(b) for b in by], F.col(c).alias("v")))
+    return F.count_distinct(F.col(c)) + F.coalesce(F.max(F.when(F.col(c).isNull(), 1)), F.lit(0))
 
 
 def is_unique_id(df: DataFrame, column: str, by: list[str] = (), kind: str = "all") -> bool:
     """Every row has its own value (null counts once); ``kind="int"`` also asks for an integer type."""
     if kind == "int" and not isinstance(df.schema[column].dataType, INTEGERS):
         return False
-    row = df.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(_value(list(by), column)).alias("d")).first()
+    row = df.agg(F.count(F.lit(1)).alias("n"), _distinct(list(by), column).alias("d")).first()
     return row["n"] == row["d"]
 
 
@@ -44,7 +46,8 @@ def key_candidates(df: DataFrame, by: list[str] = ()) -> list[str]:
         return []
     row = df.agg(
         F.count(F.lit(1)).alias("__n"),
-        *[F.approx_count_distinct(_value(by, c), SKETCH_ERROR).alias(c) for c in cols],
+        # the hash of a null is a value too
+        *[F.approx_count_distinct(F.xxhash64(*by, c), SKETCH_ERROR).alias(c) for c in cols],
     ).first()
     return [c for c in cols if row[c] >= KEY_SHARE * row["__n"]]
 
@@ -57,7 +60,7 @@ def key_columns(df: DataFrame, by: list[str] = (), alternates: bool = False) ->
     """
     candidates = key_candidates(df, by)
     if alternates and candidates:
-        exact = [F.count_distinct(_value(list(by), c)).alias(c) for c in candidates]
+        exact = [_distinct(list(by), c).alias(c) for c in candidates]
         row = df.agg(F.count(F.lit(1)).alias("__n"), *exact).first()
         return [c for c in candidates if row[c] == row["__n"]]
     for c in candidates:
@@ -74,7 +77,7 @@ def key_profile(df: DataFrame, table: str, by: list[str] = ()) -> DataFrame:
     stats = df.agg(
         F.count(F.lit(1)).alias("__n"),
         *[F.count_if(F.col(c).isNull()).alias(f"z{i}") for i, c in enumerate(cols)],
-        *[F.count_distinct(_value(by, c)).alias(f"d{i}") for i, c in enumerate(cols) if c in candidates],
+        *[_distinct(by, c).alias(f"d{i}") for i, c in enumerate(cols) if c in candidates],
     )
     rows = F.array(
         *[

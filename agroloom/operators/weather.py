@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import chain
 
 from pyspark.sql import Column, DataFrame, Window
@@ -11,7 +12,7 @@ from agroloom.functions.aggregates import aggregate
 from agroloom.functions.dates import archive_period
 from agroloom.operators.profile import NUMBERS
 from agroloom.operators.scale import null_safe_join
-from agroloom.operators.stations import nearest_station
+from agroloom.operators.stations import nearest_station, stations_within
 
 
 def _rows(names: tuple[str, ...], rows: list[tuple]) -> list[dict]:
@@ -238,6 +239,28 @@ def choose_stations(
     return best.filter(F.col("dist_km") <= F.try_element_at(radius, F.col("variable")))
 
 
+def find_stations(
+    sites: DataFrame, stations: DataFrame, params: list[dict] = STATION_PARAMS, on_date: str = "min_date", today: Column | None = None
+) -> DataFrame:
+    """All stations of each variable within its radius and resolution that are valid on a date.
+
+    ``sites``: site_id, lat, lon and the date; the columns of ``stations`` are those of
+    :func:`choose_stations`.
+    """
+    parts = []
+    for p in params:
+        own = stations.filter((F.col("variable") == p["variable"]) & F.col("res").isin(p["res"]))
+        near = stations_within(sites, own, p["max_radius"], station="station_id")
+        rest = own.drop("lat", "lon").distinct()
+        parts.append(null_safe_join(near, rest, ["station_id"], "inner"))
+    out = reduce(DataFrame.unionByName, parts)
+    out = out.filter((F.col("start_date") <= F.col(on_date)) & (F.col("end_date") >= F.col(on_date)))
+    if "per" in stations.columns:
+        age = F.coalesce(F.nullif("per", F.lit("")), F.lit("historical"))
+        out = out.filter(age == archive_period(F.col(on_date), today))
+    return out
+
+
 def get_weather(
     wanted: DataFrame,
     stations: DataFrame,

@@ -25,7 +25,8 @@ def split_by_year(
 ) -> dict[str, DataFrame]:
     """Sections ready for yearly export; the year stays a column and becomes a folder on writing.
 
-    Columns without any value go, observed tables left with keys only go, ids restart in each year.
+    Columns without any value go, observed tables go in the years in which they hold keys only,
+    ids restart in each year.
     """
     out: dict[str, DataFrame] = {}
     for name, df in sections.items():
@@ -33,9 +34,15 @@ def split_by_year(
             out[name] = df
             continue
         slim = drop_null_columns(df, keep=[*by, year])
-        if name.startswith("OBSERVED") and set(slim.columns) <= {*by, year, "TRTNO", "DATE"}:
-            continue
-        ids = tpl.TREATMENT_IDS if name == "TREATMENTS" else tpl.SECTION_IDS if name in tpl.SECTION_DDL else ()
+        if name.startswith("OBSERVED"):
+            values = [c for c in slim.columns if c not in {*by, year, "TRTNO", "DATE"}]
+            if not values:
+                continue
+            filled = reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in values])
+            slim = null_safe_join(slim, slim.filter(filled).select(*by, year).distinct(), [*by, year], "left_semi")
+        ids = tpl.SECTION_IDS if name in tpl.SECTION_DDL else ()
+        if name == "TREATMENTS":
+            ids = ids + tpl.TREATMENT_IDS
         cols = [c for c in slim.columns if c in ids]
         out[name] = reset_ids(slim, cols, [*by, year]) if cols else slim
     return out
@@ -71,9 +78,22 @@ def treatment_defaults(df: DataFrame) -> DataFrame:
 def build_management(
     sections: dict[str, DataFrame], by: list[str], year: str = "Year"
 ) -> tuple[dict[str, DataFrame], list[str]]:
-    """All management sections conformed and in file order, plus warnings for absent ones."""
+    """All management sections conformed and in file order, plus warnings for absent ones.
+
+    An absent required section, the description and the simulation controls get one row of
+    defaults per scope and year.
+    """
     out: dict[str, DataFrame] = {}
     notes: list[str] = []
+    yearly = [df.select(*by, year) for n, df in sections.items() if n in tpl.SECTION_DDL and year in df.columns]
+    scopes = reduce(DataFrame.union, yearly).distinct() if yearly else None
+
+    def defaults(name: str) -> None:
+        if scopes is not None:
+            given = tpl.SECTION_DEFAULTS[name]
+            row = [F.lit(given.get(f.name)).cast(f.dataType).alias(f.name) for f in tpl.SECTIONS[name]]
+            out[name] = scopes.select(*by, year, *row)
+
     for name in tpl.SECTION_ORDER:
         if name in sections:
             keys = [c for c in [*by, year] if c in sections[name].columns]
@@ -82,20 +102,13 @@ def build_management(
                 out[name] = treatment_defaults(out[name])
         elif name in tpl.REQUIRED_SECTIONS:
             notes.append(f"required section {name} is missing")
+            defaults(name)
         elif name == "GENERAL":
             notes.append("no description of the experiment is given")
+            defaults(name)
         elif name == "SIMULATION_CONTROLS":
             notes.append("simulation controls are set to their defaults")
-            if "TREATMENTS" in sections:
-                scopes = sections["TREATMENTS"].select(*by, year).distinct()
-                out[name] = scopes.select(
-                    *by,
-                    year,
-                    *[
-                        F.lit(tpl.CONTROL_DEFAULTS.get(f.name)).cast(f.dataType).alias(f.name)
-                        for f in tpl.SECTIONS[name]
-                    ],
-                )
+            defaults(name)
     return {n: out[n] for n in tpl.SECTION_ORDER if n in out}, notes
 
 

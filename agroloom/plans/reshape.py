@@ -67,9 +67,12 @@ def find_roles(
     if not years:
         raise LookupError(f"no column of {design} lies in the years of the experiments")
     counts = profile.distinct_profile(rows, by, cols)
-    varied = counts.groupBy("column_name").agg(F.max("n_distinct").alias("n")).collect()
-    varies = {r["column_name"] for r in varied if r["n"] > 1}
-    year = next((c for c in years if c in varies), years[0])
+    year = years[0]
+    if len(years) > 1:
+        # constants such as the first and last year of a plot also lie in the range
+        varied = counts.groupBy("column_name").agg(F.max("n_distinct").alias("n")).collect()
+        varies = {r["column_name"] for r in varied if r["n"] > 1}
+        year = next((c for c in years if c in varies), years[0])
 
     sizes = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct(F.struct(year)).alias("n_years"))
     facts = null_safe_join(sizes, metadata.select(*by, "number_plots", "replication"), by).withColumn(

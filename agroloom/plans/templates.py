@@ -73,6 +73,19 @@ CONTROL_DEFAULTS = {
     "RESIDUES": "RE", "HARVEST": "HA", "SIMDATES": "SI",
 }
 
+# The row an absent section gets.
+SECTION_DEFAULTS = {
+    "GENERAL": {},
+    "TREATMENTS": {
+        "N": 1.0, "R": 0.0, "O": 0.0, "C": 0.0, "TNAME": "", "CU": 1.0, "FL": 1.0, "SA": 0.0, "IC": 0.0, "MP": 1.0,
+        "MI": 0.0, "MF": 0.0, "MR": 0.0, "MC": 0.0, "MT": 0.0, "ME": 0.0, "MH": 0.0, "SM": 1.0,
+    },
+    "CULTIVARS": {"C": 1.0, "CR": "FA", "INGENO": "IB0001", "CNAME": ""},
+    "FIELDS": {"L": 1.0},
+    "PLANTING_DETAILS": {"P": 1.0},
+    "SIMULATION_CONTROLS": CONTROL_DEFAULTS,
+}
+
 SOIL_DDL = (
     "PEDON string, SOURCE string, TEXTURE string, DEPTH double, DESCRIPTION string, SITE string, COUNTRY string, "
     "LAT double, LONG double, SCS_FAMILY string, SCOM string, SALB double, SLU1 double, SLDR double, SLRO double, "

@@ -14,7 +14,7 @@ from agroloom.queries import Tables, query
 from agroloom.queries.weather import text_day
 from agroloom.session import scratch_path
 from agroloom.sources import reports, sensors, xml
-from agroloom.sources.files import load_tables
+from agroloom.sources.files import load_key, load_tables
 from agroloom.streaming import sensors as live
 
 
@@ -54,6 +54,16 @@ def csv_folder_parts(t: Tables) -> DataFrame:
     return landed(t)["PART"]
 
 
+@query("""
+    SELECT p_partkey::VARCHAR AS p_partkey, p_name, p_type FROM part UNION ALL SELECT s_suppkey::VARCHAR, s_name, '-' FROM supplier
+""")
+def delimited_keys(t: Tables) -> DataFrame:
+    folder = scratch_path(t.spark, "keys")
+    t.part.select("p_partkey", "p_name", "p_type").write.option("header", True).option("sep", ";").csv(f"{folder}/a")
+    t.supplier.select(F.col("s_suppkey").alias("p_partkey"), F.col("s_name").alias("p_name")).write.option("header", True).csv(f"{folder}/b")
+    return load_key(t.spark, f"{folder}/*/*.csv").fillna("-")
+
+
 def _tag(name: str, body: Column) -> Column:
     return F.concat(F.lit(f"<{name}>"), body, F.lit(f"</{name}>"))
 

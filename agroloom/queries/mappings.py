@@ -98,6 +98,19 @@ def doy_codec(t: Tables) -> DataFrame:
     return coded.withColumn("day", F.date_format(dates.from_doy(F.col("code")), "yyyy-MM-dd"))
 
 
+@query("""
+    SELECT o_orderkey, month(o_orderdate) AS month, strftime(o_orderdate - INTERVAL 18 MONTH, '%Y-%m-%d') AS earlier,
+           year(o_orderdate) % 4 = 0 AND (year(o_orderdate) % 100 <> 0 OR year(o_orderdate) % 400 = 0) AS leap,
+           CASE WHEN o_orderdate <= DATE '1997-01-01' THEN 'historical' ELSE 'recent' END AS period FROM orders
+""")
+def date_parts(t: Tables) -> DataFrame:
+    day = F.to_date("o_orderdate")
+    return t.orders.select(
+        "o_orderkey", F.month(day).alias("month"), F.date_format(F.add_months(day, -18), "yyyy-MM-dd").alias("earlier"),
+        dates.is_leap(F.year(day)).alias("leap"), dates.archive_period(day, F.lit("1998-07-01").cast("date")).alias("period"),
+    )
+
+
 @query("""
     SELECT o_orderkey AS orderkey, year(o_orderdate) AS "Year", o_custkey AS "Plot_id", o_orderpriority AS "Treatment_id",
            o_totalprice AS "Yield", o_orderstatus AS "Kulturart" FROM orders

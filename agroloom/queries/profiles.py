@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -37,7 +38,8 @@ def _profile_sql() -> str:
 
 @query(f"SELECT * REPLACE (coalesce(is_primary, false) AS is_primary) FROM ({_profile_sql()})")
 def key_profiles(t: Tables) -> DataFrame:
-    parts = [profile.key_profile(getattr(t, n).select(*cols), n) for n, cols in PROFILED.items()]
+    with ThreadPoolExecutor() as pool:
+        parts = list(pool.map(lambda n: profile.key_profile(getattr(t, n).select(*PROFILED[n]), n), PROFILED))
     return reduce(DataFrame.unionByName, parts)
 
 

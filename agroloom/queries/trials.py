@@ -218,6 +218,27 @@ def organic_section(t: Tables) -> DataFrame:
     return out.withColumn("OMAMT", F.round("OMAMT", 6))
 
 
+@query(
+    _DU_SQL
+    + """SELECT DISTINCT experiment_id, y AS "Year", n AS "Stickstoff", dense_rank() OVER (PARTITION BY experiment_id ORDER BY y, b) AS "FE_ID" FROM d WHERE org = 0"""
+)
+def mineral_section(t: Tables) -> DataFrame:
+    rows = fertilized(t).withColumn("Mineralisch", 1 - F.col("Organisch")).drop("Organisch")
+    return sections.fertilizer(rows, BY, "DU_ID", "Mineralisch", "FE_ID", 1, [])[0]
+
+
+@query("""
+    WITH c AS (SELECT DISTINCT l_returnflag AS experiment_id, year(l_shipdate) AS y, l_linestatus AS s FROM lineitem)
+    SELECT experiment_id, y AS "Year", s AS "SORTE__Sorte", 'K' || s AS "KULTUR__Art", dense_rank() OVER (PARTITION BY experiment_id ORDER BY y) AS "CU_ID" FROM c
+""")
+def cultivar_section(t: Tables) -> DataFrame:
+    sowing = t.lineitem.select(
+        F.col("l_returnflag").alias("experiment_id"), F.year("l_shipdate").alias("Year"), F.col("l_linestatus").alias("SORTE__Sorte"),
+        F.concat(F.lit("K"), "l_linestatus").alias("KULTUR__Art"), F.col("l_quantity").alias("AUSSAAT__Menge"),
+    )
+    return sections.cultivars(sowing, BY, ["SORTE", "KULTUR"])
+
+
 @query(
     _DU_SQL
     + """, o AS (SELECT DISTINCT experiment_id, y, du, dense_rank() OVER (PARTITION BY experiment_id ORDER BY y, a) AS om FROM d WHERE org = 1),
@@ -285,6 +306,13 @@ def bundle_metadata(t: Tables) -> DataFrame:
     return second_bundle(t)["METADATA"].select(*BY, "REMARKS", "ADDRESS", "EXPERIMENT_DETAILS", "VERSION")
 
 
+@query(f"""
+    WITH {BASE_SQL} SELECT DISTINCT experiment_id, 'Trial ' || experiment_id AS "EXP_DETAILS", 'SEDE' AS "SITE_CODE", '1.0' AS "VERSION" FROM base
+""")
+def bundle_header(t: Tables) -> DataFrame:
+    return second_bundle(t)["HEADER"].drop("PROCESSED_DATE")
+
+
 @query(f"""
     WITH {BASE_SQL} SELECT experiment_id AS "EXPERIMENT_ID", k * 2 + j AS "BONITUR_ID", y AS "YEAR", plot AS "PLOT_ID", size + j AS "WERT", 'CROP_ASSESSMENT' AS "DATA_TYPE"
     FROM base, (VALUES (0), (1)) v(j)

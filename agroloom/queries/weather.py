@@ -254,6 +254,20 @@ def chosen_stations(t: Tables) -> DataFrame:
     return got.select("site_id", "year", "variable", "station_id", "dist_km")
 
 
+@query(f"""
+    WITH v AS (SELECT * FROM (VALUES ('air_temperature', 400), ('precipitation', 200)) x(variable, radius)),
+    s AS (SELECT r_regionkey AS site_id, {_spread_sql('(r_regionkey + 3)', 11)} FROM region),
+    p AS (SELECT n_nationkey AS station_id, make_date(1995 + n_nationkey % 3, 1, 1) AS start_date, {_spread_sql('n_nationkey', 5)} FROM nation),
+    d AS (SELECT site_id, station_id, start_date, {_HAV} AS km FROM s, p)
+    SELECT site_id, variable, station_id, round(km, 6) AS dist_km FROM d, v WHERE km <= radius AND start_date <= DATE '1996-06-01'
+""")
+def station_candidates(t: Tables) -> DataFrame:
+    inputs = station_inputs(t)
+    sites = inputs["wanted"].select("site_id", "lat", "lon").distinct().withColumn("min_date", F.lit("1996-06-01").cast("date"))
+    got = w.find_stations(sites, inputs["stations"], PARAMS)
+    return got.select("site_id", "variable", "station_id", F.round("dist_km", 6).alias("dist_km"))
+
+
 _DAILY_SQL = (
     _STATION_SQL
     + """, daily AS (SELECT station_id, variable, day, year(day) AS year, max(v) AS hi, min(v) AS lo, avg(v) AS mean, sum(v) AS total

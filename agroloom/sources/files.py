@@ -91,7 +91,8 @@ def load_tables(
 ) -> dict[str, DataFrame]:
     """Every logical table of a folder, over all experiments, with ``experiment_id``.
 
-    Files of a table that share a header, separator and encoding are one scan. Files without
+    Files of a table that share a header, separator and encoding are one scan. The driver sees one
+    row per file, as Spark's own file index does. Files without
     data rows and files whose name has no table part are skipped. ``standard=True`` also gives
     the design columns their standard names.
     """
@@ -123,12 +124,12 @@ def load_tables(
 
 
 def load_key(spark: SparkSession, path: str) -> DataFrame:
-    """A variable key with its separator taken from the first line, file by file."""
+    """A variable key whose files may differ in separator and columns; like files are one scan."""
+    groups: dict[tuple[str, str], list[str]] = {}
+    for r in scan_headers(spark, path).collect():
+        groups.setdefault((separator(r["file_name"], r["header"]), r["header"]), []).append(r["path"])
     return union_padded(
-        *[
-            spark.read.option("header", True).option("sep", separator(r["file_name"], r["header"])).csv(r["path"])
-            for r in sorted(scan_headers(spark, path).collect(), key=lambda r: r["path"])
-        ]
+        *[spark.read.option("header", True).option("sep", sep).csv(sorted(ps)) for (sep, _), ps in sorted(groups.items())]
     )
 
 

@@ -17,9 +17,15 @@ def _text(fragment: Column, tag: str) -> Column:
     return F.nullif(value, F.lit(""))
 
 
-def _table(docs: DataFrame, doc: str, by: list[str], node: str, fields: dict[str, str]) -> DataFrame:
-    rows = docs.select(*by, F.explode(_nodes(F.col(doc), node)).alias("__node"))
-    return rows.select(*by, *[_text(F.col("__node"), tag).alias(n) for n, tag in fields.items()])
+def _table(
+    docs: DataFrame, doc: str, by: list[str], node: str, fields: dict[str, str], shared: tuple[str, ...] = ()
+) -> DataFrame:
+    carried = [F.col(doc).alias("__doc")] if shared else []
+    rows = docs.select(*by, *carried, F.explode(_nodes(F.col(doc), node)).alias("__node"))
+    own = {n: _text(F.col("__node"), tag) for n, tag in fields.items()}
+    # a field stated once for the whole document applies to the nodes without their own
+    own |= {n: F.coalesce(own[n], _text(F.col("__doc"), fields[n])) for n in shared}
+    return rows.select(*by, *[c.alias(n) for n, c in own.items()])
 
 
 # Output field -> element, in the namespace prefixes of the catalogue standard.
@@ -76,7 +82,7 @@ def read_metadata(docs: DataFrame, doc: str = "value", by: list[str] = ("path",)
         "Temporal_coverage": time.select(
             *by, _text(F.col("n"), "gml:beginPosition").alias("start"), _text(F.col("n"), "gml:endPosition").alias("end")
         ),
-        "Variable_key": _table(docs, doc, by, "bnr:MD_Column", COLUMN_FIELDS),
+        "Variable_key": _table(docs, doc, by, "bnr:MD_Column", COLUMN_FIELDS, ("methods", "missing_vals")),
     }
 
 

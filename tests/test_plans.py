@@ -28,16 +28,19 @@ def test_template_sizes():
 def test_split_by_year(spark):
     trt = spark.createDataFrame([("e", 2000, 1, 3, None), ("e", 2000, 2, 4, None), ("e", 2001, 1, 5, None), ("e", 2001, 2, 0, None)], "e string, Year int, N int, MF int, CU int")
     obs = spark.createDataFrame([("e", 2000, 1, None)], "e string, Year int, TRTNO int, HWAH double")
+    part = spark.createDataFrame([("e", 2000, 1, None), ("e", 2001, 1, 5.0), ("e", 2001, 2, None)], obs.schema)
     kept = spark.createDataFrame([("e", "x")], "e string, SITE string")
-    out = export.split_by_year({"TREATMENTS": trt, "OBSERVED_Summary": obs, "GENERAL": kept}, ["e"])
-    assert set(out) == {"TREATMENTS", "GENERAL"}
+    out = export.split_by_year({"TREATMENTS": trt, "OBSERVED_Summary": obs, "OBSERVED_TimeSeries": part, "GENERAL": kept}, ["e"])
+    assert set(out) == {"TREATMENTS", "OBSERVED_TimeSeries", "GENERAL"}
+    assert rows(out["OBSERVED_TimeSeries"]) == [("e", 2001, 1, 5.0), ("e", 2001, 2, None)]
     assert rows(out["TREATMENTS"]) == [("e", 2000, 1, 1), ("e", 2000, 2, 2), ("e", 2001, 1, 1), ("e", 2001, 2, 0)]
 
 
 def test_missing_sections_are_reported(spark):
     trt = spark.createDataFrame([("e", 2000, 1)], "e string, Year int, N int")
     out, notes = export.build_management({"TREATMENTS": trt}, ["e"])
-    assert list(out) == ["TREATMENTS", "SIMULATION_CONTROLS"]
+    assert list(out) == ["GENERAL", "TREATMENTS", "CULTIVARS", "FIELDS", "PLANTING_DETAILS", "SIMULATION_CONTROLS"]
+    assert rows(out["CULTIVARS"]) == [("e", 2000, 1.0, "FA", "IB0001", "")]
     assert [n for n in notes if n.startswith("required")] == [f"required section {s} is missing" for s in ("CULTIVARS", "FIELDS", "PLANTING_DETAILS")]
     row = out["TREATMENTS"].first()
     assert (row["R"], row["O"], row["C"], row["SM"], row["MH"], row["TNAME"]) == (1.0, 0.0, 0.0, 1.0, 0.0, None)
