@@ -17,6 +17,7 @@ from agroloom.operators.profile import drop_null_columns
 from agroloom.operators.scale import null_safe_join
 from agroloom.plans import templates as tpl
 
+FILE_LINES = 1_000_000  # lines of one output file before it is cut
 YEARLESS = ("GENERAL", "FIELDS", "SOIL_Header", "SOIL_Layers")
 
 
@@ -193,27 +194,97 @@ def text_lines(
     return rows.unionByName(head)
 
 
-def management_lines(sections: dict[str, DataFrame], scope: list[str]) -> DataFrame:
-    """All flat section blocks of the management file."""
+def layer_rows(df: DataFrame, keep: list[str]) -> DataFrame:
+    """One row per layer or event of the list columns, in order, beside the ``keep`` columns."""
+    nested = [f.name for f in df.schema if isinstance(f.dataType, T.ArrayType)]
+    some = reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in nested])
+    lists = [F.coalesce(c, F.array().cast(df.schema[c].dataType)) for c in nested]
+    zipped = F.posexplode(F.arrays_zip(*lists)).alias("layer_no", "layer")
+    fields = [F.col("layer").getField(str(i)).alias(c) for i, c in enumerate(nested)]
+    return df.filter(some).select(*keep, zipped).select(*keep, "layer_no", *fields)
+
+
+def title_line(text: Column, df: DataFrame, scope: list[str], block: int, kind: int = 0) -> DataFrame:
+    """One line per scope from an expression over ``df``."""
+    return df.select(
+        *scope, F.lit(block).alias("block_no"), F.lit(kind).alias("kind"), F.lit("").alias("sort"), text.alias("line")
+    ).distinct()
+
+
+def management_lines(sections: dict[str, DataFrame], scope: list[str], header: DataFrame | None = None) -> DataFrame:
+    """The management file: title, then every section, list columns as a block of their own.
+
+    ``header`` holds the title per scope (``EXP_DETAILS``).
+    """
     parts = []
+    if header is not None:
+        parts.append(title_line(F.concat(F.lit("*EXP.DETAILS: "), "EXP_DETAILS"), header, scope, 0))
     for i, (name, df) in enumerate(sections.items()):
         if not set(scope) <= set(df.columns):
             continue
         dated = _dates_as_codes(df)
         formats = section_formats(dated, [*scope, "part"])
-        parts.append(text_lines(dated, formats, scope, list(formats)[:2], i, f"*{name.replace('_', ' ')}"))
+        index = next(iter(formats))
+        block = 2 * i + 1
+        parts.append(text_lines(dated, formats, scope, list(formats)[:2], block, f"*{name.replace('_', ' ')}"))
+        if any(isinstance(f.dataType, T.ArrayType) for f in df.schema) and name != "GENERAL":
+            layers = _dates_as_codes(layer_rows(df, [*scope, index]))
+            own = {index: formats[index]} | section_formats(layers, [*scope, index, "layer_no"])
+            parts.append(text_lines(layers, own, scope, [index, "layer_no"], block + 1))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def observed_lines(observed: DataFrame, formats: dict[str, str], scope: list[str], header: DataFrame, kind: str) -> DataFrame:
+    """An observed file: ``kind`` is A for summaries and T for time series."""
+    title = title_line(F.concat(F.lit(f"*EXP. DATA ({kind}): "), "EXP_DETAILS"), header, scope, 0)
+    order = [c for c in ("TRTNO", "DATE") if c in observed.columns]
+    return title.unionByName(text_lines(observed, formats, scope, order, 1))
+
+
+def weather_lines(daily: DataFrame, header: DataFrame, comments: DataFrame, scope: list[str]) -> DataFrame:
+    """A weather file: place, station comments, station header and the days.
+
+    ``header``: scope, SITE, INSI, LAT, LONG, ELEV, TAV, AMP, REFHT, WNDHT; ``comments``: scope,
+    comment; ``daily`` comes from :func:`build_weather`.
+    """
+    title = title_line(F.concat(F.lit("*WEATHER: "), "SITE"), header, scope, 0)
+    notes = comments.select(
+        *scope,
+        F.lit(0).alias("block_no"),
+        F.lit(1).alias("kind"),
+        F.col("comment").alias("sort"),
+        F.concat(F.lit("! "), "comment").alias("line"),
+    )
+    station = text_lines(header, tpl.HEADER_FORMATS, scope, ["INSI"], 1)
+    return reduce(DataFrame.unionByName, [title, notes, station, text_lines(daily, tpl.WEATHER_FORMATS, scope, ["DATE"], 2)])
+
+
+def soil_lines(soil: DataFrame, scope: list[str]) -> DataFrame:
+    """Soil profiles: identity, site, surface and layers; ``soil`` comes from :func:`build_soil`."""
+    name = F.concat(F.lit("*"), *[F.rpad(F.coalesce(c, F.lit("-99")), n, " ") for c, n in (("PEDON", 12), ("SOURCE", 13), ("TEXTURE", 6))])
+    ident = F.concat(name, cell(F.col("DEPTH"), "%6.0f"), F.lit(" "), F.coalesce("DESCRIPTION", F.lit("-99")))
+    parts = [title_line(ident, soil, scope, 0)]
+    for i, formats in enumerate(tpl.SOIL_BLOCKS):
+        once = soil.select(*scope, *[c for c in formats if c not in scope]).distinct()
+        parts.append(text_lines(once, formats, scope, list(formats)[:1], i + 1))
+    layers = layer_rows(soil, [*scope, *[c for c in ("part",) if c in soil.columns]])
+    order = [c for c in ("part", "layer_no") if c in layers.columns]
+    parts.append(text_lines(layers, tpl.LAYER_FORMATS, scope, order, len(tpl.SOIL_BLOCKS) + 1))
     return reduce(DataFrame.unionByName, parts)
 
 
-def write_text(lines: DataFrame, path: str, scope: list[str]) -> None:
-    """Folders per scope; lines in order inside and across the part files of a folder.
+def write_text(lines: DataFrame, path: str, scope: list[str], max_lines: int = FILE_LINES) -> None:
+    """Folders per scope, lines in order; one file per scope up to ``max_lines``.
 
-    Range partitions keep the order and also divide one very large scope among tasks; the input
-    partition as last key lets them cut through equal lines.
+    A larger scope is cut into several part files, in order by name, so that no task writes it
+    alone. The range keys below the scope are null for ordinary scopes, which keeps their lines
+    together; the input partition as last key lets a cut go through equal lines.
     """
-    order = [*scope, "block_no", "kind", "sort"]
-    placed = lines.withColumn("__in", F.spark_partition_id()).repartitionByRange(*order, "__in")
-    placed = placed.sortWithinPartitions(*order)
+    sizes = lines.groupBy(*scope).agg(F.count(F.lit(1)).alias("__n"))
+    order = ["block_no", "kind", "sort"]
+    rows = null_safe_join(lines.withColumn("__in", F.spark_partition_id()), sizes, scope)
+    cuts = [F.when(F.col("__n") > max_lines, F.col(c)) for c in [*order, "__in"]]
+    placed = rows.repartitionByRange(*scope, *cuts).sortWithinPartitions(*scope, *order)
     placed.select(*scope, "line").write.mode("overwrite").partitionBy(*scope).text(path)
 
 

@@ -123,6 +123,18 @@ WEATHER_FORMATS = {
     "WIND": "%6.0f", "PAR": "%6.1f", "EVAP": "%6.1f", "RHUM": "%6.1f",
 }
 HEADER_FORMATS = {
-    "INSI": "%6s", "LAT": "%8.3f", "LONG": "%8.3f", "ELEV": "%5.0f", "TAV": "%5.1f", "AMP": "%5.1f",
-    "REFHT": "%5.1f", "WNDHT": "%5.1f",
+    "INSI": "%6s", "LAT": "%9.3f", "LONG": "%9.3f", "ELEV": "%6.0f", "TAV": "%6.1f", "AMP": "%6.1f",
+    "REFHT": "%6.1f", "WNDHT": "%6.1f",
+}
+SOIL_BLOCKS = [
+    {"SITE": "%12s", "COUNTRY": "%12s", "LAT": "%9.3f", "LONG": "%9.3f", "SCS_FAMILY": "%18s"},
+    {
+        "SCOM": "%6s", "SALB": "%6.2f", "SLU1": "%6.1f", "SLDR": "%6.2f", "SLRO": "%6.1f", "SLNF": "%6.2f", "SLPF": "%6.2f",
+        "SMHB": "%6s", "SMPX": "%6s", "SMKE": "%6s",
+    },
+]
+LAYER_FORMATS = {
+    "SLB": "%6.0f", "SLMH": "%6s", "SLLL": "%6.3f", "SDUL": "%6.3f", "SSAT": "%6.3f", "SRGF": "%6.3f", "SSKS": "%6.2f",
+    "SBDM": "%6.2f", "SLOC": "%6.2f", "SLCL": "%6.1f", "SLSI": "%6.1f", "SLCF": "%6.1f", "SLNI": "%6.2f",
+    "SLHW": "%6.1f", "SLHB": "%6.1f", "SCEC": "%6.1f", "SADC": "%6.1f",
 }

@@ -13,6 +13,7 @@ from agroloom.plans.sections import mid_elevation
 from agroloom.queries import Tables, query
 from agroloom.queries.trials import BASE_SQL, base
 from agroloom.session import scratch_path
+from agroloom.sources import reports
 
 BY = ["experiment_id"]
 
@@ -120,6 +121,26 @@ def soil_file(t: Tables) -> DataFrame:
     )
 
 
+@query("""
+    SELECT p_type AS kind, 'S' || (p_partkey // 8) AS profile_id, p_partkey::DOUBLE AS "SLB", p_size / 100 AS "SLLL" FROM part
+""")
+def soil_text_round_trip(t: Tables) -> DataFrame:
+    soil = F.concat(F.lit("S"), F.floor(F.col("p_partkey") / 8).cast("string")).alias("PEDON")
+    layers = t.part.select("p_type", soil, F.col("p_partkey").cast("double").alias("SLB"), (F.col("p_size") / 100).alias("SLLL"))
+    header = layers.select("p_type", "PEDON", F.lit("Family").alias("SCS FAMILY")).distinct()
+    built = ex.build_soil(header, layers, ["p_type", "PEDON"])
+    # many profiles share a file: the profile leads the sort key of its lines
+    lines = ex.soil_lines(built, ["p_type", "PEDON"])
+    one = lines.select("p_type", F.lit(0).alias("block_no"), F.lit(0).alias("kind"), F.concat_ws("|", "PEDON", "block_no", "kind", "sort").alias("sort"), "line")
+    path = scratch_path(t.spark, "soil")
+    ex.write_text(one, path, ["p_type"])
+    sections = reports.read_sections(t.spark, f"{path}/*", "*S").select("title", "body", F.regexp_extract("title", r"^(\d+)", 1).alias("no"))
+    rows = reports.fields_as(reports.section_rows(sections.filter("no <> ''")), {"SLB": "double", "SLLL": "double"})
+    back = rows.filter("SLB IS NOT NULL").select(F.concat(F.lit("S"), "no").alias("profile_id"), "SLB", "SLLL")
+    kinds = t.part.select(F.col("p_partkey").cast("double").alias("SLB"), F.col("p_type").alias("kind"))
+    return back.join(kinds, "SLB").select("kind", "profile_id", "SLB", "SLLL")
+
+
 @query("""
     SELECT o_orderstatus AS experiment_id, year(o_orderdate) AS "Year", o_custkey AS "TRTNO", strftime(o_orderdate, '%y%j') AS "MDAT", o_totalprice AS "HWAH" FROM orders
 """)

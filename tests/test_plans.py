@@ -67,14 +67,20 @@ def test_weather_lines(spark):
     ]
 
 
-def test_text_folders(spark, tmp_path):
-    t = spark.createDataFrame([("e", y, i, f"r{i}") for y in (1, 2) for i in range(30)], "e string, Year int, k int, v string")
+@pytest.mark.parametrize("limit", [1_000_000, 10])
+def test_text_folders(spark, tmp_path, limit):
+    t = spark.createDataFrame([("e", y, i, f"r{i}") for y in (1, 2) for i in range(300)], "e string, Year int, k int, v string")
     lines = export.text_lines(t, {"k": "%4s", "v": "%5s"}, ["e", "Year"], ["k"], 0, "*TITLE")
-    export.write_text(lines, str(tmp_path / "out"), ["e", "Year"])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # else small parts are put together again
+    try:
+        export.write_text(lines, str(tmp_path / "out"), ["e", "Year"], limit)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     for y in (1, 2):
         parts = sorted((tmp_path / "out" / "e=e" / f"Year={y}").glob("part-*"))
+        assert (len(parts) == 1) == (limit > 10)
         text = "".join(p.read_text() for p in parts).splitlines()
-        assert text[:2] == ["*TITLE", "@  k    v"] and text[2:] == [f"{i:4d}" + f"r{i}".rjust(5) for i in range(30)]
+        assert text[:2] == ["*TITLE", "@  k    v"] and text[2:] == [f"{i:4d}" + f"r{i}".rjust(5) for i in range(300)]
 
 
 def test_classes_and_roles():
@@ -150,3 +156,54 @@ def test_station_archive_age(spark):
     for today, want in (("2010-01-01", 3), ("2001-01-01", 2)):
         got = weather.choose_stations(wanted, aged, covered, [weather.STATION_PARAMS[0]], F.lit(today).cast("date"))
         assert [r["station_id"] for r in got.collect()] == [want]
+
+
+def lines_of(df):
+    return [r["line"] for r in df.orderBy("block_no", "kind", "sort").collect()]
+
+
+def test_weather_file_layout(spark):
+    days = spark.createDataFrame([("e", 1995, "1995-01-01", 2.1)], "e string, Year int, DATE string, SRAD double").withColumn("DATE", F.to_date("DATE"))
+    head = spark.createDataFrame([("e", 1995, "Seefeld, Germany", "SEDE", 51.451, 12.221, 123.0, 9.361, 11.459, 2.0, 2.0)], "e string, Year int, SITE string, INSI string, LAT double, LONG double, ELEV double, TAV double, AMP double, REFHT double, WNDHT double")
+    notes = spark.createDataFrame([("e", 1995, "wind: Station 2"), ("e", 1995, "rain: Station 1")], "e string, Year int, comment string")
+    scope = ["e", "Year"]
+    assert lines_of(export.weather_lines(export.build_weather(days, ["e"]), head, notes, scope)) == [
+        "*WEATHER: Seefeld, Germany",
+        "! rain: Station 1",
+        "! wind: Station 2",
+        "@ INSI      LAT     LONG  ELEV   TAV   AMP REFHT WNDHT",
+        "  SEDE   51.451   12.221   123   9.4  11.5   2.0   2.0",
+        "@DATE  SRAD  TMAX  TMIN  RAIN  DEWP  WIND   PAR  EVAP  RHUM",
+        "95001   2.1   -99   -99   -99   -99   -99   -99   -99   -99",
+    ]
+
+
+def test_summary_file_layout(spark):
+    obs = spark.createDataFrame([("e", 1995, 2, "1995-09-12", 6210.0, None), ("e", 1995, 1, "1995-09-11", 6280.0, 5401.0)], "e string, Year int, TRTNO int, MDAT string, HWAHF double, HWAH double").withColumn("MDAT", F.to_date("MDAT"))
+    head = spark.createDataFrame([("e", 1995, "Trial")], "e string, Year int, EXP_DETAILS string")
+    got = export.observed_lines(export.build_summary(obs, ["e"]), {c: tpl.SUMMARY_FORMATS[c] for c in ("TRTNO", "MDAT", "HWAHF", "HWAH")}, ["e", "Year"], head, "A")
+    assert lines_of(got) == ["*EXP. DATA (A): Trial", "@TRTNO  MDAT HWAHF  HWAH", "     1 95254  6280  5401", "     2 95255  6210   -99"]
+
+
+def test_management_file_with_events(spark):
+    t = spark.createDataFrame([("e", 2000, 1, "2000-05-01", "IR001", 20.0), ("e", 2000, 1, "2000-06-01", "IR001", None)], "e string, Year int, I int, IDATE string, IROP string, IRVAL double").withColumn("IDATE", F.to_date("IDATE"))
+    section = export.format_section(t, tpl.SECTIONS["IRRIGATION"], ["e", "Year"], ["IDATE"])
+    head = spark.createDataFrame([("e", 2000, "Trial")], "e string, Year int, EXP_DETAILS string")
+    got = lines_of(export.management_lines({"IRRIGATION": section}, ["e", "Year"], head))
+    assert got[:2] == ["*EXP.DETAILS: Trial", "*IRRIGATION"] and got[2].startswith("@    I  EFIR  IDEP") and got[3].startswith("     1   -99")
+    assert got[4:] == ["@    I IDATE  IROP IRVAL", "     1 00122 IR001  20.0", "     1 00153 IR001   -99"]
+
+
+def test_soil_file_round_trip(spark, tmp_path):
+    from agroloom.sources import reports
+
+    layers = spark.createDataFrame([("IB01", 15.0, 0.249), ("IB01", 5.0, 0.228), ("IB02", 10.0, 0.1)], "PEDON string, SLB double, SLLL double")
+    header = spark.createDataFrame([("IB01", "SRC", 210.0, 0.11), ("IB02", "SRC", 150.0, None)], "PEDON string, SOURCE string, DEPTH double, SALB double")
+    lines = export.soil_lines(export.build_soil(header, layers, ["PEDON"]), ["PEDON"])
+    text = lines_of(lines.filter("PEDON = 'IB01'"))
+    assert text[0] == "*IB01        SRC          -99      210 -99"
+    assert [x[:18] for x in text[-3:]] == ["@  SLB  SLMH  SLLL", "     5   -99 0.228", "    15   -99 0.249"]
+    export.write_text(lines, str(tmp_path / "soil"), ["PEDON"])
+    back = reports.section_rows(reports.read_sections(spark, f"{tmp_path}/soil/*", "\n*")).filter("block_no = 3")
+    got = reports.fields_as(back, {"SLB": "double", "SLLL": "double"})
+    assert rows(got.select("SLB", "SLLL")) == [(10.0, 0.1), (15.0, 0.249), (5.0, 0.228)]
