@@ -18,6 +18,7 @@ from agroloom.operators.scale import null_safe_join
 # a sketch this far below the row count rules a key out (error of the sketch is 2 %)
 SKETCH_ERROR = 0.02
 KEY_SHARE = 0.9
+FIRST_ROWS = 1000  # rows on which unfit date layouts are ruled out
 
 INTEGERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 NUMBERS = INTEGERS + (T.FloatType, T.DoubleType, T.DecimalType)
@@ -148,10 +149,11 @@ def has_link(a: list[str], b: list[str], subset: list[str] | None = None) -> boo
 
 
 def date_layouts(df: DataFrame, columns: list[str] | None = None, doy: list[str] = ()) -> dict[str, str]:
-    """Layout of every column whose values all parse as dates; one aggregate.
+    """Layout of every column whose values all parse as dates; one aggregate over all rows.
 
     Five-digit codes are read as day-of-year only for columns declared in ``doy``:
-    plot numbers look the same.
+    plot numbers look the same. A layout that fails on some first rows is ruled out before,
+    which spares most of the patterns; what is left is tested on every row.
     """
     tests: list[tuple[str, str]] = []
     typed = {}
@@ -166,6 +168,10 @@ def date_layouts(df: DataFrame, columns: list[str] | None = None, doy: list[str]
             tests += [(f.name, lay) for lay in dates.DATE_LAYOUTS]
         elif isinstance(f.dataType, INTEGERS):
             tests.append((f.name, "yyyyMMdd"))
+    if not tests:
+        return typed
+    first = df.limit(FIRST_ROWS).agg(*[dates.misfits(F.col(c), lay).alias(f"m{i}") for i, (c, lay) in enumerate(tests)]).first()
+    tests = [t for i, t in enumerate(tests) if first[f"m{i}"] == 0]
     if not tests:
         return typed
     filled = sorted({c for c, _ in tests})

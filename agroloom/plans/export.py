@@ -273,18 +273,25 @@ def soil_lines(soil: DataFrame, scope: list[str]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def write_text(lines: DataFrame, path: str, scope: list[str], max_lines: int = FILE_LINES) -> None:
-    """Folders per scope, lines in order; one file per scope up to ``max_lines``.
+def by_scope(df: DataFrame, scope: list[str], order: list[str], max_rows: int = FILE_LINES) -> DataFrame:
+    """Rows placed for writing folders: a scope in one task up to ``max_rows``, larger ones cut in order.
 
-    A larger scope is cut into several part files, in order by name, so that no task writes it
-    alone. The range keys below the scope are null for ordinary scopes, which keeps their lines
-    together; the input partition as last key lets a cut go through equal lines.
+    The range keys below the scope are null for ordinary scopes, which keeps their rows together;
+    the input partition as last key lets a cut go through equal rows. The number of partitions is
+    given, as writing many small files costs time rather than bytes.
     """
-    sizes = lines.groupBy(*scope).agg(F.count(F.lit(1)).alias("__n"))
-    order = ["block_no", "kind", "sort"]
-    rows = null_safe_join(lines.withColumn("__in", F.spark_partition_id()), sizes, scope)
-    cuts = [F.when(F.col("__n") > max_lines, F.col(c)) for c in [*order, "__in"]]
-    placed = rows.repartitionByRange(*scope, *cuts).sortWithinPartitions(*scope, *order)
+    spark = df.sparkSession
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    sizes = df.groupBy(*scope).agg(F.count(F.lit(1)).alias("__n"))
+    rows = null_safe_join(df.withColumn("__in", F.spark_partition_id()), sizes, scope)
+    cuts = [F.when(F.col("__n") > max_rows, F.col(c)) for c in [*order, "__in"]]
+    return rows.repartitionByRange(n, *scope, *cuts).sortWithinPartitions(*scope, *order).drop("__n", "__in")
+
+
+def write_text(lines: DataFrame, path: str, scope: list[str], max_lines: int = FILE_LINES) -> None:
+    """Folders per scope, lines in order; one file per scope up to ``max_lines``, else several
+    part files in order by name."""
+    placed = by_scope(lines, scope, ["block_no", "kind", "sort"], max_lines)
     placed.select(*scope, "line").write.mode("overwrite").partitionBy(*scope).text(path)
 
 
@@ -292,7 +299,7 @@ def write_sections(sections: dict[str, DataFrame], path: str, by: list[str], yea
     """Every section as parquet, foldered by scope and year where it has them."""
     for name, df in sections.items():
         keys = [c for c in [*by, year] if c in df.columns]
-        writer = df.write.mode("overwrite")
-        (writer.partitionBy(*keys) if keys else writer).parquet(f"{path}/{name}")
-
-
+        if keys:
+            by_scope(df, keys, []).write.mode("overwrite").partitionBy(*keys).parquet(f"{path}/{name}")
+        else:
+            df.write.mode("overwrite").parquet(f"{path}/{name}")

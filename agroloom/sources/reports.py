@@ -23,26 +23,31 @@ def read_sections(spark: SparkSession, path: str, mark: str = "*RUN") -> DataFra
     )
 
 
-def _cells(header: Column, line: Column) -> Column:
-    """Map of header name to text, cut at the ends of the header names (right-aligned columns)."""
-    tokens = F.regexp_extract_all(header, F.lit(r"(\s*\S+)"), F.lit(1))
-    ends = F.transform(
-        F.sequence(F.lit(1), F.size(tokens)),
-        lambda i: F.aggregate(F.slice(tokens, F.lit(1), i), F.lit(0), lambda a, t: a + F.length(t)),
-    )
-    names = F.transform(tokens, lambda t: F.regexp_replace(F.trim(t), r"^\.+|\.+$", ""))
-    cut = F.transform(
-        F.sequence(F.lit(0), F.size(tokens) - 1),
-        lambda i: F.trim(
-            F.substring(
-                line,
-                F.when(i == 0, F.lit(0)).otherwise(F.get(ends, i - 1)) + 1,
-                F.get(ends, i) - F.when(i == 0, F.lit(0)).otherwise(F.get(ends, i - 1)),
-            )
-        ),
+# Columns of a profile's site line, the one line with left-aligned text.
+SITE_LAYOUT = [("SITE", 2, 11), ("COUNTRY", 14, 11), ("LAT", 25, 9), ("LONG", 34, 9), ("SCS_FAMILY", 44, 50)]
+
+
+def _layout(header: Column) -> Column:
+    """Name, start and length of every column of a head line, which ends where its name ends.
+
+    One fold over the words of the line; it runs once per block, not per data line. A repeated
+    name gets its position appended.
+    """
+    start = F.struct(F.lit(1).alias("at"), F.array().cast("array<struct<name:string,start:int,len:int>>").alias("cols"))
+
+    def add(acc: Column, word: Column) -> Column:
+        plain = F.regexp_replace(F.trim(word), r"^\.+|\.+$", "")
+        seen = F.exists(acc["cols"], lambda c: c["name"] == plain)
+        name = F.when(seen, F.concat_ws("_", plain, F.size(acc["cols"]) + 1)).otherwise(plain)
+        col = F.struct(name.alias("name"), acc["at"].alias("start"), F.length(word).alias("len"))
+        return F.struct((acc["at"] + F.length(word)).alias("at"), F.concat(acc["cols"], F.array(col)).alias("cols"))
+
+    words = F.regexp_extract_all(header, F.lit(r"(\s*\S+)"), F.lit(1))
+    folded = F.aggregate(words, start, add, lambda acc: acc["cols"])
+    site = F.array(
+        *[F.struct(F.lit(n).alias("name"), F.lit(a).alias("start"), F.lit(k).alias("len")) for n, a, k in SITE_LAYOUT]
     )
-    values = F.transform(cut, lambda v: F.when((v == "") | (v == MISSING), F.lit(None)).otherwise(v))
-    return F.map_from_arrays(names, values)
+    return F.when(header.rlike(r"^\s*SITE\s+COUNTRY\s"), site).otherwise(folded)
 
 
 def section_rows(sections: DataFrame) -> DataFrame:
@@ -54,13 +59,20 @@ def section_rows(sections: DataFrame) -> DataFrame:
     blocks = sections.select(*keep, F.posexplode(F.split("body", r"(?m)^@")).alias("block_no", "block")).filter(
         "block_no > 0"
     )
-    lines = blocks.select(
-        *keep,
-        "block_no",
-        F.concat(F.lit(" "), F.substring_index("block", "\n", 1)).alias("header"),
-        F.posexplode(F.split("block", "\r?\n")).alias("line_no", "line"),
-    ).filter((F.col("line_no") > 0) & (F.trim("line") != "") & ~F.col("line").rlike(r"^\s*[!*$]"))
-    return lines.select(*keep, "block_no", "line_no", _cells(F.col("header"), F.col("line")).alias("fields"))
+    # the mark took the first place of the head line
+    head = F.concat(F.lit(" "), F.regexp_replace(F.substring_index("block", "\n", 1), r"\r$", ""))
+    lines = (
+        blocks.withColumn("layout", _layout(head))
+        .select(*keep, "block_no", "layout", F.posexplode(F.split("block", "\r?\n")).alias("line_no", "line"))
+        .filter((F.col("line_no") > 0) & (F.trim("line") != "") & ~F.col("line").rlike(r"^\s*[!*$]"))
+    )
+
+    def text(c: Column) -> Column:
+        v = F.trim(F.substring(F.col("line"), c["start"], c["len"]))
+        return F.when((v != "") & (v != MISSING), v)
+
+    names, values = F.transform("layout", lambda c: c["name"]), F.transform("layout", text)
+    return lines.select(*keep, "block_no", "line_no", F.map_from_arrays(names, values).alias("fields"))
 
 
 def fields_as(rows: DataFrame, types: dict[str, str]) -> DataFrame:

@@ -78,8 +78,8 @@ PROFILES = """*SOILS: general file
 ! comment
 
 *IB00000001  SRC     SIC     210 DEEP SILTY CLAY
-@SITE        COUNTRY          LAT     LONG
- Generic     Generic          -99      -99
+@SITE        COUNTRY          LAT     LONG SCS FAMILY
+ Old Place   Generic       51.500      -99     Deep Generic
 @ SCOM  SALB  SLU1
    -99  0.11   6.0
 @  SLB  SLMH  SLLL
@@ -92,6 +92,13 @@ PROFILES = """*SOILS: general file
 """
 
 
+def test_repeated_heads(spark, tmp_path):
+    write(tmp_path / "x.OUT", "*RUN   1        : a\n@YEAR DOY   X   X\n 2000   1   5   6\n")
+    sections = reports.read_sections(spark, str(tmp_path)).filter("title like '1%'")
+    got = reports.fields_as(reports.section_rows(sections), {"X": "int", "X_4": "int"})
+    assert rows(got.select("X", "X_4")) == [(5, 6)]
+
+
 def test_soil_profile(spark, tmp_path):
     write(tmp_path / "SOIL.SOL", PROFILES)
     one = reports.read_profiles(spark, str(tmp_path), "IB00000001")
@@ -99,6 +106,8 @@ def test_soil_profile(spark, tmp_path):
     assert rows(layers.select("SLB", "SLMH", "SLLL")) == [(15.0, None, 0.249), (5.0, None, 0.228)]
     surface = reports.fields_as(one.filter("block_no = 2"), {"SALB": "double", "SLU1": "double"})
     assert rows(surface.select("SALB", "SLU1")) == [(0.11, 6.0)]
+    site = reports.fields_as(one.filter("block_no = 1"), {"SITE": "string", "COUNTRY": "string", "LAT": "double", "LONG": "double", "SCS_FAMILY": "string"})
+    assert rows(site.select("SITE", "COUNTRY", "LAT", "LONG", "SCS_FAMILY")) == [("Old Place", "Generic", 51.5, None, "Deep Generic")]
     every = reports.fields_as(reports.read_profiles(spark, str(tmp_path)), {"SLB": "double"}).filter("SLB IS NOT NULL")
     assert rows(every.groupBy("profile_id").count()) == [("IB00000001", 2), ("IB00000002", 1)]
 
