@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,8 +18,13 @@ def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colu
     return F.lit(2 * EARTH_KM) * F.asin(F.least(F.lit(1.0), F.sqrt(h)))
 
 
-def box_bounds_km(lat: Column, lon: Column, lat0: Column, lat1: Column, lon0: Column, lon1: Column):
-    """Lower and upper bound of the distance from a point to any point of a box."""
+def half_chord(km: float) -> float:
+    """sin(d / 2R): grows with the distance and needs no inverse sine to compare."""
+    return math.sin(km / (2 * EARTH_KM))
+
+
+def box_bounds(lat: Column, lon: Column, lat0: Column, lat1: Column, lon0: Column, lon1: Column):
+    """Lower and upper bound of the half chord from a point to any point of a box."""
     zero = F.lit(0.0)
     near_lat = F.greatest(zero, lat0 - lat, lat - lat1)
     far_lat = F.greatest(F.abs(lat - lat0), F.abs(lat - lat1))
@@ -34,9 +41,7 @@ def box_bounds_km(lat: Column, lon: Column, lat0: Column, lat1: Column, lon0: Co
     cos_max = F.when((lat0 <= 0) & (lat1 >= 0), F.lit(1.0)).otherwise(F.greatest(cos_a, cos_b))
 
     def arc(dlat, dlon, c):
-        h = F.pow(F.sin(F.radians(dlat) / 2), F.lit(2.0)) + F.cos(F.radians(lat)) * c * F.pow(
-            F.sin(F.radians(dlon) / 2), F.lit(2.0)
-        )
-        return F.lit(2 * EARTH_KM) * F.asin(F.least(F.lit(1.0), F.sqrt(h)))
+        a, b = F.sin(F.radians(dlat) / 2), F.sin(F.radians(dlon) / 2)
+        return F.sqrt(a * a + F.cos(F.radians(lat)) * c * b * b)
 
     return arc(near_lat, near_lon, cos_min), arc(far_lat, far_lon, cos_max)

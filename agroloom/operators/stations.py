@@ -13,14 +13,14 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from agroloom.functions.geo import box_bounds_km, haversine_km
+from agroloom.functions.geo import EARTH_KM, box_bounds, half_chord, haversine_km
 from agroloom.operators.scale import null_safe_join
 from agroloom.session import checkpointed
 
 LEAF_POINTS = 32  # station points a cell may hold before it is divided
 MAX_DEPTH = 10  # a 50 km cell is then some centimetres wide
 SPLIT = 4  # a cell side is cut in four, so a child is named by one hex digit
-EPS_KM = 2e-6
+EPS = 2e-6 / (2 * EARTH_KM)  # two millimetres, as a half chord
 
 
 def _step(radius_km: float) -> float:
@@ -43,19 +43,25 @@ def _home_cell(lat: Column, lon: Column, step: float) -> tuple[Column, Column]:
     return band, F.floor(F.pmod(lon, F.lit(360.0)) / _lon_step(band, step))
 
 
+def _offsets(low: int, high: int) -> Column:
+    return F.array(*[F.lit(i).cast("long") for i in range(low, high + 1)])
+
+
 def _around(sites: DataFrame, step: float) -> DataFrame:
     """Each site once for every grid cell the radius can reach: nine, some more at the date line."""
-    band = F.explode(F.transform(F.sequence(F.lit(-1), F.lit(1)), lambda d: F.floor(F.col("lat") / step) + d))
-    rows = sites.withColumn("__band", band)
-    width = _lon_step(F.col("__band"), step)
-    cells = F.ceil(F.lit(360.0) / width)
-    home = F.floor(F.pmod(F.col("lon"), F.lit(360.0)) / width)
-    # the last cell before the wrap is narrower, so look one further there
-    ends = (home < 2) | (home >= cells - 2)
-    span = F.when(ends, F.lit(2)).otherwise(F.lit(1))
-    reach = F.transform(F.sequence(-span, span), lambda d: F.pmod(home + d, cells))
-    keep = F.array_distinct(reach)
-    return rows.withColumn("__cell", F.explode(keep))
+    rows = sites.withColumn("__band", F.floor(F.col("lat") / step)).withColumn("__d", F.explode(_offsets(-1, 1)))
+    rows = rows.withColumn("__band", F.col("__band") + F.col("__d")).withColumn("__w", _lon_step(F.col("__band"), step))
+    rows = rows.withColumns(
+        {"__n": F.ceil(F.lit(360.0) / F.col("__w")), "__home": F.floor(F.pmod(F.col("lon"), F.lit(360.0)) / F.col("__w"))}
+    )
+    # the last cell before the wrap is narrower, so look one further there; few cells are all taken
+    home, n = F.col("__home"), F.col("__n")
+    ends = (home < 2) | (home >= n - 2)
+    reach = (
+        F.when(n <= 5, F.sequence(-home, n - 1 - home)).when(ends, _offsets(-2, 2)).otherwise(_offsets(-1, 1))
+    )
+    rows = rows.withColumn("__d", F.explode(reach))
+    return rows.withColumn("__cell", F.pmod(home + F.col("__d"), n)).drop("__d", "__w", "__n", "__home")
 
 
 def stations_within(
@@ -81,6 +87,34 @@ def stations_within(
     )
 
 
+def _at_depths(points: DataFrame, lat: str, lon: str, step: float, deepest: int) -> DataFrame:
+    """Each point once per depth with the path of its cell (``__k``, ``__path``)."""
+    band, cell = _home_cell(F.col(lat), F.col(lon), step)
+    rows = points.withColumns({"__band": band, "__cell": cell})
+    width = _lon_step(F.col("__band"), step)
+    rows = rows.withColumns(
+        {
+            "__y": (F.col(lat) - F.col("__band") * step) / step,
+            "__x": (F.pmod(F.col(lon), F.lit(360.0)) - F.col("__cell") * width) / width,
+        }
+    )
+
+    def digit(k: int) -> Column:
+        n = float(SPLIT**k)
+        sub = F.pmod(F.floor(F.col("__y") * n), F.lit(SPLIT)) * SPLIT + F.pmod(F.floor(F.col("__x") * n), F.lit(SPLIT))
+        return F.substring(F.lit("0123456789abcdef"), (sub + 1).cast("int"), F.lit(1))
+
+    full = F.concat(_home_path(), *[digit(k) for k in range(1, deepest + 1)])
+    depths = F.explode(F.sequence(F.lit(0), F.lit(deepest))).alias("__k")
+    named = rows.withColumn("__full", full).drop("__band", "__cell", "__y", "__x").select("*", depths)
+    cut = F.expr(f"substring(__full, 1, length(__full) - {deepest} + __k)")
+    return named.withColumn("__path", cut).drop("__full")
+
+
+def _home_path() -> Column:
+    return F.concat(F.col("__band").cast("string"), F.lit(":"), F.col("__cell").cast("string"), F.lit(":"))
+
+
 def _cell_tree(points: DataFrame, by: list[str], station: str, step: float) -> tuple[DataFrame, DataFrame]:
     """Station cells divided until they hold few points, and the points with their last cell.
 
@@ -88,24 +122,7 @@ def _cell_tree(points: DataFrame, by: list[str], station: str, step: float) -> t
     exact extent of its points and its parent; cells below an undivided one do not exist. The
     counts of all depths come from one pass, and both tables are written once.
     """
-    band, cell = _home_cell(F.col("st_lat"), F.col("st_lon"), step)
-    rows = points.withColumns({"__band": band, "__cell": cell})
-    width = _lon_step(F.col("__band"), step)
-    y = (F.col("st_lat") - F.col("__band") * step) / step
-    x = (F.pmod(F.col("st_lon"), F.lit(360.0)) - F.col("__cell") * width) / width
-
-    def digit(k: int) -> Column:
-        n = float(SPLIT**k)
-        sub = F.pmod(F.floor(y * n), F.lit(SPLIT)) * SPLIT + F.pmod(F.floor(x * n), F.lit(SPLIT))
-        return F.lower(F.conv(sub.cast("string"), 10, 16))
-
-    home = F.concat(F.col("__band").cast("string"), F.lit(":"), F.col("__cell").cast("string"), F.lit(":"))
-    full = F.concat(home, *[digit(k) for k in range(1, MAX_DEPTH + 1)])
-    named = rows.select(*by, station, "st_lat", "st_lon", full.alias("__full"))
-    depths = F.explode(F.sequence(F.lit(0), F.lit(MAX_DEPTH))).alias("__k")
-    spread = named.select("*", depths).withColumn(
-        "__path", F.expr(f"substring(__full, 1, length(__full) - {MAX_DEPTH} + __k)")
-    )
+    spread = _at_depths(points, "st_lat", "st_lon", step, MAX_DEPTH)
     cells = spread.groupBy(*by, "__k", "__path").agg(
         F.count(F.lit(1)).alias("__n"),
         F.min("st_lat").alias("__lat0"),
@@ -152,9 +169,15 @@ def nearest_station(
     deepest = tree.agg(F.max("__k").alias("k")).first()["k"] or 0
     spot = [*by, "lat", "lon"]
     spots = sites.select(*spot).dropna(subset=["lat", "lon"]).distinct()
-    home = F.concat(F.col("__band").cast("string"), F.lit(":"), F.col("__cell").cast("string"), F.lit(":"))
-    cand = _around(spots, step).select(*spot, home.alias("__path"), F.lit(float("inf")).alias("__best"))
     extent = ["__lat0", "__lat1", "__lon0", "__lon1"]
+    # a first bound: the smallest cell around the site that holds stations
+    around = null_safe_join(
+        _at_depths(spots, "lat", "lon", step, deepest), tree.select(*by, "__path", *extent), [*by, "__path"], "inner"
+    )
+    reach = box_bounds(F.col("lat"), F.col("lon"), *[F.col(c) for c in extent])[1]
+    bound = around.groupBy(*spot).agg(F.min(reach).alias("__best"))
+    spots = null_safe_join(spots, bound, spot).fillna(half_chord(radius_km) + EPS, subset=["__best"])
+    cand = _around(spots, step).select(*spot, _home_path().alias("__path"), "__best")
     found = []
     for k in range(deepest + 1):
         # level 0: the cells around the site; then the children of a kept cell, sixteen at most
@@ -165,12 +188,13 @@ def nearest_station(
             kids = level.select(*by, "__parent", F.col("__path").alias("__kid"), "__leaf", *extent)
             up = cand.withColumnRenamed("__path", "__parent")
             reached = null_safe_join(up, kids, [*by, "__parent"], "inner").withColumnRenamed("__kid", "__path")
-        lo, hi = box_bounds_km(F.col("lat"), F.col("lon"), *[F.col(c) for c in extent])
-        bounded = reached.withColumns({"__lo": lo, "__hi": hi}).filter(F.col("__lo") <= radius_km + EPS_KM)
+        lo, hi = box_bounds(F.col("lat"), F.col("lon"), *[F.col(c) for c in extent])
+        limit = F.least(F.col("__best"), F.lit(half_chord(radius_km))) + EPS
+        bounded = reached.withColumns({"__lo": lo, "__hi": hi}).filter(F.col("__lo") <= limit)
         # a site has a bounded number of candidate cells, so its window is small
         own = Window.partitionBy(*spot)
         best = F.least(F.min("__hi").over(own), F.min("__best").over(own))
-        kept = bounded.withColumn("__best", best).filter(F.col("__lo") <= F.col("__best") + EPS_KM)
+        kept = bounded.withColumn("__best", best).filter(F.col("__lo") <= F.col("__best") + EPS)
         kept = kept.select(*spot, "__path", "__leaf", "__best")
         if deepest > 0:
             kept = checkpointed(kept)  # read twice: by the next division and by the last join
