@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 _Y, _M, _D = r"\d{4}", r"(0?[1-9]|1[0-2])", r"(0?[1-9]|[12]\d|3[01])"
 
 # Accepted layouts, tried in this order (year-first, month-first, day-first), with
-# the shape a value must have. Testing the shape first spares a failed parse for most misfits.
+# the pattern a value must have.
 DATE_LAYOUTS = {
     "yyyy-MM-dd": rf"^{_Y}-(0[1-9]|1[0-2])-(0[1-9]|[12]\d|3[01])$",
     "yyyy-MM-dd'T'HH:mm:ss": rf"^{_Y}-(0[1-9]|1[0-2])-(0[1-9]|[12]\d|3[01])T\d\d:\d\d:\d\d$",
@@ -26,13 +26,28 @@ DATE_PATTERNS = (r"^\d{4}-\d{2}-\d{2}$", r"^\d{2}/\d{2}/\d{4}$", r"^\d{2}\.\d{2}
 DATE_SHARE = 0.7
 
 
+def _shapes(layout: str) -> list[str]:
+    """Texts of a layout with every digit as 9: ``M`` and ``d`` stand for one digit or two."""
+    base = layout.replace("'", "").replace("yyyy", "9999")
+    for two in ("MM", "dd", "HH", "mm", "ss"):
+        base = base.replace(two, "99")
+    out = [base]
+    for one in "Md":
+        out = [s.replace(one, w) for s in out for w in ("9", "99")] if one in base else out
+    return out
+
+
 def parse_date(c: Column, layout: str) -> Column:
     """Date of ``c`` under one layout, null where it does not fit."""
     text = c.cast("string")
     if layout == "yyDDD":
         return from_doy(text)
     parsed = F.try_to_timestamp(text, F.lit(layout)).cast("date")
-    return F.when(text.rlike(DATE_LAYOUTS[layout]), parsed) if layout in DATE_LAYOUTS else parsed
+    if layout not in DATE_LAYOUTS:
+        return parsed
+    # the cheap look at the shape spares the pattern, and the pattern spares most failing parses
+    shape = F.translate(text, "012345678", "999999999")
+    return F.when(shape.isin(_shapes(layout)) & text.rlike(DATE_LAYOUTS[layout]), parsed)
 
 
 def parse_mixed(c: Column, layouts=DATE_LAYOUTS) -> Column:

@@ -120,7 +120,7 @@ def _cell_tree(points: DataFrame, by: list[str], station: str, step: float) -> t
 
     Cells are named by a path, ``band:column:`` plus one digit per division. Each cell has the
     exact extent of its points and its parent; cells below an undivided one do not exist. The
-    counts of all depths come from one pass, and both tables are written once.
+    counts of all depths come from one pass, and the tree is written once.
     """
     spread = _at_depths(points, "st_lat", "st_lon", step, MAX_DEPTH)
     cells = spread.groupBy(*by, "__k", "__path").agg(
@@ -131,10 +131,8 @@ def _cell_tree(points: DataFrame, by: list[str], station: str, step: float) -> t
         F.max("st_lon").alias("__lon1"),
     )
     above = F.when(F.col("__k") > 0, F.expr("substring(__path, 1, length(__path) - 1)"))
-    cells = checkpointed(
-        cells.withColumns(
-            {"__parent": above, "__leaf": (F.col("__n") <= LEAF_POINTS) | (F.col("__k") == MAX_DEPTH)}
-        )
+    cells = cells.withColumns(
+        {"__parent": above, "__leaf": (F.col("__n") <= LEAF_POINTS) | (F.col("__k") == MAX_DEPTH)}
     )
     divided = cells.filter(~F.col("__leaf")).select(*by, F.col("__path").alias("__parent"))
     inner = null_safe_join(cells.filter("__k > 0"), divided, [*by, "__parent"], "left_semi")
@@ -144,31 +142,10 @@ def _cell_tree(points: DataFrame, by: list[str], station: str, step: float) -> t
     return tree, owned.select(*by, "__path", station, "st_lat", "st_lon")
 
 
-def nearest_station(
-    sites: DataFrame,
-    stations: DataFrame,
-    radius_km: float,
-    by: list[str] = (),
-    site: str = "site_id",
-    station: str = "station_id",
+def _nearest_cells(
+    spots: DataFrame, spot: list[str], by: list[str], tree: DataFrame, deepest: int, step: float, radius_km: float
 ) -> DataFrame:
-    """The nearest station of every site within the radius, ties (to a millimetre) by station id.
-
-    Sites without one are absent. Stations sharing coordinates count as one point (the smallest
-    id), sites sharing coordinates are searched once. Crowded cells are divided until they hold
-    few points; each division keeps only cells whose nearest possible distance does not exceed
-    the farthest possible distance of the best cell, which cannot lose the nearest point.
-    """
-    by = list(by)
-    step = _step(radius_km)
-    placed = stations.dropna(subset=["lat", "lon"])
-    points = placed.groupBy(*by, F.col("lat").alias("st_lat"), F.col("lon").alias("st_lon")).agg(
-        F.min(station).alias(station)
-    )
-    tree, leaf_points = _cell_tree(points, by, station, step)
-    deepest = tree.agg(F.max("__k").alias("k")).first()["k"] or 0
-    spot = [*by, "lat", "lon"]
-    spots = sites.select(*spot).dropna(subset=["lat", "lon"]).distinct()
+    """The undivided cells that can hold the nearest point of each spot (``__path``)."""
     extent = ["__lat0", "__lat1", "__lon0", "__lon1"]
     # a first bound: the smallest cell around the site that holds stations
     around = null_safe_join(
@@ -195,12 +172,43 @@ def nearest_station(
         own = Window.partitionBy(*spot)
         best = F.least(F.min("__hi").over(own), F.min("__best").over(own))
         kept = bounded.withColumn("__best", best).filter(F.col("__lo") <= F.col("__best") + EPS)
-        kept = kept.select(*spot, "__path", "__leaf", "__best")
-        if deepest > 0:
-            kept = checkpointed(kept)  # read twice: by the next division and by the last join
+        # read twice, by the next division and by the last join
+        kept = checkpointed(kept.select(*spot, "__path", "__leaf", "__best"))
         found.append(kept.filter("__leaf").select(*spot, "__path"))
         cand = kept.filter(~F.col("__leaf")).select(*spot, "__path", "__best")
-    leaves = reduce(DataFrame.unionByName, found)
+    return reduce(DataFrame.unionByName, found)
+
+
+def nearest_station(
+    sites: DataFrame,
+    stations: DataFrame,
+    radius_km: float,
+    by: list[str] = (),
+    site: str = "site_id",
+    station: str = "station_id",
+) -> DataFrame:
+    """The nearest station of every site within the radius, ties (to a millimetre) by station id.
+
+    Sites without one are absent. Stations sharing coordinates count as one point (the smallest
+    id), sites sharing coordinates are searched once. Crowded cells are divided until they hold
+    few points; each division keeps only cells whose nearest possible distance does not exceed
+    the farthest possible distance of the best cell, which cannot lose the nearest point.
+    """
+    by = list(by)
+    step = _step(radius_km)
+    placed = stations.dropna(subset=["lat", "lon"])
+    points = placed.groupBy(*by, F.col("lat").alias("st_lat"), F.col("lon").alias("st_lon")).agg(
+        F.min(station).alias(station)
+    )
+    tree, leaf_points = _cell_tree(points, by, station, step)
+    deepest = tree.agg(F.max("__k").alias("k")).first()["k"] or 0
+    spot = [*by, "lat", "lon"]
+    spots = sites.select(*spot).dropna(subset=["lat", "lon"]).distinct()
+    if deepest == 0:
+        # no crowded cell: the few points around a site are compared directly
+        leaves = _around(spots, step).select(*spot, _home_path().alias("__path"))
+    else:
+        leaves = _nearest_cells(spots, spot, by, tree, deepest, step, radius_km)
     pairs = null_safe_join(leaves, leaf_points, [*by, "__path"], "inner")
     dist = haversine_km(F.col("lat"), F.col("lon"), F.col("st_lat"), F.col("st_lon"))
     nearest = (
