@@ -6,12 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from agroloom.operators.columns import drop_empty_rows
+from agroloom.operators.mapping import code_lookup, map_data
+from agroloom.operators.scale import null_safe_join
 from agroloom.operators.weather import daily_weather, to_model_names
 from agroloom.plans import export as ex
 from agroloom.plans import templates as tpl
-from agroloom.plans.sections import mid_elevation
+from agroloom.plans.sections import mid_elevation, year_ids
 from agroloom.queries import Tables, query
-from agroloom.queries.trials import BASE_SQL, base
+from agroloom.queries.trials import BASE_SQL, base, trial_bundle
 from agroloom.session import scratch_path
 from agroloom.sources import reports
 
@@ -96,6 +98,41 @@ def fertilizer_block(t: Tables) -> DataFrame:
     return lines.select("experiment_id", F.col("Year").cast("long").alias("Year"), "line")
 
 
+_PIPELINE_MAP = [
+    dict(zip(("table_name", "column_header", "column_unit", "std_header", "std_unit", "code_mappings"), r))
+    for r in [
+        ("FERTILIZERS", "FE_ID", "", "F", "text", ""),
+        ("FERTILIZERS", "DUENGUNG__Termin", "date", "FDATE", "date", ""),
+        ("FERTILIZERS", "DUENGUNG__Menge", "g/m2", "FAMN", "kg/ha", ""),
+        ("FERTILIZERS", "DUENGEMITTEL__Mittel", "", "FMCD", "code", "list('fert1: FE041', 'fert2: FE005')"),
+    ]
+]
+
+
+@query(
+    f"""WITH {BASE_SQL}, f AS (SELECT DISTINCT experiment_id, y, f1, f2 FROM base), s AS (SELECT DISTINCT experiment_id, y FROM base)
+    SELECT experiment_id, y AS "Year", '*EXP.DETAILS: Trial ' || experiment_id AS line FROM s
+    UNION ALL SELECT experiment_id, y, '*FERTILIZERS' FROM s
+    UNION ALL SELECT experiment_id, y, '@    F FDATE  FMCD  FACD  FDEP  FAMN  FAMP  FAMK  FAMC  FAMO  FOCD FERNAME' FROM s
+    UNION ALL SELECT experiment_id, y, printf('%6.0f', ((f2 - 1) * 2 + f1)::DOUBLE) || ' ' || strftime(make_date(y::INT, 4, (f2 + 1)::INT), '%y%j')
+        || CASE f1 WHEN 1 THEN ' FE041' ELSE ' FE005' END || '   -99   -99' || printf('%6.1f', f2 * 500.0) || repeat('   -99', 5) || '     -99' FROM f"""
+)
+def trial_file(t: Tables) -> DataFrame:
+    """From undocumented tables to the lines of the management file."""
+    got = trial_bundle(t)
+    numbered = year_ids(got["DUENGUNG"], ["Year", "DUENGUNG__Menge", "DUENGEMITTEL__Mittel"], "FE_ID", BY)
+    codes = t.spark.createDataFrame([m for m in _PIPELINE_MAP if m["std_unit"] == "code"])
+    lookup = code_lookup(codes.select("table_name", "std_header", "code_mappings"))
+    mapped = map_data(numbered, "FERTILIZERS", _PIPELINE_MAP, lookup, keep_unmapped=False, exempt=[*BY, "Year"])
+    section, _ = ex.build_management(ex.split_by_year({"FERTILIZERS": mapped}, BY), BY)
+    years = section["FERTILIZERS"].select(*BY, "Year").distinct()
+    titles = null_safe_join(years, got["HEADER"].select(*BY, "EXP_DETAILS"), BY)
+    lines = ex.management_lines({"FERTILIZERS": section["FERTILIZERS"]}, [*BY, "Year"], titles)
+    path = scratch_path(t.spark, "trial")
+    ex.write_text(lines, path, [*BY, "Year"])
+    return t.spark.read.text(path).select("experiment_id", F.col("Year").cast("long").alias("Year"), F.col("value").alias("line"))
+
+
 @query(
     _SECTIONS_SQL
     + """SELECT DISTINCT experiment_id, y AS "Year", 1.0::DOUBLE AS "N", 'GE' AS "GENERAL", 'N' AS "WATER", 2150.0::DOUBLE AS "RSEED", 'SI' AS "SIMDATES",

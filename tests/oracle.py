@@ -33,6 +33,9 @@ def _kind(v):
 def differences(spark, folder, fn, sql):
     """Empty text when both agree in columns, rows and values."""
     df = fn(spark, folder)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    if "CartesianProduct" in plan or "BroadcastNestedLoopJoin" in plan:
+        return "the plan pairs rows without a key"
     cols = sorted(df.columns)
     ours = [tuple(_norm(r[c]) for c in cols) for r in df.collect()]
     cur = connect(folder).execute(sql)
