@@ -59,8 +59,8 @@ def management_ids(
 ) -> DataFrame:
     """Id of a management record: factor ids joined by ``_`` in treatment years, else the year id.
 
-    ``flags`` holds (scope, year, is_trt). ``max_rows=None`` when the factors are levels of one
-    experiment, of which there are few per year.
+    ``flags`` holds (scope, year, is_trt). ``max_rows=None`` when the caller has checked that a
+    scope has few factor levels and years.
     """
     by = list(by)
     out = null_safe_join(df, flags.select(*by, year, "is_trt"), [*by, year])

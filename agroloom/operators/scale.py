@@ -66,7 +66,7 @@ def row_numbers(
 
     Groups up to ``max_rows`` use one window. A larger group is spread over range
     partitions: number within the partition plus the rows of the partitions before.
-    ``None`` skips the size check, for groups small by nature (years of an experiment).
+    ``None`` leaves the size check to the caller.
     """
     if max_rows is None or largest_group(df, by) <= max_rows:
         return df.withColumn(name, F.row_number().over(Window.partitionBy(*by).orderBy(*order)).cast("long"))

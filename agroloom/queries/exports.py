@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 from agroloom.operators.columns import drop_empty_rows
 from agroloom.operators.mapping import code_lookup, map_data
-from agroloom.operators.scale import null_safe_join
+from agroloom.operators.scale import dense_ids, null_safe_join
 from agroloom.operators.weather import daily_weather, to_model_names
 from agroloom.plans import export as ex
 from agroloom.plans import templates as tpl
-from agroloom.plans.sections import mid_elevation, year_ids
+from agroloom.plans.sections import mid_elevation
 from agroloom.queries import Tables, query
 from agroloom.queries.trials import BASE_SQL, base, trial_bundle
 from agroloom.session import scratch_path
@@ -120,7 +120,7 @@ _PIPELINE_MAP = [
 def trial_file(t: Tables) -> DataFrame:
     """From undocumented tables to the lines of the management file."""
     got = trial_bundle(t)
-    numbered = year_ids(got["DUENGUNG"], ["Year", "DUENGUNG__Menge", "DUENGEMITTEL__Mittel"], "FE_ID", BY)
+    numbered = dense_ids(got["DUENGUNG"], ["Year", "DUENGUNG__Menge", "DUENGEMITTEL__Mittel"], "FE_ID", BY)
     codes = t.spark.createDataFrame([m for m in _PIPELINE_MAP if m["std_unit"] == "code"])
     lookup = code_lookup(codes.select("table_name", "std_header", "code_mappings"))
     mapped = map_data(numbered, "FERTILIZERS", _PIPELINE_MAP, lookup, keep_unmapped=False, exempt=[*BY, "Year"])
