@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from agroloom.llm import exact, mixing, pieces, sharding, tokens
+from agroloom.llm import exact, mixing, pages, pieces, quality, rules, sharding, simhash, substrings, tokens
 
 PIECE_MODEL = "piece_bpe_32k.model"
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -35,6 +35,22 @@ def op1_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.piece_digests(table(spark, folder, "documents"), public_tokenizers.path(PIECE_MODEL))
 
 
+@query(
+    """
+    WITH d AS (SELECT doc_id, coalesce(list_filter(string_split_regex(text, '[ \t\n\x0B\f\r]+'), lambda x: x <> ''), []) AS w FROM documents),
+    win AS (SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS s FROM d, unnest(range(1, greatest(len(w) - 18, 1))) AS u(i)),
+    f AS (SELECT doc_id, i, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) AS r FROM win),
+    gone AS (SELECT DISTINCT doc_id, p FROM f, unnest(range(i, i + 20)) AS u(p) WHERE r > 1),
+    g AS (SELECT doc_id, list(p) AS ps FROM gone GROUP BY doc_id)
+    SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(ps), 0) AS BIGINT) AS n_removed,
+           sha256(coalesce(array_to_string(list_filter(w, lambda x, i: NOT list_contains(coalesce(ps, []), i)), ' '), '')) AS kept_sha256
+    FROM d LEFT JOIN g USING (doc_id)
+    """
+)
+def op2_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substrings.substring_digests(table(spark, folder, "documents"))
+
+
 @query()
 def op3_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_sizes(table(spark, folder, "documents"))
@@ -52,11 +68,58 @@ def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact.exact_groups(table(spark, folder, "documents"))
 
 
+@query()
+def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query()
+def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, folder, "documents"))
+
+
 @query()
 def op7_shards(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_by_bytes(table(spark, folder, "documents"))
 
 
+@query()
+def op8_page_text(spark: SparkSession, folder: str) -> DataFrame:
+    return pages.page_texts(table(spark, folder, "pages"))
+
+
+@query(
+    """
+    WITH d AS (SELECT doc_id, source, coalesce(text, '') AS t,
+                      coalesce(list_filter(string_split_regex(text, '[ \t\n\x0B\f\r]+'), lambda x: x <> ''), []) AS w FROM documents),
+    win AS (SELECT doc_id, i, array_to_string(w[i:i + 4], ' ') AS s FROM d, unnest(range(1, greatest(len(w) - 3, 1))) AS u(i)),
+    rep AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, s) AS c FROM win),
+    cov AS (SELECT doc_id, count(DISTINCT p) AS n FROM rep, unnest(range(i, i + 5)) AS u(p) WHERE c > 1 GROUP BY doc_id),
+    line AS (SELECT doc_id, source, t, l FROM d, unnest(string_split(t, chr(10))) AS u(l) WHERE regexp_matches(l, '[^ \t\x0B\f\r]')),
+    dup AS (SELECT doc_id, count(*) - count(DISTINCT l) AS n FROM line GROUP BY doc_id),
+    norm AS (SELECT doc_id, source, t, list_filter(string_split_regex(l, '[ \t\x0B\f\r]+'), lambda x: x <> '') AS ws FROM line),
+    keyed AS (SELECT doc_id, source, t, len(ws) AS n,
+                     translate(array_to_string(ws, ' '), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k FROM norm),
+    freq AS (SELECT source, k, count(DISTINCT t) AS c FROM keyed GROUP BY source, k),
+    host AS (SELECT source, count(DISTINCT t) AS c FROM d GROUP BY source),
+    common AS (SELECT f.source, f.k FROM freq f JOIN host h ON f.source IS NOT DISTINCT FROM h.source WHERE f.c > 10 AND f.c > 0.1 * h.c),
+    off AS (SELECT a.doc_id, sum(a.n) AS n FROM keyed a JOIN common c ON a.source IS NOT DISTINCT FROM c.source AND a.k = c.k GROUP BY a.doc_id),
+    base AS (
+      SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words,
+             CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+             CAST(length(t) - length(translate(t, '#*$%&|<>', '')) AS BIGINT) AS n_symbols,
+             CAST(coalesce(dup.n, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(cov.n, 0) AS BIGINT) AS n_repeat_words,
+             CAST(coalesce(off.n, 0) AS BIGINT) AS n_common_words
+      FROM d LEFT JOIN dup USING (doc_id) LEFT JOIN cov USING (doc_id) LEFT JOIN off USING (doc_id))
+    SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+           NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words OR n_words - n_common_words < 0.2 * n_words) AS kept
+    FROM base
+    """
+)
+def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return rules.rule_verdicts(table(spark, folder, "documents"))
+
+
 @query()
 def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.token_counts(table(spark, folder, "documents"), public_tokenizers.path(WORD_TOKENIZER))

@@ -9,15 +9,23 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from agroloom.llm import exact, mixing, pieces
+from agroloom.llm import exact, mixing, pieces, rules, simhash
 from agroloom.llm.queries import PIECE_MODEL
 from agroloom.session import scratch_path
 
 
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return rules.keep_good(docs)
+
+
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact.drop_repeats(docs)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return simhash.drop_near(docs)
+
+
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mixed_documents(docs)
 
@@ -27,7 +35,9 @@ def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 STAGES = [
+    ("quality rules", quality_rules),
     ("exact dedup", exact_dedup),
+    ("near dedup", near_dedup),
     ("mixing", source_mix),
     ("sentencepiece", sentencepiece),
 ]
