@@ -299,7 +299,7 @@ def extract_pages(df: DataFrame, url: str = "url", page: str = "html") -> DataFr
         for batch in batches:
             for part in slices(batch, page):
                 texts = map(main_text, texts_of(part, page).to_pylist(), part.column("winning_path").to_pylist())
-                names = [f.name for f in fields]
+                names = [n for n in part.schema.names if n not in (page, "winning_path")]
                 yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), pa.array(list(texts), pa.string())], [*names, "text"])
 
     schema = rows.select(*[F.col(f"`{f.name}`") for f in fields], F.lit("").alias("text")).schema

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from agroloom.llm.text import map_arrow, slices, sums_by_row, texts_of, words_of
+from agroloom.llm.text import map_arrow, slices, texts_of, words_of
 
 FEATURES = 1 << 16
 SAMPLE_ROWS = 8_000  # labelled rows that the model is fitted on, at most
@@ -74,26 +74,6 @@ def indicators(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (keys % FEATURES).astype(np.int32), np.bincount(keys // FEATURES, minlength=len(counts))
 
 
-@dataclass
-class Classifier:
-    """Weights of the features' indicators, bias, and the sigmoid that turns a margin into a score."""
-
-    weights: np.ndarray
-    bias: float
-    slope: float
-    offset: float
-
-    def scores(self, texts: pa.Array) -> np.ndarray:
-        features, counts = indicators(texts)
-        margin = self.margins(features, counts)
-        return 1 / (1 + np.exp(-np.clip(self.slope * margin + self.offset, -30, 30)))
-
-    def margins(self, features: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        ends = np.concatenate(([0.0], np.cumsum(self.weights[features])))
-        last = np.cumsum(counts)
-        return ends[last] - ends[last - counts] + self.bias
-
-
 def log_count_ratios(rows: list[np.ndarray], good: np.ndarray) -> np.ndarray:
     counts = [np.full(FEATURES, SMOOTHING) for _ in range(2)]
     for x, g in zip(rows, good):
@@ -145,20 +125,24 @@ def _margin(w: np.ndarray, bias: float, ratio: np.ndarray, rows: list[np.ndarray
 
 
 @dataclass
-class NbSvm(Classifier):
-    """Weights act on ratio-scaled indicators of unit length."""
+class NbSvm:
+    """Weights of the ratio-scaled indicators, bias, and the sigmoid that turns a margin into a score."""
 
+    weights: np.ndarray
+    bias: float
+    slope: float
+    offset: float
     ratio: np.ndarray
 
-    def margins(self, features: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        last = np.cumsum(counts)
-
-        def sums(x: np.ndarray) -> np.ndarray:
-            ends = np.concatenate(([0.0], np.cumsum(x)))
-            return ends[last] - ends[last - counts]
-
+    def scores(self, texts: pa.Array) -> np.ndarray:
+        if not len(texts):
+            return np.empty(0)
+        features, counts = indicators(texts)
+        starts = np.cumsum(counts) - counts  # every text has a feature
         r = self.ratio[features]
-        return sums(self.weights[features] * r) / np.maximum(np.sqrt(np.maximum(sums(r * r), 0)), 1e-9) + self.bias
+        length = np.sqrt(np.add.reduceat(r * r, starts))
+        margin = np.add.reduceat(self.weights[features] * r, starts) / np.maximum(length, 1e-9) + self.bias
+        return 1 / (1 + np.exp(-np.clip(self.slope * margin + self.offset, -30, 30)))
 
 
 def fitted(rows: list[np.ndarray], good: np.ndarray) -> NbSvm:

@@ -169,15 +169,16 @@ def _single_windows(rows: pa.Table) -> Iterator[pa.RecordBatch]:
         yield _batch(list(out), _FOUND)
 
 
-def bucket_sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _packed_windows(t: pa.Table) -> int:
+    return int(pc.sum(pc.subtract(pc.count_substring(t.column("packed"), " "), WINDOW - 2)).as_py() or 0)
+
+
+def bucket_sort(batches: Iterator[pa.RecordBatch], chunk: int = CHUNK, group: int = GROUP) -> Iterator[pa.RecordBatch]:
     """Rows come sorted by minimiser. Complete minimisers are sorted out in chunks; one that is too large for a task
     goes on as single windows; found stretches pass."""
     held: list[pa.Table] = []
     windows, large = 0, None
 
-    def size(t: pa.Table) -> int:
-        return int(pc.sum(pc.subtract(pc.count_substring(t.column("packed"), " "), WINDOW - 2)).as_py() or 0)
-
     for batch in batches:
         table = pa.Table.from_batches([batch])
         done = table.filter(pc.is_valid(table.column("until")))
@@ -196,8 +197,8 @@ def bucket_sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     continue
                 large = None
             held.append(part)
-            windows += size(part)
-            if windows < CHUNK:
+            windows += _packed_windows(part)
+            if windows < chunk:
                 continue
             rows = pa.concat_tables(held).combine_chunks()
             key = rows.column("minimiser").to_numpy()
@@ -205,20 +206,23 @@ def bucket_sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if cut:
                 yield _sorted_out(rows.slice(0, cut))
             rows = rows.slice(cut)
-            held, windows = [rows], size(rows)
-            if windows > GROUP:
+            held, windows = [rows], _packed_windows(rows)
+            if windows > group:
                 large, held, windows = int(key[-1]), [], 0
                 yield from _single_windows(rows)
     if held and windows:
         yield _sorted_out(pa.concat_tables(held).combine_chunks())
 
 
-def repeated_stretches(rows: DataFrame) -> DataFrame:
-    """doc_id, text_hash, first, until: words covered by windows that also start earlier. ``rows``: doc_id, text_hash, text."""
+def repeated_stretches(rows: DataFrame, chunk: int = CHUNK, group: int = GROUP) -> DataFrame:
+    """doc_id, text_hash, first, until: words covered by windows that also start earlier. ``rows``: doc_id, text_hash, text.
+
+    ``chunk`` and ``group`` bound a task's memory and don't change the result.
+    """
     kmers = map_arrow(rows, super_kmers, _PACKED)
     spread = F.when(F.col("until").isNull(), F.col("minimiser")).otherwise(F.xxhash64("doc_id", "first"))
     dealt = kmers.withColumn("minimiser", spread).repartition("minimiser").sortWithinPartitions("minimiser")
-    found = checkpointed(map_arrow(dealt, bucket_sort, _FOUND))
+    found = checkpointed(map_arrow(dealt, lambda batches: bucket_sort(batches, chunk, group), _FOUND))
     ready = found.where("packed is null").drop("packed")
     single = found.where("packed is not null").withColumn("place", F.struct("doc_id", "text_hash", "first"))
     earliest = single.groupBy("packed").agg(F.min("place").alias("earliest"))
@@ -254,7 +258,7 @@ def _strip(text: str):
     return run
 
 
-def without_repeats(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def without_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", chunk: int = CHUNK, group: int = GROUP) -> DataFrame:
     """All rows of ``df`` with n_words, n_removed and kept_text in place of the text.
 
     A word goes if a window of 20 words over it also starts earlier: in a smaller key, in the same document, or (of rows
@@ -264,7 +268,8 @@ def without_repeats(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     df = df.drop("n_words", "n_removed", "kept_text", "__gone")
     place = F.coalesce(F.col(key).cast("long"), F.lit(2**63 - 1))
     hashed = F.coalesce(F.xxhash64(text), F.lit(0))
-    found = repeated_stretches(df.select(place.alias("doc_id"), hashed.alias("text_hash"), F.col(text).alias("text")))
+    whole = df.select(place.alias("doc_id"), hashed.alias("text_hash"), F.col(text).alias("text"))
+    found = repeated_stretches(whole, chunk, group)
     gone = found.groupBy(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
     gone = gone.agg(F.collect_list(F.struct("first", "until")).alias("__gone"))
     rows = null_safe_join(df.withColumns({"__id": place, "__hash": hashed}), gone, ["__id", "__hash"]).drop("__id", "__hash")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
@@ -11,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 # Words are runs of anything but space, tab, line feed, vertical tab, form feed and carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -77,7 +79,11 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(app)
 
 
-def map_arrow(df: DataFrame, fn: Callable, schema) -> DataFrame:
-    """``mapInArrow`` with this package at hand on the executors."""
+def map_arrow(df: DataFrame, fn: Callable, schema: T.StructType | str) -> DataFrame:
+    """``mapInArrow`` with this package at hand on the executors, also for column names that need quotes."""
     ship_package(df.sparkSession)
-    return df.mapInArrow(fn, schema)
+    if isinstance(schema, str) or not any("." in c or "`" in c for c in df.columns):
+        return df.mapInArrow(fn, schema)
+    plain = {c: re.sub("[.`]", "\u2024", c) for c in df.columns}
+    inner = T.StructType([T.StructField(plain.get(f.name, f.name), f.dataType, f.nullable) for f in schema.fields])
+    return df.toDF(*plain.values()).mapInArrow(fn, inner).toDF(*schema.names)

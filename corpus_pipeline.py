@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from agroloom.llm import exact, mixing, pieces, rules, simhash
 from agroloom.llm.queries import PIECE_MODEL
@@ -27,7 +28,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.mixed_documents(docs)
+    return mixing.mixed_documents(docs).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
