@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from agroloom.operators.scale import WINDOW_ROWS, dense_ids, null_safe_join, row_numbers
+from agroloom.operators.scale import null_safe_join, nulls_last, row_numbers
 
 
 def event_numbers(df: DataFrame, group: list[str], date: str, tie: list[str], name: str = "event_no") -> DataFrame:
     """1..n per group by date; ``tie`` columns make the order total."""
     order = [F.col(date).asc_nulls_last()] + [F.col(c).asc_nulls_last() for c in tie]
-    return row_numbers(df, group, order, name)
+    return row_numbers(df, group, order, name, spread=True)
 
 
 def latest_flag(df: DataFrame, group: list[str], date: str, name: str = "is_latest") -> DataFrame:
@@ -49,33 +49,29 @@ def reset_ids(df: DataFrame, columns: list[str], by: list[str] = ()) -> DataFram
 
 
 def management_ids(
-    df: DataFrame,
-    flags: DataFrame,
-    factors: list[str],
-    name: str,
-    by: list[str] = (),
-    year: str = "Year",
-    max_rows: int | None = WINDOW_ROWS,
+    df: DataFrame, flags: DataFrame, factors: list[str], name: str, by: list[str] = (), year: str = "Year"
 ) -> DataFrame:
     """Id of a management record: factor ids joined by ``_`` in treatment years, else the year id.
 
-    ``flags`` holds (scope, year, is_trt). ``max_rows=None`` when the caller has checked that a
-    scope has few factor levels and years.
+    ``flags`` holds (scope, year, is_trt). All ids are ranks on the distinct (scope, year, factors), which meet
+    the rows in one join.
     """
     by = list(by)
-    out = null_safe_join(df, flags.select(*by, year, "is_trt"), [*by, year])
-    parts = []
-    for i, f in enumerate(factors):
-        out = dense_ids(out, [year, f], f"__id{i}", by, max_rows)
-        parts.append(F.col(f"__id{i}").cast("string"))
-    out = dense_ids(out, [year], "__id", by, max_rows)
-    value = F.when(F.col("is_trt"), F.concat_ws("_", *parts)).otherwise(F.col("__id").cast("string"))
-    return out.withColumn(name, value).drop("is_trt", "__id", *[f"__id{i}" for i in range(len(factors))])
+    levels = [f for f in factors if f not in (*by, year)]
+    keys = df.select(*by, year, *levels).distinct()
+    keys = null_safe_join(keys, flags.select(*by, year, "is_trt"), [*by, year])
 
+    def rank(*cols: str) -> Column:
+        order = nulls_last([c for c in dict.fromkeys(cols) if c not in by])
+        return F.dense_rank().over(Window.partitionBy(*by).orderBy(*order)).cast("string")
 
-def sequence_ids(df: DataFrame, order: list[str], name: str, by: list[str] = ()) -> DataFrame:
-    """1..n in the order of explicit key columns."""
-    return row_numbers(df, list(by), [F.col(c).asc_nulls_last() for c in order], name)
+    value = F.when(F.col("is_trt"), F.concat_ws("_", *[rank(year, f) for f in factors])).otherwise(rank(year))
+    return null_safe_join(df, keys.withColumn(name, value).drop("is_trt"), [*by, year, *levels])
+
+
+def sequence_ids(df: DataFrame, order: list[str], name: str, by: list[str] = (), spread: bool = True) -> DataFrame:
+    """1..n in the order of explicit key columns; ``spread=False`` for scopes with few rows."""
+    return row_numbers(df, list(by), nulls_last(order), name, spread)
 
 
 def first_row(df: DataFrame, group: list[str], order: list[str]) -> DataFrame:
@@ -85,7 +81,3 @@ def first_row(df: DataFrame, group: list[str], order: list[str]) -> DataFrame:
     # nulls sort first in a struct comparison; the order columns are keys and not null
     return df.groupBy(*group).agg(F.min(packed).alias("s")).select(*group, "s.*").select(*df.columns)
 
-
-def bounded_window(group: list[str], order: list[str]) -> Window:
-    """Window for groups whose size is bounded by nature (days of a station year)."""
-    return Window.partitionBy(*group).orderBy(*[F.col(c).asc_nulls_last() for c in order])

@@ -1,8 +1,8 @@
 """Dictionary mapping of headers, codes and units.
 
 A mapping is a list of rows (dicts) with ``table_name, column_header, column_unit, std_header,
-std_unit, code_mappings``; :func:`read_mapping` brings a mapping DataFrame to the driver after
-checking its size.
+std_unit, code_mappings``; :func:`read_mapping` brings a mapping DataFrame to the driver, as header names are part of the
+schema. Code lookups stay distributed.
 """
 
 from __future__ import annotations
@@ -13,14 +13,8 @@ from pyspark.sql import functions as F
 from agroloom.functions.units import NO_CONVERSION, convert_unit
 from agroloom.operators.scale import null_safe_join
 
-MAX_MAPPING_ROWS = 20_000  # a dictionary has some hundred rows
-MAX_LITERAL_CODES = 500  # above this, codes are joined instead of written into the expression
-
 
 def read_mapping(table: DataFrame) -> list[dict]:
-    n = table.count()
-    if n > MAX_MAPPING_ROWS:
-        raise ValueError(f"a mapping table of {n} rows is not a dictionary")
     return [r.asDict() for r in table.collect()]
 
 
@@ -34,8 +28,8 @@ def code_lookup(table: DataFrame, text: str = "code_mappings") -> DataFrame:
     entry = F.explode(F.regexp_extract_all(F.col(text), F.lit("'([^']*)'"), F.lit(1))).alias("entry")
     pair = F.split("entry", ": ")
     source, target = F.get(pair, F.lit(0)), F.get(pair, F.lit(1))
-    inner = F.regexp_replace(source, r"[c()]", "")
-    sources = F.when(source.contains("c("), F.split(inner, ", ")).otherwise(F.array(source))
+    several = F.regexp_extract(source, r"^\s*c\((.*)\)\s*$", 1)
+    sources = F.when(several != "", F.split(several, r"\s*,\s*")).otherwise(F.array(source))
     return (
         table.select(*rest, entry)
         .select(*rest, F.explode(sources).alias("source"), target.alias("target"))
@@ -46,24 +40,14 @@ def code_lookup(table: DataFrame, text: str = "code_mappings") -> DataFrame:
 def map_codes(df: DataFrame, lookup: DataFrame, columns: list[str], header: str = "std_header") -> DataFrame:
     """Recode ``columns`` by a lookup (header, source, target); unmatched values become null.
 
-    Small lookups are written into the expression, larger ones are joined on the value.
+    A column without any lookup row stays. Coded columns come out as text; of several targets of a source the smallest counts.
     """
     out = df
     for c in columns:
-        part = lookup.filter(F.col(header) == c).select("source", "target").distinct()
-        # the first entry of a source wins, as in a recode; "first" is by target order
-        part = part.groupBy("source").agg(F.min("target").alias("target"))
-        n = part.count()
-        if n == 0:
-            continue
-        if n <= MAX_LITERAL_CODES:
-            pairs = [F.lit(v) for r in part.collect() for v in (r["source"], r["target"])]
-            out = out.withColumn(c, F.try_element_at(F.create_map(*pairs), F.col(c).cast("string")))
-        else:
-            named = part.select(F.col("source").alias("__src"), F.col("target").alias("__tgt"))
-            keyed = out.withColumn("__src", F.col(c).cast("string"))
-            out = null_safe_join(keyed, named, ["__src"]).withColumn(c, F.col("__tgt")).drop("__src", "__tgt")
-            out = out.select(*df.columns)
+        part = lookup.filter(F.col(header) == c).groupBy(F.col("source").alias("__src")).agg(F.min("target").alias("__tgt"))
+        some = part.agg(F.count(F.lit(1)).alias("n")).scalar() > 0
+        keyed = null_safe_join(out.withColumn("__src", F.col(c).cast("string")), part, ["__src"])
+        out = keyed.withColumn(c, F.when(some, F.col("__tgt")).otherwise(F.col("__src"))).select(*df.columns)
     return out
 
 

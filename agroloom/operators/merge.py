@@ -125,41 +125,73 @@ def chain_left(base: DataFrame, tables: list[DataFrame], keys: list[str] | None
     return out
 
 
-def repeats_keys(df: DataFrame, keys: list[str]) -> bool:
-    """Some key has more than one row."""
-    row = df.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(F.struct(*keys)).alias("d")).first()
-    return row["n"] > row["d"]
+def own_names(tables: dict[str, DataFrame], keys: list[str], taken: list[str] = ()) -> dict[str, DataFrame]:
+    """Columns that several tables (or ``taken``) have beside the keys carry their table's name; the names alone decide."""
+    uses: dict[str, int] = {c: 1 for c in taken if c not in keys}
+    for t in tables.values():
+        for c in t.columns:
+            uses[c] = uses.get(c, 0) + 1
+    return {
+        n: t.withColumnsRenamed({c: f"{n}__{c}" for c in t.columns if c not in keys and uses[c] > 1}) for n, t in tables.items()
+    }
+
+
+def full_join(tables: dict[str, DataFrame], keys: list[str]) -> DataFrame:
+    """Full outer join of all tables on common keys. Rows of a key are paired, so this is for tables with one row
+    per key; see :func:`stacked` for the others."""
+    out = None
+    for t in own_names(tables, keys).values():
+        if out is None:
+            out = t
+            continue
+        rest = [c for c in (*out.columns, *t.columns) if c not in keys]
+        twins = {k: f"__r_{i}" for i, k in enumerate(keys)}
+        right = t.withColumnsRenamed(twins)
+        on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(r)) for k, r in twins.items()])
+        both = out.withColumn("__left", F.lit(True)).join(right, on, "full")
+        first = F.col("__left").isNotNull()
+        out = both.select(*[F.when(first, F.col(k)).otherwise(F.col(r)).alias(k) for k, r in twins.items()], *rest)
+    return out
+
+
+def stacked(tables: dict[str, DataFrame], keys: list[str]) -> DataFrame:
+    """Long form: every row of every table once, with the name of its table in ``source``."""
+    named = own_names(tables, keys)
+    return union_padded(*[t.withColumn("source", F.lit(n)) for n, t in named.items()])
 
 
-def full_align(tables: dict[str, DataFrame], keys: list[str]) -> DataFrame:
-    """Full outer join of several tables on common keys, without pairing rows inside a key.
+def on_design(design: DataFrame, tables: dict[str, DataFrame], keys: list[str], facts: list[str], long: bool) -> DataFrame:
+    """Observed tables with the ``facts`` of the design, seeded with the design: its rows without any observation stay.
 
-    * tables with one row per key: one union and one grouped aggregate
-    * one table with several rows per key: it is the left side, keys it lacks are appended
-    * two or more such tables: pairing them would multiply their rows, so they are returned in
-      long form, each row once, with the name of its table in ``source``
+    A table's own column called like a fact counts where the design does not know the key; where both differ the table's
+    value is kept as ``TABLE__name``. ``long`` stacks the tables (:func:`stacked`), else they are joined
+    (:func:`full_join`).
     """
-    many = [n for n, t in tables.items() if repeats_keys(t, keys)]
-    one = [n for n in tables if n not in many]
-    wide = None
-    if one:
-        stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [tables[n] for n in one])
-        rest = [c for c in stacked.columns if c not in keys]
-        wide = stacked if len(one) == 1 else stacked.groupBy(*keys).agg(
-            *[F.first(c, ignorenulls=True).alias(c) for c in rest]
-        )
-    if not many:
-        return wide
-    if len(many) == 1:
-        rows = tables[many[0]]
-        if wide is None:
-            return rows
-        lacking = null_safe_join(wide, rows.select(*keys).distinct(), keys, "left_anti")
-        return null_safe_join(rows, wide, keys).unionByName(lacking, allowMissingColumns=True)
-    parts = [tables[n].withColumn("source", F.lit(n)) for n in many]
-    if wide is not None:
-        parts.append(wide.withColumn("source", F.lit("+".join(one))))
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    base = design.select(*keys, *facts).distinct()
+    known = [f for f in facts if any(f in t.columns for t in tables.values())]
+    named = {n: t.withColumnsRenamed({f: f"__own_{f}" for f in known if f in t.columns}) for n, t in tables.items()}
+
+    def settled(df: DataFrame, names: dict[str, str]) -> DataFrame:
+        """``names``: column with a table's own value -> the name under which a different value stays."""
+        for own, stay in names.items():
+            fact = own.split("__own_")[1]
+            df = df.withColumn(stay, F.when(F.col(own) != F.col(fact), F.col(own)))
+            df = df.withColumn(fact, F.coalesce(F.col(fact), F.col(own))).drop(own)
+        return df
+
+    if not long:
+        qualified = {n: t.withColumnsRenamed({f"__own_{f}": f"{n}__own_{f}" for f in known}) for n, t in named.items()}
+        out = full_join({"": base, **own_names(qualified, keys, facts)}, keys)
+        return settled(out, {f"{n}__own_{f}": f"{n}__{f}" for n, t in tables.items() for f in known if f in t.columns})
+    parts = {}
+    for n, t in own_names(named, [*keys, *[f"__own_{f}" for f in known]], facts).items():
+        rows = null_safe_join(t, base, keys)
+        parts[n] = settled(rows, {f"__own_{f}": f"{n}__{f}" for f in known if f"__own_{f}" in t.columns})
+    if not parts:
+        return base.withColumn("source", F.lit(None).cast("string"))
+    seen = reduce(DataFrame.union, [t.select(*keys) for t in tables.values()]).distinct()
+    out = stacked(parts, [*keys, *facts, *[f"{n}__{f}" for n in parts for f in known]])
+    return union_padded(out, null_safe_join(base, seen, keys, "left_anti"))
 
 
 def union_padded(*tables: DataFrame) -> DataFrame:
@@ -175,15 +207,34 @@ def rows_in_one(a: DataFrame, b: DataFrame) -> DataFrame:
     return only_a.unionByName(only_b, allowMissingColumns=True)
 
 
+def contained_values(new: DataFrame, existing: DataFrame, column: str) -> DataFrame:
+    """Distinct values of ``new`` that are contained in a value of ``existing``; a null matches a null.
+
+    Each existing value is cut into its substrings of the lengths that occur among the new ones, so the two meet in an
+    equi join. Codes and names are short: a value of n characters has at most n substrings per length.
+    """
+    wanted = new.select(F.col(column).cast("string").alias("v")).distinct()
+    sizes = wanted.agg(F.collect_set(F.length("v")).alias("n")).scalar()
+    text = existing.select(F.col(column).cast("string").alias("t")).distinct().withColumn("sizes", sizes)
+    cuts = F.transform(
+        F.filter("sizes", lambda n: n <= F.length("t")),
+        lambda n: F.transform(F.sequence(F.lit(1), F.greatest(F.length("t") - n + 1, F.lit(1))), lambda i: F.substr("t", i, n)),
+    )
+    have = text.select(F.explode_outer(F.when(F.col("t").isNotNull(), F.flatten(cuts))).alias("v")).distinct()
+    known = null_safe_join(wanted, have, ["v"], "left_semi")
+    return known.select(F.col("v").cast(new.schema[column].dataType).alias(column))
+
+
 def guarded_insert(existing: DataFrame, new: DataFrame, unique: list[str]) -> tuple[DataFrame, DataFrame]:
     """Append records whose code and name are new; return (table, refused records).
 
-    Of several new records with one code or name, the smallest by column order is taken.
+    A record is refused if its value is contained in one of the table, in any of the ``unique`` columns. Of several new
+    records with one code or name, the smallest by column order is taken.
     """
     refused = []
     accepted = new
     for c in unique:
-        known = existing.select(c).distinct()
+        known = contained_values(accepted, existing, c)
         refused.append(null_safe_join(accepted, known, [c], "left_semi"))
         accepted = null_safe_join(accepted, known, [c], "left_anti")
         rest = [x for x in accepted.columns if x != c]

@@ -1,37 +1,22 @@
-"""Lists in cells: nesting, unnesting and joined text, with bounded cell sizes.
-
-A group of any size is cut into parts of at most ``size`` items. Ordinary groups have exactly
-part 0, and a hot group becomes many rows, so no task builds one huge cell.
-"""
+"""Lists in cells: nesting, unnesting and joined text. A group is one cell, whatever its size."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from agroloom.operators.scale import row_numbers
-
-PART_SIZE = 1000
-
-
-def _parts(df: DataFrame, by: list[str], order: list[Column], size: int) -> DataFrame:
-    numbered = row_numbers(df, by, order, "__pos")
-    return numbered.withColumn("part", F.floor((F.col("__pos") - 1) / size).cast("long"))
-
 
-def collapse_columns(
-    df: DataFrame, columns: list[str], order: list[str], by: list[str] | None = None, size: int = PART_SIZE
-) -> DataFrame:
+def collapse_columns(df: DataFrame, columns: list[str], order: list[str], by: list[str] | None = None) -> DataFrame:
     """Nest ``columns`` into one array of structs (``items``) per combination of the rest.
 
-    Structs keep the columns aligned and keep nulls; ``order`` gives the position of an item.
+    Structs keep the columns aligned and keep nulls; ``order`` gives the position of an item (null last), and the nested
+    columns break ties, so that a list comes out the same on every run.
     """
     group = by if by is not None else [c for c in df.columns if c not in columns]
-    # the nested columns break ties, so that the parts come out the same on every run
-    sort = [F.col(c).asc_nulls_last() for c in dict.fromkeys([*order, *columns])]
-    parts = _parts(df.select(*group, *columns, *[c for c in order if c not in [*group, *columns]]), group, sort, size)
-    cell = F.array_sort(F.collect_list(F.struct("__pos", *columns)))
-    nested = parts.groupBy(*group, "part").agg(cell.alias("items"))
+    sort = list(dict.fromkeys([*order, *columns]))
+    place = F.struct(*[x for i, c in enumerate(sort) for x in (F.col(c).isNull().alias(f"n{i}"), F.col(c).alias(f"v{i}"))])
+    cell = F.array_sort(F.collect_list(F.struct(place.alias("place"), *[F.col(c) for c in columns])))
+    nested = df.groupBy(*group).agg(cell.alias("items"))
     return nested.withColumn("items", F.transform("items", lambda s: F.struct(*[s[c].alias(c) for c in columns])))
 
 
@@ -47,11 +32,7 @@ def zip_lists(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.select(*rest, F.explode_outer(F.arrays_zip(*columns)).alias("__item")).select(*rest, "__item.*")
 
 
-def joined_text(
-    df: DataFrame, by: list[str], column: str, name: str = "text", sep: str = "; ", size: int = PART_SIZE
-) -> DataFrame:
-    """Distinct non-null values of a group in sorted order as one text (per part)."""
+def joined_text(df: DataFrame, by: list[str], column: str, name: str = "text", sep: str = "; ") -> DataFrame:
+    """Distinct non-null values of a group in sorted order as one text."""
     values = df.select(*by, column).filter(F.col(column).isNotNull()).distinct()
-    parts = _parts(values, by, [F.col(column).asc()], size)
-    text = F.array_join(F.array_sort(F.collect_list(column)), sep)
-    return parts.groupBy(*by, "part").agg(text.alias(name))
+    return values.groupBy(*by).agg(F.array_join(F.array_sort(F.collect_list(column)), sep).alias(name))

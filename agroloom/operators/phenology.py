@@ -12,7 +12,7 @@ CROP_RULES = [
     ("WHT|WH|wheat|Wheat|BAR|BA|Barley|barley", "Winter_Wheat", 40),
     ("MAZ|MZ|Maize|maize", "Maize", 50),
 ]
-OTHER_LAG = 40  # days used when maturity is recorded for a crop without a rule
+RECORDED_LAG = 40  # days from anthesis to a recorded maturity, whatever the crop
 
 
 def jitter(key: list[str], low: int, high: int, seed: int) -> Column:
@@ -32,10 +32,10 @@ def estimate_phenology(
     """Fill ``MDAT`` and set ``ADAT`` for all experiments at once.
 
     ``calendar``: ``on`` columns, calendar_crop, irrigation, maturity_doy. A recorded maturity
-    stays. Anthesis is maturity less the crop's lag. ``spread_key`` turns on a variation of
+    stays. Anthesis is 40 days before a recorded maturity, and the crop's lag before an estimated one. ``spread_key`` turns on a variation of
     three days fixed by that key.
     """
-    cal_crop, lag = F.lit(None).cast("string"), F.lit(OTHER_LAG)
+    cal_crop, lag = F.lit(None).cast("string"), F.lit(RECORDED_LAG)
     for pattern, name, days in reversed(CROP_RULES):
         hit = F.col(crop).rlike(pattern)
         cal_crop = F.when(hit, name).otherwise(cal_crop)
@@ -47,6 +47,8 @@ def estimate_phenology(
     shift = jitter(spread_key, -3, 3, 1) if spread_key else F.lit(0)
     estimate = F.date_add(F.make_date(F.col(year), F.lit(1), F.lit(1)), F.col("maturity_doy").cast("int") - 1 + shift)
     maturity = F.coalesce(F.col("MDAT").cast("date"), F.when(F.col("calendar_crop").isNotNull(), estimate))
-    out = joined.withColumn("MDAT", maturity).withColumn("ADAT", F.date_sub("MDAT", F.col("__lag")))
+    days_before = F.when(F.col("MDAT").isNotNull(), F.lit(RECORDED_LAG)).otherwise(F.col("__lag"))
+    out = joined.withColumn("__lag", days_before).withColumn("MDAT", maturity)
+    out = out.withColumn("ADAT", F.date_sub("MDAT", F.col("__lag")))
     cols = summary.columns + ([] if "ADAT" in summary.columns else ["ADAT"])
     return out.select(*cols)

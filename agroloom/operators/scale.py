@@ -4,8 +4,8 @@
   expressions, so both inputs get an exchange of their own, even one that was just
   aggregated on the key; that is the shape in which the adaptive skew join can split
   a hot partition.
-* Ranks and ids never sort a whole hot group in one task: above a row limit the
-  keys are range-partitioned, counted per partition and offset.
+* Ranks and ids over all rows, or with ``spread``, never sort a whole group in one task: the rows are
+  range-partitioned, counted per partition and offset.
 """
 
 from __future__ import annotations
@@ -17,8 +17,6 @@ from pyspark.sql import functions as F
 
 from agroloom.session import checkpointed
 
-# rows one window task may sort; a million narrow rows take a few seconds
-WINDOW_ROWS = 1_000_000
 _KEY = "__rk_"
 
 
@@ -40,14 +38,6 @@ def rename_join(left: DataFrame, right: DataFrame, pairs: dict[str, str], how: s
     return null_safe_join(left, right.withColumnsRenamed({r: l for l, r in pairs.items()}), list(pairs), how)
 
 
-def largest_group(df: DataFrame, by: list[str]) -> int:
-    """Rows of the biggest group; partial counts are combined before the shuffle."""
-    if not by:
-        return df.count()
-    top = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n")).first()
-    return top["n"] or 0
-
-
 def nulls_last(cols: list[str]) -> list[Column]:
     return [F.col(c).asc_nulls_last() for c in cols]
 
@@ -59,16 +49,13 @@ def _offsets(parts: DataFrame, by: list[str]) -> DataFrame:
     return counts.select(*by, "__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
 
 
-def row_numbers(
-    df: DataFrame, by: list[str], order: list[Column], name: str, max_rows: int | None = WINDOW_ROWS
-) -> DataFrame:
+def row_numbers(df: DataFrame, by: list[str], order: list[Column], name: str, spread: bool = False) -> DataFrame:
     """1..n per group in a total order (``order`` must have no ties).
 
-    Groups up to ``max_rows`` use one window. A larger group is spread over range
-    partitions: number within the partition plus the rows of the partitions before.
-    ``None`` leaves the size check to the caller.
+    Without a group, or with ``spread`` where a group may hold a large share of the rows, they lie in range partitions:
+    number within the partition plus the rows of the partitions before. Else one window per group.
     """
-    if max_rows is None or largest_group(df, by) <= max_rows:
+    if by and not spread:
         return df.withColumn(name, F.row_number().over(Window.partitionBy(*by).orderBy(*order)).cast("long"))
     # the input partition comes last in the order, so that even equal rows can be cut apart; the
     # checkpoint then fixes which row is in which part
@@ -81,22 +68,18 @@ def row_numbers(
     return out.withColumn(name, (F.col("__i") + F.col("__off")).cast("long")).drop("__part", "__i", "__off")
 
 
-def key_ids(
-    df: DataFrame, keys: list[str], name: str, by: list[str] = (), max_rows: int | None = WINDOW_ROWS
-) -> DataFrame:
+def key_ids(df: DataFrame, keys: list[str], name: str, by: list[str] = (), spread: bool = False) -> DataFrame:
     """The distinct keys with their dense ids 1..n (sorted, null last) per scope."""
     by = list(by)
     keys = [k for k in keys if k not in by]
     distinct = df.select(*by, *keys).distinct()
     if not keys:
         return distinct.withColumn(name, F.lit(1).cast("long"))
-    return row_numbers(distinct, by, nulls_last(keys), name, max_rows)
+    return row_numbers(distinct, by, nulls_last(keys), name, spread)
 
 
-def dense_ids(
-    df: DataFrame, keys: list[str], name: str, by: list[str] = (), max_rows: int | None = WINDOW_ROWS
-) -> DataFrame:
+def dense_ids(df: DataFrame, keys: list[str], name: str, by: list[str] = (), spread: bool = False) -> DataFrame:
     """Append the dense id of ``keys``: numbered on the distinct keys, then joined back."""
     by = list(by)
-    ids = key_ids(df, keys, name, by, max_rows)
+    ids = key_ids(df, keys, name, by, spread)
     return null_safe_join(df, ids, by + [k for k in keys if k not in by])

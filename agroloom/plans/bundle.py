@@ -119,13 +119,13 @@ def treatments(table: DataFrame | None, sites: DataFrame, by: list[str] = BY) ->
     cols = [c for c in table.columns if c.lower().startswith(TREATMENT_STARTS)] if table is not None else []
     if not cols:
         return sites.select(*by, F.lit(1).alias("TRTNO"), F.lit("Default Treatment").alias("TREATMENT_NAME"))
-    rows = sequence_ids(table.select(*by, *cols).distinct(), cols, "TRTNO", by)
+    rows = sequence_ids(table.select(*by, *cols).distinct(), cols, "TRTNO", by, spread=False)
     named = rows.withColumn("TREATMENT_NAME", F.concat(F.lit("Treatment "), F.col("TRTNO").cast("string")))
     return named.select(*by, "TRTNO", "TREATMENT_NAME", *[F.col(c).alias(c.upper()) for c in cols])
 
 
 def remarks(tables: dict[str, DataFrame], by: list[str] = BY) -> DataFrame | None:
-    """All remarks of an experiment as one text (numbered parts when there are very many)."""
+    """All remarks of an experiment as one text."""
     parts = []
     for df in tables.values():
         col = next((c for c in REMARK_COLUMNS if c in df.columns), None)

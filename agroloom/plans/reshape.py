@@ -16,8 +16,8 @@ from agroloom.functions.text import site_code
 from agroloom.operators import profile
 from agroloom.operators.columns import qualify
 from agroloom.operators.ids import management_ids
-from agroloom.operators.merge import chain_left, fold_attributes, full_align, merge_tables
-from agroloom.operators.scale import WINDOW_ROWS, dense_ids, largest_group, null_safe_join
+from agroloom.operators.merge import chain_left, fold_attributes, merge_tables, on_design
+from agroloom.operators.scale import dense_ids, null_safe_join
 from agroloom.operators.tagging import MAX_EVENTS, tag_tables, treatment_years
 from agroloom.session import checkpointed
 
@@ -147,7 +147,7 @@ def prepare(
 
 
 def fields_section(
-    plots: DataFrame, metadata: DataFrame, by: list[str], keys: list[str], max_rows: int | None = WINDOW_ROWS
+    plots: DataFrame, metadata: DataFrame, by: list[str], keys: list[str]
 ) -> tuple[DataFrame, DataFrame]:
     """Fields (distinct plot attributes with ``FL_ID``) and the field of every plot.
 
@@ -155,7 +155,7 @@ def fields_section(
     coordinates are added.
     """
     attrs = [c for c in plots.columns if c not in {*by, *keys, *DESIGN_NAMES}]
-    numbered = dense_ids(plots, attrs, "FL_ID", by, max_rows)
+    numbered = dense_ids(plots, attrs, "FL_ID", by)
     fields = numbered.select(*by, "FL_ID", *attrs).distinct()
     placed = null_safe_join(fields, metadata.select(*by, "latitude", "longitude"), by)
     numeric = [c for c in attrs if isinstance(plots.schema[c].dataType, profile.NUMBERS)]
@@ -177,7 +177,6 @@ def treatment_matrix(
     id_tables: list[DataFrame],
     plot_fields: DataFrame | None,
     by: list[str],
-    max_rows: int | None = WINDOW_ROWS,
 ) -> DataFrame:
     """Management ids per plot and year; no event is id 0; ``TRTNO`` numbers the treatments."""
     out = chain_left(design.drop("Rep_no").distinct(), id_tables)
@@ -187,17 +186,21 @@ def treatment_matrix(
     out = out.withColumns(
         {c: F.coalesce(F.col(c), F.lit(0).cast(out.schema[c].dataType)) for c in ids}
     )
-    return dense_ids(out, ["Treatment_id"], "TRTNO", by, max_rows)
+    return dense_ids(out, ["Treatment_id"], "TRTNO", by)
 
 
 def observed_section(
-    design: DataFrame, tables: dict[str, DataFrame], cat: dict[str, dict], by: list[str], max_rows: int | None = WINDOW_ROWS
+    design: DataFrame, tables: dict[str, DataFrame], cat: dict[str, dict], by: list[str], long: bool = False
 ) -> DataFrame:
-    """Observations on the design, numbered by treatment; see :func:`full_align` for repeated keys."""
-    slim = {n: df.drop(*cat[n]["key"]) for n, df in tables.items()}
-    base = design.select(*by, "Year", "Plot_id", "Treatment_id", *[c for c in ("Rep_no",) if c in design.columns])
-    joined = full_align({"DESIGN": base, **slim}, [*by, "Year", "Plot_id"])
-    return dense_ids(joined, ["Treatment_id"], "TRTNO", by, max_rows).distinct()
+    """Observations with the treatment and replicate of their plot, numbered by treatment; every year of the design is there.
+
+    Summaries have one row per plot and year and are joined. Series (``long``) have several, so each row stands for itself, with
+    its table in ``source``.
+    """
+    slim = {n: df.drop(*[k for k in cat[n]["key"] if k not in (*by, *DESIGN_NAMES)]) for n, df in tables.items()}
+    facts = ["Treatment_id", *[c for c in ("Rep_no",) if c in design.columns]]
+    joined = on_design(design, slim, [*by, "Year", "Plot_id"], facts, long)
+    return dense_ids(joined, ["Treatment_id"], "TRTNO", by).distinct()
 
 
 def general_section(metadata: DataFrame, by: list[str]) -> DataFrame:
@@ -255,11 +258,6 @@ def reshape_experiments(
     factors = [c for f in roles.factors for c in (f, f"{roles.treatments_table}__{f}") if c in full.columns]
     plan = full.select(*by, *[c for c in DESIGN_NAMES if c in full.columns], *factors).distinct()
 
-    # the ids below number years, factor levels, treatments and plots: per experiment there are no
-    # more of them than design or plot rows, so one look at those sizes stands for all of them
-    largest = max(largest_group(plan, by), largest_group(tables[roles.plots_table], by))
-    bound = None if largest <= WINDOW_ROWS else WINDOW_ROWS
-
     others = {n: df for n, df in tables.items() if n != design and n not in design_tables.values()}
     links = ["Year", "Plot_id", "Treatment_id"]
     data = {n: df for n, df in others.items() if profile.has_link(df.columns, plan.columns, links)}
@@ -280,15 +278,15 @@ def reshape_experiments(
         name = f"{n}_ID"
         extra = [c for c in plan.columns if c not in df.columns or c in (*by, "Year", "Plot_id")]
         rows = null_safe_join(df, plan.select(*extra), [*by, "Year", "Plot_id"])
-        marked = management_ids(rows, flags, factors or ["Treatment_id"], name, by, max_rows=bound)
+        marked = management_ids(rows, flags, factors or ["Treatment_id"], name, by)
         drops = {*keys[n], "Treatment_id", "Rep_no", *factors}
         slim = marked.select(name, *[c for c in marked.columns if c not in drops and c != name])
         management[n] = slim.drop("Plot_id").distinct()
         id_tables.append(slim.select(*by, "Year", "Plot_id", name).distinct())
 
     plots_keys = profile.key_columns(tables[roles.plots_table], by, alternates=True)
-    fields, plot_fields = fields_section(tables[roles.plots_table], metadata, by, plots_keys, bound)
-    matrix = treatment_matrix(plan, id_tables, plot_fields, by, bound)
+    fields, plot_fields = fields_section(tables[roles.plots_table], metadata, by, plots_keys)
+    matrix = treatment_matrix(plan, id_tables, plot_fields, by)
     bundle = {
         "HEADER": header_section(metadata, by),
         "GENERAL": general_section(metadata, by),
@@ -297,7 +295,7 @@ def reshape_experiments(
         **management,
     }
     if observed:
-        bundle["OBSERVED_Summary"] = observed_section(plan, tagged.get("observed_summary", {}), cat, by, bound)
-        bundle["OBSERVED_TimeSeries"] = observed_section(plan, tagged.get("observed_timeseries", {}), cat, by, bound)
+        bundle["OBSERVED_Summary"] = observed_section(plan, tagged.get("observed_summary", {}), cat, by)
+        bundle["OBSERVED_TimeSeries"] = observed_section(plan, tagged.get("observed_timeseries", {}), cat, by, long=True)
     loose = tagged.get("other", {}) | attrs
     return bundle | {f"OTHER_{n}": df for n, df in sorted(loose.items())}

@@ -28,8 +28,7 @@ def dense_ids_by_year(t: Tables) -> DataFrame:
     SELECT l_partkey, l_suppkey, dense_rank() OVER (ORDER BY l_partkey, l_suppkey) AS id FROM lineitem
 """)
 def dense_ids_global(t: Tables) -> DataFrame:
-    # a low limit sends this one through the range-partitioned form
-    return dense_ids(t.lineitem.select("l_partkey", "l_suppkey"), ["l_partkey", "l_suppkey"], "id", max_rows=1000)
+    return dense_ids(t.lineitem.select("l_partkey", "l_suppkey"), ["l_partkey", "l_suppkey"], "id")
 
 
 @query("""

@@ -76,7 +76,7 @@ def observed_tables(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
 )
 def observed_full_join(t: Tables) -> DataFrame:
     orders, lines, _ = observed_tables(t)
-    return merge.full_align({"orders": orders, "lines": lines}, ["plot", "year"]).fillna(-1)
+    return merge.full_join({"orders": orders, "lines": lines}, ["plot", "year"]).fillna(-1)
 
 
 @query(
@@ -88,32 +88,32 @@ def observed_full_join(t: Tables) -> DataFrame:
 )
 def observed_series_join(t: Tables) -> DataFrame:
     orders, _, shipped = observed_tables(t)
-    return merge.full_align({"orders": orders, "shipped": shipped}, ["plot", "year"]).fillna(-1)
+    return merge.full_join({"orders": orders, "shipped": shipped}, ["plot", "year"]).fillna(-1)
 
 
 @query("""
-    SELECT o_custkey AS plot, year(o_orderdate) AS year, 'orders' AS source, o_orderkey AS orderkey, o_totalprice AS price, -1.0::DOUBLE AS quantity FROM orders
-    UNION ALL SELECT o_custkey, year(l_shipdate), 'shipped', l_orderkey, -1.0, l_quantity FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+    SELECT o_custkey AS plot, year(o_orderdate) AS year, 'orders' AS source, o_orderkey AS orders__orderkey, -1 AS shipped__orderkey, o_totalprice AS price,
+           -1.0::DOUBLE AS quantity FROM orders
+    UNION ALL SELECT o_custkey, year(l_shipdate), 'shipped', -1, l_orderkey, -1.0, l_quantity FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 """)
 def observed_long_form(t: Tables) -> DataFrame:
     orders = t.orders.select(
         F.col("o_custkey").alias("plot"), F.year("o_orderdate").alias("year"), F.col("o_orderkey").alias("orderkey"), F.col("o_totalprice").alias("price")
     )
     shipped = observed_tables(t)[2].select("plot", "year", F.col("l_orderkey").alias("orderkey"), F.col("l_quantity").alias("quantity"))
-    return merge.full_align({"orders": orders, "shipped": shipped}, ["plot", "year"]).fillna(-1)
+    return merge.stacked({"orders": orders, "shipped": shipped}, ["plot", "year"]).fillna(-1)
 
 
 @query("""
-    WITH a AS (SELECT o_custkey, o_orderpriority FROM orders WHERE year(o_orderdate) = 1996),
-    b AS (SELECT o_custkey, o_orderpriority FROM orders WHERE year(o_orderdate) = 1997)
-    SELECT * FROM a WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.o_custkey = a.o_custkey AND b.o_orderpriority = a.o_orderpriority)
-    UNION ALL SELECT * FROM b WHERE NOT EXISTS (SELECT 1 FROM a WHERE b.o_custkey = a.o_custkey AND b.o_orderpriority = a.o_orderpriority)
+    WITH a AS (SELECT o_orderkey AS orderkey, year(o_orderdate) AS year, o_orderpriority AS priority FROM orders),
+    b AS (SELECT l_orderkey AS orderkey, year(l_shipdate) AS year, l_linenumber AS line FROM lineitem)
+    SELECT orderkey, year, priority, -1 AS line FROM a WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.orderkey = a.orderkey AND b.year = a.year)
+    UNION ALL SELECT orderkey, year, '-', line FROM b WHERE NOT EXISTS (SELECT 1 FROM a WHERE b.orderkey = a.orderkey AND b.year = a.year)
 """)
 def rows_in_one_year(t: Tables) -> DataFrame:
-    def of(year: int) -> DataFrame:
-        return t.orders.filter(F.year("o_orderdate") == year).select("o_custkey", "o_orderpriority")
-
-    return merge.rows_in_one(of(1996), of(1997))
+    ordered = t.orders.select(F.col("o_orderkey").alias("orderkey"), F.year("o_orderdate").alias("year"), F.col("o_orderpriority").alias("priority"))
+    shipped = t.lineitem.select(F.col("l_orderkey").alias("orderkey"), F.year("l_shipdate").alias("year"), F.col("l_linenumber").alias("line"))
+    return merge.rows_in_one(ordered, shipped).fillna(-1).fillna("-")
 
 
 @query("""
@@ -129,7 +129,7 @@ def padded_union(t: Tables) -> DataFrame:
 _INSERT = """
     WITH e AS (SELECT p_partkey AS code, p_name || '#' || p_partkey AS name, 0 AS batch FROM part),
     n AS (SELECT p_partkey * 2 + 1 AS code, p_name || '#' || (p_partkey * 3) AS name, 1 AS batch FROM part),
-    a AS (SELECT * FROM n WHERE code NOT IN (SELECT code FROM e) AND name NOT IN (SELECT name FROM e))
+    a AS (SELECT * FROM n WHERE NOT EXISTS (SELECT 1 FROM e WHERE contains(e.code::VARCHAR, n.code::VARCHAR)) AND NOT EXISTS (SELECT 1 FROM e WHERE contains(e.name, n.name)))
 """
 
 
@@ -161,12 +161,12 @@ def rescaled_members(t: Tables) -> DataFrame:
 
 
 @query("""
-    SELECT o_custkey, 0 AS part, count(*) AS n_items, string_agg(o_orderkey::VARCHAR, ',' ORDER BY o_orderkey) AS items FROM orders GROUP BY 1
+    SELECT o_custkey, count(*) AS n_items, string_agg(o_orderkey::VARCHAR, ',' ORDER BY o_orderkey) AS items FROM orders GROUP BY 1
 """)
 def collapsed_orders(t: Tables) -> DataFrame:
     nested = collapse_columns(t.orders.select("o_custkey", "o_orderkey", "o_totalprice"), ["o_orderkey", "o_totalprice"], ["o_orderkey"])
     return nested.select(
-        "o_custkey", F.col("part").cast("int").alias("part"), F.size("items").cast("long").alias("n_items"),
+        "o_custkey", F.size("items").cast("long").alias("n_items"),
         F.array_join(F.transform("items", lambda s: s["o_orderkey"].cast("string")), ",").alias("items"),
     )
 
@@ -174,9 +174,9 @@ def collapsed_orders(t: Tables) -> DataFrame:
 @query("SELECT o_custkey, o_orderkey, o_totalprice FROM orders")
 def unnested_orders(t: Tables) -> DataFrame:
     nested = collapse_columns(
-        t.orders.select("o_custkey", "o_orderkey", "o_totalprice"), ["o_orderkey", "o_totalprice"], ["o_orderkey"], size=4
+        t.orders.select("o_custkey", "o_orderkey", "o_totalprice"), ["o_orderkey", "o_totalprice"], ["o_orderkey"]
     )
-    return unnest(nested).drop("part")
+    return unnest(nested)
 
 
 @query("""
@@ -184,15 +184,15 @@ def unnested_orders(t: Tables) -> DataFrame:
 """)
 def zipped_lists(t: Tables) -> DataFrame:
     nested = collapse_columns(t.orders.select("o_custkey", "o_orderkey", "o_totalprice"), ["o_orderkey", "o_totalprice"], ["o_orderkey"])
-    lists = nested.select("o_custkey", "part", F.col("items.o_orderkey").alias("k"), F.col("items.o_totalprice").alias("v"))
-    return zip_lists(lists, ["k", "v"]).drop("part")
+    lists = nested.select("o_custkey", F.col("items.o_orderkey").alias("k"), F.col("items.o_totalprice").alias("v"))
+    return zip_lists(lists, ["k", "v"])
 
 
 @query("""
-    SELECT conv_id, 0 AS part, string_agg(DISTINCT text, '; ' ORDER BY text) AS remarks FROM conversations GROUP BY 1
+    SELECT conv_id, string_agg(DISTINCT text, '; ' ORDER BY text) AS remarks FROM conversations GROUP BY 1
 """)
 def joined_remarks(t: Tables) -> DataFrame:
-    return joined_text(t.conversations, ["conv_id"], "text", "remarks").withColumn("part", F.col("part").cast("int"))
+    return joined_text(t.conversations, ["conv_id"], "text", "remarks")
 
 
 @query("""

@@ -152,12 +152,57 @@ def trial_summary(t: Tables) -> DataFrame:
 
 @query(f"""
     WITH {BASE_SQL} SELECT experiment_id, y AS "Year", plot AS "Plot_id", trt AS "Treatment_id", block AS "Rep_no",
-      strftime(make_date(y::INT, 5, (j * 20 + 1)::INT), '%Y-%m-%d') AS "BONITUR__Datum", size + j AS "BONITUR__Wert", trt AS "TRTNO" FROM base, (VALUES (0), (1)) v(j)
+      strftime(make_date(y::INT, 5, (j * 20 + 1)::INT), '%Y-%m-%d') AS "BONITUR__Datum", size + j AS "BONITUR__Wert", 'BONITUR' AS source, trt AS "TRTNO"
+    FROM base, (VALUES (0), (1)) v(j)
 """)
 def trial_series(t: Tables) -> DataFrame:
     return trial_bundle(t, observed=True)["OBSERVED_TimeSeries"].withColumn("BONITUR__Datum", F.date_format("BONITUR__Datum", "yyyy-MM-dd"))
 
 
+def wider_tables(t: Tables) -> dict[str, DataFrame]:
+    """The trials with a second series that has its own treatment column (wrong on some plots, absent in odd years), and a
+    second summary for four of the five blocks."""
+    b = base(t)
+    j = F.explode(F.sequence(F.lit(0), F.lit(2)))
+    given = F.when(F.col("plot") % 10 == 3, F.col("trt") % 8 + 1).otherwise(F.col("trt"))
+    rows = b.where("y % 2 = 0").withColumn("j", j)
+    series = rows.select(
+        "experiment_id", (F.col("k") * 3 + F.col("j")).alias("Messung_ID"), F.col("y").alias("Versuchsjahr"), F.col("plot").alias("Parzelle_ID"),
+        given.alias("Pruefglied_ID"), F.date_format(F.make_date("y", F.lit(6), (F.col("j") * 9 + 1).cast("int")), "yyyy-MM-dd").alias("Messtag"),
+        (F.col("price") + F.col("j")).alias("Feuchte"),
+    )
+    summary = b.where("block < 5").select(
+        "experiment_id", F.col("k").alias("Qualitaet_ID"), F.col("y").alias("Versuchsjahr"), F.col("plot").alias("Parzelle_ID"), (F.col("price") / 2).alias("Protein")
+    )
+    return trial_tables(t) | {"MESSUNG": series, "QUALITAET": summary}
+
+
+@query(f"""
+    WITH {BASE_SQL},
+    a AS (SELECT experiment_id, y, plot, trt, block, 'BONITUR' AS source, strftime(make_date(y::INT, 5, (j * 20 + 1)::INT), '%Y-%m-%d') AS day, (size + j)::DOUBLE AS v, 0 AS other
+          FROM base, (VALUES (0), (1)) v(j)
+          UNION ALL
+          SELECT experiment_id, y, plot, trt, block, 'MESSUNG', strftime(make_date(y::INT, 6, (j * 9 + 1)::INT), '%Y-%m-%d'), price + j,
+                 CASE WHEN plot % 10 = 3 THEN trt % 8 + 1 ELSE 0 END FROM base, (VALUES (0), (1), (2)) v(j) WHERE y % 2 = 0)
+    SELECT experiment_id, y AS "Year", plot AS "Plot_id", trt AS "Treatment_id", block AS "Rep_no", source, day, v, other, trt AS "TRTNO" FROM a
+""")
+def trial_two_series(t: Tables) -> DataFrame:
+    got = reshape_experiments(wider_tables(t), trial_metadata(t), "VERSUCHSAUFBAU", BY)["OBSERVED_TimeSeries"]
+    day = F.date_format(F.coalesce("BONITUR__Datum", "MESSUNG__Messtag"), "yyyy-MM-dd").alias("day")
+    value = F.coalesce(F.col("BONITUR__Wert").cast("double"), "MESSUNG__Feuchte").alias("v")
+    other = F.coalesce("MESSUNG__Treatment_id", F.lit(0)).alias("other")
+    return got.select(*BY, "Year", "Plot_id", "Treatment_id", "Rep_no", "source", day, value, other, "TRTNO")
+
+
+@query(f"""
+    WITH {BASE_SQL} SELECT experiment_id, y AS "Year", plot AS "Plot_id", trt AS "Treatment_id", block AS "Rep_no", price AS "ERNTE__Ertrag",
+        CASE WHEN block < 5 THEN price / 2 ELSE -1 END AS "QUALITAET__Protein", trt AS "TRTNO" FROM base
+""")
+def trial_two_summaries(t: Tables) -> DataFrame:
+    got = reshape_experiments(wider_tables(t), trial_metadata(t), "VERSUCHSAUFBAU", BY)["OBSERVED_Summary"]
+    return got.fillna(-1, subset=["QUALITAET__Protein"])
+
+
 @query(f"""
     WITH {BASE_SQL} SELECT DISTINCT experiment_id, 'Trial ' || experiment_id AS "EXP_DETAILS", 'SEDE' AS "SITE_CODE", 'A. Person' AS "PERSONS", '10.1/' || experiment_id AS "DOI",
         'Source data DOI: 10.1/' || experiment_id AS note FROM base

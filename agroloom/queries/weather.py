@@ -435,11 +435,11 @@ def soil_header(t: Tables) -> DataFrame:
 @query("""
     WITH o AS (SELECT o_orderkey, year(o_orderdate) AS y, c_nationkey AS k, o_orderpriority AS p, o_orderdate::DATE AS d,
                       o_orderkey % 3 = 0 AS known FROM orders JOIN customer ON o_custkey = c_custkey),
-    e AS (SELECT o_orderkey, p, CASE WHEN known THEN d
+    e AS (SELECT o_orderkey, p, known, CASE WHEN known THEN d
             WHEN p LIKE '1%' OR p LIKE '3%' THEN make_date(y, 1, 1) + (199 + k)::INT
             WHEN p LIKE '2%' THEN make_date(y, 1, 1) + (249 + k)::INT END AS m FROM o)
     SELECT o_orderkey, coalesce(strftime(m, '%Y-%m-%d'), '-') AS "MDAT",
-           coalesce(strftime(m - CASE WHEN p LIKE '2%' THEN 50 ELSE 40 END, '%Y-%m-%d'), '-') AS "ADAT" FROM e
+           coalesce(strftime(m - CASE WHEN p LIKE '2%' AND NOT known THEN 50 ELSE 40 END, '%Y-%m-%d'), '-') AS "ADAT" FROM e
 """)
 def phenology_dates(t: Tables) -> DataFrame:
     crop = F.create_map(*[F.lit(x) for x in ("1-URGENT", "WHT", "2-HIGH", "MAZ", "3-MEDIUM", "BAR", "4-NOT SPECIFIED", "SBT", "5-LOW", "RAP")])

@@ -77,17 +77,37 @@ def test_merge_drops_keys_after_all_children(spark):
     assert merge.merge_keys(cat["P"], cat["A"], "bidirectional") == ["k"]
 
 
-def test_full_align_forms(spark):
-    u1 = spark.createDataFrame([(1, "a"), (2, "b")], "k int, x string")
-    u2 = spark.createDataFrame([(2, "c"), (3, "d")], "k int, y string")
+def test_observed_forms(spark):
+    u1 = spark.createDataFrame([(1, "a"), (2, "b"), (None, "n")], "k int, x string")
+    u2 = spark.createDataFrame([(2, "c"), (3, "d"), (None, "m")], "k int, y string")
     many = spark.createDataFrame([(2, 1), (2, 2), (9, 3)], "k int, v int")
-    more = spark.createDataFrame([(2, 7), (2, 8)], "k int, w int")
-    assert rows(merge.full_align({"a": u1, "b": u2}, ["k"])) == [(1, "a", None), (2, "b", "c"), (3, None, "d")]
-    wide = merge.full_align({"a": u1, "m": many}, ["k"]).select("k", "v", "x")
-    assert rows(wide) == [(1, None, "a"), (2, 1, "b"), (2, 2, "b"), (9, 3, None)]
-    long = merge.full_align({"a": u1, "m": many, "n": more}, ["k"])
-    # 2 + 3 + 2 rows, no pairs
-    assert long.count() == 7 and set(r["source"] for r in long.collect()) == {"a", "m", "n"}
+    more = spark.createDataFrame([(2, 7), (2, 8)], "k int, v int")
+    assert rows(merge.full_join({"a": u1, "b": u2}, ["k"])) == [(1, "a", None), (2, "b", "c"), (3, None, "d"), (None, "n", "m")]
+    assert rows(merge.full_join({"a": u1, "m": many}, ["k"])) == [(1, "a", None), (2, "b", 1), (2, "b", 2), (9, None, 3), (None, "n", None)]
+    long = merge.stacked({"m": many, "n": more}, ["k"])
+    assert long.columns == ["k", "m__v", "source", "n__v"] and long.count() == 5
+
+
+def test_observations_keep_their_treatment(spark):
+    design = spark.createDataFrame([(1, 10, "A"), (1, 11, "B"), (2, 10, "A")], "y int, p int, t string")
+    one = spark.createDataFrame([(1, 10, 5, 1), (1, 10, 6, 2), (3, 10, 7, 3)], "y int, p int, v int, Sample int")
+    two = spark.createDataFrame([(1, 11, "B", 8, 4), (1, 10, "C", 9, 5), (4, 1, "Z", 1, 6)], "y int, p int, t string, w int, Sample int")
+    got = merge.on_design(design, {"one": one, "two": two}, ["y", "p"], ["t"], long=True)
+    have = sorted(tuple(r) for r in got.select("y", "p", "t", "source", "v", "w", "two__t", "one__Sample", "two__Sample").collect() if r["source"])
+    assert have == [
+        (1, 10, "A", "one", 5, None, None, 1, None),
+        (1, 10, "A", "one", 6, None, None, 2, None),
+        (1, 10, "A", "two", None, 9, "C", None, 5),
+        (1, 11, "B", "two", None, 8, None, None, 4),
+        (3, 10, None, "one", 7, None, None, 3, None),
+        (4, 1, "Z", "two", None, 1, None, None, 6),
+    ]
+    # the design's row without any observation stays
+    assert [tuple(r) for r in got.where("source IS NULL").select("y", "p", "t").collect()] == [(2, 10, "A")]
+    wide = merge.on_design(design, {"one": one.where("v <> 6"), "two": two}, ["y", "p"], ["t"], long=False)
+    assert rows(wide.select("y", "p", "t", "v", "w", "one__Sample", "two__Sample")) == sorted(
+        [(1, 10, "A", 5, 9, 1, 5), (1, 11, "B", None, 8, None, 4), (2, 10, "A", None, None, None, None), (3, 10, None, 7, None, 3, None), (4, 1, "Z", None, 1, None, 6)], key=str
+    )
 
 
 def test_symmetric_difference_keeps_copies(spark):
@@ -224,6 +244,8 @@ def test_code_maps(spark):
     data = spark.createDataFrame([("a",), ("d",), ("e",), ("zz",), (None,)], "crop string")
     lookup = mapping.code_lookup(t).withColumn("std_header", F.lit("crop"))
     assert [r[0] for r in mapping.map_codes(data, lookup, ["crop"]).collect()] == ["X", "Y", "e", None, None]
+    listed = spark.createDataFrame([("list('c(corn, cacao): X', 'abc(d): Y')",)], "code_mappings string")
+    assert rows(mapping.code_lookup(listed)) == [("abc(d)", "Y"), ("cacao", "X"), ("corn", "X")]
     none = lookup.filter("source = 'q'")
     assert mapping.map_codes(data, none, ["crop"]).collect() == data.collect()
 
@@ -241,19 +263,20 @@ def test_units():
         units.conversion("kg", "m")
 
 
-def test_nesting_parts(spark):
-    t = spark.createDataFrame([("g", i, None if i == 2 else i) for i in range(5)], "g string, i int, v int")
-    got = nesting.collapse_columns(t, ["i", "v"], ["i"], size=2)
-    assert [(r["part"], len(r["items"])) for r in got.orderBy("part").collect()] == [(0, 2), (1, 2), (2, 1)]
-    assert rows(nesting.unnest(got).drop("part")) == rows(t)
+def test_nesting(spark):
+    t = spark.createDataFrame([("g", i, None if i == 2 else i) for i in range(1500)], "g string, i int, v int")
+    got = nesting.collapse_columns(t, ["i", "v"], ["i"])
+    assert got.columns == ["g", "items"] and [x["i"] for x in got.first()["items"]] == list(range(1500))
+    assert rows(nesting.unnest(got)) == rows(t)
     empty = spark.createDataFrame([("g", [])], "g string, items array<struct<a:int>>")
     assert rows(nesting.unnest(empty)) == [("g", None)]
 
 
 def test_joined_text(spark):
     t = spark.createDataFrame([("e", "b"), ("e", "a"), ("e", "b"), ("e", None)], "e string, r string")
-    assert rows(nesting.joined_text(t, ["e"], "r")) == [("e", 0, "a; b")]
-    assert rows(nesting.joined_text(t, ["e"], "r", size=1)) == [("e", 0, "a"), ("e", 1, "b")]
+    assert rows(nesting.joined_text(t, ["e"], "r")) == [("e", "a; b")]
+    many = spark.range(1500).select(F.lit("e").alias("e"), F.lpad(F.col("id").cast("string"), 4, "0").alias("r"))
+    assert rows(nesting.joined_text(many, ["e"], "r")) == [("e", "; ".join(f"{i:04d}" for i in range(1500)))]
 
 
 def test_cells(spark):
@@ -277,7 +300,7 @@ def test_phenology(spark):
     assert got[1] == (d, d - dt.timedelta(40))
     assert got[2] == (dt.date(2000, 9, 6), dt.date(2000, 9, 6) - dt.timedelta(50))
     assert got[3] == (None, None)
-    assert got[4][1] == dt.date(2000, 9, 1) - dt.timedelta(50)
+    assert got[4][1] == dt.date(2000, 9, 1) - dt.timedelta(40)
     assert got[5][1] == dt.date(2000, 9, 1) - dt.timedelta(40)
     moved = estimate_phenology(t, cal, [], spread_key=["id"]).collect()
     again = estimate_phenology(t, cal, [], spread_key=["id"]).collect()

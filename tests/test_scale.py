@@ -28,15 +28,15 @@ def test_row_numbers_of_a_hot_group(spark):
     df = hot(spark)
     order = [F.col("v").asc_nulls_last(), F.col("id").asc()]
     window = df.withColumn("n", F.row_number().over(Window.partitionBy("g").orderBy(*order)).cast("long"))
-    assert rows(scale.row_numbers(df, ["g"], order, "n", max_rows=50)) == rows(window)
+    assert rows(scale.row_numbers(df, ["g"], order, "n", spread=True)) == rows(window)
 
 
 def test_dense_ids_in_parts(spark):
     df = hot(spark)
     whole = df.withColumn("n", F.dense_rank().over(Window.partitionBy("g").orderBy(F.col("v").asc_nulls_last())).cast("long"))
-    assert rows(scale.dense_ids(df, ["v"], "n", ["g"], max_rows=50)) == rows(whole)
+    assert rows(scale.dense_ids(df, ["v"], "n", ["g"], spread=True)) == rows(whole)
     world = df.withColumn("n", F.dense_rank().over(Window.orderBy(F.col("g").asc_nulls_last(), "v")).cast("long"))
-    assert rows(scale.dense_ids(df, ["g", "v"], "n", max_rows=50)) == rows(world)
+    assert rows(scale.dense_ids(df, ["g", "v"], "n")) == rows(world)
 
 
 def test_hot_key_join_is_split(spark):
