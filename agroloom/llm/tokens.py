@@ -56,8 +56,12 @@ def lengths_of(path: str, units: list[str]) -> list[int]:
     return [len(e) for e in tokenizer_at(path).encode_batch_fast(units, add_special_tokens=False)]
 
 
-def _top(counts: dict[str, int], n: int) -> dict[str, int]:
-    return dict(sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:n])
+def _top(tables: list[pa.Table], n: int) -> pa.Table:
+    """The n most frequent units of some tables of (unit, n) together."""
+    summed = pa.concat_tables(tables).group_by("unit").aggregate([("n", "sum")]).rename_columns(["unit", "n"])
+    if summed.num_rows > n:
+        summed = summed.take(pc.select_k_unstable(summed, n, [("n", "descending"), ("unit", "ascending")]))
+    return summed
 
 
 def frequent_units(df: DataFrame, text: str = "text") -> list[str]:
@@ -68,16 +72,18 @@ def frequent_units(df: DataFrame, text: str = "text") -> list[str]:
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[str, int] = {}
+        empty = pa.table({"unit": pa.array([], pa.string()), "n": pa.array([], pa.int64())})
+        seen, waiting = [empty], 0
         for batch in batches:
             for part in slices(batch, text):
                 flat, _ = words_of(texts_of(part, text))
-                for x in pc.value_counts(flat.filter(pc.less_equal(pc.binary_length(flat), LONGEST))).to_pylist():
-                    seen[x["values"]] = seen.get(x["values"], 0) + x["counts"]
-                if len(seen) > 16 * TASK_TABLE:
-                    seen = _top(seen, 4 * TASK_TABLE)
-        top = {k: v for k, v in _top(seen, TASK_TABLE).items() if v > 1}
-        yield pa.RecordBatch.from_pydict({"unit": pa.array(list(top), pa.string()), "n": pa.array(list(top.values()), pa.int64())})
+                found = pc.value_counts(flat.filter(pc.less_equal(pc.binary_length(flat), LONGEST)))
+                seen.append(pa.Table.from_arrays(found.flatten(), ["unit", "n"]))
+                waiting += len(found)
+                if waiting > 32 * TASK_TABLE:
+                    seen, waiting = [_top(seen, 8 * TASK_TABLE)], 0
+        top = _top(seen, TASK_TABLE)
+        yield from top.filter(pc.greater(top.column("n"), 1)).select(["unit", "n"]).combine_chunks().to_batches()
 
     sums = map_arrow(df.select(text), count, "unit string, n long").groupBy("unit").agg(F.sum("n").alias("n"))
     return [r["unit"] for r in sums.orderBy(F.desc("n"), "unit").limit(TABLE_SIZE).collect()]
