@@ -50,11 +50,6 @@ def parse_date(c: Column, layout: str) -> Column:
     return F.when(shape.isin(_shapes(layout)) & text.rlike(DATE_LAYOUTS[layout]), parsed)
 
 
-def parse_mixed(c: Column, layouts=DATE_LAYOUTS) -> Column:
-    """First layout that fits, value by value."""
-    return F.coalesce(*[parse_date(c, f) for f in layouts])
-
-
 def misfits(c: Column, layout: str) -> Column:
     """Aggregate: number of values the layout cannot read."""
     return F.count_if(c.isNotNull() & parse_date(c, layout).isNull())

@@ -245,7 +245,7 @@ def guarded_insert(existing: DataFrame, new: DataFrame, unique: list[str]) -> tu
 
 
 def broadcast_header(rows: DataFrame, header: DataFrame, on: list[str]) -> DataFrame:
-    """The header record of a scope on each of its rows (one header row per key)."""
+    """The header records of a scope on each of its rows."""
     return null_safe_join(rows, header, on)
 
 

@@ -147,44 +147,73 @@ def has_link(a: list[str], b: list[str], subset: list[str] | None = None) -> boo
     return bool(set(a) & set(b) & set(subset if subset is not None else a))
 
 
-def date_layouts(df: DataFrame, columns: list[str] | None = None, doy: list[str] = ()) -> dict[str, str]:
-    """Layout of every column whose values all parse as dates; one aggregate over all rows.
-
-    Five-digit codes are read as day-of-year only for columns declared in ``doy``:
-    plot numbers look the same.
-    """
-    tests: list[tuple[str, str]] = []
-    typed = {}
+def _date_tests(df: DataFrame, columns: list[str] | None, doy: list[str]) -> tuple[list[str], dict[str, list[str]]]:
+    """Columns that are dates by type, and the layouts that each other column may have."""
+    typed, tests = [], {}
     for f in df.schema:
         if columns is not None and f.name not in columns:
             continue
         if f.name in doy:
-            tests.append((f.name, "yyDDD"))
+            tests[f.name] = ["yyDDD"]
         elif isinstance(f.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-            typed[f.name] = "date"
+            typed.append(f.name)
         elif isinstance(f.dataType, T.StringType):
-            tests += [(f.name, lay) for lay in dates.DATE_LAYOUTS]
+            tests[f.name] = list(dates.DATE_LAYOUTS)
         elif isinstance(f.dataType, INTEGERS):
-            tests.append((f.name, "yyyyMMdd"))
-    if not tests:
-        return typed
-    filled = sorted({c for c, _ in tests})
-    row = df.agg(
-        *[F.count(c).alias(f"n_{c}") for c in filled],
-        *[dates.misfits(F.col(c), lay).alias(f"m{i}") for i, (c, lay) in enumerate(tests)],
-    ).first()
-    out = dict(typed)
-    for i, (c, lay) in enumerate(tests):
-        if c not in out and row[f"n_{c}"] > 0 and row[f"m{i}"] == 0:
-            out[c] = lay
-    return {c: out[c] for c in df.columns if c in out}
+            tests[f.name] = ["yyyyMMdd"]
+    return typed, tests
 
 
-def dates_parsed(df: DataFrame, layouts: dict[str, str]) -> DataFrame:
-    """Columns with a known layout as dates."""
-    return df.withColumns(
-        {c: F.col(c).cast("date") if lay == "date" else dates.parse_date(F.col(c), lay) for c, lay in layouts.items()}
+def date_layouts(df: DataFrame, columns: list[str] | None = None, doy: list[str] = (), by: list[str] = ()) -> dict[str, list[str]]:
+    """Layouts of every column whose values all parse as dates: in each scope one layout fits all values.
+
+    Scopes may differ; the layouts in use are listed in the order in which they are tried. Five-digit codes are
+    read as day-of-year only for columns declared in ``doy``: plot numbers look the same.
+    """
+    typed, tests = _date_tests(df, columns, doy)
+    found = {c: ["date"] for c in typed}
+    if tests:
+        layouts = scope_layouts(df, tests, by)
+        row = layouts.agg(
+            *[F.collect_set(f"layout_{i}").alias(f"all_{i}") for i in range(len(tests))],
+            *[F.bool_or(F.col(f"n_{i}") & F.col(f"layout_{i}").isNull()).alias(f"bad_{i}") for i in range(len(tests))],
+        ).first()
+        for i, (c, lays) in enumerate(tests.items()):
+            if row[f"all_{i}"] and not row[f"bad_{i}"]:
+                found[c] = [x for x in lays if x in row[f"all_{i}"]]
+    return {c: found[c] for c in df.columns if c in found}
+
+
+def scope_layouts(df: DataFrame, tests: dict[str, list[str]], by: list[str] = ()) -> DataFrame:
+    """One row per scope: for column number i whether it has values (``n_i``) and its first layout that fits all (``layout_i``)."""
+    by = list(by)
+    aggs = []
+    for i, (c, lays) in enumerate(tests.items()):
+        aggs.append(F.count(c).alias(f"c_{i}"))
+        aggs += [dates.misfits(F.col(c), lay).alias(f"m_{i}_{j}") for j, lay in enumerate(lays)]
+    counts = df.groupBy(*by).agg(*aggs)
+    out = []
+    for i, lays in enumerate(tests.values()):
+        fits = [F.when(F.col(f"m_{i}_{j}") == 0, lay) for j, lay in enumerate(lays)]
+        some = F.col(f"c_{i}") > 0
+        out += [some.alias(f"n_{i}"), F.when(some, F.coalesce(*fits)).alias(f"layout_{i}")]
+    return counts.select(*by, *out)
+
+
+def dates_parsed(df: DataFrame, layouts: dict[str, list[str]], by: list[str] = ()) -> DataFrame:
+    """Columns with known layouts as dates; with several, a value is read by the layout of its scope."""
+    mixed = {c: lays for c, lays in layouts.items() if len(lays) > 1}
+    out = df.withColumns(
+        {c: F.col(c).cast("date") if lays[0] == "date" else dates.parse_date(F.col(c), lays[0]) for c, lays in layouts.items() if c not in mixed}
     )
+    if not mixed:
+        return out
+    chosen = scope_layouts(df, mixed, by).select(*by, *[f"layout_{i}" for i in range(len(mixed))])
+    out = null_safe_join(out, chosen, list(by))
+    for i, (c, lays) in enumerate(mixed.items()):
+        own = [F.when(F.col(f"layout_{i}") == lay, dates.parse_date(F.col(c), lay)) for lay in lays]
+        out = out.withColumn(c, F.coalesce(*own))
+    return out.select(*df.columns)
 
 
 def date_columns_by_share(df: DataFrame) -> list[str]:

@@ -13,6 +13,7 @@ from agroloom.functions.dates import archive_period
 from agroloom.operators.profile import NUMBERS
 from agroloom.operators.scale import null_safe_join
 from agroloom.operators.stations import nearest_station, stations_within
+from agroloom.session import checkpointed
 
 
 def _rows(names: tuple[str, ...], rows: list[tuple]) -> list[dict]:
@@ -224,15 +225,16 @@ def choose_stations(
     radius = _lookup({p["variable"]: float(p["max_radius"]) for p in params})
     allowed = _lookup({f"{p['variable']}/{r}": True for p in params for r in p["res"]})
     usable = stations.filter(F.coalesce(F.try_element_at(allowed, F.concat_ws("/", "variable", "res")), F.lit(False)))
-    spans = usable.select("station_id", "variable", "start_date", "end_date", *[c for c in ("per",) if c in usable.columns])
+    period = [c for c in ("per",) if c in usable.columns]
+    spans = usable.select("station_id", "variable", "lat", "lon", "start_date", "end_date", *period)
     on = null_safe_join(covered, spans, ["station_id", "variable"], "inner")
     first, last = F.make_date("year", F.lit(1), F.lit(1)), F.make_date("year", F.lit(12), F.lit(31))
     fits = (F.col("start_date") <= first) & (F.col("end_date") >= last)
     if "per" in usable.columns:
         fits = fits & (F.coalesce(F.nullif("per", F.lit("")), F.lit("historical")) == archive_period(first, today))
-    valid = on.filter(fits).select("station_id", "variable", "year").distinct()
-    places = usable.groupBy("station_id", "variable").agg(F.min("lat").alias("lat"), F.min("lon").alias("lon"))
-    candidates = null_safe_join(valid, places, ["station_id", "variable"], "inner")
+    # a moved station stands where it stood in the period that covers the year; of several rows the longest, then latest
+    place = F.max_by(F.struct("lat", "lon"), F.struct(F.date_diff("end_date", "start_date"), "end_date", "lat", "lon"))
+    candidates = on.filter(fits).groupBy("station_id", "variable", "year").agg(place.alias("p")).select("station_id", "variable", "year", "p.lat", "p.lon")
     names = F.array(*[F.lit(p["variable"]) for p in params])
     asked = wanted.select("site_id", "lat", "lon", "year").distinct().withColumn("variable", F.explode(names))
     best = nearest_station(asked, candidates, max(p["max_radius"] for p in params), ["variable", "year"])
@@ -250,9 +252,11 @@ def find_stations(
     parts = []
     for p in params:
         own = stations.filter((F.col("variable") == p["variable"]) & F.col("res").isin(p["res"]))
-        near = stations_within(sites, own, p["max_radius"], station="station_id")
-        rest = own.drop("lat", "lon").distinct()
-        parts.append(null_safe_join(near, rest, ["station_id"], "inner"))
+        # a place is searched once, then meets the periods and resolutions of its station there
+        places = own.select("station_id", "lat", "lon").distinct()
+        near = stations_within(sites, places, p["max_radius"], station="station_id")
+        rest = own.distinct().withColumnsRenamed({"lat": "st_lat", "lon": "st_lon"})
+        parts.append(null_safe_join(near, rest, ["station_id", "st_lat", "st_lon"], "inner"))
     out = reduce(DataFrame.unionByName, parts)
     out = out.filter((F.col("start_date") <= F.col(on_date)) & (F.col("end_date") >= F.col(on_date)))
     if "per" in stations.columns:
@@ -271,13 +275,21 @@ def get_weather(
 ) -> dict[str, DataFrame]:
     """Daily weather, header and station choice for all sites and years in one plan.
 
-    ``readings``: station_id, var (archive name), ts, value. They are cut to daily values per
-    station before they meet the sites, so a station serving many sites is aggregated once.
+    ``readings``: station_id, var (archive name), ts, value. Only those of stations in reach and of wanted years are looked at, and
+    only those of a chosen station, variable and year are aggregated, once for all the sites that it serves. The choice, one
+    row per site, year and variable, is written to the checkpoint folder.
     """
     group = _lookup({v: p["variable"] for p in params for v in p["repo_vars"]})
     tagged = readings.withColumn("variable", F.try_element_at(group, F.col("var"))).filter("variable IS NOT NULL")
-    chosen = choose_stations(wanted, stations, coverage(tagged, ["station_id", "variable"]), params)
-    daily = daily_from_long(tagged, mapping, ["station_id", "variable"], nulls=nulls).withColumn("year", F.year("W_DATE"))
+    tagged = tagged.withColumn("year", F.year("ts")).join(wanted.select("year").distinct(), "year", "left_semi")
+    places = stations.select("station_id", "lat", "lon").distinct()
+    spots = wanted.select("lat", "lon").distinct()
+    reach = stations_within(spots, places, max(p["max_radius"] for p in params)).select("station_id").distinct()
+    tagged = tagged.join(reach, "station_id", "left_semi")
+    chosen = checkpointed(choose_stations(wanted, stations, coverage(tagged, ["station_id", "variable"]), params))
+    served = chosen.select("station_id", "variable", "year").distinct()
+    used = tagged.join(served, ["station_id", "variable", "year"], "left_semi")
+    daily = daily_from_long(used, mapping, ["station_id", "variable"], nulls=nulls).withColumn("year", F.year("W_DATE"))
     picked = chosen.select("site_id", "year", "station_id", "variable")
     rows = null_safe_join(picked, daily, ["station_id", "variable", "year"], "inner")
     names = list(_targets(mapping))

@@ -93,7 +93,7 @@ def observation_table(df: DataFrame, name: str, order: list[str], by: list[str]
 def management_table(df: DataFrame, name: str, order: list[str], by: list[str] = BY) -> DataFrame:
     """As :func:`observation_table`, with year-month-day text as dates."""
     out, _ = observation_table(df, name, order, by)
-    layouts = {c: lay for c, lay in date_layouts(out).items() if lay.startswith("yyyy-MM-dd")}
+    layouts = {c: lays for c, lays in date_layouts(out).items() if all(x.startswith("yyyy-MM-dd") for x in lays)}
     return dates_parsed(out, layouts) if layouts else out
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -12,12 +13,12 @@ from agroloom.functions.dates import to_doy
 from agroloom.functions.text import cell
 from agroloom.operators.columns import conform
 from agroloom.operators.ids import reset_ids
+from agroloom.operators.merge import broadcast_header
 from agroloom.operators.nesting import collapse_columns
-from agroloom.operators.profile import drop_null_columns
+from agroloom.operators.profile import INTEGERS, NUMBERS, drop_null_columns
 from agroloom.operators.scale import null_safe_join
 from agroloom.plans import templates as tpl
 
-FILE_LINES = 1_000_000  # lines of one output file before it is cut
 YEARLESS = ("GENERAL", "FIELDS", "SOIL_Header", "SOIL_Layers")
 
 
@@ -53,7 +54,7 @@ def format_section(df: DataFrame, template: T.StructType, by: list[str], order:
     """A section in its template: layer columns nested, types cast, missing columns null.
 
     Layers are nested per combination of the remaining input columns, ordered by ``order`` (the
-    layer columns by default). A list longer than a part continues in the next ``part``.
+    layer columns by default).
     """
     nested = [f.name for f in template if isinstance(f.dataType, T.ArrayType) and f.name in df.columns]
     flat = [f.name for f in template if not isinstance(f.dataType, T.ArrayType) and f.name in df.columns]
@@ -62,8 +63,7 @@ def format_section(df: DataFrame, template: T.StructType, by: list[str], order:
     if plain:
         rows = df.select(*keys, *plain, *[c for c in order if c not in [*keys, *plain]])
         packed = collapse_columns(rows, plain, list(order) or plain, by=keys)
-        df = packed.select(*keys, "part", *[F.col("items")[c].alias(c) for c in plain])
-        keys = [*keys, "part"]
+        df = packed.select(*keys, *[F.col("items")[c].alias(c) for c in plain])
     extra = [c for c in keys if c not in template.names]
     shaped = T.StructType([df.schema[c] for c in extra] + list(template))
     return conform(df, shaped)
@@ -97,8 +97,12 @@ def build_management(
 
     for name in tpl.SECTION_ORDER:
         if name in sections:
-            keys = [c for c in [*by, year] if c in sections[name].columns]
-            out[name] = format_section(sections[name], tpl.SECTIONS[name], keys)
+            given = sections[name]
+            if year not in given.columns and scopes is not None:
+                # what holds for all years is printed in the file of each
+                given = broadcast_header(scopes, given, by).filter(reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in given.columns if c not in by]))
+            keys = [c for c in [*by, year] if c in given.columns]
+            out[name] = format_section(given, tpl.SECTIONS[name], keys)
             if name == "TREATMENTS":
                 out[name] = treatment_defaults(out[name])
         elif name in tpl.REQUIRED_SECTIONS:
@@ -123,15 +127,27 @@ def _dates_as_codes(df: DataFrame) -> DataFrame:
 
 
 def build_summary(observed: DataFrame, by: list[str], year: str = "Year") -> DataFrame:
-    """Observed summary with dates as day-of-year codes; printed columns only."""
-    cols = [c for c in observed.columns if c in tpl.SUMMARY_FORMATS]
-    return _dates_as_codes(observed.select(*by, year, *cols))
+    """Observed summary with dates as day-of-year codes; all columns stay."""
+    first = [c for c in (*by, year, "TRTNO") if c in observed.columns]
+    return _dates_as_codes(observed.select(*first, *[c for c in observed.columns if c not in first]))
 
 
 def build_series(observed: DataFrame, by: list[str], year: str = "Year") -> DataFrame:
-    """Observed time series with dates as day-of-year codes."""
-    cols = [c for c in ["DATE", "TRTNO", *observed.columns] if c in observed.columns and c in tpl.SERIES_FORMATS]
-    return _dates_as_codes(observed.select(*by, year, *dict.fromkeys(cols)))
+    """Observed time series with dates as day-of-year codes; all columns stay."""
+    first = [c for c in (*by, year, "DATE", "TRTNO") if c in observed.columns]
+    return _dates_as_codes(observed.select(*first, *[c for c in observed.columns if c not in first]))
+
+
+def observed_formats(df: DataFrame, scope: list[str], known: dict[str, str]) -> dict[str, str]:
+    """Print formats of all columns beside the scope: the known ones, else by type, at least six wide."""
+    out = {}
+    for f in df.schema:
+        if f.name in scope:
+            continue
+        wide = max(6, len(f.name) + 1)
+        kind = f"%{wide}.0f" if isinstance(f.dataType, INTEGERS) else f"%{wide}.2f" if isinstance(f.dataType, NUMBERS) else f"%{wide}s"
+        out[f.name] = known.get(f.name, kind)
+    return out
 
 
 def build_soil(header: DataFrame, layers: DataFrame, on: list[str], order: str = "SLB") -> DataFrame:
@@ -158,40 +174,74 @@ def header_line(formats: dict[str, str]) -> str:
     return "@" + text[1:] if text.startswith(" ") else "@" + text
 
 
-def section_formats(df: DataFrame, skip: list[str]) -> dict[str, str]:
-    """Print formats of a management section from its types; six wide or the name's length."""
-    out = {}
-    for f in df.schema:
-        if f.name in skip or isinstance(f.dataType, T.ArrayType):
-            continue
-        wide = max(6, len(f.name) + 1)
-        kind = f.dataType
-        out[f.name] = f"%{wide}.0f" if len(f.name) <= 2 and isinstance(kind, T.DoubleType) else (
-            f"%{wide}.1f" if isinstance(kind, T.DoubleType) else f"%{wide}s"
-        )
-    return out
+def sort_key(df: DataFrame, order: list[str]) -> Column:
+    """Typed sort key: numbers and dates by value, text by code point, null last."""
+    parts = []
+    for c in order:
+        kind = df.schema[c].dataType
+        number = F.col(c).cast("double") if isinstance(kind, NUMBERS) else F.lit(None).cast("double")
+        if isinstance(kind, T.DateType):
+            number = F.unix_date(c).cast("double")
+        text = F.lit(None).cast("string") if isinstance(kind, (*NUMBERS, T.DateType)) else F.col(c).cast("string")
+        parts.append(F.struct(F.col(c).isNull().alias("none"), number.alias("number"), text.alias("text")))
+    return F.array(*parts).cast("array<struct<none:boolean,number:double,text:string>>")
+
+
+def _line(df: DataFrame, scope: list[str], block: int, kind: int, order: list[str], line: Column) -> DataFrame:
+    return df.select(*scope, F.lit(block).alias("block_no"), F.lit(kind).alias("kind"), sort_key(df, order).alias("sort"), line.alias("line"))
+
+
+def _with_heads(rows: DataFrame, df: DataFrame, scope: list[str], block: int, heads: list[str]) -> DataFrame:
+    """Rows with the lines above them, once per scope."""
+    marks = F.explode(F.array(*[F.struct(F.lit(i - len(heads)).alias("kind"), F.lit(t).alias("line")) for i, t in enumerate(heads)])).alias("h")
+    above = df.select(*scope).distinct().select(*scope, F.lit(block).alias("block_no"), marks)
+    empty = sort_key(df, []).alias("sort")
+    return rows.unionByName(above.select(*scope, "block_no", "h.kind", empty, "h.line"))
 
 
 def text_lines(
     df: DataFrame, formats: dict[str, str], scope: list[str], order: list[str], block: int, title: str | None = None
 ) -> DataFrame:
-    """Lines of one block: (scope, block_no, kind, sort keys as text, line)."""
+    """Lines of one block in columns of fixed width: (scope, block_no, kind, sort, line); heads have a negative kind."""
     have = {c: f for c, f in formats.items() if c in df.columns}
-    rows = df.select(
-        *scope,
-        F.lit(block).alias("block_no"),
-        F.lit(2).alias("kind"),
-        F.concat_ws("|", *[F.lpad(F.coalesce(F.col(c).cast("string"), F.lit("~")), 24, " ") for c in order]).alias("sort"),
-        print_line(have).alias("line"),
-    )
-    heads = [(0, title)] if title else []
-    heads.append((1, header_line(have)))
-    scopes = df.select(*scope).distinct()
-    marks = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.lit(t).alias("line")) for k, t in heads])).alias("h")
-    head = scopes.select(*scope, F.lit(block).alias("block_no"), marks).select(
-        *scope, "block_no", "h.kind", F.lit("").alias("sort"), "h.line"
-    )
-    return rows.unionByName(head)
+    rows = _line(df, scope, block, 0, order, print_line(have))
+    return _with_heads(rows, df, scope, block, [*([title] if title else []), header_line(have)])
+
+
+def head_cells(head: str) -> list[tuple[str, int, int, bool]]:
+    """Columns of a head line: name, blanks before the cell, width, whether it is left-aligned.
+
+    A right-aligned cell reaches from the end of the name before to the end of its own name; a left-aligned one starts with
+    its name and may fill the blanks before the next left-aligned one.
+    """
+    found = [(m.group().strip("@."), m.start(), m.end()) for m in re.finditer(r"[^\s@]\S*|@\S+", head)]
+    out, last = [], 0
+    for i, (name, start, end) in enumerate(found):
+        left = name in tpl.LEFT_CELLS
+        if left and i + 1 < len(found) and found[i + 1][0] in tpl.LEFT_CELLS:
+            end = found[i + 1][1] - 1
+        start = 0 if head[start] == "@" and left else start
+        out.append((name, start - last, end - start, True) if left else (name, 0, end - last, False))
+        last = end
+    return out
+
+
+def printed_cell(df: DataFrame, name: str, blanks: int, width: int, left: bool, missing: str = "-99") -> Column:
+    kind = df.schema[name].dataType
+    value = F.format_string(f"%.{tpl.DECIMALS.get(name, 0)}f", F.col(name).cast("double")) if isinstance(kind, NUMBERS) else F.col(name).cast("string")
+    shown = F.coalesce(F.when(F.col(name).isNotNull(), value), F.lit(missing))
+    pad = F.rpad if left else F.lpad
+    # a value wider than its cell is printed whole
+    fitted = F.when(F.length(shown) < width, pad(shown, width, " ")).otherwise(shown)
+    return F.concat(F.lit(" " * blanks), fitted)
+
+
+def head_lines(df: DataFrame, head: str, scope: list[str], order: list[str], block: int, title: str | None = None) -> DataFrame:
+    """Lines of one block whose cells lie under the names of a fixed head; columns that ``df`` lacks are missing values."""
+    cells = head_cells(head)
+    full = df.withColumns({n: F.lit(None).cast("string") for n, *_ in cells if n not in df.columns})
+    line = F.rtrim(F.concat(*[printed_cell(full, *c) for c in cells]))
+    return _with_heads(_line(full, scope, block, 0, order, line), df, scope, block, [*([title] if title else []), head])
 
 
 def layer_rows(df: DataFrame, keep: list[str]) -> DataFrame:
@@ -206,39 +256,46 @@ def layer_rows(df: DataFrame, keep: list[str]) -> DataFrame:
 
 def title_line(text: Column, df: DataFrame, scope: list[str], block: int, kind: int = 0) -> DataFrame:
     """One line per scope from an expression over ``df``."""
-    return df.select(
-        *scope, F.lit(block).alias("block_no"), F.lit(kind).alias("kind"), F.lit("").alias("sort"), text.alias("line")
-    ).distinct()
+    return _line(df, scope, block, kind, [], text).distinct()
 
 
 def management_lines(sections: dict[str, DataFrame], scope: list[str], header: DataFrame | None = None) -> DataFrame:
-    """The management file: title, then every section, list columns as a block of their own.
+    """The management file: title, then every section with its heads, layers and events in a block of their own.
 
-    ``header`` holds the title per scope (``EXP_DETAILS``).
+    ``header`` holds the title per scope (``EXP_DETAILS``). A blank line precedes every section.
     """
     parts = []
     if header is not None:
         parts.append(title_line(F.concat(F.lit("*EXP.DETAILS: "), "EXP_DETAILS"), header, scope, 0))
-    for i, (name, df) in enumerate(sections.items()):
+    block = 1
+    for name in [n for n in tpl.SECTION_HEADS if n in sections]:
+        df = sections[name]
         if not set(scope) <= set(df.columns):
             continue
+        parts.append(title_line(F.lit(""), df, scope, block))
         dated = _dates_as_codes(df)
-        formats = section_formats(dated, [*scope, "part"])
-        index = next(iter(formats))
-        block = 2 * i + 1
-        parts.append(text_lines(dated, formats, scope, list(formats)[:2], block, f"*{name.replace('_', ' ')}"))
-        if any(isinstance(f.dataType, T.ArrayType) for f in df.schema) and name != "GENERAL":
-            layers = _dates_as_codes(layer_rows(df, [*scope, index]))
-            own = {index: formats[index]} | section_formats(layers, [*scope, index, "layer_no"])
-            parts.append(text_lines(layers, own, scope, [index, "layer_no"], block + 1))
+        heads = tpl.SECTION_HEADS[name]
+        first = head_cells(heads[0])[0][0]
+        order = [c for c in dict.fromkeys([first, *[c for c, *_ in head_cells(heads[0])]]) if c in df.columns and not isinstance(df.schema[c].dataType, T.ArrayType)]
+        for i, head in enumerate(heads):
+            block += 1
+            parts.append(head_lines(dated, head, scope, order, block, tpl.SECTION_TITLES[name] if i == 0 else None))
+        if name in tpl.LIST_HEADS and any(isinstance(f.dataType, T.ArrayType) for f in df.schema):
+            block += 1
+            index = [] if name == "GENERAL" else [first]
+            layers = _dates_as_codes(layer_rows(df, [*scope, *index]))
+            parts.append(head_lines(layers, tpl.LIST_HEADS[name], scope, [*index, "layer_no"], block))
+        block += 1
     return reduce(DataFrame.unionByName, parts)
 
 
 def observed_lines(observed: DataFrame, formats: dict[str, str], scope: list[str], header: DataFrame, kind: str) -> DataFrame:
-    """An observed file: ``kind`` is A for summaries and T for time series."""
+    """An observed file: ``kind`` is A for summaries and T for time series; columns without a format get one by their type."""
     title = title_line(F.concat(F.lit(f"*EXP. DATA ({kind}): "), "EXP_DETAILS"), header, scope, 0)
+    blank = title_line(F.lit(""), header, scope, 1)
     order = [c for c in ("TRTNO", "DATE") if c in observed.columns]
-    return title.unionByName(text_lines(observed, formats, scope, order, 1))
+    lines = text_lines(observed, observed_formats(observed, scope, formats), scope, [*order, *[c for c in observed.columns if c not in (*order, *scope)]], 2)
+    return title.unionByName(blank).unionByName(lines)
 
 
 def weather_lines(daily: DataFrame, header: DataFrame, comments: DataFrame, scope: list[str]) -> DataFrame:
@@ -248,15 +305,11 @@ def weather_lines(daily: DataFrame, header: DataFrame, comments: DataFrame, scop
     comment; ``daily`` comes from :func:`build_weather`.
     """
     title = title_line(F.concat(F.lit("*WEATHER: "), "SITE"), header, scope, 0)
-    notes = comments.select(
-        *scope,
-        F.lit(0).alias("block_no"),
-        F.lit(1).alias("kind"),
-        F.col("comment").alias("sort"),
-        F.concat(F.lit("! "), "comment").alias("line"),
-    )
-    station = text_lines(header, tpl.HEADER_FORMATS, scope, ["INSI"], 1)
-    return reduce(DataFrame.unionByName, [title, notes, station, text_lines(daily, tpl.WEATHER_FORMATS, scope, ["DATE"], 2)])
+    notes = _line(comments, scope, 0, 1, ["comment"], F.concat(F.lit("! "), "comment"))
+    station = text_lines(header, tpl.HEADER_FORMATS, scope, ["INSI"], 2)
+    days = text_lines(daily, tpl.WEATHER_FORMATS, scope, ["DATE"], 4)
+    blanks = [title_line(F.lit(""), header, scope, i) for i in (1, 3)]
+    return reduce(DataFrame.unionByName, [title, notes, station, days, *blanks])
 
 
 def soil_lines(soil: DataFrame, scope: list[str]) -> DataFrame:
@@ -267,32 +320,23 @@ def soil_lines(soil: DataFrame, scope: list[str]) -> DataFrame:
     for i, formats in enumerate(tpl.SOIL_BLOCKS):
         once = soil.select(*scope, *[c for c in formats if c not in scope]).distinct()
         parts.append(text_lines(once, formats, scope, list(formats)[:1], i + 1))
-    layers = layer_rows(soil, [*scope, *[c for c in ("part",) if c in soil.columns]])
-    order = [c for c in ("part", "layer_no") if c in layers.columns]
-    parts.append(text_lines(layers, tpl.LAYER_FORMATS, scope, order, len(tpl.SOIL_BLOCKS) + 1))
+    parts.append(text_lines(layer_rows(soil, scope), tpl.LAYER_FORMATS, scope, ["layer_no"], len(tpl.SOIL_BLOCKS) + 1))
     return reduce(DataFrame.unionByName, parts)
 
 
-def by_scope(df: DataFrame, scope: list[str], order: list[str], max_rows: int = FILE_LINES) -> DataFrame:
-    """Rows placed for writing folders: a scope in one task up to ``max_rows``, larger ones cut in order.
+def by_scope(df: DataFrame, scope: list[str], order: list[str]) -> DataFrame:
+    """Rows placed for writing folders: each scope whole and in order in one task, scopes spread evenly.
 
-    The range keys below the scope are null for ordinary scopes, which keeps their rows together;
-    the input partition as last key lets a cut go through equal rows. The number of partitions is
-    given, as writing many small files costs time rather than bytes.
+    The number of partitions is given, as writing many small files costs time rather than bytes.
     """
     spark = df.sparkSession
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    sizes = df.groupBy(*scope).agg(F.count(F.lit(1)).alias("__n"))
-    rows = null_safe_join(df.withColumn("__in", F.spark_partition_id()), sizes, scope)
-    cuts = [F.when(F.col("__n") > max_rows, F.col(c)) for c in [*order, "__in"]]
-    return rows.repartitionByRange(n, *scope, *cuts).sortWithinPartitions(*scope, *order).drop("__n", "__in")
+    return df.repartitionByRange(n, *scope).sortWithinPartitions(*scope, *order)
 
 
-def write_text(lines: DataFrame, path: str, scope: list[str], max_lines: int = FILE_LINES) -> None:
-    """Folders per scope, lines in order; one file per scope up to ``max_lines``, else several
-    part files in order by name."""
-    placed = by_scope(lines, scope, ["block_no", "kind", "sort"], max_lines)
-    placed.select(*scope, "line").write.mode("overwrite").partitionBy(*scope).text(path)
+def write_text(lines: DataFrame, path: str, scope: list[str], order: list[str] = ("block_no", "kind", "sort")) -> None:
+    """Folders per scope, one file each, lines in order."""
+    by_scope(lines, scope, list(order)).select(*scope, "line").write.mode("overwrite").partitionBy(*scope).text(path)
 
 
 def write_sections(sections: dict[str, DataFrame], path: str, by: list[str], year: str = "Year") -> None:

@@ -124,11 +124,11 @@ def prepare(
     keys = {k for ks in own.values() for k in ks} | set(DESIGN_NAMES)
 
     def layouts_of(df: DataFrame) -> dict[str, str]:
-        return profile.date_layouts(df, [c for c in df.columns if c not in keys and c not in by])
+        return profile.date_layouts(df, [c for c in df.columns if c not in keys and c not in by], by=by)
 
     with ThreadPoolExecutor(max_workers=8) as pool:
         dated = dict(zip(named, pool.map(layouts_of, named.values())))
-    named = {n: profile.dates_parsed(df, dated[n]) if dated[n] else df for n, df in named.items()}
+    named = {n: profile.dates_parsed(df, dated[n], by) if dated[n] else df for n, df in named.items()}
     uses: dict[str, int] = {}
     for df in named.values():
         for c in df.columns:

@@ -110,6 +110,81 @@ REQUIRED_SECTIONS = ("TREATMENTS", "CULTIVARS", "FIELDS", "PLANTING_DETAILS")
 SECTION_IDS = ("N", "C", "L", "A", "P", "T", "I", "F", "R", "E", "H")
 TREATMENT_IDS = ("CU", "FL", "SA", "IC", "MP", "MI", "MF", "MR", "MC", "MT", "ME", "MH", "SM")
 
+# Titles and heads of the management file. A cell ends under its column's name; names of LEFT_CELLS
+# start their cell instead. The first block of a section has one line per record, the blocks of LIST_HEADS one per layer.
+SECTION_TITLES = {
+    "GENERAL": "*GENERAL",
+    "TREATMENTS": "*TREATMENTS                        -------------FACTOR LEVELS------------",
+    "CULTIVARS": "*CULTIVARS",
+    "FIELDS": "*FIELDS",
+    "SOIL_ANALYSIS": "*SOIL ANALYSIS",
+    "INITIAL_CONDITIONS": "*INITIAL CONDITIONS",
+    "PLANTING_DETAILS": "*PLANTING DETAILS",
+    "TILLAGE": "*TILLAGE AND ROTATIONS",
+    "IRRIGATION": "*IRRIGATION AND WATER MANAGEMENT",
+    "FERTILIZERS": "*FERTILIZERS (INORGANIC)",
+    "RESIDUES": "*RESIDUES AND ORGANIC FERTILIZER",
+    "CHEMICALS": "*CHEMICAL APPLICATIONS",
+    "ENVIRONMENT_MODIFICATIONS": "*ENVIRONMENT MODIFICATIONS",
+    "HARVEST": "*HARVEST DETAILS",
+    "SIMULATION_CONTROLS": "*SIMULATION CONTROLS",
+}
+SECTION_HEADS = {
+    "GENERAL": [
+        "@PEOPLE", "@ADDRESS", "@SITE",
+        "@ PAREA  PRNO  PLEN  PLDR  PLSP  PLAY HAREA  HRNO  HLEN  HARM.........",
+    ],
+    "TREATMENTS": ["@N R O C TNAME.................... CU FL SA IC MP MI MF MR MC MT ME MH SM"],
+    "CULTIVARS": ["@C CR INGENO CNAME"],
+    "FIELDS": [
+        "@L ID_FIELD WSTA....  FLSA  FLOB  FLDT  FLDD  FLDS  FLST SLTX  SLDP  ID_SOIL    FLNAME",
+        "@L ...........XCRD ...........YCRD .....ELEV .............AREA .SLEN .FLWR .SLAS FLHST FHDUR",
+    ],
+    "SOIL_ANALYSIS": ["@A SADAT  SMHB  SMPX  SMKE  SANAME"],
+    "INITIAL_CONDITIONS": ["@C   PCR ICDAT  ICRT  ICND  ICRN  ICRE  ICWD ICRES ICREN ICREP ICRIP ICRID ICNAME"],
+    "PLANTING_DETAILS": [
+        "@P PDATE EDATE  PPOP  PPOE  PLME  PLDS  PLRS  PLRD  PLDP  PLWT  PAGE  PENV  PLPH  SPRL                        PLNAME"
+    ],
+    "TILLAGE": ["@T TDATE TIMPL  TDEP TNAME"],
+    "IRRIGATION": ["@I  EFIR  IDEP  ITHR  IEPT  IOFF  IAME  IAMT IRNAME"],
+    "FERTILIZERS": ["@F FDATE  FMCD  FACD  FDEP  FAMN  FAMP  FAMK  FAMC  FAMO  FOCD FERNAME"],
+    "RESIDUES": ["@R RDATE  RCOD  RAMT  RESN  RESP  RESK  RINP  RDEP  RMET RENAME"],
+    "CHEMICALS": ["@C CDATE CHCOD CHAMT  CHME CHDEP CHT..  CHNAME"],
+    "ENVIRONMENT_MODIFICATIONS": ["@E ODATE  EDAY  ERAD  EMAX  EMIN ERAIN  ECO2  EDEW EWIND ENVNAME"],
+    "HARVEST": ["@H HDATE  HSTG  HCOM HSIZE   HPC  HBPC HNAME"],
+    "SIMULATION_CONTROLS": [
+        "@N GENERAL     NYERS NREPS START SDATE RSEED SNAME                     SMODEL  ",
+        "@N OPTIONS     WATER NITRO SYMBI PHOSP POTAS DISES  CHEM  TILL   CO2",
+        "@N METHODS     WTHER INCON LIGHT EVAPO INFIL PHOTO HYDRO NSWIT MESOM MESEV MESOL",
+        "@N MANAGEMENT  PLANT IRRIG FERTI RESID HARVS",
+        "@N OUTPUTS     FNAME OVVEW SUMRY FROPT GROUT CAOUT WAOUT NIOUT MIOUT DIOUT VBOSE CHOUT OPOUT FMOPT",
+        "@N PLANTING    PFRST PLAST PH2OL PH2OU PH2OD PSTMX PSTMN",
+        "@N IRRIGATION  IMDEP ITHRL ITHRU IROFF IMETH IRAMT IREFF",
+        "@N NITROGEN    NMDEP NMTHR NAMNT NCODE NAOFF",
+        "@N RESIDUES    RIPCN RTIME RIDEP",
+        "@N HARVEST     HFRST HLAST HPCNP HPCNR",
+        "@N SIMDATES    ENDAT    SDUR   FODAT  FSTRYR  FENDYR FWFILE           FONAME",
+    ],
+}
+LIST_HEADS = {
+    "GENERAL": "@NOTES",
+    "SOIL_ANALYSIS": "@A  SABL  SADM  SAOC  SANI SAPHW SAPHB  SAPX  SAKE  SASC",
+    "INITIAL_CONDITIONS": "@C  ICBL  SH2O  SNH4  SNO3",
+    "IRRIGATION": "@I IDATE  IROP IRVAL",
+}
+LEFT_CELLS = (
+    "PEOPLE", "ADDRESS", "SITE", "HARM", "NOTES", "TNAME", "CR", "CNAME", "ID_FIELD", "WSTA", "SLTX", "ID_SOIL", "FLNAME", "SANAME", "ICNAME",
+    "PLNAME", "IRNAME", "FERNAME", "RENAME", "CHT", "CHNAME", "ENVNAME", "HNAME", "GENERAL", "SNAME", "SMODEL", "OPTIONS", "METHODS",
+    "MANAGEMENT", "OUTPUTS", "PLANTING", "IRRIGATION", "NITROGEN", "RESIDUES", "HARVEST", "SIMDATES", "FWFILE", "FONAME",
+)
+# Decimals of printed numbers; others have none.
+DECIMALS = {
+    "XCRD": 6, "YCRD": 6, "ELEV": 1, "PAREA": 1, "PLEN": 1, "HAREA": 1, "HLEN": 1, "SLDP": 1, "SLEN": 1, "SADM": 2, "SAOC": 2, "SANI": 2, "SAPHW": 1,
+    "SAPHB": 1, "SAPX": 1, "SAKE": 1, "SASC": 2, "SH2O": 3, "SNH4": 1, "SNO3": 1, "ICRES": 1, "ICREN": 2, "ICREP": 2, "PPOP": 1, "PPOE": 1,
+    "PLRS": 1, "PLDP": 1, "PENV": 1, "PLPH": 1, "SPRL": 1, "TDEP": 1, "EFIR": 2, "IAMT": 1, "IRVAL": 1, "RESN": 2, "RESP": 2, "RESK": 2, "CHAMT": 2,
+    "ERAD": 1, "EMAX": 1, "EMIN": 1, "ERAIN": 1, "EDEW": 1, "EWIND": 1,
+}
+
 # Print formats of the observed summary, observed time series and weather files.
 SUMMARY_FORMATS = {
     "TRTNO": "%6.0f", "ADAT": "%6s", "BWAH": "%6.0f", "CNAM": "%6.1f", "CWAH": "%6.0f", "CWAM": "%6.0f",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from agroloom.operators.columns import drop_empty_rows
@@ -87,10 +87,11 @@ def yearly_treatments(t: Tables) -> DataFrame:
 @query(
     _SECTIONS_SQL
     + """, f AS (SELECT DISTINCT experiment_id, y, f2 FROM n), s AS (SELECT DISTINCT experiment_id, y FROM n)
-    SELECT experiment_id, y AS "Year", '*FERTILIZERS' AS line FROM s
-    UNION ALL SELECT experiment_id, y, '@    F FDATE  FMCD  FACD  FDEP  FAMN  FAMP  FAMK  FAMC  FAMO  FOCD FERNAME' FROM s
-    UNION ALL SELECT experiment_id, y, printf('%6.0f', f2::DOUBLE) || ' ' || strftime(make_date(y::INT, 4, f2::INT), '%y%j') || ' FE041   -99   -99' || printf('%6.1f', f2 * 50.0)
-        || repeat('   -99', 5) || '     -99' FROM f"""
+    SELECT experiment_id, y AS "Year", '' AS line FROM s
+    UNION ALL SELECT experiment_id, y, '*FERTILIZERS (INORGANIC)' FROM s
+    UNION ALL SELECT experiment_id, y, '@F FDATE  FMCD  FACD  FDEP  FAMN  FAMP  FAMK  FAMC  FAMO  FOCD FERNAME' FROM s
+    UNION ALL SELECT experiment_id, y, printf('%2d', f2::INT) || ' ' || strftime(make_date(y::INT, 4, f2::INT), '%y%j') || ' FE041   -99   -99' || printf('%6d', (f2 * 50)::INT)
+        || repeat('   -99', 5) || ' -99' FROM f"""
 )
 def fertilizer_block(t: Tables) -> DataFrame:
     section = management(t)["FERTILIZERS"]
@@ -112,10 +113,11 @@ _PIPELINE_MAP = [
 @query(
     f"""WITH {BASE_SQL}, f AS (SELECT DISTINCT experiment_id, y, f1, f2 FROM base), s AS (SELECT DISTINCT experiment_id, y FROM base)
     SELECT experiment_id, y AS "Year", '*EXP.DETAILS: Trial ' || experiment_id AS line FROM s
-    UNION ALL SELECT experiment_id, y, '*FERTILIZERS' FROM s
-    UNION ALL SELECT experiment_id, y, '@    F FDATE  FMCD  FACD  FDEP  FAMN  FAMP  FAMK  FAMC  FAMO  FOCD FERNAME' FROM s
-    UNION ALL SELECT experiment_id, y, printf('%6.0f', ((f2 - 1) * 2 + f1)::DOUBLE) || ' ' || strftime(make_date(y::INT, 4, (f2 + 1)::INT), '%y%j')
-        || CASE f1 WHEN 1 THEN ' FE041' ELSE ' FE005' END || '   -99   -99' || printf('%6.1f', f2 * 500.0) || repeat('   -99', 5) || '     -99' FROM f"""
+    UNION ALL SELECT experiment_id, y, '' FROM s
+    UNION ALL SELECT experiment_id, y, '*FERTILIZERS (INORGANIC)' FROM s
+    UNION ALL SELECT experiment_id, y, '@F FDATE  FMCD  FACD  FDEP  FAMN  FAMP  FAMK  FAMC  FAMO  FOCD FERNAME' FROM s
+    UNION ALL SELECT experiment_id, y, printf('%2d', ((f2 - 1) * 2 + f1)::INT) || ' ' || strftime(make_date(y::INT, 4, (f2 + 1)::INT), '%y%j')
+        || CASE f1 WHEN 1 THEN ' FE041' ELSE ' FE005' END || '   -99   -99' || printf('%6d', (f2 * 500)::INT) || repeat('   -99', 5) || ' -99' FROM f"""
 )
 def trial_file(t: Tables) -> DataFrame:
     """From undocumented tables to the lines of the management file."""
@@ -133,6 +135,107 @@ def trial_file(t: Tables) -> DataFrame:
     return t.spark.read.text(path).select("experiment_id", F.col("Year").cast("long").alias("Year"), F.col("value").alias("line"))
 
 
+@query(
+    _SECTIONS_SQL
+    + """, s AS (SELECT DISTINCT experiment_id, e, y FROM base), l AS (SELECT DISTINCT experiment_id, e, y, block FROM base)
+    SELECT experiment_id, y AS "Year", '' AS line FROM s
+    UNION ALL SELECT experiment_id, y, '*FIELDS' FROM s
+    UNION ALL SELECT experiment_id, y, '@L ID_FIELD WSTA....  FLSA  FLOB  FLDT  FLDD  FLDS  FLST SLTX  SLDP  ID_SOIL    FLNAME' FROM s
+    UNION ALL SELECT experiment_id, y, printf('%2d', block::INT) || ' -99      SEDE    ' || repeat('   -99', 6) || ' -99    -99  IB00000001 -99' FROM l
+    UNION ALL SELECT experiment_id, y, '@L ...........XCRD ...........YCRD .....ELEV .............AREA .SLEN .FLWR .SLAS FLHST FHDUR' FROM s
+    UNION ALL SELECT experiment_id, y, printf('%2d', block::INT) || lpad(printf('%.6f', 12.41893 + e / 100000 + block / 1000000), 16, ' ')
+        || lpad(printf('%.6f', 51.40188 + e / 100000), 16, ' ') || lpad(printf('%.1f', 100.5 + block), 10, ' ') || lpad('-99', 18, ' ') || repeat('   -99', 5) FROM l"""
+)
+def fields_block(t: Tables) -> DataFrame:
+    b = base(t)
+    e, block = F.col("e"), F.col("block")
+    fields = b.select(
+        "experiment_id", block.cast("double").alias("L"), F.lit("SEDE").alias("WSTA"), F.lit("IB00000001").alias("ID_SOIL"),
+        (12.41893 + e / 100000 + block / 1000000).alias("XCRD"), (51.40188 + e / 100000).alias("YCRD"), (100.5 + block).alias("ELEV"),
+    ).distinct()
+    section = ex.build_management({"TREATMENTS": section_tables(t)["TREATMENTS"], "FIELDS": fields}, BY)[0]["FIELDS"]
+    lines = ex.management_lines({"FIELDS": section}, [*BY, "Year"])
+    return lines.select("experiment_id", F.col("Year").cast("long").alias("Year"), "line")
+
+
+@query(
+    _SECTIONS_SQL
+    + """, s AS (SELECT DISTINCT experiment_id, y FROM base), k AS (SELECT unnest([
+        '', '*SIMULATION CONTROLS',
+        '@N GENERAL     NYERS NREPS START SDATE RSEED SNAME                     SMODEL  ', ' 1 GE              1     1     S   -99  2150 -99                       -99',
+        '@N OPTIONS     WATER NITRO SYMBI PHOSP POTAS DISES  CHEM  TILL   CO2', ' 1 OP              N     N     N     N     N     N     N     N     M',
+        '@N METHODS     WTHER INCON LIGHT EVAPO INFIL PHOTO HYDRO NSWIT MESOM MESEV MESOL', ' 1 ME              M     M     E     R     S     L     R     1     G     R     2',
+        '@N MANAGEMENT  PLANT IRRIG FERTI RESID HARVS', ' 1 MA              R     N     N     N     M',
+        '@N OUTPUTS     FNAME OVVEW SUMRY FROPT GROUT CAOUT WAOUT NIOUT MIOUT DIOUT VBOSE CHOUT OPOUT FMOPT',
+        ' 1 OU              N     Y     Y     1     N     N     N     N     N     N     N     N     N     A',
+        '@N PLANTING    PFRST PLAST PH2OL PH2OU PH2OD PSTMX PSTMN', ' 1 PL            -99   -99   -99   -99   -99   -99   -99',
+        '@N IRRIGATION  IMDEP ITHRL ITHRU IROFF IMETH IRAMT IREFF', ' 1 IR            -99   -99   -99   -99   -99   -99   -99',
+        '@N NITROGEN    NMDEP NMTHR NAMNT NCODE NAOFF', ' 1 NI            -99   -99   -99   -99   -99',
+        '@N RESIDUES    RIPCN RTIME RIDEP', ' 1 RE            -99   -99   -99',
+        '@N HARVEST     HFRST HLAST HPCNP HPCNR', ' 1 HA            -99   -99   -99   -99',
+        '@N SIMDATES    ENDAT    SDUR   FODAT  FSTRYR  FENDYR FWFILE           FONAME', ' 1 SI            -99     -99     -99     -99     -99 -99              -99'
+    ]) AS line)
+    SELECT experiment_id, y AS "Year", line FROM s, k"""
+)
+def controls_block(t: Tables) -> DataFrame:
+    lines = ex.management_lines({"SIMULATION_CONTROLS": management(t)["SIMULATION_CONTROLS"]}, [*BY, "Year"])
+    return lines.select("experiment_id", F.col("Year").cast("long").alias("Year"), "line")
+
+
+_ORDERS_SQL = """
+    WITH o AS (SELECT o_orderstatus AS experiment_id, year(o_orderdate) AS y, o_orderkey AS k, o_custkey AS trt, strftime(o_orderdate, '%y%j') AS day, o_totalprice AS p FROM orders),
+    s AS (SELECT DISTINCT experiment_id, y FROM o),
+"""
+
+
+@query(
+    _ORDERS_SQL
+    + """r AS (SELECT *, printf('%6d', trt) || lpad(day, 6, ' ') || printf('%6d', round(p, 0)::BIGINT) || printf('%9d', k) || printf('%6.2f', round(p, 2)) AS line FROM o),
+    l AS (SELECT experiment_id, y, '*EXP. DATA (T): Trial ' || experiment_id AS line, 1 AS pos FROM s UNION ALL SELECT experiment_id, y, '', 2 FROM s
+          UNION ALL SELECT experiment_id, y, '@TRTNO  DATE  CDAD ORDER_NO  LAID', 3 FROM s
+          UNION ALL SELECT experiment_id, y, line, 3 + row_number() OVER (PARTITION BY experiment_id, y ORDER BY trt, day, round(p, 0), k) FROM r)
+    SELECT experiment_id, y AS "Year", pos, line FROM l"""
+)
+def series_file(t: Tables) -> DataFrame:
+    """The printed time series with all columns, lines in typed order; the position tells the order in the file."""
+    observed = t.orders.select(
+        F.col("o_orderstatus").alias("experiment_id"), F.year("o_orderdate").alias("Year"), F.col("o_custkey").alias("TRTNO"), F.to_date("o_orderdate").alias("DATE"),
+        F.round("o_totalprice", 0).alias("CDAD"), F.col("o_orderkey").alias("ORDER_NO"), F.round("o_totalprice", 2).alias("LAID"),
+    )
+    scopes = observed.select(*BY, "Year").distinct().withColumn("EXP_DETAILS", F.concat(F.lit("Trial "), "experiment_id"))
+    series = ex.build_series(observed, BY).select(*BY, "Year", "TRTNO", "DATE", "CDAD", "ORDER_NO", "LAID")
+    lines = ex.observed_lines(series, tpl.SERIES_FORMATS, [*BY, "Year"], scopes, "T")
+    place = Window.partitionBy(*BY, "Year").orderBy("block_no", "kind", "sort")
+    return lines.select("experiment_id", F.col("Year").cast("long").alias("Year"), F.row_number().over(place).cast("long").alias("pos"), "line")
+
+
+@query(
+    """
+    WITH d AS (SELECT o_orderstatus AS experiment_id, o_orderdate::DATE AS day, count(*) AS n, max(o_custkey) AS hi, min(o_custkey) AS lo FROM orders GROUP BY 1, 2),
+    s AS (SELECT DISTINCT experiment_id, year(day) AS y FROM d),
+    h AS (SELECT experiment_id, y, unnest([
+        '*WEATHER: Site ' || experiment_id, '! air: Station 1', '! rain: Station 2', '', '@ INSI      LAT     LONG  ELEV   TAV   AMP REFHT WNDHT',
+        '  SEDE   51.371   12.358   128  10.5  10.9   2.0   2.0', '', '@DATE  SRAD  TMAX  TMIN  RAIN  DEWP  WIND   PAR  EVAP  RHUM']) AS line,
+        generate_subscripts([1, 2, 3, 4, 5, 6, 7, 8], 1) AS pos FROM s)
+    SELECT experiment_id, y AS "Year", pos, line FROM h
+    UNION ALL SELECT experiment_id, year(day), 8 + row_number() OVER (PARTITION BY experiment_id, year(day) ORDER BY day),
+        strftime(day, '%y%j') || printf('%6.1f', n::DOUBLE) || printf('%6.1f', hi::DOUBLE) || printf('%6.1f', lo::DOUBLE) || repeat('   -99', 6) FROM d
+"""
+)
+def weather_station_file(t: Tables) -> DataFrame:
+    """A whole weather file: title, comments, station block and days."""
+    days = t.orders.groupBy(F.col("o_orderstatus").alias("experiment_id"), F.to_date("o_orderdate").alias("DATE")).agg(
+        F.count(F.lit(1)).cast("double").alias("SRAD"), F.max("o_custkey").cast("double").alias("TMAX"), F.min("o_custkey").cast("double").alias("TMIN")
+    ).withColumn("Year", F.year("DATE"))
+    scopes = days.select(*BY, "Year").distinct()
+    numbers = {"LAT": 51.371, "LONG": 12.358, "ELEV": 128.0, "TAV": 10.5, "AMP": 10.9, "REFHT": 2.0, "WNDHT": 2.0}
+    header = scopes.select(*BY, "Year", F.concat(F.lit("Site "), "experiment_id").alias("SITE"), F.lit("SEDE").alias("INSI"), *[F.lit(v).alias(c) for c, v in numbers.items()])
+    comments = scopes.withColumn("comment", F.explode(F.array(F.lit("rain: Station 2"), F.lit("air: Station 1"))))
+    lines = ex.weather_lines(ex.build_weather(days, BY), header, comments, [*BY, "Year"])
+    place = Window.partitionBy(*BY, "Year").orderBy("block_no", "kind", "sort")
+    return lines.select("experiment_id", F.col("Year").cast("long").alias("Year"), F.row_number().over(place).cast("long").alias("pos"), "line")
+
+
 @query(
     _SECTIONS_SQL
     + """SELECT DISTINCT experiment_id, y AS "Year", 1.0::DOUBLE AS "N", 'GE' AS "GENERAL", 'N' AS "WATER", 2150.0::DOUBLE AS "RSEED", 'SI' AS "SIMDATES",
@@ -166,11 +269,10 @@ def soil_text_round_trip(t: Tables) -> DataFrame:
     layers = t.part.select("p_type", soil, F.col("p_partkey").cast("double").alias("SLB"), (F.col("p_size") / 100).alias("SLLL"))
     header = layers.select("p_type", "PEDON", F.lit("Family").alias("SCS FAMILY")).distinct()
     built = ex.build_soil(header, layers, ["p_type", "PEDON"])
-    # many profiles share a file: the profile leads the sort key of its lines
+    # many profiles share a file: the profile leads the order of its lines
     lines = ex.soil_lines(built, ["p_type", "PEDON"])
-    one = lines.select("p_type", F.lit(0).alias("block_no"), F.lit(0).alias("kind"), F.concat_ws("|", "PEDON", "block_no", "kind", "sort").alias("sort"), "line")
     path = scratch_path(t.spark, "soil")
-    ex.write_text(one, path, ["p_type"])
+    ex.write_text(lines, path, ["p_type"], ["PEDON", "block_no", "kind", "sort"])
     sections = reports.read_sections(t.spark, f"{path}/*", "*S").select("title", "body", F.regexp_extract("title", r"^(\d+)", 1).alias("no"))
     rows = reports.fields_as(reports.section_rows(sections.filter("no <> ''")), {"SLB": "double", "SLLL": "double"})
     back = rows.filter("SLB IS NOT NULL").select(F.concat(F.lit("S"), "no").alias("profile_id"), "SLB", "SLLL")
@@ -179,7 +281,7 @@ def soil_text_round_trip(t: Tables) -> DataFrame:
 
 
 @query("""
-    SELECT o_orderstatus AS experiment_id, year(o_orderdate) AS "Year", o_custkey AS "TRTNO", strftime(o_orderdate, '%y%j') AS "MDAT", o_totalprice AS "HWAH" FROM orders
+    SELECT o_orderstatus AS experiment_id, year(o_orderdate) AS "Year", o_custkey AS "TRTNO", strftime(o_orderdate, '%y%j') AS "MDAT", o_totalprice AS "HWAH", o_orderpriority FROM orders
 """)
 def summary_codes(t: Tables) -> DataFrame:
     observed = t.orders.select(
@@ -190,12 +292,12 @@ def summary_codes(t: Tables) -> DataFrame:
 
 
 @query("""
-    SELECT o_orderstatus AS experiment_id, year(o_orderdate) AS "Year", strftime(o_orderdate, '%y%j') AS "DATE", o_custkey AS "TRTNO", o_totalprice AS "CDAD" FROM orders
+    SELECT o_orderstatus AS experiment_id, year(o_orderdate) AS "Year", strftime(o_orderdate, '%y%j') AS "DATE", o_custkey AS "TRTNO", o_totalprice AS "CDAD", o_totalprice / 2 AS "LAID" FROM orders
 """)
 def series_codes(t: Tables) -> DataFrame:
     observed = t.orders.select(
         F.col("o_orderstatus").alias("experiment_id"), F.year("o_orderdate").alias("Year"), F.col("o_custkey").alias("TRTNO"), F.to_date("o_orderdate").alias("DATE"),
-        F.col("o_totalprice").alias("CDAD"),
+        F.col("o_totalprice").alias("CDAD"), (F.col("o_totalprice") / 2).alias("LAID"),
     )
     return ex.build_series(observed, BY)
 

@@ -227,14 +227,30 @@ def date_columns(t: Tables) -> DataFrame:
     layouts = profile.date_layouts(rows, doy=["code"])
     parsed = profile.dates_parsed(rows, layouts)
     items = F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.lit(lay).alias("layout"), F.col(f"n_{c}").alias("n"),
+        F.struct(F.lit(c).alias("column_name"), F.array_join(F.array(*[F.lit(x) for x in lays]), " ").alias("layout"), F.col(f"n_{c}").alias("n"),
                  F.date_format(f"a_{c}", "yyyy-MM-dd").alias("first_day"), F.date_format(f"b_{c}", "yyyy-MM-dd").alias("last_day"))
-        for c, lay in layouts.items()
+        for c, lays in layouts.items()
     ])
     aggs = [f(c).alias(f"{k}_{c}") for c in layouts for k, f in (("n", F.count), ("a", F.min), ("b", F.max))]
     return parsed.agg(*aggs).select(F.explode(items).alias("i")).select("i.*")
 
 
+@query("""
+    SELECT o_orderkey, o_orderstatus, strftime(o_orderdate, '%Y-%m-%d') AS day, strftime(o_orderdate, '%Y-%m-%d') AS same FROM orders
+""")
+def scoped_date_layouts(t: Tables) -> DataFrame:
+    """Every status prints its dates in another layout; a second column has one layout throughout, a third is no date in one scope."""
+    layout = {"F": "yyyy-MM-dd", "O": "dd.MM.yyyy", "P": "M/d/yyyy"}
+    printed = F.coalesce(*[F.when(F.col("o_orderstatus") == s, F.date_format("o_orderdate", x)) for s, x in layout.items()])
+    rows = t.orders.select(
+        "o_orderkey", "o_orderstatus", printed.alias("day"), F.date_format("o_orderdate", "yyyyMMdd").alias("same"),
+        F.when(F.col("o_orderstatus") == "P", F.lit("none")).otherwise(printed).alias("broken"),
+    )
+    layouts = profile.date_layouts(rows, ["day", "same", "broken"], by=["o_orderstatus"])
+    parsed = profile.dates_parsed(rows, layouts, ["o_orderstatus"])
+    return parsed.select("o_orderkey", "o_orderstatus", *[F.date_format(c, "yyyy-MM-dd").alias(c) for c in layouts])
+
+
 @query("""
     SELECT 'iso' AS column_name, count(*) AS n FROM orders
     UNION ALL SELECT 'dotted', count(*) FROM orders UNION ALL SELECT 'slashed', count(*) FROM orders

@@ -268,6 +268,46 @@ def station_candidates(t: Tables) -> DataFrame:
     return got.select("site_id", "variable", "station_id", F.round("dist_km", 6).alias("dist_km"))
 
 
+def moved_stations(t: Tables) -> DataFrame:
+    """Stations that moved at the end of 1995, each period in two resolutions (one of them listed twice)."""
+    stations = station_inputs(t)["stations"].drop("start_date", "end_date", "res")
+    rows = F.explode(F.array(*[
+        F.struct(F.lit(a).cast("date").alias("start_date"), F.lit(b).cast("date").alias("end_date"), F.lit(m).alias("move"), F.lit(r).alias("res"))
+        for a, b, m in (("1990-01-01", "1995-12-31", 0.0), ("1996-01-01", "2009-12-31", 0.3)) for r in ("hourly", "hourly", "daily")
+    ])).alias("x")
+    return stations.select("*", rows).select(*stations.columns, "x.*").withColumn("lat", F.col("lat") + F.col("move")).drop("move")
+
+
+_MOVED_SQL = _STATION_SQL + f""",
+    place AS (SELECT station_id, lat + move AS lat, lon, start_date, end_date FROM (SELECT station_id, lat, lon FROM st),
+              (VALUES (DATE '1990-01-01', DATE '1995-12-31', 0.0::DOUBLE), (DATE '1996-01-01', DATE '2009-12-31', 0.3)) x(start_date, end_date, move)),
+    near AS (SELECT s.site_id, s.year, cov.variable, p.station_id, p.lat AS st_lat, round({_HAV}, 6) AS dist_km
+             FROM wanted s JOIN cov USING (year) JOIN place p ON p.station_id = cov.station_id AND s.year BETWEEN year(p.start_date) AND year(p.end_date)),
+    nearest AS (SELECT * FROM near QUALIFY row_number() OVER (PARTITION BY site_id, year, variable ORDER BY dist_km, station_id) = 1)
+"""
+
+
+@query(_MOVED_SQL + """SELECT site_id, year, variable, station_id, round(st_lat, 6) AS st_lat, dist_km FROM nearest
+    WHERE dist_km <= CASE WHEN variable = 'precipitation' THEN 200 ELSE 400 END""")
+def chosen_moved_stations(t: Tables) -> DataFrame:
+    inputs = station_inputs(t) | {"stations": moved_stations(t)}
+    got = w.get_weather(**inputs, mapping=WEATHER_MAP, params=PARAMS)["stations"]
+    return got.select("site_id", "year", "variable", "station_id", F.round("st_lat", 6).alias("st_lat"), "dist_km")
+
+
+@query(f"""
+    WITH v AS (SELECT * FROM (VALUES ('air_temperature', 400), ('precipitation', 200)) x(variable, radius)),
+    s AS (SELECT r_regionkey AS site_id, {_spread_sql('(r_regionkey + 3)', 11)} FROM region),
+    p AS (SELECT station_id, lat + 0.3 AS lat, lon FROM (SELECT n_nationkey AS station_id, {_spread_sql('n_nationkey', 5)} FROM nation)),
+    d AS (SELECT site_id, station_id, {_HAV} AS km FROM s, p)
+    SELECT site_id, variable, station_id, 'hourly' AS res, round(km, 6) AS dist_km FROM d, v WHERE km <= radius
+""")
+def moved_station_candidates(t: Tables) -> DataFrame:
+    sites = station_inputs(t)["wanted"].select("site_id", "lat", "lon").distinct().withColumn("min_date", F.lit("1996-06-01").cast("date"))
+    got = w.find_stations(sites, moved_stations(t), PARAMS)
+    return got.select("site_id", "variable", "station_id", "res", F.round("dist_km", 6).alias("dist_km"))
+
+
 _DAILY_SQL = (
     _STATION_SQL
     + """, daily AS (SELECT station_id, variable, day, year(day) AS year, max(v) AS hi, min(v) AS lo, avg(v) AS mean, sum(v) AS total

@@ -222,8 +222,8 @@ def test_day_of_year_codes(spark):
 
 def test_date_traps(spark):
     t = spark.createDataFrame([(19670629, 12001, "1984-01-01T00:00:00", "x", None), (None, 12168, None, "2020-01-01", None)], "flowering int, plot int, stamp string, mix string, none string")
-    assert profile.date_layouts(t) == {"flowering": "yyyyMMdd", "stamp": "yyyy-MM-dd'T'HH:mm:ss"}
-    assert profile.date_layouts(t, ["plot"], doy=["plot"]) == {"plot": "yyDDD"}
+    assert profile.date_layouts(t) == {"flowering": ["yyyyMMdd"], "stamp": ["yyyy-MM-dd'T'HH:mm:ss"]}
+    assert profile.date_layouts(t, ["plot"], doy=["plot"]) == {"plot": ["yyDDD"]}
 
 
 def test_date_share(spark):

@@ -67,16 +67,33 @@ def test_weather_lines(spark):
     ]
 
 
-@pytest.mark.parametrize("limit", [1_000_000, 10])
-def test_text_folders(spark, tmp_path, limit):
-    t = spark.createDataFrame([("e", y, i, f"r{i}") for y in (1, 2) for i in range(300)], "e string, Year int, k int, v string")
+def test_text_folders(spark, tmp_path):
+    keys = [1, 2, 9_999_999, 10_000_000, 123_456_789_012]
+    t = spark.createDataFrame([("e", y, i, f"r{i % 7}") for y in (1, 2) for i in [*range(300), *keys[2:]]], "e string, Year int, k long, v string")
     lines = export.text_lines(t, {"k": "%4s", "v": "%5s"}, ["e", "Year"], ["k"], 0, "*TITLE")
-    export.write_text(lines, str(tmp_path / "out"), ["e", "Year"], limit)
+    export.write_text(lines, str(tmp_path / "out"), ["e", "Year"])
     for y in (1, 2):
         parts = sorted((tmp_path / "out" / "e=e" / f"Year={y}").glob("part-*"))
-        assert (len(parts) == 1) == (limit > 10)
-        text = "".join(p.read_text() for p in parts).splitlines()
-        assert text[:2] == ["*TITLE", "@  k    v"] and text[2:] == [f"{i:4d}" + f"r{i}".rjust(5) for i in range(300)]
+        assert len(parts) == 1
+        text = parts[0].read_text().splitlines()
+        assert text[:2] == ["*TITLE", "@  k    v"]
+        assert text[2:] == [f"{i:4d}" + f"r{i % 7}".rjust(5) for i in [*range(300), *keys[2:]]]
+
+
+def test_head_cells():
+    cells = export.head_cells("@L ID_FIELD WSTA....  FLSA SLTX  SLDP  ID_SOIL    FLNAME")
+    assert cells == [
+        ("L", 0, 2, False), ("ID_FIELD", 1, 8, True), ("WSTA", 1, 8, True), ("FLSA", 0, 6, False), ("SLTX", 1, 4, True), ("SLDP", 0, 6, False),
+        ("ID_SOIL", 2, 10, True), ("FLNAME", 1, 6, True),
+    ]
+    assert export.head_cells("@ PAREA  PRNO")[0] == ("PAREA", 0, 7, False)
+
+
+def test_water_content_keeps_its_decimals(spark):
+    t = spark.createDataFrame([("e", 2000, 1.0, 10.0, 0.245), ("e", 2000, 1.0, 30.0, None)], "e string, Year int, C double, ICBL double, SH2O double")
+    section = export.format_section(t, tpl.SECTIONS["INITIAL_CONDITIONS"], ["e", "Year"])
+    lines = export.management_lines({"INITIAL_CONDITIONS": section}, ["e", "Year"]).orderBy("block_no", "kind", "sort")
+    assert [r["line"] for r in lines.collect()][-3:] == ["@C  ICBL  SH2O  SNH4  SNO3", " 1    10 0.245   -99   -99", " 1    30   -99   -99   -99"]
 
 
 def test_classes_and_roles():
@@ -167,8 +184,10 @@ def test_weather_file_layout(spark):
         "*WEATHER: Seefeld, Germany",
         "! rain: Station 1",
         "! wind: Station 2",
+        "",
         "@ INSI      LAT     LONG  ELEV   TAV   AMP REFHT WNDHT",
         "  SEDE   51.451   12.221   123   9.4  11.5   2.0   2.0",
+        "",
         "@DATE  SRAD  TMAX  TMIN  RAIN  DEWP  WIND   PAR  EVAP  RHUM",
         "95001   2.1   -99   -99   -99   -99   -99   -99   -99   -99",
     ]
@@ -178,7 +197,7 @@ def test_summary_file_layout(spark):
     obs = spark.createDataFrame([("e", 1995, 2, "1995-09-12", 6210.0, None), ("e", 1995, 1, "1995-09-11", 6280.0, 5401.0)], "e string, Year int, TRTNO int, MDAT string, HWAHF double, HWAH double").withColumn("MDAT", F.to_date("MDAT"))
     head = spark.createDataFrame([("e", 1995, "Trial")], "e string, Year int, EXP_DETAILS string")
     got = export.observed_lines(export.build_summary(obs, ["e"]), {c: tpl.SUMMARY_FORMATS[c] for c in ("TRTNO", "MDAT", "HWAHF", "HWAH")}, ["e", "Year"], head, "A")
-    assert lines_of(got) == ["*EXP. DATA (A): Trial", "@TRTNO  MDAT HWAHF  HWAH", "     1 95254  6280  5401", "     2 95255  6210   -99"]
+    assert lines_of(got) == ["*EXP. DATA (A): Trial", "", "@TRTNO  MDAT HWAHF  HWAH", "     1 95254  6280  5401", "     2 95255  6210   -99"]
 
 
 def test_management_file_with_events(spark):
@@ -186,8 +205,8 @@ def test_management_file_with_events(spark):
     section = export.format_section(t, tpl.SECTIONS["IRRIGATION"], ["e", "Year"], ["IDATE"])
     head = spark.createDataFrame([("e", 2000, "Trial")], "e string, Year int, EXP_DETAILS string")
     got = lines_of(export.management_lines({"IRRIGATION": section}, ["e", "Year"], head))
-    assert got[:2] == ["*EXP.DETAILS: Trial", "*IRRIGATION"] and got[2].startswith("@    I  EFIR  IDEP") and got[3].startswith("     1   -99")
-    assert got[4:] == ["@    I IDATE  IROP IRVAL", "     1 00122 IR001  20.0", "     1 00153 IR001   -99"]
+    assert got[:3] == ["*EXP.DETAILS: Trial", "", "*IRRIGATION AND WATER MANAGEMENT"] and got[3].startswith("@I  EFIR  IDEP") and got[4].startswith(" 1   -99")
+    assert got[5:] == ["@I IDATE  IROP IRVAL", " 1 00122 IR001  20.0", " 1 00153 IR001   -99"]
 
 
 def test_soil_file_round_trip(spark, tmp_path):
