@@ -21,7 +21,7 @@ from agroloom.streaming import sensors as live
 def land_csv(df: DataFrame, folder: str, by: str, table: str) -> None:
     """Write one CSV per value of ``by`` and writing task, named like a published data file."""
     raw = f"{folder}-raw-{table}"
-    df.withColumn("__f", F.col(by)).write.partitionBy("__f").option("header", True).csv(raw)
+    df.withColumn("__f", F.col(by)).write.partitionBy("__f").option("header", True).option("escape", '"').csv(raw)
     jvm = df.sparkSession.sparkContext._jvm
     conf = df.sparkSession.sparkContext._jsc.hadoopConfiguration()
     home = jvm.org.apache.hadoop.fs.Path(folder)
@@ -34,14 +34,15 @@ def land_csv(df: DataFrame, folder: str, by: str, table: str) -> None:
 
 def landed(t: Tables) -> dict[str, DataFrame]:
     folder = scratch_path(t.spark, "folder")
-    customers = t.customer.withColumn("empty", F.lit(None).cast("string"))
+    customers = t.customer.withColumns({"empty": F.lit(None).cast("string"), "note": F.concat("c_name", F.lit('\n"'), "c_mktsegment", F.lit('"'))})
     land_csv(customers, folder, "c_mktsegment", "CUSTOMER")
     land_csv(t.part.drop("p_name"), folder, "p_type", "PART")
     return load_tables(t.spark, folder)
 
 
 @query("""
-    SELECT c_custkey, c_name, c_nationkey::BIGINT AS c_nationkey, c_acctbal, c_mktsegment, c_mktsegment AS experiment_id FROM customer
+    SELECT c_custkey, c_name, c_nationkey::BIGINT AS c_nationkey, c_acctbal, c_mktsegment, c_mktsegment AS experiment_id,
+           c_name || chr(10) || '"' || c_mktsegment || '"' AS note FROM customer
 """)
 def csv_folder_customers(t: Tables) -> DataFrame:
     return landed(t)["CUSTOMER"]

@@ -86,41 +86,66 @@ def typed(df: DataFrame, keep: list[str] = ()) -> DataFrame:
     return df.select(*out)
 
 
+def _readable(files: DataFrame, names: list[str] | None) -> tuple[dict[tuple, list[str]], list[tuple[str, str]]]:
+    """Paths by (table, header, separator, encoding), and (path, reason) of the files that hold no table."""
+    groups: dict[tuple, list[str]] = {}
+    skipped: list[tuple[str, str]] = []
+    for r in files.collect():
+        name = r["table_name"]
+        if name is None:
+            skipped.append((r["path"], "no version and table in the name"))
+        elif r["n_lines"] < 2:
+            skipped.append((r["path"], "no data rows"))
+        elif names is None or name in names:
+            kind = (name, r["header"], separator(r["file_name"], r["header"]), bool(r["not_utf8"]))
+            groups.setdefault(kind, []).append(r["path"])
+    return groups, sorted(skipped)
+
+
+def _scan(spark: SparkSession, paths: list[str], sep: str, latin: bool) -> DataFrame:
+    """All rows of like files as text, with the file's name and, for a row that does not fit the header, its text in ``__bad``."""
+
+    def reader():
+        return (
+            spark.read.option("header", True)
+            .option("sep", sep)
+            .option("encoding", "ISO-8859-1" if latin else "UTF-8")
+            .option("nullValue", "NA")
+            .option("multiLine", True)
+            .option("escape", '"')
+        )
+
+    columns = reader().csv(paths[0]).columns
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in (*columns, "__bad")])
+    # all columns are parsed, else a row of the wrong length would go unnoticed
+    rows = reader().schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "__bad").option("columnPruning", False)
+    return rows.csv(sorted(paths)).select("*", F.col("_metadata.file_name").alias("__file"))
+
+
 def load_tables(
-    spark: SparkSession, path: str, names: list[str] | None = None, standard: bool = False
+    spark: SparkSession, path: str, names: list[str] | None = None, standard: bool = False, report: str | None = None
 ) -> dict[str, DataFrame]:
     """Every logical table of a folder, over all experiments, with ``experiment_id``.
 
     Files of a table that share a header, separator and encoding are one scan. The driver sees one
-    row per file, as Spark's own file index does. Files without
-    data rows and files whose name has no table part are skipped. ``standard=True`` also gives
-    the design columns their standard names.
+    row per file, as Spark's own file index does. Quoted line breaks belong to their cell; an unreadable file is an error.
+    ``standard=True`` also gives the design columns their standard names. ``report`` names a further table (file, reason,
+    record) of what the tables leave out: files without a table name or rows, and rows that don't fit their header.
     """
-    files = [r for r in scan_headers(spark, path).collect() if r["n_lines"] > 1]
-    groups: dict[tuple, list[str]] = {}
-    for r in files:
-        name = r["table_name"]
-        if name is None or (names is not None and name not in names):
-            continue
-        kind = (name, r["header"], separator(r["file_name"], r["header"]), bool(r["not_utf8"]))
-        groups.setdefault(kind, []).append(r["path"])
+    groups, skipped = _readable(scan_headers(spark, path), names)
     parts: dict[str, list[DataFrame]] = {}
+    bad = [spark.createDataFrame([(p, r, None) for p, r in skipped], "file string, reason string, record string")]
     for (name, _, sep, latin), paths in sorted(groups.items()):
-        df = (
-            spark.read.option("header", True)
-            .option("sep", sep)
-            .option("encoding", "ISO-8859-1" if latin else "UTF-8")
-            .option("nullValue", "NA")
-            .option("mode", "PERMISSIVE")
-            .option("ignoreCorruptFiles", True)
-            .csv(sorted(paths))
-        )
-        clean = df.withColumnsRenamed({c: re.sub("^(﻿|ï»¿|ï\\.\\.)", "", c) for c in df.columns})
-        parts.setdefault(name, []).append(
-            clean.withColumn("experiment_id", experiment_name(F.col("_metadata.file_name")))
-        )
+        df = _scan(spark, sorted(paths), sep, latin)
+        misfit = F.col("__bad").isNotNull()
+        # the reader gives the text of a misfit only along with a column of the file
+        record = F.when(F.col(f"`{df.columns[0]}`") == "\x00", "").otherwise(F.col("__bad"))
+        bad.append(df.filter(misfit).select(F.col("__file").alias("file"), F.lit("row does not fit the header").alias("reason"), record.alias("record")))
+        good = df.filter(~misfit).withColumn("experiment_id", experiment_name(F.col("__file"))).drop("__bad", "__file")
+        parts.setdefault(name, []).append(good.withColumnsRenamed({c: re.sub("^(\ufeff|ï»¿|ï\\.\\.)", "", c) for c in good.columns}))
     out = {n: typed(union_padded(*ps), keep=["experiment_id"]) for n, ps in parts.items()}
-    return {n: standardize_names(df) for n, df in out.items()} if standard else out
+    out = {n: standardize_names(df) for n, df in out.items()} if standard else out
+    return out | ({report: union_padded(*bad)} if report else {})
 
 
 def load_key(spark: SparkSession, path: str) -> DataFrame:

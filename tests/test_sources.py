@@ -29,6 +29,21 @@ def test_folder_of_two_experiments(spark, tmp_path):
     assert rows(t.select("experiment_id", "Sorte_ID", "Sorte", "Zahl")) == [("one", 1, "für", None), ("one", 2, "b", None), ("two", 7, "grün", 1.5)]
 
 
+def test_quoted_breaks_bad_rows_and_skipped_files(spark, tmp_path):
+    write(tmp_path / "one.ID_L1_V1_0_NOTE.csv", 'id,note,v\n1,"line one\nline ""two""",5\n2,plain\n3,x,6\n4,y,7,8\n')
+    write(tmp_path / "one.ID_L2_V1_0_LEER.csv", "a,b\n")
+    write(tmp_path / "readme.csv", "x,y\n1,2\n")
+    tables = files.load_tables(spark, str(tmp_path), report="report")
+    assert rows(tables["NOTE"].select("id", "note", "v")) == [(1, 'line one\nline "two"', 5), (3, "x", 6)]
+    got = [(r["file"].split("/")[-1], r["reason"], r["record"]) for r in tables["report"].collect()]
+    assert sorted(got, key=str) == [
+        ("one.ID_L1_V1_0_NOTE.csv", "row does not fit the header", "2,plain"),
+        ("one.ID_L1_V1_0_NOTE.csv", "row does not fit the header", "4,y,7,8"),
+        ("one.ID_L2_V1_0_LEER.csv", "no data rows", None),
+        ("readme.csv", "no version and table in the name", None),
+    ]
+
+
 def test_names_of_files(spark):
     names = ["lte_x.ID_L0201_V1_0_PROBENAHME_PFLANZEN.csv", "v140_mun.V2_0_2012_KULTUR.csv", "readme.csv"]
     t = spark.createDataFrame([(n,) for n in names], "f string")
