@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from agroloom.functions.units import NO_CONVERSION, convert_unit
+from agroloom.functions.units import NO_CONVERSION, conversion, convert_unit
 from agroloom.operators.scale import null_safe_join
 
 
@@ -61,6 +61,19 @@ def header_renames(columns: list[str], mapping: list[dict], table: str) -> dict[
     return out
 
 
+def unit_errors(mapping: list[dict]) -> list[dict]:
+    """The mapping rows whose units have no conversion."""
+    wrong = []
+    for m in mapping:
+        unit = m.get("std_unit") or ""
+        if m["std_header"] and unit != "code" and unit not in NO_CONVERSION:
+            try:
+                conversion(m["column_unit"], unit)
+            except (KeyError, ValueError):
+                wrong.append(m)
+    return wrong
+
+
 def map_data(
     df: DataFrame,
     table: str,
@@ -72,9 +85,13 @@ def map_data(
 ) -> DataFrame:
     """Headers, then codes, then units of one section, as one projection over the rows.
 
-    ``keep_unmapped=False`` keeps the mapped and the exempt columns only.
+    ``keep_unmapped=False`` keeps the mapped and the exempt columns only. Unit pairs without a conversion are an error that
+    names all of them, before any row is read; see :func:`unit_errors`.
     """
     rows = [m for m in mapping if m["table_name"] == table]
+    wrong = unit_errors([m for m in rows if m["column_header"] in df.columns])
+    if wrong:
+        raise ValueError("; ".join(f"{e['column_header']}: no conversion from {e['column_unit']!r} to {e['std_unit']!r}" for e in wrong))
     renames = header_renames(df.columns, rows, table)
     by_source = {m["column_header"]: m for m in reversed(rows)}
     out: list[Column] = []

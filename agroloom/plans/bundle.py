@@ -14,7 +14,7 @@ from agroloom.operators.columns import standardize_names, upper_names
 from agroloom.operators.ids import first_row, sequence_ids
 from agroloom.operators.merge import union_padded
 from agroloom.operators.nesting import joined_text
-from agroloom.operators.profile import date_columns_by_share, date_layouts, dates_parsed, promote_numbers
+from agroloom.operators.profile import date_layouts, dates_parsed, has_multiple_date_columns, promote_numbers
 from agroloom.operators.scale import null_safe_join
 from agroloom.operators.tagging import class_of, key_tables, link_tables
 
@@ -170,17 +170,25 @@ def result_header(sites: DataFrame, by: list[str] = BY, country_code: str = "DE"
 def key_table_roles(db: dict[str, DataFrame]):
     """Roles of all tables by name and content, laboratory tables linked to their samples."""
     columns = {n: list(df.columns) for n, df in db.items()}
-    dated = {n: len(date_columns_by_share(df)) > 1 for n, df in db.items()}
+    undecided = key_tables(columns, {})["other"]  # only tables that no name decides are looked at
+    dated = {n: has_multiple_date_columns(db[n]) for n in undecided}
     return link_tables(key_tables(columns, dated), columns)
 
 
+def with_samples(lab: DataFrame, sample: DataFrame, link: str, by: list[str] = BY) -> DataFrame:
+    """Laboratory values with the year and plot of their sample."""
+    facts = [c for c in ("Year", "Plot_id") if c in sample.columns and c not in lab.columns]
+    return null_safe_join(lab, sample.select(*by, link, *facts).distinct(), [*by, link])
+
+
 def complete_bundle(
     db: dict[str, DataFrame], sites: DataFrame, keys: dict[str, list[str]], by: list[str] = BY, check: bool = True
 ) -> dict[str, DataFrame]:
     """``METADATA, DESIGN, TREATMENTS, MANAGEMENT.x, OBSERVATIONS.x, BALANCES.x``.
 
     ``sites``: scope, site, country, lat, lon, exp_details, version. ``keys`` gives the key columns
-    by which the first plot is chosen. Tables no rule names are left out.
+    by which the first plot is chosen. Laboratory values get the year and plot of their sample. Other tables that no rule names
+    are left out.
     """
     named = {n: standardize_names(df) for n, df in db.items()}
     if check:
@@ -195,7 +203,12 @@ def complete_bundle(
         "HEADER": result_header(sites, by),
     }
     balances: dict[str, list[DataFrame]] = {}
+    _, links = key_table_roles(named)
     for n, df in named.items():
+        if n in links:  # laboratory values stand beside the sample that they belong to
+            sample, link = links[n]
+            out[f"OBSERVATIONS.{n}"] = with_samples(df, named[sample], link, by)
+            continue
         kind = class_of(n)
         if kind is None:
             continue

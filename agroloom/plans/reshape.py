@@ -9,7 +9,7 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from agroloom.functions.text import site_code
@@ -23,12 +23,22 @@ from agroloom.session import checkpointed
 
 DESIGN_NAMES = ("Year", "Plot_id", "Treatment_id", "Rep_no")
 
-# A start of the country table; pass a fuller one as ``countries``.
-COUNTRIES = {
-    "Austria": "AT", "Belgium": "BE", "Czechia": "CZ", "Denmark": "DK", "France": "FR", "Germany": "DE",
-    "Hungary": "HU", "Italy": "IT", "Luxembourg": "LU", "Netherlands": "NL", "Poland": "PL", "Spain": "ES",
-    "Sweden": "SE", "Switzerland": "CH", "United Kingdom": "GB", "United States": "US",
+# Names beside those of the Java runtime's country list.
+OTHER_NAMES = {
+    "Czech Republic": "CZ", "USA": "US", "United States of America": "US", "UK": "GB", "Great Britain": "GB", "Turkey": "TR", "Russian Federation": "RU",
+    "Korea": "KR", "Viet Nam": "VN", "Iran, Islamic Republic of": "IR", "The Netherlands": "NL",
 }
+_COUNTRIES: dict[str, str] = {}
+
+
+def country_codes(spark: SparkSession) -> dict[str, str]:
+    """English country name -> two-letter code, for all countries that the Java runtime lists."""
+    if not _COUNTRIES:
+        locale = spark.sparkContext._jvm.java.util.Locale
+        for code in locale.getISOCountries():
+            _COUNTRIES[locale("en", code).getDisplayCountry(locale.ENGLISH)] = code
+        _COUNTRIES.update(OTHER_NAMES)
+    return _COUNTRIES
 
 
 @dataclass
@@ -222,8 +232,9 @@ def general_section(metadata: DataFrame, by: list[str]) -> DataFrame:
     )
 
 
-def header_section(metadata: DataFrame, by: list[str], countries: dict[str, str] = COUNTRIES) -> DataFrame:
-    """Experiment title and site code: two letters of the site, two of the country."""
+def header_section(metadata: DataFrame, by: list[str], countries: dict[str, str] | None = None) -> DataFrame:
+    """Experiment title and site code: two letters of the site, two of the country (``countries``: name -> code)."""
+    countries = country_codes(metadata.sparkSession) if countries is None else countries
     pairs = [F.lit(x) for kv in countries.items() for x in kv]
     iso = F.try_element_at(F.create_map(*pairs), F.col("country"))
     return metadata.select(*by, F.col("name").alias("EXP_DETAILS"), site_code(F.col("site"), iso).alias("SITE_CODE"))

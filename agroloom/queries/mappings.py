@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from agroloom.functions import dates
 from agroloom.functions.text import capitals, site_code, split_parts
 from agroloom.operators.columns import conform, standardize_names, upper_names, within_years
-from agroloom.operators.mapping import code_lookup, map_codes, map_data
+from agroloom.operators.mapping import code_lookup, map_codes, map_data, read_mapping, unit_errors
+from agroloom.operators.scale import null_safe_join
 from agroloom.plans.bundle import balance, climate, crop_assessment
 from agroloom.plans.templates import SECTIONS
 from agroloom.queries import Tables, query
@@ -40,6 +41,29 @@ def mapped_lines(t: Tables) -> DataFrame:
     return mapped.withColumns({"yield": F.round("yield", 6), "mass": F.round("mass", 6), "temp": F.round("temp", 6)})
 
 
+@query("""
+    SELECT l_orderkey, l_linenumber, l_quantity * 1000 AS yield, round(l_extendedprice / 1000, 6) AS mass, round(l_discount * 9 / 5 + 32, 6) AS temp,
+           l_returnflag AS flag, l_partkey, l_suppkey, l_tax, l_linestatus, strftime(l_shipdate, '%Y-%m-%d') AS l_shipdate FROM lineitem
+""")
+def mapped_lines_kept(t: Tables) -> DataFrame:
+    """All columns stay, the unmapped ones under their own names."""
+    mapped = map_data(t.lineitem, "LINES", DICTIONARY, distinct=False)
+    out = mapped.withColumns({"yield": F.round("yield", 6), "mass": F.round("mass", 6), "temp": F.round("temp", 6), "l_shipdate": F.date_format("l_shipdate", "yyyy-MM-dd")})
+    return out.select("l_orderkey", "l_linenumber", "yield", "mass", "temp", "flag", "l_partkey", "l_suppkey", "l_tax", "l_linestatus", "l_shipdate")
+
+
+@query("""
+    SELECT p_partkey, p_size % 3 = 1 AS wrong FROM part
+""")
+def unknown_units(t: Tables) -> DataFrame:
+    """Every part as a mapping row; those with units of another kind are reported."""
+    unit = F.get(F.array(F.lit("g"), F.lit("furlong"), F.lit("t")), (F.col("p_size") % 3).cast("int"))
+    rows = t.part.select(F.col("p_partkey").cast("string").alias("column_header"), unit.alias("column_unit"), F.lit("kg").alias("std_unit"), F.lit("x").alias("std_header"))
+    wrong = [(int(m["column_header"]),) for m in unit_errors(read_mapping(rows))]
+    found = t.spark.createDataFrame(wrong, "p_partkey long").withColumn("wrong", F.lit(True))
+    return null_safe_join(t.part.select("p_partkey"), found, ["p_partkey"]).fillna(False)
+
+
 @query("""
     SELECT DISTINCT o_custkey, coalesce(CASE o_orderpriority WHEN '1-URGENT' THEN 'U' WHEN '2-HIGH' THEN 'M' WHEN '3-MEDIUM' THEN 'M'
         WHEN '5-LOW' THEN '5-LOW' END, '-') AS priority, o_orderstatus AS status, round(o_totalprice / 10, 6) AS yield FROM orders

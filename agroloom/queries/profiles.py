@@ -235,6 +235,16 @@ def date_columns(t: Tables) -> DataFrame:
     return parsed.agg(*aggs).select(F.explode(items).alias("i")).select("i.*")
 
 
+@query("""
+    SELECT 'several' AS name, TRUE AS multiple, count(*) AS n FROM orders UNION ALL SELECT 'one', FALSE, count(*) FROM orders
+""")
+def multiple_date_columns(t: Tables) -> DataFrame:
+    printed = printed_dates(t)
+    cases = {"several": printed, "one": printed.select("iso", "code")}
+    parts = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(n).alias("name"), F.lit(profile.has_multiple_date_columns(df)).alias("multiple"), "n") for n, df in cases.items()]
+    return parts[0].unionByName(parts[1])
+
+
 @query("""
     SELECT o_orderkey, o_orderstatus, strftime(o_orderdate, '%Y-%m-%d') AS day, strftime(o_orderdate, '%Y-%m-%d') AS same FROM orders
 """)

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from agroloom.operators.columns import front
+from agroloom.operators.phenology import jitter
+from agroloom.operators.scale import null_safe_join
 from agroloom.plans import bundle, sections
 from agroloom.plans.reshape import general_section, header_section, reshape_experiments
 from agroloom.queries import Tables, query
@@ -381,3 +385,84 @@ def numbered_observations(t: Tables) -> DataFrame:
 def dated_management(t: Tables) -> DataFrame:
     table = bundle.management_table(trial_tables(t)["AUSSAAT"].select(*BY, "Aussaat_ID", "Saattermin"), "AUSSAAT", ["Aussaat_ID"])
     return front(table.withColumn("day_of_year", F.date_format("SAATTERMIN", "DDD")).drop("SAATTERMIN"), "ID")
+
+
+# --- roles, links and checks of the second bundle ---------------------------------------------------
+
+def sampled_tables(t: Tables) -> dict[str, DataFrame]:
+    """The trials with soil samples, and their laboratory values in a table of their own."""
+    b = base(t)
+    year, plot = F.col("y").alias("Versuchsjahr"), F.col("plot").alias("Parzelle_ID")
+    samples = b.select("experiment_id", (F.col("k") * 2).alias("Probe_ID"), year, plot)
+    lab = b.withColumn("j", F.explode(F.array(F.lit(0), F.lit(1)))).select(
+        "experiment_id", (F.col("k") * 2 + F.col("j")).alias("Probe_ID"), (F.col("price") + F.col("j")).alias("Messwert")
+    )
+    return trial_tables(t) | {"PROBENAHME_BODEN": samples, "LABORWERTE": lab}
+
+
+@query(f"""
+    WITH {BASE_SQL} SELECT experiment_id, k * 2 + j AS "Probe_ID", price + j AS "Messwert", CASE WHEN j = 0 THEN y ELSE -1 END AS "Year",
+        CASE WHEN j = 0 THEN plot ELSE -1 END AS "Plot_id" FROM base, (VALUES (0), (1)) v(j)
+""")
+def linked_laboratory(t: Tables) -> DataFrame:
+    """Values of a known sample have its year and plot; every second value has none."""
+    return bundle.complete_bundle(sampled_tables(t), sites(t), {"PARZELLE": ["Plot_id"]})["OBSERVATIONS.LABORWERTE"].fillna(-1, subset=["Year", "Plot_id"])
+
+
+@query(f"""
+    WITH {BASE_SQL}, n AS (SELECT unnest(['VERSUCHSAUFBAU', 'DUENGUNG', 'AUSSAAT', 'ERNTE', 'PROBENAHME_BODEN', 'LABORWERTE', 'PARZELLE']) AS table_name,
+        unnest(['design', 'management', 'management', 'management', 'observed_summary', 'observed_summary', 'other']) AS role, unnest([1, 1, 1, 1, 1, 2, 0]) AS per_row)
+    SELECT table_name, role, CASE WHEN per_row = 0 THEN (SELECT count(*) FROM (SELECT DISTINCT experiment_id, plot, trt, block FROM base))
+                                  ELSE per_row * (SELECT count(*) FROM base) END AS n_rows FROM n
+""")
+def table_roles(t: Tables) -> DataFrame:
+    """Roles by name, content and link, with the rows of each table."""
+    tables = {n: df for n, df in sampled_tables(t).items() if n in ("VERSUCHSAUFBAU", "DUENGUNG", "AUSSAAT", "ERNTE", "PROBENAHME_BODEN", "LABORWERTE", "PARZELLE")}
+    roles, _ = bundle.key_table_roles(tables)
+    role = {n: r for r, names in roles.items() for n in names}
+    counts = [df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(n).alias("table_name"), F.lit(role[n]).alias("role"), "n_rows") for n, df in tables.items()]
+    return reduce(DataFrame.unionByName, counts)
+
+
+@query(f"""
+    WITH {BASE_SQL} SELECT DISTINCT experiment_id, 'VERSUCHSAUFBAU has no Pruefglied_ID column; no table for plots' AS problems FROM base
+""")
+def dataset_problems(t: Tables) -> DataFrame:
+    """What a dataset lacks, with the experiments that it holds."""
+    tables = trial_tables(t)
+    broken = {"VERSUCHSAUFBAU": tables["VERSUCHSAUFBAU"].drop("Pruefglied_ID"), "PRUEFGLIED": tables["PRUEFGLIED"]}
+    found = "; ".join(sorted(m for _, m in bundle.validate(broken)))
+    return broken["VERSUCHSAUFBAU"].select(*BY).distinct().withColumn("problems", F.lit(found))
+
+
+@query("""
+    SELECT 'orders' AS table_name, least(3, count(*)) AS n_rows, 0 AS outside FROM orders UNION ALL SELECT 'region', least(3, count(*)), 0 FROM region
+""")
+def shown_heads(t: Tables) -> DataFrame:
+    """The first rows of each table are three of its rows."""
+    whole = {"orders": (t.orders, "o_orderkey"), "region": (t.region, "r_regionkey")}
+    heads = bundle.table_heads({n: df for n, (df, _) in whole.items()})
+    parts = []
+    for n, (df, key) in whole.items():
+        marked = null_safe_join(heads[n].select(key), df.select(key).withColumn("known", F.lit(True)), [key])
+        parts.append(marked.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("known").isNull()).cast("int").alias("outside")).withColumn("table_name", F.lit(n)))
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query("""
+    SELECT n_nationkey, upper(substr(n_name, 1, 2)) || list_extract(['DE', 'JP', 'BR', 'KE', 'US', 'CZ', 'VN'], (n_nationkey % 7 + 1)::INT) AS site_code FROM nation
+""")
+def site_codes(t: Tables) -> DataFrame:
+    """Any country has a code."""
+    names = F.array(*[F.lit(c) for c in ("Germany", "Japan", "Brazil", "Kenya", "United States", "Czech Republic", "Vietnam")])
+    meta = t.nation.select("n_nationkey", F.lit("x").alias("name"), F.col("n_name").alias("site"), F.get(names, (F.col("n_nationkey") % 7).cast("int")).alias("country"))
+    return header_section(meta, ["n_nationkey"]).select("n_nationkey", F.col("SITE_CODE").alias("site_code"))
+
+
+@query("""
+    SELECT o_orderkey, TRUE AS within, TRUE AS repeatable FROM orders
+""")
+def fixed_variation(t: Tables) -> DataFrame:
+    """A variation of three days that depends on the key alone."""
+    first, again = jitter(["o_orderkey"], -3, 3, 1), jitter(["o_orderkey"], -3, 3, 1)
+    return t.orders.repartition(5).select("o_orderkey", first.between(-3, 3).alias("within"), (first == again).alias("repeatable"))
