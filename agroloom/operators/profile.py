@@ -59,14 +59,12 @@ def key_columns(df: DataFrame, by: list[str] = (), alternates: bool = False) ->
     as (scope, column) being unique.
     """
     candidates = key_candidates(df, by)
-    if alternates and candidates:
-        exact = [_distinct(list(by), c).alias(c) for c in candidates]
-        row = df.agg(F.count(F.lit(1)).alias("__n"), *exact).first()
-        return [c for c in candidates if row[c] == row["__n"]]
-    for c in candidates:
-        if is_unique_id(df, c, by):
-            return [c]
-    return []
+    if not candidates:
+        return []
+    # one exact pass over all candidates
+    row = df.agg(F.count(F.lit(1)).alias("__n"), *[_distinct(list(by), c).alias(f"d{i}") for i, c in enumerate(candidates)]).first()
+    unique = [c for i, c in enumerate(candidates) if row[f"d{i}"] == row["__n"]]
+    return unique if alternates else unique[:1]
 
 
 def key_profile(df: DataFrame, table: str, by: list[str] = ()) -> DataFrame:
