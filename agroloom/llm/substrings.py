@@ -1,8 +1,9 @@
 """Substring dedup with super-k-mers.
 
-A window of 20 words goes to the bucket of its minimiser, the least hash of the 5-word sequences inside it. Consecutive
-windows with the same minimiser travel as one packed string. A window's text alone decides its bucket, so equal
-windows meet, and sorting the windows of a bucket shows exactly which of them start earlier elsewhere.
+A window of 20 words goes to the bucket of its minimiser, the least hash of the 3-word sequences inside it. Consecutive
+windows with the same minimiser travel as one packed string; a task sends the strings of a bucket in compressed blocks. A
+window's text alone decides its bucket, so equal windows meet, and sorting the windows of a bucket shows exactly which of them
+start earlier elsewhere.
 """
 
 from __future__ import annotations
@@ -13,26 +14,29 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from agroloom.llm.text import map_arrow, ragged, slices, texts_of, words_of
+from agroloom.llm.text import joined, listed, map_arrow, ragged, slices, texts_of, words_of
 from agroloom.operators.scale import null_safe_join
 from agroloom.session import checkpointed
 
 WINDOW = 20
-MINIMISER = 5
+MINIMISER = 3
 RUN = 256  # windows in one packed string at most
-CHUNK = 200_000  # windows sorted together, unless one minimiser has more
-GROUP = 1_000_000  # windows of one minimiser that a task sorts; beyond, each window goes on its own
+BUCKET_BYTES = 2_600_000  # text bytes per bucket; its packed strings are about three times as long
+BUCKETS = 256  # buckets at least
+BUCKET_WINDOWS = 3_000_000  # windows of a bucket that a task sorts; beyond, each of its windows goes on its own
+SLICE = 8 << 20  # text bytes whose strings a task packs together
 
-_PACKED = "minimiser long, doc_id long, text_hash long, first long, packed string, until long"
+_PACKED = "bucket long, doc_id long, text_hash long, first long, until long, block binary"
 _FOUND = "doc_id long, text_hash long, first long, until long, packed string"
 
 
 def _batch(columns: list, ddl: str) -> pa.RecordBatch:
-    kinds = {"long": pa.int64(), "string": pa.string()}
+    kinds = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
     fields = [x.split() for x in ddl.split(", ")]
     return pa.RecordBatch.from_arrays([pa.array(c, kinds[k]) for c, (_, k) in zip(columns, fields)], [n for n, _ in fields])
 
@@ -40,12 +44,12 @@ def _batch(columns: list, ddl: str) -> pa.RecordBatch:
 def word_hashes(flat: pa.Array) -> np.ndarray:
     coded = flat.dictionary_encode()
     digest = xxhash.xxh64_intdigest
-    words = coded.dictionary.to_pylist()
+    words = listed(coded.dictionary)
     return np.fromiter((digest(w) for w in words), np.uint64, len(words))[coded.indices.to_numpy()]
 
 
 def minimisers(hashes: np.ndarray) -> np.ndarray:
-    """Least mixed hash of the 5-word sequences in the window that starts at each word (ends are cut off)."""
+    """Least mixed hash of the 3-word sequences in the window that starts at each word (ends are cut off)."""
     n = len(hashes) - MINIMISER + 1
     mixed = np.zeros(max(n, 0), np.uint64)
     for j in range(MINIMISER):
@@ -61,28 +65,43 @@ def minimisers(hashes: np.ndarray) -> np.ndarray:
     return mixed
 
 
-def super_kmers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Packed strings of each slice. Where a slice has a string twice only the earliest travels; the others are known to
-    repeat it and go on as found stretches (``until`` is set, ``packed`` is null)."""
+def _block(ids: np.ndarray, texts: np.ndarray, first: np.ndarray, packed: list[bytes]) -> bytes:
+    head = b"".join(x.astype(np.int64).tobytes() for x in (np.array([len(packed)]), ids, texts, first))
+    return zstandard.ZstdCompressor(level=5).compress(head + b"\n".join(packed))
+
+
+def _unpacked(blocks: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]:
+    """doc_id, text_hash, first and packed string of all blocks."""
+    places, packed = [[], [], []], []
+    for block in blocks:
+        raw = zstandard.ZstdDecompressor().decompress(block)
+        n = int(np.frombuffer(raw, np.int64, 1)[0])
+        for i, column in enumerate(places):
+            column.append(np.frombuffer(raw, np.int64, n, 8 + 8 * n * i))
+        packed += raw[8 + 24 * n :].split(b"\n")
+    return *(np.concatenate(x) for x in places), pa.array(packed, pa.binary()).cast(pa.string())
+
+
+def super_kmers(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    """Blocks of packed strings. Where a slice of the input has a string twice only the earliest travels; the others are known
+    to repeat it and go on as found stretches (``until`` is set, ``block`` is null)."""
     for batch in batches:
-        for part in slices(batch, "text"):
+        for part in slices(batch, "text", SLICE):
             flat, counts = words_of(texts_of(part, "text"))
             if len(flat) < WINDOW:
                 continue
             row = np.repeat(np.arange(len(counts)), counts)
             least = minimisers(word_hashes(flat))
-            whole = row[: len(least)] == row[WINDOW - 1 :]
-            starts = np.flatnonzero(whole)
+            starts = np.flatnonzero(row[: len(least)] == row[WINDOW - 1 :])
             if not len(starts):
                 continue
             value, owner = least[starts], row[starts]
             new = np.concatenate(([True], (value[1:] != value[:-1]) | (owner[1:] != owner[:-1])))
-            run = np.cumsum(new) - 1
-            place = np.arange(len(starts)) - np.flatnonzero(new)[run]
+            place = np.arange(len(starts)) - np.flatnonzero(new)[np.cumsum(new) - 1]
             new |= place % RUN == 0
             heads = np.flatnonzero(new)
             sizes = np.diff(np.append(heads, len(starts)))
-            raw = " ".join(flat.to_pylist()).encode()
+            raw = joined(flat)
             ends = np.cumsum(pc.binary_length(flat).to_numpy().astype(np.int64) + 1) - 1
             begins = np.concatenate(([0], ends[:-1] + 1))
             a = starts[heads]
@@ -90,22 +109,23 @@ def super_kmers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ids = pc.fill_null(part.column("doc_id"), 2**63 - 1).to_numpy()[owner[heads]]
             texts = part.column("text_hash").to_numpy()[owner[heads]]
             first = a - (np.cumsum(counts) - counts)[owner[heads]]
-            by = np.lexsort((first, texts, ids))
+            packed = [raw[x:y] for x, y in zip(left, right)]
             seen: dict[bytes, int] = {}
-            travel, same = np.ones(len(heads), bool), np.zeros(len(heads), bool)
-            packed: list = [None] * len(heads)
-            for i in by.tolist():
-                text = raw[left[i] : right[i]]
-                before = seen.setdefault(text, i)
-                if before == i:
-                    packed[i] = text
-                else:  # the same row again is no repeat
-                    travel[i] = False
-                    same[i] = (ids[i], texts[i], first[i]) == (ids[before], texts[before], first[before])
-            until = pa.array(first + sizes + WINDOW - 1, mask=travel)
-            strings = pa.array(packed, pa.binary()).cast(pa.string())
-            columns = [value[heads].view(np.int64), ids, texts, first, strings, until]
-            yield _batch(columns, _PACKED).filter(pa.array(~same))
+            by = np.lexsort((first, texts, ids))
+            before = np.fromiter((seen.setdefault(packed[i], i) for i in by.tolist()), np.int64, len(by))
+            travel = by[before == by]
+            late, lead = by[before != by], before[before != by]
+            late = late[(ids[late] != ids[lead]) | (texts[late] != texts[lead]) | (first[late] != first[lead])]  # not the same row
+            spread = (ids[late] ^ first[late]) % buckets
+            yield _batch([spread, ids[late], texts[late], first[late], first[late] + sizes[late] + WINDOW - 1, [None] * len(late)], _PACKED)
+            bucket = (value[heads[travel]] % np.uint64(buckets)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            travel, bucket = travel[order], bucket[order]
+            cuts = np.flatnonzero(np.diff(bucket)) + 1
+            groups = np.split(travel, cuts)
+            blocks = [_block(ids[g], texts[g], first[g], [packed[i] for i in g.tolist()]) for g in groups]
+            none = [None] * len(blocks)
+            yield _batch([bucket[np.append(0, cuts)], none, none, none, none, blocks], _PACKED)
 
 
 def first_windows(words: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -140,89 +160,77 @@ def stretches(first: np.ndarray, row: np.ndarray, at: np.ndarray) -> tuple[np.nd
     return row[rep][heads], at[rep][heads], at[rep][tails] + WINDOW
 
 
-def _sorted_out(rows: pa.Table) -> pa.RecordBatch:
-    """Repeated windows among complete minimisers."""
-    ids, texts, first = (rows.column(c).to_numpy() for c in ("doc_id", "text_hash", "first"))
+def _sorted_out(blocks: list[bytes]) -> pa.RecordBatch:
+    """Repeated windows of a complete bucket."""
+    ids, texts, first, packed = _unpacked(blocks)
     by = np.lexsort((first, texts, ids))
     again = (np.diff(ids[by]) == 0) & (np.diff(texts[by]) == 0) & (np.diff(first[by]) == 0)
     by = by[np.concatenate(([True], ~again))]  # repeated rows are one document
     ids, texts, first = ids[by], texts[by], first[by]
-    flat, counts = words_of(rows.column("packed").combine_chunks().take(pa.array(by)))
+    flat, counts = words_of(packed.take(pa.array(by)))
     words = flat.dictionary_encode().indices.to_numpy()
     sizes = counts - WINDOW + 1
     starts = ragged(np.cumsum(counts) - counts, sizes)
     row = np.repeat(np.arange(len(sizes)), sizes)
-    at = ragged(first, sizes)
-    owner, a, b = stretches(first_windows(words, starts), row, at)
+    owner, a, b = stretches(first_windows(words, starts), row, ragged(first, sizes))
     return _batch([ids[owner], texts[owner], a, b, [None] * len(owner)], _FOUND)
 
 
-def _single_windows(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-    """Each window of the strings on its own, to be counted by its text."""
-    for part in rows.to_batches(max_chunksize=1000):
-        out: tuple[list, ...] = ([], [], [], [], [])
-        for i, t, at, packed in zip(*(part.column(c).to_pylist() for c in ("doc_id", "text_hash", "first", "packed"))):
-            words = packed.split(" ")
-            for j in range(len(words) - WINDOW + 1):
-                for column, x in zip(out, (i, t, at + j, at + j + WINDOW, " ".join(words[j : j + WINDOW]))):
-                    column.append(x)
-        yield _batch(list(out), _FOUND)
+def _single_windows(block: bytes) -> pa.RecordBatch:
+    """Each window of a block on its own, to be counted by its text."""
+    out: tuple[list, ...] = ([], [], [], [], [])
+    ids, texts, first, packed = _unpacked([block])
+    for i, t, at, text in zip(ids.tolist(), texts.tolist(), first.tolist(), packed.to_pylist()):
+        words = text.split(" ")
+        for j in range(len(words) - WINDOW + 1):
+            for column, x in zip(out, (i, t, at + j, at + j + WINDOW, " ".join(words[j : j + WINDOW]))):
+                column.append(x)
+    return _batch(list(out), _FOUND)
 
 
-def _packed_windows(t: pa.Table) -> int:
-    return int(pc.sum(pc.subtract(pc.count_substring(t.column("packed"), " "), WINDOW - 2)).as_py() or 0)
+def bucket_sort(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """Rows come sorted by bucket. A complete bucket is sorted out in one go; the windows of one that has more than ``most``
+    go on one by one; found stretches pass."""
+    here, held, size, large = None, [], 0, False
+    for batch in batches:
+        found = batch.filter(pc.is_valid(batch.column("until")))
+        if found.num_rows:
+            yield _batch([*(found.column(c) for c in ("doc_id", "text_hash", "first", "until")), [None] * found.num_rows], _FOUND)
+        blocks = batch.filter(pc.is_valid(batch.column("block")))
+        for bucket, block in zip(blocks.column("bucket").to_pylist(), blocks.column("block")):
+            if bucket != here:
+                if held:
+                    yield _sorted_out(held)
+                here, held, size, large = bucket, [], 0, False
+            block = block.as_py()
+            if large:
+                yield _single_windows(block)
+                continue
+            held.append(block)
+            raw = zstandard.frame_content_size(block)
+            size += raw // 22  # a window has about this many packed bytes
+            if size > most:
+                yield from map(_single_windows, held)
+                held, large = [], True
+    if held:
+        yield _sorted_out(held)
 
 
-def bucket_sort(batches: Iterator[pa.RecordBatch], chunk: int = CHUNK, group: int = GROUP) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by minimiser. Complete minimisers are sorted out in chunks; one that is too large for a task
-    goes on as single windows; found stretches pass."""
-    held: list[pa.Table] = []
-    windows, large = 0, None
+def bucket_count(rows: DataFrame) -> int:
+    """Enough buckets for the text's bytes, so that one is sorted in bounded memory at any size."""
+    total = rows.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
+    return max(BUCKETS, total // BUCKET_BYTES)
 
-    for batch in batches:
-        table = pa.Table.from_batches([batch])
-        done = table.filter(pc.is_valid(table.column("until")))
-        if done.num_rows:
-            columns = [done.column(c).combine_chunks() for c in ("doc_id", "text_hash", "first", "until")]
-            yield _batch([*columns, [None] * done.num_rows], _FOUND)
-            table = table.filter(pc.is_null(table.column("until")))
-        for a in range(0, table.num_rows, 4096):
-            part = table.slice(a, 4096)
-            key = part.column("minimiser").to_numpy()
-            if large is not None:
-                n = int(np.searchsorted(key, large, "right"))
-                yield from _single_windows(part.slice(0, n))
-                part = part.slice(n)
-                if not part.num_rows:
-                    continue
-                large = None
-            held.append(part)
-            windows += _packed_windows(part)
-            if windows < chunk:
-                continue
-            rows = pa.concat_tables(held).combine_chunks()
-            key = rows.column("minimiser").to_numpy()
-            cut = int(np.searchsorted(key, key[-1], "left"))
-            if cut:
-                yield _sorted_out(rows.slice(0, cut))
-            rows = rows.slice(cut)
-            held, windows = [rows], _packed_windows(rows)
-            if windows > group:
-                large, held, windows = int(key[-1]), [], 0
-                yield from _single_windows(rows)
-    if held and windows:
-        yield _sorted_out(pa.concat_tables(held).combine_chunks())
-
-
-def repeated_stretches(rows: DataFrame, chunk: int = CHUNK, group: int = GROUP) -> DataFrame:
+
+def repeated_stretches(rows: DataFrame, buckets: int | None = None, most: int = BUCKET_WINDOWS) -> DataFrame:
     """doc_id, text_hash, first, until: words covered by windows that also start earlier. ``rows``: doc_id, text_hash, text.
 
-    ``chunk`` and ``group`` bound a task's memory and don't change the result.
+    ``buckets`` and ``most`` bound a task's memory and don't change the result.
     """
-    kmers = map_arrow(rows, super_kmers, _PACKED)
-    spread = F.when(F.col("until").isNull(), F.col("minimiser")).otherwise(F.xxhash64("doc_id", "first"))
-    dealt = kmers.withColumn("minimiser", spread).repartition("minimiser").sortWithinPartitions("minimiser")
-    found = checkpointed(map_arrow(dealt, lambda batches: bucket_sort(batches, chunk, group), _FOUND))
+    n = buckets or bucket_count(rows)
+    kmers = map_arrow(rows, lambda batches: super_kmers(batches, n), _PACKED)
+    dealt = kmers.repartition("bucket").sortWithinPartitions("bucket")
+    found = checkpointed(map_arrow(dealt, lambda batches: bucket_sort(batches, most), _FOUND))
     ready = found.where("packed is null").drop("packed")
     single = found.where("packed is not null").withColumn("place", F.struct("doc_id", "text_hash", "first"))
     earliest = single.groupBy("packed").agg(F.min("place").alias("earliest"))
@@ -246,7 +254,7 @@ def _strip(text: str):
                 stay = np.cumsum(gone[:-1]) == 0
                 ends = np.concatenate(([0], np.cumsum(stay)))
                 kept = ends[last] - ends[last - counts]
-                words = flat.filter(pa.array(stay)).to_pylist()
+                words = listed(flat.filter(pa.array(stay)))
                 upto = np.cumsum(kept)
                 texts = [" ".join(words[b - n : b]) for n, b in zip(kept.tolist(), upto.tolist())]
                 names = [n for n in part.schema.names if n not in (text, "__gone")]
@@ -258,7 +266,7 @@ def _strip(text: str):
     return run
 
 
-def without_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", chunk: int = CHUNK, group: int = GROUP) -> DataFrame:
+def without_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", buckets: int | None = None, most: int = BUCKET_WINDOWS) -> DataFrame:
     """All rows of ``df`` with n_words, n_removed and kept_text in place of the text.
 
     A word goes if a window of 20 words over it also starts earlier: in a smaller key, in the same document, or (of rows
@@ -269,7 +277,7 @@ def without_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", chun
     place = F.coalesce(F.col(key).cast("long"), F.lit(2**63 - 1))
     hashed = F.coalesce(F.xxhash64(text), F.lit(0))
     whole = df.select(place.alias("doc_id"), hashed.alias("text_hash"), F.col(text).alias("text"))
-    found = repeated_stretches(whole, chunk, group)
+    found = repeated_stretches(whole, buckets, most)
     gone = found.groupBy(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
     gone = gone.agg(F.collect_list(F.struct("first", "until")).alias("__gone"))
     rows = null_safe_join(df.withColumns({"__id": place, "__hash": hashed}), gone, ["__id", "__hash"]).drop("__id", "__hash")

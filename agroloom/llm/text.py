@@ -46,6 +46,17 @@ def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return flat, np.bincount(parents, minlength=len(texts)).astype(np.int64)
 
 
+def listed(array: pa.Array) -> list:
+    """The strings of an array; much faster than ``to_pylist``."""
+    return array.to_numpy(zero_copy_only=False).tolist()
+
+
+def joined(words: pa.Array) -> bytes:
+    """All words in one buffer, a space between them."""
+    whole = pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words)
+    return pc.binary_join(whole, " ")[0].as_buffer().to_pybytes()
+
+
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Indices of the ranges ``starts[i] .. starts[i] + lengths[i]`` one after the other."""
     before = np.cumsum(lengths) - lengths

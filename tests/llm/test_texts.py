@@ -122,9 +122,9 @@ def test_substrings(spark, odd):
     want = stripped(odd)
     digest = ["doc_id", "n_words", "n_removed", F.sha2("kept_text", 256)]
     assert counted(substrings.substring_digests(df)) == want
-    # chunks of a few windows, and every minimiser too large for a task
-    assert counted(substrings.without_repeats(df, chunk=50).select(*digest)) == want
-    assert counted(substrings.without_repeats(df, chunk=1, group=1).select(*digest)) == want
+    # few large buckets, and every bucket too large for a task
+    assert counted(substrings.without_repeats(df, buckets=3).select(*digest)) == want
+    assert counted(substrings.without_repeats(df, buckets=7, most=1).select(*digest)) == want
     assert substrings.substring_digests(frame(spark, [])).count() == 0
 
 
