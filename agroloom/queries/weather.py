@@ -296,11 +296,11 @@ def chosen_moved_stations(t: Tables) -> DataFrame:
 
 
 @query(f"""
-    WITH v AS (SELECT * FROM (VALUES ('air_temperature', 400), ('precipitation', 200)) x(variable, radius)),
+    WITH v AS (SELECT * FROM (VALUES ('air_temperature', 400, 'hourly'), ('precipitation', 200, 'hourly'), ('precipitation', 200, 'daily')) x(variable, radius, res)),
     s AS (SELECT r_regionkey AS site_id, {_spread_sql('(r_regionkey + 3)', 11)} FROM region),
     p AS (SELECT station_id, lat + 0.3 AS lat, lon FROM (SELECT n_nationkey AS station_id, {_spread_sql('n_nationkey', 5)} FROM nation)),
     d AS (SELECT site_id, station_id, {_HAV} AS km FROM s, p)
-    SELECT site_id, variable, station_id, 'hourly' AS res, round(km, 6) AS dist_km FROM d, v WHERE km <= radius
+    SELECT site_id, variable, station_id, res, round(km, 6) AS dist_km FROM d, v WHERE km <= radius
 """)
 def moved_station_candidates(t: Tables) -> DataFrame:
     sites = station_inputs(t)["wanted"].select("site_id", "lat", "lon").distinct().withColumn("min_date", F.lit("1996-06-01").cast("date"))
