@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from agroloom.llm.components import component_roots
-from agroloom.llm.text import map_arrow, slices, texts_of, words_of
+from agroloom.llm.text import joined, map_arrow, slices, texts_of, words_of
 from agroloom.operators.scale import null_safe_join
 from agroloom.session import checkpointed
 
@@ -28,7 +28,9 @@ SHINGLE = 4
 MAX_BITS = 4
 SEED = 42
 FOREST = 50_000  # fingerprints whose trees are searched together, unless a single tree is larger
-FRONTIER = 1_000_000  # (query, node) pairs looked at together
+FRONTIER = 200_000  # (query, node) pairs looked at together
+SLICE = 1 << 20  # text bytes whose shingle bits are unpacked together
+CROWD = 2_000  # fingerprints of a shard from which close neighbours are probed before its tree is searched
 
 
 def fingerprints(texts: pa.Array, shingle: int = SHINGLE) -> np.ndarray:
@@ -37,7 +39,7 @@ def fingerprints(texts: pa.Array, shingle: int = SHINGLE) -> np.ndarray:
     out = np.zeros(len(counts), np.uint64)
     if not len(flat):
         return out
-    raw = memoryview(" ".join(flat.to_pylist()).encode())
+    raw = memoryview(joined(flat))
     lengths = pc.binary_length(flat).to_numpy().astype(np.int64)
     ends = np.cumsum(lengths + 1) - 1
     starts = ends - lengths
@@ -66,7 +68,7 @@ def with_fingerprints(df: DataFrame, key: str = "doc_id", text: str = "text", sh
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 fp = fingerprints(texts_of(part, "text"), shingle).view(np.int64)
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(fp)], ["doc_id", "text_hash", "fp"])
 
@@ -96,10 +98,16 @@ def bk_forest(fp: np.ndarray, shard: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return root, child
 
 
-def close_pairs(fp: np.ndarray, root: np.ndarray, child: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs (query, smaller node) within the radius, found along the edges that can lead to one."""
+def close_pairs(
+    fp: np.ndarray, root: np.ndarray, child: np.ndarray, radius: int, before: np.ndarray | None = None
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs (query, node) within the radius, found along the edges that can lead to one.
+
+    A query looks for nodes placed earlier than ``before`` (by default than itself, so a pair is found once); 0 asks for nothing.
+    """
     steps = np.arange(-radius, radius + 1)
-    stack = [(q, root[q]) for q in np.array_split(np.arange(len(fp)), max(1, len(fp) * 16 // FRONTIER))]
+    before = np.arange(len(fp)) if before is None else before
+    stack = [(q, root[q]) for q in np.array_split(np.flatnonzero(before > root), max(1, len(fp) * 16 // FRONTIER))]
     while stack:
         query, node = stack.pop()
         if len(query) > FRONTIER:
@@ -107,13 +115,13 @@ def close_pairs(fp: np.ndarray, root: np.ndarray, child: np.ndarray, radius: int
             stack += [(query[:half], node[:half]), (query[half:], node[half:])]
             continue
         d = distance(fp[query], fp[node]).astype(np.int64)
-        hit = (d <= radius) & (node < query)
+        hit = (d <= radius) & (node != query)
         if hit.any():
             yield query[hit], node[hit]
         edges = d[:, None] + steps
         nxt = np.where((edges > 0) & (edges <= 64), child[node[:, None], np.clip(edges, 0, 64)], -1)
-        # a node placed after the query can't lead to an earlier one, as children come after their parent
-        which, where = np.nonzero((nxt >= 0) & (nxt < query[:, None]))
+        # children come after their parent, so a later node leads to no earlier one
+        which, where = np.nonzero((nxt >= 0) & (nxt < before[query][:, None]))
         if len(which):
             stack.append((query[which], nxt[which, where].astype(np.int64)))
 
@@ -133,6 +141,28 @@ def merged_labels(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
             label[:] = up
 
 
+def probed(fp: np.ndarray, label: np.ndarray, radius: int) -> np.ndarray:
+    """Join neighbours of a crowded shard by looking up each fingerprint with one bit, then two, turned; and return which members
+    still have to search: all outside the largest component. A dense cluster is joined this way without comparing its pairs."""
+    order = np.argsort(fp)
+    known = fp[order]
+
+    def join(turned: np.uint64) -> None:
+        other = fp ^ turned
+        place = np.minimum(np.searchsorted(known, other), len(known) - 1)
+        found = np.flatnonzero(known[place] == other)
+        merged_labels(label, found, order[place[found]])
+
+    bits = [np.uint64(1) << np.uint64(b) for b in range(64)]
+    for size in range(1, min(radius, 2) + 1):
+        for turned in combinations(bits, size):
+            join(np.bitwise_or.reduce(np.array(turned, np.uint64)))
+            if size == 2 and (label == label[0]).all():
+                break
+    names, counts = np.unique(label, return_counts=True)
+    return label != names[np.argmax(counts)]
+
+
 def block_masks(blocks: int, radius: int) -> list[int]:
     """Bit masks of each choice of blocks that two fingerprints within the radius may agree in."""
     edges = [64 * i // blocks for i in range(blocks + 1)]
@@ -156,10 +186,17 @@ def _stars(radius: int):
         shard = np.cumsum(np.concatenate(([True], (mask[1:] != mask[:-1]) | (key[1:] != key[:-1]))))
         several = np.bincount(shard)[shard] > 1
         fp, shard = fp[several], shard[several]
-        label = np.arange(len(fp))
-        if len(fp):
-            root, child = bk_forest(fp.view(np.uint64), shard)
-            for a, b in close_pairs(fp.view(np.uint64), root, child, radius):
+        label, before, words = np.arange(len(fp)), np.arange(len(fp)), fp.view(np.uint64)
+        edges = np.concatenate(([0], np.flatnonzero(np.diff(shard)) + 1, [len(fp)])) if len(fp) else np.array([0])
+        for a, b in zip(edges, edges[1:]):
+            if b - a > CROWD:
+                own = np.arange(b - a)
+                search = probed(words[a:b], own, radius)
+                label[a:b] = own + a
+                before[a:b] = np.where(search, b, 0)
+        if (before > 0).any():
+            root, child = bk_forest(words, shard)
+            for a, b in close_pairs(words, root, child, radius, before):
                 merged_labels(label, a, b)
         linked = np.flatnonzero(label != np.arange(len(fp)))
         return pa.RecordBatch.from_arrays([pa.array(fp[linked]), pa.array(fp[label[linked]])], ["a", "b"])

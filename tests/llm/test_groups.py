@@ -66,6 +66,26 @@ def test_forest_finds_all_close_pairs(blocks):
     assert found == want
 
 
+@pytest.mark.parametrize("crowd", [1, 50, 10**6])
+def test_crowded_shards(monkeypatch, crowd):
+    """Clusters of near fingerprints, chains and strays in one shard give the components of all pairs."""
+    monkeypatch.setattr(near, "CROWD", crowd)
+    rng = np.random.default_rng(crowd)
+    base = rng.integers(0, 2**63, 6, dtype=np.uint64)
+    rows = [int(base[0]) ^ (1 << int(a)) ^ (1 << int(b)) for a, b in rng.integers(0, 64, (300, 2))]
+    rows += [int(base[1]) ^ sum(1 << int(x) for x in rng.choice(64, 4, replace=False)) for _ in range(40)]
+    rows += [int(base[2]) ^ ((1 << 3 * k) - 1) for k in range(20)] + [int(x) for x in base]
+    fp = np.array(sorted(set(rows)), np.uint64)
+    order = rng.permutation(len(fp))
+    fp = fp[order]
+    batch = pa.RecordBatch.from_arrays([pa.array(fp.view(np.int64)), pa.array(np.zeros(len(fp), np.int64)), pa.array(np.zeros(len(fp), np.int64))], ["fp", "mask", "key"])
+    links = [(r["a"], r["b"]) for b in near._stars(4)(iter([batch])) for r in b.to_pylist()]
+    at = {int(x): i for i, x in enumerate(fp.view(np.int64))}
+    got = components(len(fp), [(at[a], at[b]) for a, b in links])
+    want = components(len(fp), [(i, j) for i in range(len(fp)) for j in range(i) if int(fp[i] ^ fp[j]).bit_count() <= 4])
+    assert len({(g, w) for g, w in zip(got, want)}) == len(set(got)) == len(set(want))
+
+
 def test_near_groups(spark, odd):
     assert counted(near.near_duplicates(frame(spark, odd))) == Counter(near_groups([(r[0], r[1]) for r in odd]))
     assert near.near_duplicates(frame(spark, [])).count() == 0
@@ -246,6 +266,15 @@ def test_host_decides_between_containers():
     assert pages.main_text(page.format("a long teaser of this page", "short"), ">body>div.other") == "a long teaser of this page"
 
 
+def test_many_hosts_are_joined_with_salt(spark, monkeypatch):
+    df = spark.createDataFrame([(i, f"h{i % 3}" if i % 4 else None) for i in range(40)], "page_id int, host string")
+    winners = spark.createDataFrame([("h0", "a"), ("h1", "b"), (None, "c")], "host string, winning_path string")
+    plain = counted(pages.with_winners(df, winners, "page_id"))
+    monkeypatch.setattr(pages, "BROADCAST_BYTES", 0)
+    path = {"h0": "a", "h1": "b", None: "c"}
+    assert counted(pages.with_winners(df, winners, "page_id")) == plain == Counter((r["page_id"], r["host"], path.get(r["host"])) for r in df.collect())
+
+
 def test_very_long_page():
     source = "<body><article>" + "<p>word &amp; word</p>" * 20000 + "</article>" + "<div>" * 3000
     assert pages.main_text(source, None) == "\n\n".join(["word & word"] * 20000)
