@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from agroloom.llm.text import map_arrow, slices, texts_of
 from agroloom.operators.scale import null_safe_join
+from agroloom.session import checkpointed
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"
@@ -276,6 +277,22 @@ def winning_paths(votes: DataFrame) -> DataFrame:
     return votes.groupBy("host").agg(best).select("host", F.col("best.path").alias("winning_path"))
 
 
+BROADCAST_BYTES = 32 << 20  # winning paths up to this size go to every task
+SALTS = 64  # copies of a host's path in the join beyond it
+
+
+def with_winners(df: DataFrame, winners: DataFrame, spread: str) -> DataFrame:
+    """Each page with its host's path. Pages only move where the paths are too many to broadcast, and then salted, so that
+    a host with a large share of the pages is dealt to many tasks by the column ``spread``."""
+    winners = checkpointed(winners)
+    size = winners.agg(F.sum(F.octet_length("winning_path") + F.coalesce(F.octet_length("host"), F.lit(0)) + 32).alias("n")).first()["n"] or 0
+    if size <= BROADCAST_BYTES:
+        return null_safe_join(df, F.broadcast(winners), ["host"])
+    salted = df.withColumn("__salt", F.pmod(F.xxhash64(spread), F.lit(SALTS)))
+    copies = winners.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    return null_safe_join(salted, copies, ["host", "__salt"]).drop("__salt")
+
+
 def main_text(source: str, path: str | None) -> str:
     """Text of the container on the path (the one with the highest score if several), else of the page's own best one."""
     page = Page(source)
@@ -292,7 +309,7 @@ def extract_pages(df: DataFrame, url: str = "url", page: str = "html") -> DataFr
     """
     df = df.drop("text", "winning_path", "host").withColumn("host", host_of(url))
     winners = winning_paths(path_votes(df, page))
-    rows = null_safe_join(df, winners, ["host"]).drop("host")
+    rows = with_winners(df, winners, url).drop("host")
     fields = [f for f in rows.schema.fields if f.name not in (page, "winning_path")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
