@@ -29,7 +29,7 @@ RUN = 256  # windows in one packed string at most
 BUCKET_BYTES = 2_600_000  # text bytes per bucket; its packed strings are about three times as long
 BUCKETS = 256  # buckets at least
 BUCKET_WINDOWS = 3_000_000  # windows of a bucket that a task sorts; beyond, each of its windows goes on its own
-SLICE = 8 << 20  # text bytes whose strings a task packs together
+SLICE = 4 << 20  # text bytes whose strings a task packs together
 
 _PACKED = "bucket long, doc_id long, text_hash long, first long, until long, block binary"
 _FOUND = "doc_id long, text_hash long, first long, until long, packed string"

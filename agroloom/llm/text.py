@@ -90,9 +90,20 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(app)
 
 
+BATCH_KEY, BATCH_DEFAULT, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", str(64 << 20), str(8 << 20)
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Batches of 8 MB between Spark and its Python workers, unless the session has its own limit: texts are long, and
+    several batches are in memory on both sides at once."""
+    if spark.conf.get(BATCH_KEY).rstrip("b") == BATCH_DEFAULT:
+        spark.conf.set(BATCH_KEY, BATCH_BYTES)
+
+
 def map_arrow(df: DataFrame, fn: Callable, schema: T.StructType | str) -> DataFrame:
     """``mapInArrow`` with this package at hand on the executors, also for column names that need quotes."""
     ship_package(df.sparkSession)
+    small_batches(df.sparkSession)
     if isinstance(schema, str) or not any("." in c or "`" in c for c in df.columns):
         return df.mapInArrow(fn, schema)
     plain = {c: re.sub("[.`]", "\u2024", c) for c in df.columns}
