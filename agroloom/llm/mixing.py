@@ -20,7 +20,7 @@ SHARD_BLOCKS = 1024
 REPEAT_LIMIT = 3
 WEIGHTS = (1, 2, 3)
 CELLS = 4096  # parts of a source in which offsets are summed up
-ROUNDS = 24
+ROUNDS = 16
 SEED = 20
 
 
@@ -119,7 +119,8 @@ def drawn_slots(plan: DataFrame, block: int, shard_blocks: int) -> DataFrame:
     drawn = counts.groupBy("s").agg(F.sum("n").alias("first"))
     runs = counts.join(some, "s").withColumn("end", F.least(F.col("first") + F.col("n"), F.col("slots"))).drop("n")
     rest = some.join(drawn, "s", "left").withColumn("first", F.coalesce("first", F.lit(0))).withColumns({"end": F.col("slots"), "shard": F.lit(shards)})
-    slots = runs.unionByName(rest).where("first < end")
+    # a run of few bytes holds many slots, so runs are dealt out before they are unrolled
+    slots = runs.unionByName(rest).where("first < end").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "shard", "s")
     slots = slots.withColumn("k", F.explode(F.sequence(F.col("first"), F.col("end") - 1)))
     slots = slots.withColumns({"epoch": F.floor(F.col("k") / F.col("blocks")), "r": F.col("k") % F.col("blocks")})
     slots = slots.withColumn("block", permuted(F.col("r"), F.col("blocks"), F.struct("s", "epoch", F.lit(SEED))))
@@ -166,7 +167,8 @@ def mixed(docs: DataFrame, key: str = "doc_id", source: str = "source", text: st
     start = F.greatest(F.col("first"), F.col("block") * block)
     end = F.least(F.col("first") + F.col("size"), (F.col("block") + 1) * block)
     pieces = pieces.withColumns({"at": start - F.col("block") * block, "from": start - F.col("first"), "words": end - start})
-    pieces = null_safe_join(pieces, uses, ["s", "block"])
+    # Spark judges the slots by the few bytes of the runs that they were unrolled from, and would broadcast them all
+    pieces = null_safe_join(pieces, uses.hint("merge"), ["s", "block"])
 
     def overlap(u: Column) -> Column:
         return F.greatest(F.least(F.col("words"), u["take"] - F.col("at")), F.lit(0))
