@@ -136,8 +136,3 @@ def conform(df: DataFrame, template: T.StructType, defaults: dict[str, object] |
         out.append(c.alias(f.name))
     shaped = df.select(*out)
     return shaped.fillna(defaults) if defaults else shaped
-
-
-def safe_name(name: str) -> str:
-    """A header usable as a column name in paths and files."""
-    return re.sub(r"[^0-9A-Za-z_]+", "_", name)

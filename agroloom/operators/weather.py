@@ -242,12 +242,13 @@ def choose_stations(
 
 
 def find_stations(
-    sites: DataFrame, stations: DataFrame, params: list[dict] = STATION_PARAMS, on_date: str = "min_date", today: Column | None = None
+    sites: DataFrame, stations: DataFrame, params: list[dict] = STATION_PARAMS, on_date: str = "min_date", today: Column | None = None, nearest: int | None = None
 ) -> DataFrame:
     """All stations of each variable within its radius and resolution that are valid on a date.
 
     ``sites``: site_id, lat, lon and the date; the columns of ``stations`` are those of
-    :func:`choose_stations`.
+    :func:`choose_stations`. ``nearest`` limits the output to that many stations per site, date and variable; without it every
+    station in reach is listed, which grows with both tables.
     """
     parts = []
     for p in params:
@@ -262,7 +263,10 @@ def find_stations(
     if "per" in stations.columns:
         age = F.coalesce(F.nullif("per", F.lit("")), F.lit("historical"))
         out = out.filter(age == archive_period(F.col(on_date), today))
-    return out
+    if nearest is None:
+        return out
+    order = Window.partitionBy("site_id", "lat", "lon", on_date, "variable").orderBy(F.round("dist_km", 6), "station_id")
+    return out.withColumn("__rank", F.dense_rank().over(order)).filter(F.col("__rank") <= nearest).drop("__rank")
 
 
 def get_weather(

@@ -113,7 +113,3 @@ def treatment_table(
         out = null_safe_join(out, df.select(*by, id_column, year, name).distinct(), [*by, id_column, year])
     a, b = (F.coalesce(F.col(f).cast("string"), F.lit("NA")) for f in factors)
     return zero_filled(out).drop(id_column).withColumn("TRT_NAME", F.concat(a, F.lit(" | "), b)).distinct()
-
-
-def merged_weather_header(weather_header: DataFrame, station_code: str) -> DataFrame:
-    return weather_header.withColumn("WST_ID", F.lit(station_code))

@@ -268,6 +268,21 @@ def station_candidates(t: Tables) -> DataFrame:
     return got.select("site_id", "variable", "station_id", F.round("dist_km", 6).alias("dist_km"))
 
 
+@query(f"""
+    WITH v AS (SELECT * FROM (VALUES ('air_temperature', 400), ('precipitation', 200)) x(variable, radius)),
+    s AS (SELECT r_regionkey AS site_id, {_spread_sql('(r_regionkey + 3)', 11)} FROM region),
+    p AS (SELECT n_nationkey AS station_id, make_date(1995 + n_nationkey % 3, 1, 1) AS start_date, {_spread_sql('n_nationkey', 5)} FROM nation),
+    d AS (SELECT site_id, station_id, start_date, round({_HAV}, 6) AS km FROM s, p),
+    c AS (SELECT site_id, variable, station_id, km AS dist_km FROM d, v WHERE km <= radius AND start_date <= DATE '1996-06-01')
+    SELECT * FROM c QUALIFY dense_rank() OVER (PARTITION BY site_id, variable ORDER BY dist_km, station_id) <= 3
+""")
+def three_nearest_stations(t: Tables) -> DataFrame:
+    inputs = station_inputs(t)
+    sites = inputs["wanted"].select("site_id", "lat", "lon").distinct().withColumn("min_date", F.lit("1996-06-01").cast("date"))
+    got = w.find_stations(sites, inputs["stations"], PARAMS, nearest=3)
+    return got.select("site_id", "variable", "station_id", F.round("dist_km", 6).alias("dist_km"))
+
+
 def moved_stations(t: Tables) -> DataFrame:
     """Stations that moved at the end of 1995, each period in two resolutions (one of them listed twice)."""
     stations = station_inputs(t)["stations"].drop("start_date", "end_date", "res")
