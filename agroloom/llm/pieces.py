@@ -24,11 +24,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from agroloom.llm.text import map_arrow, ragged, slices, texts_of
+from agroloom.llm.text import listed, map_arrow, ragged, slices, texts_of
 
 SPACE = "▁"
 STORE_WORDS = 400_000  # words a worker remembers before it starts over
 STORE_IDS = 4_000_000
+SLICE = 2 << 20  # text bytes encoded together
 NEVER = np.int32(2**31 - 1)
 LONG_WORD = 256  # symbols from which tied merges go through a heap
 
@@ -337,7 +338,7 @@ class WordStore:
         if not units:
             return np.empty(0, np.int32), counts
         coded = pa.array(units, pa.string()).dictionary_encode()
-        words = coded.dictionary.to_pylist()
+        words = listed(coded.dictionary)
         new = [w for w in words if w not in self.place]
         if new:
             self.add(new)
@@ -362,7 +363,7 @@ def encode_pieces(df: DataFrame, model_path: str, text: str = "text", ids: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store = WordStore(model_at(model_path))
         for batch in batches:
-            for part in slices(batch, text):
+            for part in slices(batch, text, SLICE):
                 flat, counts = store.encode(texts_of(part, text).to_pylist())
                 offsets = pa.array(np.concatenate(([0], np.cumsum(counts))).astype(np.int32))
                 column = pa.ListArray.from_arrays(offsets, pa.array(flat, pa.int32()))
@@ -377,8 +378,8 @@ def decode_pieces(df: DataFrame, model_path: str, ids: str = "ids", text: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = model_at(model_path)
         for batch in batches:
-            for a in range(0, batch.num_rows, 512):
-                part = batch.slice(a, 512)
+            for a in range(0, batch.num_rows, 256):
+                part = batch.slice(a, 256)
                 lists = part.column(ids)
                 counts = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
                 flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
@@ -388,11 +389,31 @@ def decode_pieces(df: DataFrame, model_path: str, ids: str = "ids", text: str =
     return map_arrow(df, run, _extended(df, text, T.StringType()))
 
 
+def round_trip(df: DataFrame, model_path: str, keep: list[str], text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+    """The columns ``keep``, the ids of each whole text and the text that they decode to, in one pass through a worker.
+
+    Cases as in :func:`encode_pieces` and :func:`decode_pieces`.
+    """
+    fields = [df.schema[c] for c in keep]
+    added = [T.StructField(ids, T.ArrayType(T.IntegerType(), False), False), T.StructField(decoded, T.StringType(), False)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = model_at(model_path)
+        store = WordStore(model)
+        for batch in batches:
+            for part in slices(batch, text, SLICE):
+                flat, counts = store.encode(texts_of(part, text).to_pylist())
+                back = pa.array(model.decode(flat.astype(np.int64), counts), pa.string())
+                offsets = pa.array(np.concatenate(([0], np.cumsum(counts))).astype(np.int32))
+                column = pa.ListArray.from_arrays(offsets, pa.array(flat, pa.int32()))
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), column, back], [*keep, ids, decoded])
+
+    return map_arrow(df, run, T.StructType([*fields, *added]))
+
+
 def piece_digests(docs: DataFrame, model_path: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every document (see :func:`encode_pieces`)."""
-    encoded = encode_pieces(docs.select("doc_id", "text"), model_path).drop("text")
-    decoded = decode_pieces(encoded, model_path)
-    return decoded.select(
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every document."""
+    return round_trip(docs.select("doc_id", "text"), model_path, ["doc_id"]).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
