@@ -1,7 +1,7 @@
 """Main text of web pages by consensus of their host.
 
 Every page scores its containers by the text of the blocks inside. Spark adds up, per host, the votes for generalised
-tag-class paths; each page is then extracted again from the container on its host's winning path.
+tag-class paths; each page is then extracted again from all containers on its host's winning path, with the text beside them.
 """
 
 from __future__ import annotations
@@ -228,16 +228,57 @@ class Page:
         scored = [e for e in self.containers if e.score > 0]
         return max(scored, key=lambda e: e.score) if scored else None
 
-    def text_of(self, chosen: Element | None) -> str:
-        """Blocks inside the container in page order (of the whole page without one)."""
+    def on(self, path: str | None) -> list[Element]:
+        """The containers on the path that hold text besides links."""
+        there = {e for e in self.containers if e.path == path}
+        found: dict[Element, None] = {}
+        if there:
+            for e, text, linked in self.text_blocks():
+                if len(text) > 2 * linked:
+                    up = e
+                    while up is not None and up not in there:
+                        up = up.parent
+                    if up is not None:
+                        found[up] = None
+        return list(found)
+
+    def whole(self, chosen: list[Element]) -> list[Element]:
+        """For each the outermost container around it that is an article or main, has text of its own beside it, or holds
+        several sections of which it is one; else itself."""
+        own: set[Element] = set()
+        sections: dict[Element | None, set[Element]] = {}
+        for e, text, linked in self.text_blocks():
+            if len(text) > 2 * linked:
+                up, nearest = e, True
+                while up is not None:
+                    if up.tag in _CONTAINERS:
+                        if nearest:
+                            own.add(up)
+                        nearest = False
+                        if up.tag == "section":
+                            sections.setdefault(self._around(up), set()).add(up)
+                    up = up.parent
         out = []
-        for e, text, _ in self.text_blocks():
-            up = e
-            while up is not None and up is not chosen:
-                up = up.parent
-            if up is chosen:
-                out.append(text)
-        return "\n\n".join(out)
+        for e in chosen:
+            top, below, up = e, e, self._around(e)
+            while up is not None:
+                if up.tag in ("article", "main") or up in own or below.tag == "section" and len(sections.get(up, ())) > 1:
+                    top = up
+                up, below = self._around(up), up
+            out.append(top)
+        return out
+
+    @staticmethod
+    def _around(e: Element) -> Element | None:
+        up = e.parent
+        while up is not None and up.tag not in _CONTAINERS:
+            up = up.parent
+        return up
+
+    def text_of(self, chosen: list[Element]) -> str:
+        """Blocks inside the containers in page order (of the whole page without any)."""
+        some = set(chosen)
+        return "\n\n".join(text for e, text, _ in self.text_blocks() if not some or self._inside(e, some))
 
 
 def host_of(url: str):
@@ -294,11 +335,11 @@ def with_winners(df: DataFrame, winners: DataFrame, spread: str) -> DataFrame:
 
 
 def main_text(source: str, path: str | None) -> str:
-    """Text of the container on the path (the one with the highest score if several), else of the page's own best one."""
+    """Text of all containers on the path, else of the page's own best one, each with the text beside it (``Page.whole``)."""
     page = Page(source)
     own = page.best()
-    there = [e for e in page.containers if e.path == path and e.score > 0]
-    return page.text_of(max(there, key=lambda e: e.score) if there else own)
+    there = page.on(path) or ([own] if own is not None else [])
+    return page.text_of(page.whole(there))
 
 
 def extract_pages(df: DataFrame, url: str = "url", page: str = "html") -> DataFrame:

@@ -266,6 +266,24 @@ def test_host_decides_between_containers():
     assert pages.main_text(page.format("a long teaser of this page", "short"), ">body>div.other") == "a long teaser of this page"
 
 
+def test_whole_articles_are_extracted():
+    long, short = "a long part of the text " * 5, "a short part"
+    page = f"<body><div class='teaser'>other</div><article><h1>Title</h1><div class='body'><p>{long}</p></div><p>closing</p></article></body>"
+    for path in (None, ">body>article>div.body", ">body>article"):
+        assert pages.main_text(page, path) == f"Title\n\n{long.strip()}\n\nclosing"
+    plain = f"<body><div class='teaser'>other</div><div class='post'><h1>Title</h1><div class='wrap'><div class='body'>{long}</div></div></div></body>"
+    assert pages.main_text(plain, None) == f"Title\n\n{long.strip()}"
+    parts = "<section{}><p>{}</p></section><section{}><p>{}</p></section>"
+    for marks in (("", ""), (" class='a'", " class='b'")):
+        two = parts.format(marks[0], long, marks[1], short)
+        for around in ("<body>{}</body>", "<body><article>{}</article></body>", "<body><div class='x'>{}</div></body>"):
+            for path in (None, ">body>section", ">body>article>section", ">body>div.x>section.b"):
+                assert pages.main_text(around.format(two), path) == f"{long.strip()}\n\n{short}"
+    # all containers on the winning path, also where the text lies deep, but none with links alone
+    deep = f"<body><div class='s'>{long}</div><div class='t'>x</div><div class='s'>{'<div>' * 6}{short}{'</div>' * 6}</div><div class='s'><a>link</a></div></body>"
+    assert pages.main_text(deep, ">body>div.s") == f"{long.strip()}\n\n{short}"
+
+
 def test_many_hosts_are_joined_with_salt(spark, monkeypatch):
     df = spark.createDataFrame([(i, f"h{i % 3}" if i % 4 else None) for i in range(40)], "page_id int, host string")
     winners = spark.createDataFrame([("h0", "a"), ("h1", "b"), (None, "c")], "host string, winning_path string")
