@@ -120,6 +120,11 @@ def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return rules.rule_verdicts(table(spark, folder, "documents"))
 
 
+@query()
+def op9_quality_rules_text(spark: SparkSession, folder: str) -> DataFrame:
+    return rules.clean_texts(table(spark, folder, "documents"))
+
+
 @query()
 def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.token_counts(table(spark, folder, "documents"), public_tokenizers.path(WORD_TOKENIZER))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Container, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -75,6 +75,10 @@ def repeated_words(flat: pa.Array, counts: np.ndarray) -> np.ndarray:
     return sums_by_row(covered_words(len(ids), starts[twice], WINDOW).astype(np.int64), counts)
 
 
+def line_hash(normal: bytes) -> int:
+    return xxhash.xxh64_intdigest(normal) - (1 << 63)
+
+
 def lines_of(text: str) -> tuple[int, list[tuple[int, int]]]:
     """Lines equal to an earlier one, and (hash, words) of each distinct normalised line.
 
@@ -89,7 +93,7 @@ def lines_of(text: str) -> tuple[int, list[tuple[int, int]]]:
             seen.add(line)
             key = b" ".join(parts).lower()
             words[key] = words.get(key, 0) + len(parts)
-    return repeats, [(xxhash.xxh64_intdigest(k) - (1 << 63), n) for k, n in words.items()]
+    return repeats, [(line_hash(k), n) for k, n in words.items()]
 
 
 def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -124,18 +128,22 @@ def measured(docs: DataFrame, key: str = "doc_id", host: str = "source", text: s
     return map_arrow(rows, _measure, _MEASURED)
 
 
-def frequent_lines(rows: DataFrame) -> DataFrame:
-    """host, common: hashes of the lines above the limits; one row per host that has any.
-
-    Documents with equal texts count as one, so copies don't make their own lines common. A host's list is short: each of
-    its lines is in a tenth of the documents, so it has at most ten times as many as its documents have on average.
-    """
+def common_lines(rows: DataFrame) -> DataFrame:
+    """host, hash of the lines above the limits. Documents with equal texts count as one, so copies don't make their own lines common."""
     texts = rows.groupBy("host", "text_hash").agg(F.any_value("lines").alias("lines"))
     hosts = texts.groupBy("host").agg(F.count(F.lit(1)).alias("documents"))
     counts = texts.select("host", F.explode("lines.hash").alias("hash")).groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n"))
     counts = counts.where(F.col("n") > LINE_DOCUMENTS)
-    common = null_safe_join(counts, hosts, ["host"], "inner").where(F.col("n") > LINE_SHARE * F.col("documents"))
-    return common.groupBy("host").agg(F.collect_list("hash").alias("common"))
+    return null_safe_join(counts, hosts, ["host"], "inner").where(F.col("n") > LINE_SHARE * F.col("documents")).select("host", "hash")
+
+
+def frequent_lines(rows: DataFrame) -> DataFrame:
+    """host, common: hashes of the lines above the limits; one row per host that has any.
+
+    A host's list is short: each of its lines is in a tenth of the documents, so it has at most ten times as many as its
+    documents have on average.
+    """
+    return common_lines(rows).groupBy("host").agg(F.collect_list("hash").alias("common"))
 
 
 def judged(docs: DataFrame, key: str = "doc_id", host: str = "source", text: str = "text") -> DataFrame:
@@ -168,3 +176,70 @@ def keep_good(docs: DataFrame) -> DataFrame:
     )
     out = null_safe_join(marked, good.distinct(), ["__id", "__host", "__hash"], "left_semi")
     return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def _distinct_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in slices(batch, "text"):
+            lines = [[{"hash": h, "words": n} for h, n in lines_of(t)[1]] for t in texts_of(part, "text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([part.column("host"), part.column("text_hash"), pa.array(lines, _LINES)], ["host", "text_hash", "lines"])
+
+
+def without_lines(text: str, common: Container[int]) -> tuple[str, int, int]:
+    """The text without its lines whose hash is common, how many these are and how many words they have. The other lines
+    stay as they are."""
+    left, lines, words = [], 0, 0
+    for line in text.split("\n"):
+        parts = line.encode().split()
+        if parts and line_hash(b" ".join(parts).lower()) in common:
+            lines, words = lines + 1, words + len(parts)
+        else:
+            left.append(line)
+    return "\n".join(left) if lines else text, lines, words
+
+
+COMMON_LINES = 1 << 20  # up to so many pairs of host and line go to every task
+
+
+def clean_texts(docs: DataFrame, key: str = "doc_id", host: str = "source", text: str = "text") -> DataFrame:
+    """doc_id, kept, n_removed_lines and the text without the common lines of its host, of every row.
+
+    Null texts become empty ones. Not kept: what fails the base rules or has too few of its words left. Texts only move
+    where the common lines are too many to broadcast.
+    """
+    rows = docs.select(
+        F.col(key).cast("long").alias("doc_id"),
+        F.col(host).cast("string").alias("host"),
+        F.coalesce(F.xxhash64(text), F.lit(0)).alias("text_hash"),
+        F.col(text).alias("text"),
+    )
+    lines = checkpointed(map_arrow(rows.select("host", "text_hash", "text"), _distinct_lines, f"host string, text_hash long, {_MEASURED.split(', ')[-1]}"))
+    common = checkpointed(common_lines(lines))
+    shared = None
+    if common.count() <= COMMON_LINES:
+        by_host: dict[str | None, set[int]] = {}
+        for r in common.collect():
+            by_host.setdefault(r["host"], set()).add(r["hash"])
+        shared = docs.sparkSession.sparkContext.broadcast(by_host)
+    else:
+        found = lines.select("host", "text_hash", F.explode("lines.hash").alias("hash"))
+        found = null_safe_join(found, common, ["host", "hash"], "left_semi").groupBy("host", "text_hash").agg(F.collect_set("hash").alias("common"))
+        rows = null_safe_join(rows, found, ["host", "text_hash"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                texts = texts_of(part, "text")
+                flat, counts = words_of(texts)
+                if shared is None:
+                    lists = map(set, (x or () for x in part.column("common").to_pylist()))
+                else:
+                    lists = (shared.value.get(h, ()) for h in part.column("host").to_pylist())
+                out = [without_lines(t, c) if c else (t, 0, 0) for t, c in zip(texts.to_pylist(), lists)]
+                removed = np.array([w for _, _, w in out], np.int64)
+                failed = (counts < LEAST_WORDS) | (100 * repeated_words(flat, counts) > REPEAT_PERCENT * counts)
+                kept = ~failed & (counts - removed >= REMAINING_SHARE * counts)
+                arrays = [part.column("doc_id"), pa.array(kept), pa.array([n for _, n, _ in out], pa.int64()), pa.array([t for t, _, _ in out], pa.string())]
+                yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "kept", "n_removed_lines", "text"])
+
+    return map_arrow(rows, run, "doc_id long, kept boolean, n_removed_lines long, text string")

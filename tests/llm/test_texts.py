@@ -201,6 +201,21 @@ def test_line_rule_rejects_depleted_documents(spark):
     assert not any(got[r[0]]["kept"] or got[r[0]]["base_failed"] for r in copied)
 
 
+@pytest.mark.parametrize("most", [1 << 20, 0])
+def test_common_lines_leave_the_texts(spark, monkeypatch, most):
+    monkeypatch.setattr(line_rules, "COMMON_LINES", most)
+    own = [f"w{i}x{j} " * 12 for i in range(30) for j in range(2)]
+    rows = [(i, f"{own[2 * i]}\n\n  Shared\tBOILER plate\n{own[2 * i + 1]}\nshared boiler plate", None, "h" if i % 3 else None, 0, None, None, None, None) for i in range(30)]
+    rows += [(50, None, None, "h", 0, None, None, None, None), (51, "other shared boiler plate", None, "i", 0, None, None, None, None)]
+    got = {r["doc_id"]: r for r in line_rules.clean_texts(frame(spark, rows)).collect()}
+    assert len(got) == len(rows)
+    for i in range(30):  # 20 documents of h, 10 without a host
+        want = (f"{own[2 * i]}\n\n{own[2 * i + 1]}", 2) if i % 3 else (rows[i][1], 0)
+        assert (got[i]["text"], got[i]["n_removed_lines"]) == want
+    assert got[50]["text"] == "" and got[51]["text"] == rows[-1][1] and not got[50]["kept"]
+    assert line_rules.clean_texts(frame(spark, [])).count() == 0
+
+
 def test_clean_documents_stay(spark, sf):
     docs = spark.read.parquet(os.path.join(sf, "documents.parquet"))
     labels = spark.read.parquet(os.path.join(sf, "labels.parquet"))
