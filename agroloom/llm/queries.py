@@ -120,7 +120,29 @@ def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return rules.rule_verdicts(table(spark, folder, "documents"))
 
 
-@query()
+@query(
+    """
+    WITH d AS (SELECT doc_id, source, coalesce(text, '') AS t,
+                      coalesce(list_filter(string_split_regex(text, '[ \t\n\x0B\f\r]+'), lambda x: x <> ''), []) AS w FROM documents),
+    win AS (SELECT doc_id, i, array_to_string(w[i:i + 4], ' ') AS s FROM d, unnest(range(1, greatest(len(w) - 3, 1))) AS u(i)),
+    rep AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, s) AS c FROM win),
+    cov AS (SELECT doc_id, count(DISTINCT p) AS n FROM rep, unnest(range(i, i + 5)) AS u(p) WHERE c > 1 GROUP BY doc_id),
+    line AS (SELECT doc_id, source, t, unnest(string_split(t, chr(10))) AS l, unnest(range(len(string_split(t, chr(10))))) AS i FROM d),
+    norm AS (SELECT *, list_filter(string_split_regex(l, '[ \t\x0B\f\r]+'), lambda x: x <> '') AS ws FROM line),
+    keyed AS (SELECT doc_id, source, t, l, i, len(ws) AS n,
+                     translate(array_to_string(ws, ' '), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k FROM norm),
+    freq AS (SELECT source, k, count(DISTINCT t) AS c FROM keyed WHERE n > 0 GROUP BY source, k),
+    host AS (SELECT source, count(DISTINCT t) AS c FROM d GROUP BY source),
+    common AS (SELECT f.source, f.k FROM freq f JOIN host h ON f.source IS NOT DISTINCT FROM h.source WHERE f.c > 10 AND (f.c > 0.01 * h.c OR f.c > 100)),
+    marked AS (SELECT a.doc_id, a.l, a.i, a.n, c.k IS NOT NULL AS off
+               FROM keyed a LEFT JOIN common c ON a.source IS NOT DISTINCT FROM c.source AND a.k = c.k AND a.n > 0),
+    clean AS (SELECT doc_id, count(*) FILTER (WHERE off) AS lines, coalesce(sum(n) FILTER (WHERE off), 0) AS words,
+                     coalesce(string_agg(l, chr(10) ORDER BY i) FILTER (WHERE NOT off), '') AS text FROM marked GROUP BY doc_id)
+    SELECT d.doc_id, NOT (len(w) < 10 OR 100 * coalesce(cov.n, 0) > 20 * len(w) OR len(w) - words < 0.2 * len(w)) AS kept,
+           CAST(lines AS BIGINT) AS n_removed_lines, clean.text
+    FROM d JOIN clean USING (doc_id) LEFT JOIN cov USING (doc_id)
+    """
+)
 def op9_quality_rules_text(spark: SparkSession, folder: str) -> DataFrame:
     return rules.clean_texts(table(spark, folder, "documents"))
 

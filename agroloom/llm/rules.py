@@ -21,6 +21,8 @@ REPEAT_PERCENT = 20
 WINDOW = 5
 LINE_DOCUMENTS = 10  # a line goes if more documents of its host than this have it,
 LINE_SHARE = 0.1  # and more than this share of them
+CLEAN_SHARE = 0.01  # out of a text a line goes if more than LINE_DOCUMENTS have it, and more than this share of the host's,
+CLEAN_MOST = 100  # or more documents than this, however large the host is
 REMAINING_SHARE = 0.2  # a document with fewer of its words left is rejected
 
 _MEASURED = (
@@ -128,13 +130,17 @@ def measured(docs: DataFrame, key: str = "doc_id", host: str = "source", text: s
     return map_arrow(rows, _measure, _MEASURED)
 
 
-def common_lines(rows: DataFrame) -> DataFrame:
-    """host, hash of the lines above the limits. Documents with equal texts count as one, so copies don't make their own lines common."""
+def common_lines(rows: DataFrame, share: float = LINE_SHARE, most: int | None = None) -> DataFrame:
+    """host, hash of the lines in more than LINE_DOCUMENTS documents, and in more than the share of their host's or in more than
+    ``most``. Documents with equal texts count as one, so copies don't make their own lines common."""
     texts = rows.groupBy("host", "text_hash").agg(F.any_value("lines").alias("lines"))
     hosts = texts.groupBy("host").agg(F.count(F.lit(1)).alias("documents"))
     counts = texts.select("host", F.explode("lines.hash").alias("hash")).groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n"))
     counts = counts.where(F.col("n") > LINE_DOCUMENTS)
-    return null_safe_join(counts, hosts, ["host"], "inner").where(F.col("n") > LINE_SHARE * F.col("documents")).select("host", "hash")
+    above = F.col("n") > share * F.col("documents")
+    if most is not None:
+        above |= F.col("n") > most
+    return null_safe_join(counts, hosts, ["host"], "inner").where(above).select("host", "hash")
 
 
 def frequent_lines(rows: DataFrame) -> DataFrame:
@@ -204,8 +210,9 @@ COMMON_LINES = 1 << 20  # up to so many pairs of host and line go to every task
 def clean_texts(docs: DataFrame, key: str = "doc_id", host: str = "source", text: str = "text") -> DataFrame:
     """doc_id, kept, n_removed_lines and the text without the common lines of its host, of every row.
 
-    Null texts become empty ones. Not kept: what fails the base rules or has too few of its words left. Texts only move
-    where the common lines are too many to broadcast.
+    What counts as common doesn't loosen with the size of the host (``CLEAN_MOST``), unlike in ``judged``. Null texts become
+    empty ones. Not kept: what fails the base rules or has too few of its words left. Texts only move where the common lines
+    are too many to broadcast.
     """
     rows = docs.select(
         F.col(key).cast("long").alias("doc_id"),
@@ -214,7 +221,7 @@ def clean_texts(docs: DataFrame, key: str = "doc_id", host: str = "source", text
         F.col(text).alias("text"),
     )
     lines = checkpointed(map_arrow(rows.select("host", "text_hash", "text"), _distinct_lines, f"host string, text_hash long, {_MEASURED.split(', ')[-1]}"))
-    common = checkpointed(common_lines(lines))
+    common = checkpointed(common_lines(lines, CLEAN_SHARE, CLEAN_MOST))
     shared = None
     if common.count() <= COMMON_LINES:
         by_host: dict[str | None, set[int]] = {}

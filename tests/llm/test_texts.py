@@ -216,6 +216,16 @@ def test_common_lines_leave_the_texts(spark, monkeypatch, most):
     assert line_rules.clean_texts(frame(spark, [])).count() == 0
 
 
+def test_common_lines_of_a_large_host(spark):
+    """A line in 2 % of a large host's documents is common, also in one with a line in less than a hundredth; a rare one is not."""
+    rows = [(i, f"own words of number {i} and more\nseen in two of a hundred" if i % 50 == 0 else f"own words of number {i}", None, "hot") for i in range(6000)]
+    rows += [(6000 + i, f"another text {i}\n" + "seen in a few", None, "hot") for i in range(40)]
+    rows += [(7000 + i, f"of the huge host {i}" + "\nseen in less" * (i < 110), None, "huge") for i in range(12000)]
+    docs = spark.createDataFrame([(r[0], r[1], r[3]) for r in rows], "doc_id long, text string, source string").repartition(4)
+    removed = {r["doc_id"] for r in line_rules.clean_texts(docs).where("n_removed_lines = 1").collect()}
+    assert removed == set(range(0, 6000, 50)) | set(range(7000, 7110))
+
+
 def test_clean_documents_stay(spark, sf):
     docs = spark.read.parquet(os.path.join(sf, "documents.parquet"))
     labels = spark.read.parquet(os.path.join(sf, "labels.parquet"))
