@@ -1,8 +1,9 @@
 """Quality classifier: a linear hinge-loss model over n-gram indicators scaled by naive Bayes log-count ratios.
 
-N-grams of one to three word shapes (letter case, digits, symbols, last character, equality with the word before) and
-single words are hashed to a fixed number of features. The ratios and the model are fitted on a bounded sample of labelled
-rows on the driver; every document is scored where it lies.
+Features are n-grams of one to three word shapes (letter case, digits, symbols, last character, equality with the word before)
+and single words, told apart by 63 bits of hash and kept in two spaces. The model knows those of a bounded sample of labelled
+rows, on which it is fitted on the driver; others are ignored. Every document is scored where it lies. A text's words and shapes
+are scaled to unit length apart, so the many words of a long text do not drown its shapes.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 
 from agroloom.llm.text import map_arrow, slices, texts_of, words_of
 
-FEATURES = 1 << 16
+WORD_SPACE = np.uint64(1 << 63)  # set in the codes of words, not in those of shapes
 SAMPLE_ROWS = 8_000  # labelled rows that the model is fitted on, at most
 THRESHOLD = 0.7
 COST = 0.1
@@ -45,7 +46,8 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 
 def indicators(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct features of each text one after the other, and how many each has; a text without words has one."""
+    """The codes of the distinct features of each text one after the other, shapes before words, and how many each has; a text
+    without words has one."""
     flat, counts = words_of(texts)
     coded = flat.dictionary_encode()
     words, at = coded.dictionary.to_pylist(), coded.indices.to_numpy()
@@ -58,43 +60,67 @@ def indicators(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     inside = row[1:] == row[:-1]
     form = form.copy()
     form[1:][inside & (at[1:] == at[:-1])] ^= np.uint64(0x5555555555555555)  # the same word again
-    rows, codes = [row, row], [_mixed(word), _mixed(form)]
+    rows, codes = [row, row], [_mixed(word) | WORD_SPACE, _mixed(form) & ~WORD_SPACE]
     pair = _mixed(form[:-1] * np.uint64(3) + form[1:])
     rows.append(row[1:][inside])
-    codes.append(pair[inside])
+    codes.append(pair[inside] & ~WORD_SPACE)
     if len(form) > 2:
         three = inside[1:] & inside[:-1]
         rows.append(row[2:][three])
-        codes.append(_mixed(pair[:-1] * np.uint64(5) + form[2:])[three])
+        codes.append(_mixed(pair[:-1] * np.uint64(5) + form[2:])[three] & ~WORD_SPACE)
     bare = np.flatnonzero(counts == 0)
     rows.append(bare)
     codes.append(np.zeros(len(bare), np.uint64))
-    feature = (np.concatenate(codes) % np.uint64(FEATURES)).astype(np.int64)
-    keys = np.unique(np.concatenate(rows) * FEATURES + feature)
-    return (keys % FEATURES).astype(np.int32), np.bincount(keys // FEATURES, minlength=len(counts))
+    row, code = np.concatenate(rows), np.concatenate(codes)
+    by = np.lexsort((code, row))
+    row, code = row[by], code[by]
+    new = np.ones(len(row), bool)
+    new[1:] = (row[1:] != row[:-1]) | (code[1:] != code[:-1])
+    return code[new], np.bincount(row[new], minlength=len(counts))
 
 
-def log_count_ratios(rows: list[np.ndarray], good: np.ndarray) -> np.ndarray:
-    counts = [np.full(FEATURES, SMOOTHING) for _ in range(2)]
+def known_features(codes: np.ndarray, counts: np.ndarray, vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places in the sorted vocabulary of the codes that it holds, and how many each text has."""
+    row = np.repeat(np.arange(len(counts)), counts)
+    if not len(vocabulary):
+        return np.empty(0, np.int64), np.zeros(len(counts), np.int64)
+    at = np.searchsorted(vocabulary, codes)
+    at[at == len(vocabulary)] = 0
+    held = vocabulary[at] == codes
+    return at[held], np.bincount(row[held], minlength=len(counts))
+
+
+def scaled_values(features: np.ndarray, counts: np.ndarray, ratio: np.ndarray, shapes: int) -> np.ndarray:
+    """Ratio of each feature, scaled so that a text's shapes (the features below ``shapes``) and its words have unit length apart."""
+    value = ratio[features]
+    group = 2 * np.repeat(np.arange(len(counts)), counts) + (features >= shapes)
+    length = np.sqrt(np.bincount(group, value * value, minlength=2 * len(counts)))
+    return value / np.maximum(length, 1e-9)[group]
+
+
+def log_count_ratios(rows: list[np.ndarray], good: np.ndarray, size: int) -> np.ndarray:
+    """Zero for features that none of the rows has."""
+    counts = [np.full(size, SMOOTHING) for _ in range(2)]
     for x, g in zip(rows, good):
         counts[int(g)][x] += 1
     bad, fine = (c / c.sum() for c in counts)
-    return np.log(fine / bad)
+    return np.where(counts[0] + counts[1] > 2 * SMOOTHING, np.log(fine / bad), 0.0)
 
 
-def dual_descent(rows: list[np.ndarray], good: np.ndarray, ratio: np.ndarray) -> tuple[np.ndarray, float]:
-    """Hinge-loss support vectors by dual coordinate descent; rows have unit length, the classes equal cost."""
+def dual_descent(rows: list[np.ndarray], good: np.ndarray, ratio: np.ndarray, shapes: int) -> tuple[np.ndarray, float]:
+    """Hinge-loss support vectors by dual coordinate descent; a row's two parts have unit length, the classes equal cost."""
     y = np.where(good, 1.0, -1.0)
     share = np.array([max((~good).sum(), 1), max(good.sum(), 1)]) / len(rows)
     most = COST / (2 * share[good.astype(int)])
-    value = [ratio[x] / max(np.linalg.norm(ratio[x]), 1e-9) for x in rows]
-    w, bias, alpha = np.zeros(FEATURES), 0.0, np.zeros(len(rows))
+    value = [scaled_values(x, np.array([len(x)]), ratio, shapes) for x in rows]
+    square = np.array([v @ v for v in value]) + 1  # and 1 for the bias
+    w, bias, alpha = np.zeros(len(ratio)), 0.0, np.zeros(len(rows))
     order = np.random.default_rng(7)
     for _ in range(EPOCHS):
         for i in order.permutation(len(rows)):
             x, v = rows[i], value[i]
             slope = y[i] * (w[x] @ v + bias) - 1
-            new = min(max(alpha[i] - slope / 2, 0.0), most[i])  # |x|^2 + 1 for the bias
+            new = min(max(alpha[i] - slope / square[i], 0.0), most[i])
             if new != alpha[i]:
                 step = (new - alpha[i]) * y[i]
                 w[x] += step * v
@@ -120,14 +146,17 @@ def _sigmoid_fit(margin: np.ndarray, good: np.ndarray) -> tuple[float, float]:
     return float(max(theta[0], 1e-6)), float(theta[1])
 
 
-def _margin(w: np.ndarray, bias: float, ratio: np.ndarray, rows: list[np.ndarray]) -> np.ndarray:
-    return np.array([(w[x] @ ratio[x]) / max(np.linalg.norm(ratio[x]), 1e-9) + bias for x in rows])
+def _margin(w: np.ndarray, bias: float, ratio: np.ndarray, rows: list[np.ndarray], shapes: int) -> np.ndarray:
+    return np.array([w[x] @ scaled_values(x, np.array([len(x)]), ratio, shapes) + bias for x in rows])
 
 
 @dataclass
 class NbSvm:
-    """Weights of the ratio-scaled indicators, bias, and the sigmoid that turns a margin into a score."""
+    """Sorted codes of the known features, the first ``shapes`` of them shapes; weights of the ratio-scaled indicators, bias, and
+    the sigmoid that turns a margin into a score."""
 
+    vocabulary: np.ndarray
+    shapes: int
     weights: np.ndarray
     bias: float
     slope: float
@@ -137,33 +166,34 @@ class NbSvm:
     def scores(self, texts: pa.Array) -> np.ndarray:
         if not len(texts):
             return np.empty(0)
-        features, counts = indicators(texts)
-        starts = np.cumsum(counts) - counts  # every text has a feature
-        r = self.ratio[features]
-        length = np.sqrt(np.add.reduceat(r * r, starts))
-        margin = np.add.reduceat(self.weights[features] * r, starts) / np.maximum(length, 1e-9) + self.bias
+        features, counts = known_features(*indicators(texts), self.vocabulary)
+        value = scaled_values(features, counts, self.ratio, self.shapes)
+        row = np.repeat(np.arange(len(counts)), counts)
+        margin = np.bincount(row, self.weights[features] * value, minlength=len(counts)) + self.bias
         return 1 / (1 + np.exp(-np.clip(self.slope * margin + self.offset, -30, 30)))
 
 
-def fitted(rows: list[np.ndarray], good: np.ndarray) -> NbSvm:
+def fitted(codes: list[np.ndarray], good: np.ndarray) -> NbSvm:
     """Ratios, support vectors, and the sigmoid from margins of three folds that the fold's own model has not seen."""
     if good.all() or not good.any():  # one class or none: a constant score
         p = (good.sum() + 1) / (len(good) + 2)
-        zero = np.zeros(FEATURES)
-        return NbSvm(zero, 0.0, 1.0, float(np.log(p / (1 - p))), zero)
+        return NbSvm(np.empty(0, np.uint64), 0, np.zeros(0), 0.0, 1.0, float(np.log(p / (1 - p))), np.zeros(0))
+    vocabulary = np.unique(np.concatenate(codes))
+    shapes, size = int(np.searchsorted(vocabulary, WORD_SPACE)), len(vocabulary)
+    rows = [np.searchsorted(vocabulary, x) for x in codes]
     fold = np.arange(len(rows)) % 3
     margin = np.zeros(len(rows))
     for k in range(3):
         seen = [x for x, f in zip(rows, fold) if f != k]
         if good[fold != k].all() or not good[fold != k].any():
             continue
-        ratio = log_count_ratios(seen, good[fold != k])
-        w, bias = dual_descent(seen, good[fold != k], ratio)
-        margin[fold == k] = _margin(w, bias, ratio, [x for x, f in zip(rows, fold) if f == k])
+        ratio = log_count_ratios(seen, good[fold != k], size)
+        w, bias = dual_descent(seen, good[fold != k], ratio, shapes)
+        margin[fold == k] = _margin(w, bias, ratio, [x for x, f in zip(rows, fold) if f == k], shapes)
     slope, offset = _sigmoid_fit(margin, good)
-    ratio = log_count_ratios(rows, good)
-    w, bias = dual_descent(rows, good, ratio)
-    return NbSvm(w, bias, slope, offset, ratio)
+    ratio = log_count_ratios(rows, good, size)
+    w, bias = dual_descent(rows, good, ratio, shapes)
+    return NbSvm(vocabulary, shapes, w, bias, slope, offset, ratio)
 
 
 def remainder(key: str = "doc_id"):
@@ -187,12 +217,12 @@ def fit_quality(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: s
             for part in slices(batch, "text"):
                 found, counts = indicators(texts_of(part, "text"))
                 cut = np.split(found, np.cumsum(counts)[:-1])
-                packed = pa.array([x.astype(np.uint16).tobytes() for x in cut], pa.binary())
+                packed = pa.array([x.tobytes() for x in cut], pa.binary())
                 yield pa.RecordBatch.from_arrays([part.column("__id"), part.column("__label"), packed], ["id", "label", "features"])
 
     got = map_arrow(chosen, features, "id long, label int, features binary").collect()
     got.sort(key=lambda r: (xxhash.xxh64_intdigest(str(r["id"])), bytes(r["features"])))
-    return fitted([np.frombuffer(r["features"], np.uint16).astype(np.int64) for r in got], np.array([r["label"] == 1 for r in got], bool))
+    return fitted([np.frombuffer(r["features"], np.uint64) for r in got], np.array([r["label"] == 1 for r in got], bool))
 
 
 def scored(df: DataFrame, model: NbSvm, text: str = "text", name: str = "score") -> DataFrame:

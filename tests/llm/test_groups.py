@@ -239,6 +239,21 @@ def test_quality_of_odd_documents(spark, odd):
     assert {r["score"] for r in none} == {0.5}
 
 
+def test_quality_of_long_documents(spark, sf):
+    """The words of a long text, most of them in no labelled row, don't drown what tells good from bad."""
+    docs = spark.read.parquet(os.path.join(sf, "documents.parquet")).select("doc_id", "text")
+    labels = spark.read.parquet(os.path.join(sf, "labels.parquet"))
+    held = docs.join(labels, "doc_id").where(quality.remainder() == quality.HELD_OUT).orderBy("doc_id").collect()
+    rnd, long = random.Random(4), []
+    for good in (1, 0):
+        some = [w for r in held if r["quality"] == good for w in words(r["text"])]
+        many = [some[i % len(some)] for i in range(400_000)]
+        long.append((-1 - good, " ".join("".join(rnd.sample(w, len(w))) if w.isalpha() and w.islower() else w for w in many)))
+    both = docs.unionByName(spark.createDataFrame(long, "doc_id long, text string"))
+    got = {r["doc_id"]: r["score"] for r in quality.quality_scores(both, labels).where("doc_id < 0").collect()}
+    assert got[-2] > 0.9 and got[-1] < 0.1
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{{a:b}}</style><script>var t="</p><article>x</article>";</script></head>
 <body class="page-{n} with-sidebar"><nav><ul><li><a href="/a">Menu {n}</a></li></ul></nav><!-- ad <p>no</p> -->
 <div class="ad">Buy this now, a long advert text that goes on and on, longer than the article itself perhaps, and more of it.</div>
