@@ -1,7 +1,7 @@
 """Quality classifier: a linear hinge-loss model over n-gram indicators scaled by naive Bayes log-count ratios.
 
-Features are n-grams of one to three word shapes (letter case, digits, symbols, last character, equality with the word before)
-and single words, told apart by 63 bits of hash and kept in two spaces. The model knows those of a bounded sample of labelled
+Features are n-grams of one to three words and of one to three word shapes (letter case, digits, symbols, last character,
+equality with the word before), told apart by 63 bits of hash and kept in two spaces. The model knows those of a bounded sample of labelled
 rows, on which it is fitted on the driver; others are ignored. Every document is scored where it lies. A text's words and shapes
 are scaled to unit length apart, so the many words of a long text do not drown its shapes.
 """
@@ -62,12 +62,13 @@ def indicators(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     form[1:][inside & (at[1:] == at[:-1])] ^= np.uint64(0x5555555555555555)  # the same word again
     rows, codes = [row, row], [_mixed(word) | WORD_SPACE, _mixed(form) & ~WORD_SPACE]
     pair = _mixed(form[:-1] * np.uint64(3) + form[1:])
-    rows.append(row[1:][inside])
-    codes.append(pair[inside] & ~WORD_SPACE)
+    words_2 = _mixed(word[:-1] * np.uint64(3) + word[1:])
+    rows += [row[1:][inside]] * 2
+    codes += [pair[inside] & ~WORD_SPACE, words_2[inside] | WORD_SPACE]
     if len(form) > 2:
         three = inside[1:] & inside[:-1]
-        rows.append(row[2:][three])
-        codes.append(_mixed(pair[:-1] * np.uint64(5) + form[2:])[three] & ~WORD_SPACE)
+        rows += [row[2:][three]] * 2
+        codes += [_mixed(pair[:-1] * np.uint64(5) + form[2:])[three] & ~WORD_SPACE, _mixed(words_2[:-1] * np.uint64(5) + word[2:])[three] | WORD_SPACE]
     bare = np.flatnonzero(counts == 0)
     rows.append(bare)
     codes.append(np.zeros(len(bare), np.uint64))
@@ -103,8 +104,14 @@ def log_count_ratios(rows: list[np.ndarray], good: np.ndarray, size: int) -> np.
     counts = [np.full(size, SMOOTHING) for _ in range(2)]
     for x, g in zip(rows, good):
         counts[int(g)][x] += 1
-    bad, fine = (c / c.sum() for c in counts)
-    return np.where(counts[0] + counts[1] > 2 * SMOOTHING, np.log(fine / bad), 0.0)
+    none = counts[0] + counts[1] <= 2 * SMOOTHING
+    for c in counts:  # in place: the vocabulary is long
+        c /= c.sum()
+    bad, ratio = counts
+    ratio /= bad
+    np.log(ratio, out=ratio)
+    ratio[none] = 0.0
+    return ratio
 
 
 def dual_descent(rows: list[np.ndarray], good: np.ndarray, ratio: np.ndarray, shapes: int) -> tuple[np.ndarray, float]:
@@ -150,6 +157,18 @@ def _margin(w: np.ndarray, bias: float, ratio: np.ndarray, rows: list[np.ndarray
     return np.array([w[x] @ scaled_values(x, np.array([len(x)]), ratio, shapes) + bias for x in rows])
 
 
+def _packed(a: np.ndarray) -> tuple[bytes, int, str]:
+    """An array's bytes compressed without loss, the first bytes of all elements before the second ones."""
+    planes = np.ascontiguousarray(a).view(np.uint8).reshape(-1, a.itemsize).T
+    return pa.compress(planes.tobytes(), "zstd", asbytes=True), a.nbytes, a.dtype.str
+
+
+def _unpacked(data: bytes, size: int, dtype: str) -> np.ndarray:
+    width = np.dtype(dtype).itemsize
+    planes = np.frombuffer(pa.decompress(data, size, "zstd", asbytes=True), np.uint8).reshape(width, -1)
+    return np.ascontiguousarray(planes.T).reshape(-1).view(dtype)
+
+
 @dataclass
 class NbSvm:
     """Sorted codes of the known features, the first ``shapes`` of them shapes; weights of the ratio-scaled indicators, bias, and
@@ -163,6 +182,15 @@ class NbSvm:
     offset: float
     ratio: np.ndarray
 
+    def __getstate__(self) -> dict:
+        """Spark keeps a copy of the pickled model on the disk of each executor, so it travels compressed."""
+        gaps = np.diff(self.vocabulary, prepend=np.uint64(0))
+        return self.__dict__ | {"vocabulary": _packed(gaps), "weights": _packed(self.weights), "ratio": _packed(self.ratio)}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self.vocabulary, self.weights, self.ratio = np.cumsum(_unpacked(*state["vocabulary"]), dtype=np.uint64), _unpacked(*state["weights"]), _unpacked(*state["ratio"])
+
     def scores(self, texts: pa.Array) -> np.ndarray:
         if not len(texts):
             return np.empty(0)
@@ -173,14 +201,24 @@ class NbSvm:
         return 1 / (1 + np.exp(-np.clip(self.slope * margin + self.offset, -30, 30)))
 
 
+def _distinct(codes: list[np.ndarray]) -> np.ndarray:
+    """Sorted distinct codes; sorted in place, as a copy would double them."""
+    flat = np.concatenate(codes)
+    flat.sort()
+    new = np.ones(len(flat), bool)
+    np.not_equal(flat[1:], flat[:-1], out=new[1:])
+    return flat[new]
+
+
 def fitted(codes: list[np.ndarray], good: np.ndarray) -> NbSvm:
     """Ratios, support vectors, and the sigmoid from margins of three folds that the fold's own model has not seen."""
     if good.all() or not good.any():  # one class or none: a constant score
         p = (good.sum() + 1) / (len(good) + 2)
         return NbSvm(np.empty(0, np.uint64), 0, np.zeros(0), 0.0, 1.0, float(np.log(p / (1 - p))), np.zeros(0))
-    vocabulary = np.unique(np.concatenate(codes))
+    vocabulary = _distinct(codes)
     shapes, size = int(np.searchsorted(vocabulary, WORD_SPACE)), len(vocabulary)
-    rows = [np.searchsorted(vocabulary, x) for x in codes]
+    rows = [np.searchsorted(vocabulary, x).astype(np.int32) for x in codes]
+    codes.clear()  # the caller's list too: the codes are the largest thing on the driver
     fold = np.arange(len(rows)) % 3
     margin = np.zeros(len(rows))
     for k in range(3):
@@ -193,7 +231,7 @@ def fitted(codes: list[np.ndarray], good: np.ndarray) -> NbSvm:
     slope, offset = _sigmoid_fit(margin, good)
     ratio = log_count_ratios(rows, good, size)
     w, bias = dual_descent(rows, good, ratio, shapes)
-    return NbSvm(vocabulary, shapes, w, bias, slope, offset, ratio)
+    return NbSvm(vocabulary, shapes, w.astype(np.float32), bias, slope, offset, ratio.astype(np.float32))
 
 
 def remainder(key: str = "doc_id"):
@@ -220,9 +258,14 @@ def fit_quality(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: s
                 packed = pa.array([x.tobytes() for x in cut], pa.binary())
                 yield pa.RecordBatch.from_arrays([part.column("__id"), part.column("__label"), packed], ["id", "label", "features"])
 
-    got = map_arrow(chosen, features, "id long, label int, features binary").collect()
-    got.sort(key=lambda r: (xxhash.xxh64_intdigest(str(r["id"])), bytes(r["features"])))
-    return fitted([np.frombuffer(r["features"], np.uint64) for r in got], np.array([r["label"] == 1 for r in got], bool))
+    # as one Arrow table, whose buffers the rows' codes share: objects for each row would be held several times over
+    got = map_arrow(chosen, features, "id long, label int, features binary").toArrow()
+    ids, good = got["id"].to_pylist(), [x == 1 for x in got["label"].to_pylist()]
+    codes = [np.frombuffer(x.as_buffer(), np.uint64) for x in got["features"]]
+    order = sorted(range(len(ids)), key=lambda i: (xxhash.xxh64_intdigest(str(ids[i])), xxhash.xxh64_intdigest(codes[i])))
+    codes, good = [codes[i] for i in order], np.array([good[i] for i in order], bool)
+    del got
+    return fitted(codes, good)
 
 
 def scored(df: DataFrame, model: NbSvm, text: str = "text", name: str = "score") -> DataFrame:

@@ -1,6 +1,7 @@
 """Components, SimHash, mixing, sharding, quality, pages and the pipeline against plain versions."""
 
 import os
+import pickle
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -239,6 +240,20 @@ def test_quality_of_odd_documents(spark, odd):
     assert {r["score"] for r in none} == {0.5}
 
 
+def test_word_pairs_and_triples_tell_texts_apart():
+    """Good and bad texts have the same words in the same shapes; only which stand together differs."""
+    rnd, texts, good = random.Random(9), [], []
+    for i in range(200):
+        couples = [["aa bb", "cc dd"], ["aa dd", "cc bb"]][i % 2]
+        texts.append(" ".join(x for _ in range(6) for x in rnd.sample([*couples, "ee ff"], 3)))
+        good.append(i % 2 == 0)
+    codes, counts = quality.indicators(pa.array(texts))
+    model = quality.fitted(np.split(codes, np.cumsum(counts)[:-1])[:120], np.array(good[:120]))
+    assert ((model.scores(pa.array(texts[120:])) >= 0.7) == np.array(good[120:])).mean() > 0.95
+    sent = pickle.loads(pickle.dumps(model))
+    assert (sent.vocabulary == model.vocabulary).all() and (sent.scores(pa.array(texts)) == model.scores(pa.array(texts))).all()
+
+
 def test_quality_of_long_documents(spark, sf):
     """The words of a long text, most of them in no labelled row, don't drown what tells good from bad."""
     docs = spark.read.parquet(os.path.join(sf, "documents.parquet")).select("doc_id", "text")
