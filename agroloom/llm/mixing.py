@@ -20,13 +20,16 @@ SHARD_BLOCKS = 1024
 REPEAT_LIMIT = 3
 WEIGHTS = (1, 2, 3)
 CELLS = 4096  # parts of a source in which offsets are summed up
-ROUNDS = 16
+ROUNDS = 24  # at least
 SEED = 20
 
 
 def permuted(x: Column, n: Column, stream: Column, backwards: bool = False) -> Column:
-    """Pseudorandom permutation of 0..n-1 by swap-or-not rounds; each round is its own inverse."""
-    rounds = F.sequence(F.lit(ROUNDS - 1), F.lit(0)) if backwards else F.sequence(F.lit(0), F.lit(ROUNDS - 1))
+    """Pseudorandom permutation of 0..n-1 by swap-or-not rounds; each round is its own inverse.
+
+    Each round leaves about half of the places, so for large n there are enough rounds to leave 1 in 256 n."""
+    last = F.greatest(F.lit(ROUNDS), F.ceil(F.log2(n.cast("double"))).cast("int") + 8) - 1
+    rounds = F.sequence(last, F.lit(0)) if backwards else F.sequence(F.lit(0), last)
 
     def swap(at: Column, i: Column) -> Column:
         other = F.pmod(F.pmod(F.xxhash64(stream, i, F.lit("k")), n) + n - at, n)

@@ -163,6 +163,14 @@ def test_permutation(spark, n):
     assert n < 100 or [r["y"] for r in back] != list(range(n))
 
 
+def test_permutation_is_uniform(spark):
+    n = 1 << 20
+    x = spark.range(n).select("id", mixing.permuted(F.col("id"), F.lit(n), F.lit(3)).alias("y"))
+    assert x.where("id = y").count() <= 6  # about one in a random permutation of any length
+    cells = x.groupBy(F.floor(F.col("id") / (n // 16)), F.floor(F.col("y") / (n // 16))).count().collect()
+    assert len(cells) == 256 and sum((r["count"] - n / 256) ** 2 / (n / 256) for r in cells) < 330
+
+
 def smallest_capacity(sizes, shards):
     low, high = max([*sizes, -(-sum(sizes) // shards)]), sum(sizes)
     while low < high:
