@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from agroloom.llm import exact, mixing, pages, pieces, quality, rules, sharding, simhash, substrings, tokens
+from agroloom.llm import exact, manifest, mixing, negatives, pages, pieces, prefixes, quality, rules, sharding, simhash, substrings, tokens
 
 PIECE_MODEL = "piece_bpe_32k.model"
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -150,3 +150,74 @@ def op9_quality_rules_text(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.token_counts(table(spark, folder, "documents"), public_tokenizers.path(WORD_TOKENIZER))
+
+
+@query()
+def op11_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return prefixes.edited_fingerprints(table(spark, folder, "documents"))
+
+
+@query(
+    """
+    WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                      list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+               FROM embeddings
+               WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (SELECT a.vec_id AS anchor_id, a.label = b.label AS same, b.vec_id, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+          FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+    p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+          QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+    SELECT anchor_id, positive_id,
+           CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+           vec_id AS negative_id, positive_score, score AS negative_score
+    FROM p JOIN s USING (anchor_id)
+    WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+    QUALIFY rank <= 3
+    """
+)
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    return negatives.mined_negatives(table(spark, folder, "embeddings"))
+
+
+@query(
+    """
+    WITH RECURSIVE
+    crc AS (SELECT list(list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)
+                        ORDER BY i) AS t FROM range(256) u(i)),
+    d AS (SELECT *, coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+                 || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS head,
+                 translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low,
+                 xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+                                 lambda c, x: xor(c // 256, t[xor(c % 256, x) + 1])), 4294967295) % 5 = 0 AS touched
+          FROM documents, crc),
+    leaf AS (SELECT source, doc_id, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS h,
+                    CASE WHEN touched THEN sha256(head || coalesce(strlen(low) || ':' || low, '-')) END AS altered FROM d),
+    node AS (SELECT 0 AS lvl, source, row_number() OVER w - 1 AS i, h, count(*) OVER (PARTITION BY source) AS n
+             FROM leaf WINDOW w AS (PARTITION BY source ORDER BY doc_id, h)
+             UNION ALL
+             SELECT lvl + 1, source, i // 16, sha256(string_agg(h, '' ORDER BY i)), (n + 15) // 16 FROM node WHERE n > 1 GROUP BY lvl, source, i // 16, n),
+    sub AS (SELECT source, h AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS place, count(*) OVER () AS n FROM node WHERE n = 1),
+    top AS (SELECT 0 AS lvl, place AS i, subroot AS h, n FROM sub
+            UNION ALL
+            SELECT lvl + 1, i // 16, sha256(string_agg(h, '' ORDER BY i)), (n + 15) // 16 FROM top WHERE n > 1 GROUP BY lvl, i // 16, n),
+    below AS (SELECT lvl, source, i, coalesce(string_agg(h, '') OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+                     coalesce(string_agg(h, '') OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+              FROM node WHERE n > 1 WINDOW w AS (PARTITION BY lvl, source, i // 16 ORDER BY i)),
+    above AS (SELECT lvl, i, coalesce(string_agg(h, '') OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+                     coalesce(string_agg(h, '') OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+              FROM top WHERE n > 1 WINDOW w AS (PARTITION BY lvl, i // 16 ORDER BY i)),
+    own AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id, h) - 1 AS i FROM leaf),
+    step AS (SELECT o.source, o.i, b.lvl, b.l, b.r FROM own o JOIN below b ON o.source IS NOT DISTINCT FROM b.source AND b.i = o.i // CAST(pow(16, b.lvl) AS BIGINT)
+             UNION ALL
+             SELECT o.source, o.i, 100 + a.lvl, a.l, a.r FROM own o JOIN sub s ON o.source IS NOT DISTINCT FROM s.source
+             JOIN above a ON a.i = s.place // CAST(pow(16, a.lvl) AS BIGINT)),
+    path AS (SELECT source, i, list({'l': l, 'r': r} ORDER BY lvl) AS p FROM step GROUP BY source, i),
+    proof AS (SELECT o.doc_id, o.h AS leaf, s.subroot, (SELECT h FROM top WHERE n = 1) AS root,
+                     sha256(coalesce(array_to_string(list_transform(p, lambda x: x.l || x.r), ''), '')) AS proof_sha256,
+                     list_reduce(list_prepend({'l': coalesce(altered, o.h), 'r': ''}, coalesce(p, [])), lambda c, x: {'l': sha256(x.l || c.l || x.r), 'r': ''}).l AS folded_root
+              FROM own o JOIN sub s ON o.source IS NOT DISTINCT FROM s.source LEFT JOIN path q ON o.source IS NOT DISTINCT FROM q.source AND o.i = q.i)
+    SELECT *, folded_root = root AS verified FROM proof
+    """
+)
+def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return manifest.document_proofs(table(spark, folder, "documents"))
