@@ -49,24 +49,25 @@ def reset_ids(df: DataFrame, columns: list[str], by: list[str] = ()) -> DataFram
 
 
 def management_ids(
-    df: DataFrame, flags: DataFrame, factors: list[str], name: str, by: list[str] = (), year: str = "Year"
+    df: DataFrame, flags: DataFrame, factors: list[str], name: str, by: list[str] = (), year: str = "Year", used: str | None = None
 ) -> DataFrame:
     """Id of a management record: factor ids joined by ``_`` in treatment years, else the year id.
 
-    ``flags`` holds (scope, year, is_trt). All ids are ranks on the distinct (scope, year, factors), which meet
+    ``flags`` holds (scope, year, is_trt) and, with ``used``, the names of the factors that a scope has. All ids are ranks on the distinct (scope, year, factors), which meet
     the rows in one join.
     """
     by = list(by)
     levels = [f for f in factors if f not in (*by, year)]
     keys = df.select(*by, year, *levels).distinct()
-    keys = null_safe_join(keys, flags.select(*by, year, "is_trt"), [*by, year])
+    keys = null_safe_join(keys, flags.select(*by, year, "is_trt", *([used] if used else [])), [*by, year])
 
     def rank(*cols: str) -> Column:
         order = nulls_last([c for c in dict.fromkeys(cols) if c not in by])
         return F.dense_rank().over(Window.partitionBy(*by).orderBy(*order)).cast("string")
 
-    value = F.when(F.col("is_trt"), F.concat_ws("_", *[rank(year, f) for f in factors])).otherwise(rank(year))
-    return null_safe_join(df, keys.withColumn(name, value).drop("is_trt"), [*by, year, *levels])
+    parts = [F.when(F.array_contains(used, f), rank(year, f)) if used else rank(year, f) for f in factors]
+    value = F.when(F.col("is_trt"), F.concat_ws("_", *parts)).otherwise(rank(year))
+    return null_safe_join(df, keys.withColumn(name, value).drop("is_trt", *([used] if used else [])), [*by, year, *levels])
 
 
 def sequence_ids(df: DataFrame, order: list[str], name: str, by: list[str] = (), spread: bool = True) -> DataFrame:

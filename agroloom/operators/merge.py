@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from agroloom.operators.areas import inside_ring, locate_points  # noqa: F401
 from agroloom.operators.profile import parent_edges
 from agroloom.operators.scale import null_safe_join
 
@@ -47,6 +48,34 @@ def merge_pair(parent: DataFrame, child: DataFrame, keys: list[str]) -> DataFram
     return out
 
 
+def merge_settled(parent: DataFrame, child: DataFrame, keys: list[str], by: list[str] = ()) -> DataFrame:
+    """As :func:`merge_pair`, settled inside the plan and for each scope ``by`` alone.
+
+    Columns in both tables travel side by side as (own, other); whether they agree is an aggregate per scope that is joined
+    back, so no job runs before the result is read. Where a scope's values agree the column holds the child's value; where
+    they don't, it is null and ``_x`` and ``_y`` hold both. The three columns are always there.
+    """
+    by = list(by)
+    shared = [c for c in child.columns if c in parent.columns and c not in keys]
+    if not shared:
+        return null_safe_join(parent, child, keys)
+
+    def packed(df: DataFrame, name: str) -> DataFrame:
+        return df.select(*[c for c in df.columns if c not in shared], F.struct(*shared).alias(name))
+
+    out = null_safe_join(packed(parent, "__own"), packed(child, "__other"), keys)
+    agree = {f"__same_{i}": F.bool_and(F.coalesce(F.col(f"__own.{c}") == F.col(f"__other.{c}"), F.lit(True))) for i, c in enumerate(shared)}
+    if by:
+        out = null_safe_join(out, out.groupBy(*by).agg(*[v.alias(k) for k, v in agree.items()]), by)
+    else:
+        out = out.withColumns({k: out.agg(v.alias(k)).scalar() for k, v in agree.items()})
+    settled: dict[str, Column] = {}
+    for bit, c in zip(agree, shared):
+        own, other = F.col(f"__own.{c}"), F.col(f"__other.{c}")
+        settled |= {c: F.when(F.col(bit), other), f"{c}_x": F.when(~F.col(bit), own), f"{c}_y": F.when(~F.col(bit), other)}
+    return out.withColumns(settled).drop("__own", "__other", *agree)
+
+
 def merge_tables(
     parents: dict[str, DataFrame],
     children: dict[str, DataFrame],
@@ -55,10 +84,11 @@ def merge_tables(
     drop_keys: bool = True,
     by: list[str] = (),
 ) -> tuple[dict[str, DataFrame], dict[str, list[str]]]:
-    """Left-join every linked child to every parent, children in name order.
+    """Left-join every linked child to every parent, children in name order; no job runs.
 
     Keys come from the catalog; with ``drop_keys`` they go after the last child, so
-    two children may share a key. Returns the tables and the names joined to each.
+    two children may share a key. Columns in both tables are settled per scope (:func:`merge_settled`). Returns the tables and
+    the names joined to each.
     """
     out, joined = {}, {}
     for p, df in sorted(parents.items()):
@@ -67,7 +97,7 @@ def merge_tables(
         for c, child in sorted(children.items()):
             keys = merge_keys(cat[p], cat[c], kind) if p != c else []
             if keys:
-                df = merge_pair(df, child, [*by, *keys])
+                df = merge_settled(df, child, [*by, *keys], by)
                 used += [k for k in keys if k not in used]
                 names.append(c)
         out[p] = df.drop(*used) if drop_keys and used else df
@@ -109,7 +139,7 @@ def fold_attributes(tables: dict[str, DataFrame], cat: dict[str, dict], by: list
         used: list[str] = []
         for p in parents:
             keys = [k for k in mine[p]["key"] if k in mine[name]["columns"]]
-            df = merge_pair(df, out[p], [*by, *keys])
+            df = merge_settled(df, out[p], [*by, *keys], by)
             used += keys
         drops = [k for k in used if k not in mine[name]["key"]]
         out[name] = df.drop(*drops) if drop_keys and drops else df
@@ -199,6 +229,25 @@ def union_padded(*tables: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
 
 
+def merged_order(headers: list[list[str]]) -> list[str]:
+    """All names, each header's in its own order where the headers don't contradict each other."""
+    out: list[str] = []
+    for names in headers:
+        at = 0
+        for c in names:
+            if c in out:
+                at = out.index(c) + 1
+            else:
+                out.insert(at, c)
+                at += 1
+    return out
+
+
+def union_in_order(*tables: DataFrame) -> DataFrame:
+    """:func:`union_padded` with the columns of every table in their own order, on which its key depends."""
+    return union_padded(*tables).select(*[f"`{c}`" for c in merged_order([t.columns for t in tables])])
+
+
 def rows_in_one(a: DataFrame, b: DataFrame) -> DataFrame:
     """Rows found in only one of two tables, compared on the shared columns; copies are kept."""
     on = [c for c in a.columns if c in b.columns]
@@ -247,45 +296,3 @@ def guarded_insert(existing: DataFrame, new: DataFrame, unique: list[str]) -> tu
 def broadcast_header(rows: DataFrame, header: DataFrame, on: list[str]) -> DataFrame:
     """The header records of a scope on each of its rows."""
     return null_safe_join(rows, header, on)
-
-
-def inside_ring(lon: Column, lat: Column, ring: Column) -> Column:
-    """Even-odd test of a point against a closed ring (array of struct lon, lat)."""
-    n = F.size(ring)
-
-    def step(count: Column, i: Column) -> Column:
-        a, b = F.element_at(ring, i), F.element_at(ring, i + 1)
-        spans = (a["lat"] > lat) != (b["lat"] > lat)
-        cross = (b["lon"] - a["lon"]) * (lat - a["lat"]) / F.nullif(b["lat"] - a["lat"], F.lit(0.0)) + a["lon"]
-        return count + F.when(spans & (lon < cross), 1).otherwise(0)
-
-    return F.aggregate(F.sequence(F.lit(1), n - 1), F.lit(0), step) % 2 == 1
-
-
-def locate_points(points: DataFrame, areas: DataFrame, columns: list[str], lon: str = "lon", lat: str = "lat") -> DataFrame:
-    """Attributes of the area that holds each point.
-
-    ``areas`` has a ``ring`` (closed, array of struct lon, lat). Both sides meet on one-degree
-    cells (a ring can cover at most 64,800), then the exact ring test runs; of several areas the
-    one with the smallest extent wins. Equal coordinates are looked up once.
-    """
-    xs, ys = F.transform("ring", lambda p: p["lon"]), F.transform("ring", lambda p: p["lat"])
-
-    def edge(c: Column, fn) -> Column:
-        return F.floor(fn(c)).cast("int")
-
-    cells = (
-        areas.withColumns(
-            {
-                "__area": (F.array_max(xs) - F.array_min(xs)) * (F.array_max(ys) - F.array_min(ys)),
-                "__x": F.explode(F.sequence(edge(xs, F.array_min), edge(xs, F.array_max))),
-            }
-        )
-        .withColumn("__y", F.explode(F.sequence(edge(ys, F.array_min), edge(ys, F.array_max))))
-        .select(*columns, "ring", "__area", "__x", "__y")
-    )
-    spots = points.select(lon, lat).distinct()
-    placed = spots.withColumns({"__x": F.floor(lon).cast("int"), "__y": F.floor(lat).cast("int")})
-    hits = placed.join(cells, ["__x", "__y"]).filter(inside_ring(F.col(lon), F.col(lat), F.col("ring")))
-    best = hits.groupBy(lon, lat).agg(F.min(F.struct("__area", *columns)).alias("b"))
-    return null_safe_join(points, best.select(lon, lat, *[F.col("b")[c].alias(c) for c in columns]), [lon, lat])

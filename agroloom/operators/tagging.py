@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import re
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from agroloom.operators.scale import null_safe_join
@@ -105,6 +106,64 @@ def treatment_years(
     return joined.groupBy(*by, year).agg(F.bool_or(differs).alias("is_trt"))
 
 
+def table_years(
+    db: dict[str, DataFrame], year: str, plot: str, plots: DataFrame, keys: dict[str, list[str]], by: list[str], max_events: float = MAX_EVENTS, own_plots: DataFrame | None = None
+) -> DataFrame:
+    """One row per table, scope and year: n_records, n_rows, tag (:func:`tag_years`) and is_trt (:func:`treatment_years`).
+
+    The rows of all tables go through one grouped pass: records are told apart by a digest, equal ones are combined before the
+    shuffle. ``year`` comes as text, as its type may differ from table to table. ``plots``: (scope, n_plots); ``own_plots``: (table,
+    scope, n_own), the plots that each table has, counted here if it is not given.
+    """
+    by = list(by)
+    parts = []
+    for n, df in sorted(db.items()):
+        rest = [c for c in df.columns if c not in {*by, year, plot, *keys.get(n, [])}]
+        record = F.sha2(F.to_json(F.struct(*rest)), 256) if rest else F.lit("")
+        parts.append(
+            df.select(F.lit(n).alias("table"), *by, F.col(year).cast("string").alias(year), F.col(plot).cast("string").alias("__plot"), record.alias("__rec"))
+        )
+    group = ["table", *by]
+    held = reduce(DataFrame.unionByName, parts).groupBy(*group, year, "__plot", "__rec").agg(F.count(F.lit(1)).alias("__n"))
+    spread = held.groupBy(*group, year, "__rec").agg(
+        F.count(F.lit(1)).alias("__plots"), F.min("__n").alias("__lo"), F.max("__n").alias("__hi"), F.sum("__n").alias("__n")
+    )
+    yearly = spread.groupBy(*group, year).agg(
+        F.count(F.lit(1)).alias("n_records"), F.sum("__n").alias("n_rows"), F.min("__plots").alias("__least"), F.bool_or(F.col("__lo") < F.col("__hi")).alias("__uneven")
+    )
+    if own_plots is None:
+        own_plots = held.select(*group, "__plot").distinct().groupBy(*group).agg(F.count(F.lit(1)).alias("n_own"))
+    # a window holds the years of one table and scope
+    out = yearly.withColumn("__mean", F.avg("n_records").over(Window.partitionBy(*group)))
+    out = null_safe_join(out, own_plots.select(*group, "n_own"), group)
+    out = null_safe_join(out, plots.select(*by, "n_plots"), by)
+    tag = (
+        F.when(F.col("__mean") <= max_events, "management")
+        .when(F.col("n_rows") <= F.col("n_plots"), "observed_summary")
+        .otherwise("observed_timeseries")
+    )
+    is_trt = F.col("__uneven") | (F.col("__least") < F.col("n_own"))
+    return out.select(*group, year, "n_records", "n_rows", tag.alias("tag"), is_trt.alias("is_trt"))
+
+
+def split_by_tag(db: dict[str, DataFrame], years: DataFrame, year: str, by: list[str]) -> dict[str, dict[str, DataFrame]]:
+    """tag -> table -> rows, from the result of :func:`table_years` (kept, as it is read for every table). The tags
+    in use, three at most per table, come to the driver."""
+    out: dict[str, dict[str, DataFrame]] = {}
+    seen: dict[str, list[str]] = {}
+    for r in years.select("table", "tag").distinct().collect():
+        seen.setdefault(r["table"], []).append(r["tag"])
+    for name, tags in sorted(seen.items()):
+        if len(tags) == 1:
+            out.setdefault(tags[0], {})[name] = db[name]
+            continue
+        mine = years.where(F.col("table") == name).select(*by, F.col(year).alias("__year"), "tag")
+        tagged = null_safe_join(db[name].withColumn("__year", F.col(year).cast("string")), mine, [*by, "__year"]).drop("__year")
+        for t in sorted(tags):
+            out.setdefault(t, {})[name] = tagged.filter(F.col("tag") == t).drop("tag")
+    return out
+
+
 # First match wins; class, sub-class, pattern.
 NAME_RULES = [
     ("balance", "NITROGEN", "STICKSTOFFBILANZ|N_BILANZ|NBILANZ"),

@@ -1,27 +1,25 @@
 """Undocumented experiment tables into standard sections, many experiments at once.
 
-Column roles and links are settled on the catalog (names and small profiles); the rows then run
+Column roles are found for every experiment alone and kept as a table; the rows of all of them then run
 through one lazy plan per section.
 """
 
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from agroloom.functions.text import site_code
-from agroloom.operators import profile
 from agroloom.operators.columns import qualify
 from agroloom.operators.ids import management_ids
-from agroloom.operators.merge import chain_left, fold_attributes, merge_tables, on_design
+from agroloom.operators.merge import chain_left, fold_attributes, merge_tables, on_design, union_padded
+from agroloom.operators.roles import STANDARD, Names, Projection, link_name, names_in, solve_roles
 from agroloom.operators.scale import dense_ids, null_safe_join
-from agroloom.operators.tagging import MAX_EVENTS, tag_tables, treatment_years
-from agroloom.session import checkpointed
-
-DESIGN_NAMES = ("Year", "Plot_id", "Treatment_id", "Rep_no")
+from agroloom.operators.tagging import MAX_EVENTS, split_by_tag, table_years
+from agroloom.session import checkpointed, written
 
 # Names beside those of the Java runtime's country list.
 OTHER_NAMES = {
@@ -43,143 +41,59 @@ def country_codes(spark: SparkSession) -> dict[str, str]:
 
 @dataclass
 class Roles:
-    """Source columns of the design, and the tables that own plots and treatments."""
+    """Source columns of the design where they are known; what is None is searched for in every experiment."""
 
-    year: str
-    plot: str
-    treatment: str
+    year: str | None = None
+    plot: str | None = None
+    treatment: str | None = None
     rep: str | None = None
-    plots_table: str | None = None
-    treatments_table: str | None = None
-    factors: list[str] = field(default_factory=list)
-
-    def renames(self) -> dict[str, str]:
-        pairs = {self.year: "Year", self.plot: "Plot_id", self.treatment: "Treatment_id"}
-        return pairs | ({self.rep: "Rep_no"} if self.rep else {})
-
-
-def find_roles(
-    db: dict[str, DataFrame], design: str, metadata: DataFrame, by: list[str], cat: dict[str, dict] | None = None
-) -> Roles:
-    """Design columns from the metadata (years, plots, replicates) and the values.
 
-    ``metadata``: scope, start_year, end_year, number_plots, replication; missing counts come
-    from the data. A column has to fit in every experiment.
-    """
-    cat = cat or profile.catalog(db, by)
-    rows = db[design]
-    key = cat[design]["key"]
-    spans = null_safe_join(rows, metadata.select(*by, "start_year", "end_year"), by)
-    ranges = profile.years_columns(spans, F.col("start_year"), F.col("end_year"), [*by, "start_year", "end_year"])
-    fits = {r["column_name"] for r in ranges.collect() if r["in_range"]}
-    cols = [c for c in rows.columns if c not in by]
-    years = [c for c in cols if c in fits and c not in key]
-    if not years:
-        raise LookupError(f"no column of {design} lies in the years of the experiments")
-    counts = profile.distinct_profile(rows, by, cols)
-    year = years[0]
-    if len(years) > 1:
-        # constants such as the first and last year of a plot also lie in the range
-        varied = counts.groupBy("column_name").agg(F.max("n_distinct").alias("n")).collect()
-        varies = {r["column_name"] for r in varied if r["n"] > 1}
-        year = next((c for c in years if c in varies), years[0])
-
-    sizes = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct(F.struct(year)).alias("n_years"))
-    facts = null_safe_join(sizes, metadata.select(*by, "number_plots", "replication"), by).withColumn(
-        "n_plots", F.coalesce(F.col("number_plots").cast("double"), F.col("n_rows") / F.col("n_years"))
-    )
 
-    def fitting(prof: DataFrame, target: str) -> set[str]:
-        same = null_safe_join(prof, facts.select(*by, target), by)
-        hit = same.groupBy("column_name").agg(F.bool_and(F.col("n_distinct") == F.col(target)).alias("hit"))
-        return {r["column_name"] for r in hit.filter("hit").collect()}
-
-    sized = fitting(counts, "n_plots")
-    plots = [c for c in cols if c in sized and c not in (year, *key)]
-    plot = next((c for c in plots if any(e["key"] == [c] for e in cat.values())), plots[0] if plots else None)
-    if plot is None:
-        raise LookupError(f"no column of {design} has as many values as there are plots")
-    found = profile.treatment_columns(rows, year, plot, by, key)
-    regular = {
-        r["column_name"]
-        for r in found.groupBy("column_name").agg(F.bool_and("is_treatment").alias("hit")).filter("hit").collect()
-    }
-    treatments = [c for c in cols if c in regular]
-    treatment = next((c for c in treatments if any(e["key"] == [c] for e in cat.values())), treatments[0] if treatments else None)
-    if treatment is None:
-        raise LookupError(f"no column of {design} repeats like a treatment")
-    plots_table = profile.table_with_key(cat, plot)
-    treatments_table = profile.table_with_key(cat, treatment)
-
-    facts = null_safe_join(
-        facts, found.filter(F.col("column_name") == treatment).select(*by, "reps"), by
-    ).withColumn("n_reps", F.coalesce(F.col("replication").cast("double"), F.col("reps")))
-    owner = db[plots_table]
-    in_plots = profile.distinct_profile(owner, by, [c for c in owner.columns if c not in (*by, plot, treatment)])
-    reps = fitting(in_plots, "n_reps")
-    rep = next((c for c in owner.columns if c in reps), None)
-    known = {*by, plot, treatment, *cat[treatments_table]["key"]}
-    links = {k for n, e in cat.items() if n != treatments_table for k in e["key"]}
-    factors = [c for c in cat[treatments_table]["columns"] if c not in known and c in links]
-    return Roles(year, plot, treatment, rep, plots_table, treatments_table, factors)
-
-
-def prepare(
-    db: dict[str, DataFrame], roles: Roles, cat: dict[str, dict], by: list[str]
-) -> tuple[dict[str, DataFrame], dict[str, dict]]:
-    """Standard design names, parsed dates and qualified columns, with the renamed catalog."""
-    renames = roles.renames()
-    named = {n: df.withColumnsRenamed(renames) for n, df in db.items()}
-    own = {n: [renames.get(k, k) for k in cat[n]["key"]] for n in db}
-    keys = {k for ks in own.values() for k in ks} | set(DESIGN_NAMES)
-
-    def layouts_of(df: DataFrame) -> dict[str, str]:
-        return profile.date_layouts(df, [c for c in df.columns if c not in keys and c not in by], by=by)
-
-    with ThreadPoolExecutor(max_workers=8) as pool:
-        dated = dict(zip(named, pool.map(layouts_of, named.values())))
-    named = {n: profile.dates_parsed(df, dated[n], by) if dated[n] else df for n, df in named.items()}
+def standard_tables(db: dict[str, DataFrame], shape: Projection, names: Names, by: list[str]) -> tuple[dict[str, DataFrame], dict[str, dict]]:
+    """Tables with standard design names, dates and qualified columns, and their catalog."""
+    with ThreadPoolExecutor(max_workers=8) as pool:  # plans only, no jobs
+        named = dict(zip(db, pool.map(shape.standardized, db.values(), db)))
+    own = {n: link_name(n, names) for n in db}
+    keys = {k for k in own.values() if k} | set(STANDARD.values())
     uses: dict[str, int] = {}
     for df in named.values():
         for c in df.columns:
             uses[c] = uses.get(c, 0) + 1
-    all_dates = {c for cs in dated.values() for c in cs}
-    join_keys = [c for c in keys if uses.get(c, 0) > 1 and c not in all_dates] + ["Rep_no", *by]
+    join_keys = [c for c in keys if uses.get(c, 0) > 1] + ["Rep_no", *by]
     out = {n: qualify(df, n, join_keys) for n, df in named.items()}
-    renamed = {
-        n: {
-            "columns": list(out[n].columns),
-            "key": [k if k in join_keys else f"{n}__{k}" for k in own[n]],
-        }
-        for n in out
-    }
-    return out, renamed
+    cat = {}
+    for n, df in out.items():
+        key = own[n] if own[n] in (None, *join_keys) else f"{n}__{own[n]}"
+        cat[n] = {"columns": list(df.columns), "key": [key] if key in df.columns else []}
+    return out, cat
 
 
 def fields_section(
-    plots: DataFrame, metadata: DataFrame, by: list[str], keys: list[str]
+    tables: dict[str, DataFrame], roles: DataFrame, names: Names, metadata: DataFrame, by: list[str]
 ) -> tuple[DataFrame, DataFrame]:
     """Fields (distinct plot attributes with ``FL_ID``) and the field of every plot.
 
-    Coordinate columns are the ones equal to the metadata everywhere; else the metadata's own
-    coordinates are added.
+    Columns that are unique in an experiment are no attributes there; columns that hold the experiment's
+    coordinates on all plots are its ``FL_LON`` and ``FL_LAT``, which come from the metadata.
     """
-    attrs = [c for c in plots.columns if c not in {*by, *keys, *DESIGN_NAMES}]
+    parts = []
+    for t in names.plots_tables:
+        mine = roles.where(F.col("plots_table") == t).select(*by, F.struct("unique", "lon", "lat").alias("__r"))
+        rows = null_safe_join(tables[t], mine, by, "inner")
+        source = {c: c.removeprefix(f"{t}__") for c in rows.columns}
+        for c, raw in source.items():
+            if names.unique.get(raw) or names.sites.get(raw):  # in every experiment
+                rows = rows.drop(c)
+            elif raw in names.unique or raw in names.sites:
+                known = F.array_contains("__r.unique", raw) | F.coalesce((F.col("__r.lon") == raw) | (F.col("__r.lat") == raw), F.lit(False))
+                rows = rows.withColumn(c, F.when(~known, F.col(c)))
+        parts.append(rows.drop("__r"))
+    plots = union_padded(*parts)
+    attrs = [c for c in plots.columns if c not in {*by, *STANDARD.values()}]
     numbered = dense_ids(plots, attrs, "FL_ID", by)
     fields = numbered.select(*by, "FL_ID", *attrs).distinct()
-    placed = null_safe_join(fields, metadata.select(*by, "latitude", "longitude"), by)
-    numeric = [c for c in attrs if isinstance(plots.schema[c].dataType, profile.NUMBERS)]
-    checks = placed.agg(
-        *[F.bool_and(F.coalesce(F.col(c) == F.col("longitude"), F.lit(False))).alias(f"x_{c}") for c in numeric],
-        *[F.bool_and(F.coalesce(F.col(c) == F.col("latitude"), F.lit(False))).alias(f"y_{c}") for c in numeric],
-        F.count(F.lit(1)).alias("n"),
-    ).first()
-    lon = next((c for c in numeric if checks[f"x_{c}"]), None)
-    lat = next((c for c in numeric if checks[f"y_{c}"]), None)
-    out = placed
-    out = out.withColumnRenamed(lon, "FL_LON") if lon else out.withColumn("FL_LON", F.col("longitude"))
-    out = out.withColumnRenamed(lat, "FL_LAT") if lat else out.withColumn("FL_LAT", F.col("latitude"))
-    return out.drop("latitude", "longitude"), numbered.select(*by, "Plot_id", "FL_ID").distinct()
+    site = metadata.select(*by, F.col("longitude").alias("FL_LON"), F.col("latitude").alias("FL_LAT"))
+    return null_safe_join(fields, site, by), numbered.select(*by, "Plot_id", "FL_ID").distinct()
 
 
 def treatment_matrix(
@@ -207,7 +121,7 @@ def observed_section(
     Summaries have one row per plot and year and are joined. Series (``long``) have several, so each row stands for itself, with
     its table in ``source``.
     """
-    slim = {n: df.drop(*[k for k in cat[n]["key"] if k not in (*by, *DESIGN_NAMES)]) for n, df in tables.items()}
+    slim = {n: df.drop(*[k for k in cat[n]["key"] if k not in (*by, *STANDARD.values())]) for n, df in tables.items()}
     facts = ["Treatment_id", *[c for c in ("Rep_no",) if c in design.columns]]
     joined = on_design(design, slim, [*by, "Year", "Plot_id"], facts, long)
     return dense_ids(joined, ["Treatment_id"], "TRTNO", by).distinct()
@@ -250,57 +164,80 @@ def reshape_experiments(
     observed: bool = True,
     materialize: bool = False,
 ) -> dict[str, DataFrame]:
-    """The section bundle of all experiments in ``db``.
+    """The section bundle of all experiments in ``db``, each as if it were alone.
 
-    Every table has the scope columns ``by``; ``metadata`` has one row per scope (see
-    :func:`find_roles` and :func:`general_section` for its columns). ``materialize=True`` writes
+    Every table has the scope columns ``by``; ``metadata`` has one row per scope (see :func:`design_columns` and
+    :func:`general_section` for its columns). Keys, design columns, factors, date layouts and conflicts between tables are settled for
+    each experiment; names that only some have are null in the others. Experiments whose design can't be found are left out and
+    listed with the reason in ``PROBLEMS``; only if none is left an error is raised. ``materialize=True`` writes
     the joined data tables to the checkpoint folder, as several sections read them.
     ``observed=False`` leaves the observed sections out.
     """
     by = list(by)
-    raw = profile.catalog(db, by)
-    roles = roles or find_roles(db, design, metadata, by, raw)
-    tables, cat = prepare(db, roles, raw, by)
-
-    design_tables = {"TREATMENTS": roles.treatments_table, "PLOTS": roles.plots_table}
-    parts = {k: tables[n] for k, n in design_tables.items() if n and n != design}
-    sub = {"DESIGN": cat[design]} | {k: cat[design_tables[k]] for k in parts}
-    full = merge_tables({"DESIGN": tables[design]}, parts, sub, "child-parent", False, by)[0]["DESIGN"]
-    factors = [c for f in roles.factors for c in (f, f"{roles.treatments_table}__{f}") if c in full.columns]
-    plan = full.select(*by, *[c for c in DESIGN_NAMES if c in full.columns], *factors).distinct()
-
-    others = {n: df for n, df in tables.items() if n != design and n not in design_tables.values()}
-    links = ["Year", "Plot_id", "Treatment_id"]
-    data = {n: df for n, df in others.items() if profile.has_link(df.columns, plan.columns, links)}
-    attrs = fold_attributes({n: df for n, df in others.items() if n not in data}, cat, by)
+    given = {k: v for k, v in vars(roles).items() if v} if roles else {}
+    solved = solve_roles(db, metadata, design, by, given)
+    names = names_in(solved, {n: df.columns for n, df in db.items()})
+    if not names.roles["year"]:
+        raise LookupError("; ".join(names.problems) or "no experiments")
+    shape = Projection(solved, names, by)
+    tables, cat = standard_tables(db, shape, names, by)
+
+    # the design with the columns of its plots and treatments; its own columns count
+    design_tables = [n for n in dict.fromkeys([*names.treatments_tables, *names.plots_tables]) if n != design]
+    mine = [c for c in STANDARD.values() if c in tables[design].columns]
+    parts = {n: shape.keyed(tables[n].drop(*[c for c in mine if c not in cat[n]["key"]]), n) for n in design_tables}
+    sub = {n: {"columns": list(df.columns), "key": cat[n]["key"]} for n, df in (parts | {design: tables[design]}).items()}
+    full = merge_tables({design: tables[design]}, parts, sub, "child-parent", False, by)[0][design]
+    links = {c: f"{t}_KEY" for t, cs in shape.several.items() for c in cs}
+    # factor -> its column in the plan
+    placed = {f: next((c for c in (links.get(f, f), *(f"{t}__{f}" for t in ts)) if c in full.columns), None) for f, ts in names.factors.items()}
+    factors = list(dict.fromkeys(c for c in placed.values() if c))
+    plan = full.select(*by, *[c for c in STANDARD.values() if c in full.columns], *factors).distinct()
+
+    others = {n: df for n, df in tables.items() if n != design and n not in design_tables}
+    data = {n: rows for n, df in others.items() if (rows := shape.linked(df, n, True)) is not None}
+    attrs = {n: shape.keyed(rows, n) for n, df in others.items() if (rows := shape.linked(df, n, False)) is not None}
+    attrs = fold_attributes(attrs, cat, by)
     folded = cat | {n: {"columns": list(df.columns), "key": cat[n]["key"]} for n, df in attrs.items()}
     data, _ = merge_tables(data, attrs, folded, "bidirectional", True, by)
     if materialize:
         data = {n: checkpointed(df) for n, df in data.items()}
 
-    plots = plan.select(*by, "Plot_id").distinct().groupBy(*by).agg(F.count(F.lit(1)).alias("n_plots"))
     keys = {n: [k for k in cat[n]["key"] if k in df.columns] for n, df in data.items()}
-    tagged = tag_tables(data, "Year", "Plot_id", plots, keys, by, max_events)
+    dated = {n: df for n, df in data.items() if "Year" in df.columns and "Plot_id" in df.columns}
+    tagged: dict[str, dict[str, DataFrame]] = {}
+    if dated:
+        own_plots = solved.select(*by, F.explode("own_plots").alias("o")).select(*by, "o.*")
+        years = written(table_years(dated, "Year", "Plot_id", solved.select(*by, "n_plots"), keys, by, max_events, own_plots), "years")
+        tagged = split_by_tag(dated, years, "Year", by)
 
     management: dict[str, DataFrame] = {}
     id_tables: list[DataFrame] = []
+    levels = [*factors, *(["Treatment_id"] if names.no_factors or not factors else [])]
+    used = None
+    if names.factor_sets > 1:  # experiments differ in their factors
+        mapped = F.create_map(*[F.lit(x) for f, c in placed.items() if c for x in (f, c)]) if factors else F.create_map(F.lit(""), F.lit(""))
+        known = F.filter(F.transform("factors", lambda f: F.try_element_at(mapped, f)), lambda c: c.isNotNull())
+        used = solved.select(*by, F.when(F.size("factors") > 0, known).otherwise(F.array(F.lit("Treatment_id"))).alias("__used"))
     for n, df in sorted(tagged.get("management", {}).items()):
-        flags = treatment_years(df, "Year", "Plot_id", keys[n], by)
         name = f"{n}_ID"
+        flags = years.where(F.col("table") == n).select(*by, F.col("Year").cast(df.schema["Year"].dataType).alias("Year"), "is_trt")
+        flags = null_safe_join(flags, used, by) if used is not None else flags
         extra = [c for c in plan.columns if c not in df.columns or c in (*by, "Year", "Plot_id")]
         rows = null_safe_join(df, plan.select(*extra), [*by, "Year", "Plot_id"])
-        marked = management_ids(rows, flags, factors or ["Treatment_id"], name, by)
+        marked = management_ids(rows, flags, levels, name, by, used="__used" if used is not None else None)
         drops = {*keys[n], "Treatment_id", "Rep_no", *factors}
         slim = marked.select(name, *[c for c in marked.columns if c not in drops and c != name])
         management[n] = slim.drop("Plot_id").distinct()
         id_tables.append(slim.select(*by, "Year", "Plot_id", name).distinct())
 
-    plots_keys = profile.key_columns(tables[roles.plots_table], by, alternates=True)
-    fields, plot_fields = fields_section(tables[roles.plots_table], metadata, by, plots_keys)
+    fields, plot_fields = fields_section(tables, solved, names, metadata, by)
     matrix = treatment_matrix(plan, id_tables, plot_fields, by)
+    usable = solved.where(F.col("problem").isNull()).select(*by)
+    described = null_safe_join(metadata, usable, by, "left_semi")
     bundle = {
-        "HEADER": header_section(metadata, by),
-        "GENERAL": general_section(metadata, by),
+        "HEADER": header_section(described, by),
+        "GENERAL": general_section(described, by),
         "FIELDS": fields,
         "TREATMENTS": matrix.drop("Plot_id", "Treatment_id").distinct(),
         **management,
@@ -308,5 +245,7 @@ def reshape_experiments(
     if observed:
         bundle["OBSERVED_Summary"] = observed_section(plan, tagged.get("observed_summary", {}), cat, by)
         bundle["OBSERVED_TimeSeries"] = observed_section(plan, tagged.get("observed_timeseries", {}), cat, by, long=True)
-    loose = tagged.get("other", {}) | attrs
-    return bundle | {f"OTHER_{n}": df for n, df in sorted(loose.items())}
+    loose = {n: df for n, df in data.items() if n not in dated} | attrs
+    bundle |= {f"OTHER_{n}": df for n, df in sorted(loose.items())}
+    bundle = {n: shape.restored(df) for n, df in bundle.items()}
+    return bundle | {"PROBLEMS": solved.where(F.col("problem").isNotNull()).select(*by, "problem")}

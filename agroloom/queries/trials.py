@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from agroloom.operators.columns import front
+from agroloom.operators.merge import union_in_order
 from agroloom.operators.phenology import jitter
 from agroloom.operators.scale import null_safe_join
 from agroloom.plans import bundle, sections
@@ -217,6 +218,61 @@ def trial_general(t: Tables) -> DataFrame:
     return both.select(*BY, "EXP_DETAILS", "SITE_CODE", "PERSONS", "DOI", F.col("NOTES")[1].alias("note"))
 
 
+# --- experiments that differ in their columns -------------------------------------------------------
+
+# a second institute's names for the same things
+OTHER_HEADERS = {
+    "Versuchsjahr": "Season", "Parzelle_ID": "Plot", "Pruefglied_ID": "Variant", "Wiederholung": "Block", "Faktor1_Stufe_ID": "Factor_A", "Sorte_ID": "Cultivar",
+}
+
+
+def unlike_tables(t: Tables) -> dict[str, DataFrame]:
+    """Every third experiment with other headers and another date layout, every third without a year in its design."""
+    kind = F.substring("experiment_id", 2, 9).cast("int") % 3
+    out = {}
+    for n, df in trial_tables(t).items():
+        other = df.where(kind == 1)
+        if "Saattermin" in df.columns:
+            other = other.withColumn("Saattermin", F.date_format(F.to_date("Saattermin"), "dd.MM.yyyy"))
+        if n == "VERSUCHSAUFBAU":
+            df = df.withColumn("Versuchsjahr", F.when(kind != 2, F.col("Versuchsjahr")))
+        out[n] = union_in_order(df.where(kind != 1), other.withColumnsRenamed(OTHER_HEADERS))
+    return out
+
+
+def unlike_bundle(t: Tables) -> dict[str, DataFrame]:
+    return reshape_experiments(unlike_tables(t), trial_metadata(t), "VERSUCHSAUFBAU", BY, observed=False)
+
+
+@query(
+    _IDS_SQL
+    + """SELECT DISTINCT experiment_id, y AS "Year", CASE WHEN e % 3 = 0 THEN f1 ELSE -1 END AS "Faktor1_Stufe_ID", CASE WHEN e % 3 = 1 THEN f1 ELSE -1 END AS "Factor_A",
+        f2 AS "Faktor2_Stufe_ID", yid::VARCHAR AS "AUSSAAT_ID", id1 || '_' || id2 AS "DUENGUNG_ID", block AS "FL_ID", trt AS "TRTNO" FROM n WHERE e % 3 <> 2"""
+)
+def unlike_treatments(t: Tables) -> DataFrame:
+    """Treatments of experiments with two sets of headers in one batch; those without a design are left out."""
+    return unlike_bundle(t)["TREATMENTS"].fillna(-1)
+
+
+@query(
+    _IDS_SQL
+    + """SELECT DISTINCT experiment_id, y AS "Year", yid::VARCHAR AS "AUSSAAT_ID", strftime(make_date(y::INT, 3, 20), '%Y-%m-%d') AS "AUSSAAT__Saattermin",
+        'S' || (y % 3 + 1) AS "SORTE__Sorte", 'K' || ((y % 3 + 1) % 2 + 1) AS "KULTUR__Art" FROM n WHERE e % 3 <> 2"""
+)
+def unlike_sowings(t: Tables) -> DataFrame:
+    """Sowings with their varieties by links of two names, and dates in two layouts."""
+    return unlike_bundle(t)["AUSSAAT"].withColumn("AUSSAAT__Saattermin", F.date_format("AUSSAAT__Saattermin", "yyyy-MM-dd"))
+
+
+@query(f"""
+    WITH {BASE_SQL} SELECT DISTINCT experiment_id, CASE WHEN e % 3 = 2 THEN 'no column of VERSUCHSAUFBAU lies in the years of the experiment' ELSE '-' END AS problem FROM base
+""")
+def unlike_problems(t: Tables) -> DataFrame:
+    """Every experiment with the reason why it could not be reshaped, if there is one."""
+    found = unlike_bundle(t)["PROBLEMS"]
+    return null_safe_join(trial_metadata(t).select(*BY), found, BY).fillna("-", subset=["problem"])
+
+
 # --- sections on top of a bundle -----------------------------------------------------------------
 
 def harvested(t: Tables) -> DataFrame:

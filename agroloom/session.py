@@ -53,3 +53,11 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: cuts the lineage and fixes row placement."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The rows from a table written to the shared folder. Unlike a checkpoint it has a known size, so that Spark broadcasts it in
+    joins while it is small."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

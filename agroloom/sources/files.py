@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from agroloom.operators.columns import standardize_names, within_years
-from agroloom.operators.merge import union_padded
+from agroloom.operators.merge import union_in_order
 
 # experiment before the first dot, table after the version number (and a year, if any)
 EXPERIMENT_PATTERN = r"^([^.]+)\."
@@ -143,9 +143,9 @@ def load_tables(
         bad.append(df.filter(misfit).select(F.col("__file").alias("file"), F.lit("row does not fit the header").alias("reason"), record.alias("record")))
         good = df.filter(~misfit).withColumn("experiment_id", experiment_name(F.col("__file"))).drop("__bad", "__file")
         parts.setdefault(name, []).append(good.withColumnsRenamed({c: re.sub("^(\ufeff|ï»¿|ï\\.\\.)", "", c) for c in good.columns}))
-    out = {n: typed(union_padded(*ps), keep=["experiment_id"]) for n, ps in parts.items()}
+    out = {n: typed(union_in_order(*ps), keep=["experiment_id"]) for n, ps in parts.items()}
     out = {n: standardize_names(df) for n, df in out.items()} if standard else out
-    return out | ({report: union_padded(*bad)} if report else {})
+    return out | ({report: union_in_order(*bad)} if report else {})
 
 
 def load_key(spark: SparkSession, path: str) -> DataFrame:
@@ -153,7 +153,7 @@ def load_key(spark: SparkSession, path: str) -> DataFrame:
     groups: dict[tuple[str, str], list[str]] = {}
     for r in scan_headers(spark, path).collect():
         groups.setdefault((separator(r["file_name"], r["header"]), r["header"]), []).append(r["path"])
-    return union_padded(
+    return union_in_order(
         *[spark.read.option("header", True).option("sep", sep).csv(sorted(ps)) for (sep, _), ps in sorted(groups.items())]
     )
 
