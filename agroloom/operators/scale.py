@@ -49,6 +49,16 @@ def _offsets(parts: DataFrame, by: list[str]) -> DataFrame:
     return counts.select(*by, "__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
 
 
+def range_parts(df: DataFrame, order: list[Column]) -> DataFrame:
+    """Rows in range partitions of ``order``, numbered by ``__part``.
+
+    The input partition comes last in the order, so that even equal rows can be cut apart; the checkpoint then fixes which row is
+    in which part.
+    """
+    placed = df.withColumn("__in", F.spark_partition_id()).repartitionByRange(*order, F.col("__in").asc()).drop("__in")
+    return checkpointed(placed.withColumn("__part", F.spark_partition_id()))
+
+
 def row_numbers(df: DataFrame, by: list[str], order: list[Column], name: str, spread: bool = False) -> DataFrame:
     """1..n per group in a total order (``order`` must have no ties).
 
@@ -57,11 +67,7 @@ def row_numbers(df: DataFrame, by: list[str], order: list[Column], name: str, sp
     """
     if by and not spread:
         return df.withColumn(name, F.row_number().over(Window.partitionBy(*by).orderBy(*order)).cast("long"))
-    # the input partition comes last in the order, so that even equal rows can be cut apart; the
-    # checkpoint then fixes which row is in which part
-    ordered = [F.col(b).asc_nulls_last() for b in by] + list(order) + [F.col("__in").asc()]
-    placed = df.withColumn("__in", F.spark_partition_id()).repartitionByRange(*ordered).drop("__in")
-    parts = checkpointed(placed.withColumn("__part", F.spark_partition_id()))
+    parts = range_parts(df, [F.col(b).asc_nulls_last() for b in by] + list(order))
     local = Window.partitionBy(*by, "__part").orderBy(*order)
     numbered = parts.withColumn("__i", F.row_number().over(local))
     out = null_safe_join(numbered, _offsets(parts, by), [*by, "__part"])

@@ -1,4 +1,4 @@
-"""Stations near a site: all within a radius, or the nearest that qualifies.
+"""Stations near a site: all within a radius, or the nearest few that qualify.
 
 Nothing here pairs every site with every station. Points meet on grid cells, and the nearest
 search narrows station cells step by step, so a site keeps a handful of candidates however
@@ -8,7 +8,6 @@ many stations crowd one place.
 from __future__ import annotations
 
 import math
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -136,70 +135,66 @@ def _cell_tree(points: DataFrame, by: list[str], station: str, step: float) -> t
     )
     divided = cells.filter(~F.col("__leaf")).select(*by, F.col("__path").alias("__parent"))
     inner = null_safe_join(cells.filter("__k > 0"), divided, [*by, "__parent"], "left_semi")
-    tree = checkpointed(cells.filter("__k = 0").unionByName(inner).drop("__n"))
+    tree = checkpointed(cells.filter("__k = 0").unionByName(inner))
     leaves = tree.filter("__leaf").select(*by, "__path")
     owned = null_safe_join(spread, leaves, [*by, "__path"], "left_semi")
     return tree, owned.select(*by, "__path", station, "st_lat", "st_lon")
 
 
 def _nearest_cells(
-    spots: DataFrame, spot: list[str], by: list[str], tree: DataFrame, deepest: int, step: float, radius_km: float
+    spots: DataFrame, spot: list[str], by: list[str], tree: DataFrame, deepest: int, step: float, radius_km: float, k: int
 ) -> DataFrame:
-    """The undivided cells that can hold the nearest point of each spot (``__path``)."""
+    """The undivided cells that can hold one of the ``k`` nearest points of each spot (``__path``).
+
+    Best first: a bound per spot, no less than the distance of its k-th nearest point, shrinks while the tree is
+    descended, and cells that lie beyond it are left out. It is the farthest possible distance of the nearest cells that together hold ``k``
+    points, so it can't lose any of them. All levels are one plan.
+    """
     extent = ["__lat0", "__lat1", "__lon0", "__lon1"]
-    # a first bound: the smallest cell around the site that holds stations
-    around = null_safe_join(
-        _at_depths(spots, "lat", "lon", step, deepest), tree.select(*by, "__path", *extent), [*by, "__path"], "inner"
-    )
+    # a first bound: the smallest cell around the site that holds so many stations
+    full = tree.filter(F.col("__n") >= k).select(*by, "__path", *extent)
+    around = null_safe_join(_at_depths(spots, "lat", "lon", step, deepest), full, [*by, "__path"], "inner")
     reach = box_bounds(F.col("lat"), F.col("lon"), *[F.col(c) for c in extent])[1]
     bound = around.groupBy(*spot).agg(F.min(reach).alias("__best"))
     spots = null_safe_join(spots, bound, spot).fillna(half_chord(radius_km) + EPS, subset=["__best"])
-    cand = _around(spots, step).select(*spot, _home_path().alias("__path"), "__best")
-    found = []
-    for k in range(deepest + 1):
-        # level 0: the cells around the site; then the children of a kept cell, sixteen at most
-        level = tree.filter(F.col("__k") == k)
-        if k == 0:
-            reached = null_safe_join(cand, level.select(*by, "__path", "__leaf", *extent), [*by, "__path"], "inner")
-        else:
-            kids = level.select(*by, "__parent", F.col("__path").alias("__kid"), "__leaf", *extent)
-            up = cand.withColumnRenamed("__path", "__parent")
-            reached = null_safe_join(up, kids, [*by, "__parent"], "inner").withColumnRenamed("__kid", "__path")
+    # what a cell is replaced by at the next level: its children, sixteen at most, or itself where it is not divided
+    parts = tree.filter("__k > 0").select(*by, F.col("__parent").alias("__key"), "__path", "__leaf", "__n", *extent)
+    whole = tree.filter("__leaf").select(*by, F.col("__path").alias("__key"), "__path", "__leaf", "__n", *extent)
+    first = tree.filter("__k = 0").select(*by, F.col("__path").alias("__key"), "__path", "__leaf", "__n", *extent)
+    cand = _around(spots, step).select(*spot, _home_path().alias("__key"), "__best")
+    # a site has a bounded number of candidate cells, so its window is small
+    own = Window.partitionBy(*spot)
+    for depth in range(deepest + 1):
+        below = first if depth == 0 else parts.unionByName(whole)
+        reached = null_safe_join(cand, below, [*by, "__key"], "inner").drop("__key")
         lo, hi = box_bounds(F.col("lat"), F.col("lon"), *[F.col(c) for c in extent])
         limit = F.least(F.col("__best"), F.lit(half_chord(radius_km))) + EPS
         bounded = reached.withColumns({"__lo": lo, "__hi": hi}).filter(F.col("__lo") <= limit)
-        # a site has a bounded number of candidate cells, so its window is small
-        own = Window.partitionBy(*spot)
-        best = F.least(F.min("__hi").over(own), F.min("__best").over(own))
-        kept = bounded.withColumn("__best", best).filter(F.col("__lo") <= F.col("__best") + EPS)
-        # read twice, by the next division and by the last join
-        kept = checkpointed(kept.select(*spot, "__path", "__leaf", "__best"))
-        found.append(kept.filter("__leaf").select(*spot, "__path"))
-        cand = kept.filter(~F.col("__leaf")).select(*spot, "__path", "__best")
-    return reduce(DataFrame.unionByName, found)
+        held = bounded.withColumn("__held", F.sum("__n").over(own.orderBy("__hi")))
+        best = F.least(F.min(F.when(F.col("__held") >= k, F.col("__hi"))).over(own), F.min("__best").over(own))
+        kept = held.withColumn("__best", best).filter(F.col("__lo") <= F.col("__best") + EPS)
+        cand = kept.select(*spot, F.col("__path").alias("__key"), "__best")
+    return cand.select(*spot, F.col("__key").alias("__path"))
 
 
-def nearest_station(
-    sites: DataFrame,
-    stations: DataFrame,
-    radius_km: float,
-    by: list[str] = (),
-    site: str = "site_id",
-    station: str = "station_id",
+def nearest_stations(
+    sites: DataFrame, stations: DataFrame, radius_km: float, k: int = 1, by: list[str] = (), station: str = "station_id"
 ) -> DataFrame:
-    """The nearest station of every site within the radius, ties (to a millimetre) by station id.
+    """The ``k`` nearest stations of every site within the radius, with ``dist_km`` and ``rank``; ties (to a millimetre) by
+    station id.
 
-    Sites without one are absent. Stations sharing coordinates count as one point (the smallest
-    id), sites sharing coordinates are searched once. Crowded cells are divided until they hold
-    few points; each division keeps only cells whose nearest possible distance does not exceed
-    the farthest possible distance of the best cell, which cannot lose the nearest point.
+    Sites without one are absent. Sites sharing coordinates are searched once. Crowded cells are divided until they hold
+    few points, and a site follows only the cells that can hold one of its ``k`` nearest (:func:`_nearest_cells`), so its work
+    does not grow with the number of stations in reach.
     """
     by = list(by)
     step = _step(radius_km)
-    placed = stations.dropna(subset=["lat", "lon"])
-    points = placed.groupBy(*by, F.col("lat").alias("st_lat"), F.col("lon").alias("st_lon")).agg(
-        F.min(station).alias(station)
-    )
+    placed = stations.dropna(subset=["lat", "lon"]).select(*by, station, F.col("lat").alias("st_lat"), F.col("lon").alias("st_lon"))
+    if k == 1:
+        points = placed.groupBy(*by, "st_lat", "st_lon").agg(F.min(station).alias(station))
+    else:  # of stations at one place only so many can be among the nearest
+        here = Window.partitionBy(*by, "st_lat", "st_lon").orderBy(F.col(station).asc_nulls_last())
+        points = placed.distinct().withColumn("__r", F.row_number().over(here)).filter(F.col("__r") <= k).drop("__r")
     tree, leaf_points = _cell_tree(points, by, station, step)
     deepest = tree.agg(F.max("__k").alias("k")).first()["k"] or 0
     spot = [*by, "lat", "lon"]
@@ -208,14 +203,27 @@ def nearest_station(
         # no crowded cell: the few points around a site are compared directly
         leaves = _around(spots, step).select(*spot, _home_path().alias("__path"))
     else:
-        leaves = _nearest_cells(spots, spot, by, tree, deepest, step, radius_km)
+        leaves = _nearest_cells(spots, spot, by, tree, deepest, step, radius_km, k)
     pairs = null_safe_join(leaves, leaf_points, [*by, "__path"], "inner")
     dist = haversine_km(F.col("lat"), F.col("lon"), F.col("st_lat"), F.col("st_lon"))
-    nearest = (
-        pairs.withColumn("__d", dist)
-        .filter(F.col("__d") <= radius_km)
-        .groupBy(*spot)
-        .agg(F.min(F.struct(F.round("__d", 6).alias("dist_km"), F.col(station), "st_lat", "st_lon")).alias("b"))
-        .select(*spot, f"b.{station}", "b.dist_km", "b.st_lat", "b.st_lon")
-    )
+    near = pairs.withColumn("__d", dist).filter(F.col("__d") <= radius_km).withColumn("dist_km", F.round("__d", 6))
+    if k == 1:
+        best = near.groupBy(*spot).agg(F.min(F.struct("dist_km", F.col(station), "st_lat", "st_lon")).alias("b"))
+        nearest = best.select(*spot, f"b.{station}", "b.dist_km", "b.st_lat", "b.st_lon", F.lit(1).alias("rank"))
+    else:
+        order = Window.partitionBy(*spot).orderBy("dist_km", F.col(station).asc_nulls_last(), "st_lat", "st_lon")
+        ranked = near.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+        nearest = ranked.select(*spot, station, "dist_km", "st_lat", "st_lon", "rank")
     return null_safe_join(sites, nearest, spot, "inner")
+
+
+def nearest_station(
+    sites: DataFrame,
+    stations: DataFrame,
+    radius_km: float,
+    by: list[str] = (),
+    site: str = "site_id",
+    station: str = "station_id",
+) -> DataFrame:
+    """The nearest station of every site within the radius; see :func:`nearest_stations`."""
+    return nearest_stations(sites, stations, radius_km, 1, by, station).drop("rank")

@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 
 from agroloom.functions.aggregates import aggregate
 from agroloom.functions.dates import archive_period
+from agroloom.operators.columns import within_years
 from agroloom.operators.profile import NUMBERS
-from agroloom.operators.scale import null_safe_join
-from agroloom.operators.stations import nearest_station, stations_within
+from agroloom.operators.scale import null_safe_join, range_parts
+from agroloom.operators.stations import nearest_station, nearest_stations, stations_within
 from agroloom.session import checkpointed
 
 
@@ -174,6 +175,62 @@ def impute(
     return out.withColumns({c: filled(c) for c in cols}).drop("__i", *helpers).select(*df.columns)
 
 
+def impute_long(
+    df: DataFrame, by: list[str], date: str, columns: list[str] | None = None, rule: int = 2, position: str = "row", single: str = "null"
+) -> DataFrame:
+    """As :func:`impute`, for groups of any length: one station with ten million rows fills in several tasks.
+
+    The rows lie in range partitions of (``by``, ``date``). Each partition fills what lies between its own known points and is summarised, per
+    group, by its rows and its first and last known point of every column; the last point before a partition and the first one behind it are
+    carried over these summaries, a row per group and partition, and settle the gaps at its ends. ``by`` and ``date`` together must
+    be unique.
+    """
+    by = list(by)
+    cols = columns or [f.name for f in df.schema if f.name not in [*by, date] and isinstance(f.dataType, NUMBERS)]
+    parts = range_parts(df, [F.col(c).asc_nulls_last() for c in [*by, date]])
+    ahead = Window.partitionBy(*by, "__part").orderBy(F.col(date).asc_nulls_last())
+    spot = F.row_number().over(ahead) if position == "row" else F.datediff(F.col(date), F.lit("1970-01-01"))
+    placed = parts.withColumn("__i", spot.cast("long"))
+
+    def known(c: str) -> Column:
+        return F.when(F.col(c).isNotNull(), F.struct(F.col("__i").alias("i"), F.col(c).cast("double").alias("v")))
+
+    ends = {f"__a_{c}": F.min_by(known(c), F.when(F.col(c).isNotNull(), F.col("__i"))) for c in cols}
+    ends |= {f"__b_{c}": F.max_by(known(c), F.when(F.col(c).isNotNull(), F.col("__i"))) for c in cols}
+    counts = {f"__n_{c}": F.count(c) for c in cols}
+    summary = placed.groupBy(*by, "__part").agg(F.count(F.lit(1)).alias("__rows"), *[v.alias(k) for k, v in {**ends, **counts}.items()])
+    # a row per group and partition: few, however long the group
+    order = Window.partitionBy(*by).orderBy("__part")
+    before, behind = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(1, Window.unboundedFollowing)
+    offset = F.coalesce(F.sum("__rows").over(before), F.lit(0)) if position == "row" else F.lit(0)
+    summary = summary.withColumn("__off", offset.cast("long"))
+
+    def moved(p: str) -> Column:
+        """An end point with its position in the whole group."""
+        return F.when(F.col(p).isNotNull(), F.struct((F.col(f"{p}.i") + F.col("__off")).alias("i"), F.col(f"{p}.v").alias("v")))
+
+    summary = summary.withColumns({p: moved(p) for p in ends})
+    carried = {f"__p_{c}": F.last(f"__b_{c}", ignorenulls=True).over(before) for c in cols}
+    carried |= {f"__q_{c}": F.first(f"__a_{c}", ignorenulls=True).over(behind) for c in cols}
+    carried |= {f"__t_{c}": F.sum(f"__n_{c}").over(Window.partitionBy(*by)) for c in cols}
+    edges = summary.withColumns(carried).select(*by, "__part", "__off", *carried)
+    rows = null_safe_join(placed, edges, [*by, "__part"]).withColumn("__i", F.col("__i") + F.col("__off"))
+    back = Window.partitionBy(*by, "__part").orderBy(F.col(date).desc_nulls_first())
+    to_here = Window.unboundedPreceding, 0
+
+    def filled(c: str) -> Column:
+        p = F.coalesce(F.last(known(c), ignorenulls=True).over(ahead.rowsBetween(*to_here)), F.col(f"__p_{c}"))
+        q = F.coalesce(F.last(known(c), ignorenulls=True).over(back.rowsBetween(*to_here)), F.col(f"__q_{c}"))
+        line = p["v"] + (q["v"] - p["v"]) * (F.col("__i") - p["i"]) / (q["i"] - p["i"])
+        inner = F.when(p.isNotNull() & q.isNotNull(), line)
+        value = F.coalesce(inner, p["v"], q["v"]) if rule == 2 else inner
+        enough = F.lit(True) if single == "fill" else F.col(f"__t_{c}") > 1
+        return F.when(F.col(c).isNotNull(), F.col(c).cast("double")).when(enough, value)
+
+    out = rows.withColumns({f"__f_{c}": filled(c) for c in cols})
+    return out.select(*[F.col(f"__f_{c}").alias(c) if c in cols else F.col(c) for c in df.columns])
+
+
 def annual_summary(daily: DataFrame, by: list[str], date: str = "W_DATE", high: str = "TMAX", low: str = "TMIN") -> DataFrame:
     """Mean temperature (``TAV``) and half the range of the monthly means (``AMP``).
 
@@ -241,32 +298,99 @@ def choose_stations(
     return best.filter(F.col("dist_km") <= F.try_element_at(radius, F.col("variable")))
 
 
+def valid_on(stations: DataFrame, on_date: Column, today: Column | None = None) -> Column:
+    """Whether a station's period covers a date and, if the archive is split by age, is the part that holds it."""
+    valid = (F.col("start_date") <= on_date) & (F.col("end_date") >= on_date)
+    if "per" in stations.columns:
+        age = F.coalesce(F.nullif("per", F.lit("")), F.lit("historical"))
+        valid = valid & (age == archive_period(on_date, today))
+    return valid
+
+
+def on_dates(stations: DataFrame, asked: DataFrame, on_date: str) -> DataFrame:
+    """Stations with every asked date in their period: both meet on the years that a period covers."""
+    years = F.sequence(F.year("start_date"), F.greatest(F.year("start_date"), F.year("end_date")))
+    spans = stations.withColumn("__year", F.explode(years))
+    days = asked.withColumn("__year", F.year(on_date))
+    met = spans.join(days, "__year").drop("__year")
+    return met.filter((F.col("start_date") <= F.col(on_date)) & (F.col("end_date") >= F.col(on_date)))
+
+
 def find_stations(
     sites: DataFrame, stations: DataFrame, params: list[dict] = STATION_PARAMS, on_date: str = "min_date", today: Column | None = None, nearest: int | None = None
 ) -> DataFrame:
     """All stations of each variable within its radius and resolution that are valid on a date.
 
     ``sites``: site_id, lat, lon and the date; the columns of ``stations`` are those of
-    :func:`choose_stations`. ``nearest`` limits the output to that many stations per site, date and variable; without it every
-    station in reach is listed, which grows with both tables.
+    :func:`choose_stations`. ``nearest`` limits the output to the places of that many stations per site, date and variable, found by
+    a search that looks at no others; without it every station in reach is listed, which grows with both tables.
     """
     parts = []
     for p in params:
         own = stations.filter((F.col("variable") == p["variable"]) & F.col("res").isin(p["res"]))
-        # a place is searched once, then meets the periods and resolutions of its station there
-        places = own.select("station_id", "lat", "lon").distinct()
-        near = stations_within(sites, places, p["max_radius"], station="station_id")
-        rest = own.distinct().withColumnsRenamed({"lat": "st_lat", "lon": "st_lon"})
-        parts.append(null_safe_join(near, rest, ["station_id", "st_lat", "st_lon"], "inner"))
-    out = reduce(DataFrame.unionByName, parts)
-    out = out.filter((F.col("start_date") <= F.col(on_date)) & (F.col("end_date") >= F.col(on_date)))
-    if "per" in stations.columns:
-        age = F.coalesce(F.nullif("per", F.lit("")), F.lit("historical"))
-        out = out.filter(age == archive_period(F.col(on_date), today))
-    if nearest is None:
-        return out
-    order = Window.partitionBy("site_id", "lat", "lon", on_date, "variable").orderBy(F.round("dist_km", 6), "station_id")
-    return out.withColumn("__rank", F.dense_rank().over(order)).filter(F.col("__rank") <= nearest).drop("__rank")
+        if nearest is None:
+            # a place is searched once, then meets the periods and resolutions of its station there
+            near = stations_within(sites, own.select("station_id", "lat", "lon").distinct(), p["max_radius"], station="station_id")
+            rest = own.distinct().withColumnsRenamed({"lat": "st_lat", "lon": "st_lon"})
+            found = null_safe_join(near, rest, ["station_id", "st_lat", "st_lon"], "inner")
+            parts.append(found.filter(valid_on(stations, F.col(on_date), today)))
+            continue
+        # a station stands where it stands on the date; the dates in use are few next to the sites
+        asked = checkpointed(sites.select(on_date).distinct())
+        dated = on_dates(own.distinct(), asked, on_date).filter(valid_on(stations, F.col(on_date), today))
+        places = dated.select(on_date, "station_id", "lat", "lon").distinct()
+        near = nearest_stations(sites, places, p["max_radius"], nearest, [on_date]).drop("rank")
+        rest = dated.withColumnsRenamed({"lat": "st_lat", "lon": "st_lon"})
+        parts.append(null_safe_join(near, rest, [on_date, "station_id", "st_lat", "st_lon"], "inner"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def tagged_variable(params: list[dict] = STATION_PARAMS, var: str = "var") -> Column:
+    """The variable that an archive name belongs to, null if none does."""
+    return F.try_element_at(_lookup({v: p["variable"] for p in params for v in p["repo_vars"]}), F.col(var))
+
+
+def write_archive(
+    readings: DataFrame, path: str, params: list[dict] = STATION_PARAMS, files: int = 8, station: str = "station_id", ts: str = "ts"
+) -> None:
+    """Station readings in folders by year and variable, and beside them which station has which year as a whole.
+
+    A folder holds ``files`` files at most, each with a share of its stations in order of station and time, so a reader skips
+    folders by the years and variables that it wants, and row groups by station. ``edges`` keeps the result of :func:`coverage`, so
+    choosing stations reads no reading.
+    """
+    rows = readings.withColumns({"year": F.year(ts), "variable": tagged_variable(params)}).filter("variable IS NOT NULL AND year IS NOT NULL")
+    share = F.pmod(F.xxhash64(station), F.lit(files))
+    placed = rows.withColumn("__share", share).repartition("year", "variable", "__share").sortWithinPartitions("year", "variable", station, ts)
+    placed.drop("__share").write.partitionBy("year", "variable").parquet(f"{path}/readings")
+    kept = readings.sparkSession.read.parquet(f"{path}/readings")
+    coverage(kept, [station, "variable"], ts).write.parquet(f"{path}/edges")
+
+
+def archive_readings(archive: DataFrame, chosen: DataFrame) -> DataFrame:
+    """Readings of the chosen stations, years and variables; only the folders of chosen years and variables are listed and read.
+
+    ``chosen`` (station_id, year, variable; kept) is a small table: its distinct years and variables, no more than the archive has
+    folders, become the partition filter.
+    """
+    served = chosen.select("station_id", "variable", "year").distinct()
+    years: dict[str, list[int]] = {}
+    for r in served.select("variable", "year").distinct().collect():
+        years.setdefault(r["variable"], []).append(r["year"])
+    wanted = [(F.col("variable") == v) & F.col("year").isin(sorted(ys)) for v, ys in sorted(years.items())]
+    pruned = archive.filter(reduce(lambda x, y: x | y, wanted, F.lit(False)))
+    return pruned.join(served, ["station_id", "variable", "year"], "left_semi")
+
+
+def archive_weather(
+    path: str, wanted: DataFrame, stations: DataFrame, mapping: list[dict] = STATION_MAP, params: list[dict] = STATION_PARAMS, nulls: str = "poison"
+) -> dict[str, DataFrame]:
+    """As :func:`get_weather` from an archive that :func:`write_archive` wrote: stations are chosen by its kept edge days, and its
+    readings are scanned once, in the chosen folders only."""
+    spark = wanted.sparkSession
+    archive = spark.read.parquet(f"{path}/readings")
+    chosen = checkpointed(choose_stations(wanted, stations, spark.read.parquet(f"{path}/edges"), params))
+    return site_weather(chosen, stations, archive_readings(archive, chosen), mapping, nulls)
 
 
 def get_weather(
@@ -279,12 +403,14 @@ def get_weather(
 ) -> dict[str, DataFrame]:
     """Daily weather, header and station choice for all sites and years in one plan.
 
-    ``readings``: station_id, var (archive name), ts, value. Only those of stations in reach and of wanted years are looked at, and
-    only those of a chosen station, variable and year are aggregated, once for all the sites that it serves. The choice, one
-    row per site, year and variable, is written to the checkpoint folder.
+    ``readings``: station_id, var (archive name), ts, value. Only those of stations in reach and of wanted years are looked at (the
+    range of years reaches the scan), and only those of a chosen station, variable and year are aggregated, once for all the sites that
+    it serves. The choice, one row per site, year and variable, is written to the checkpoint folder.
     """
-    group = _lookup({v: p["variable"] for p in params for v in p["repo_vars"]})
-    tagged = readings.withColumn("variable", F.try_element_at(group, F.col("var"))).filter("variable IS NOT NULL")
+    span = wanted.agg(F.min("year").alias("first"), F.max("year").alias("last")).first()
+    if span["first"] is not None:
+        readings = within_years(readings, "ts", int(span["first"]), int(span["last"]))
+    tagged = readings.withColumn("variable", tagged_variable(params)).filter("variable IS NOT NULL")
     tagged = tagged.withColumn("year", F.year("ts")).join(wanted.select("year").distinct(), "year", "left_semi")
     places = stations.select("station_id", "lat", "lon").distinct()
     spots = wanted.select("lat", "lon").distinct()
@@ -293,6 +419,11 @@ def get_weather(
     chosen = checkpointed(choose_stations(wanted, stations, coverage(tagged, ["station_id", "variable"]), params))
     served = chosen.select("station_id", "variable", "year").distinct()
     used = tagged.join(served, ["station_id", "variable", "year"], "left_semi")
+    return site_weather(chosen, stations, used, mapping, nulls)
+
+
+def site_weather(chosen: DataFrame, stations: DataFrame, used: DataFrame, mapping: list[dict], nulls: str) -> dict[str, DataFrame]:
+    """Weather of the sites from the readings of their chosen stations."""
     daily = daily_from_long(used, mapping, ["station_id", "variable"], nulls=nulls).withColumn("year", F.year("W_DATE"))
     picked = chosen.select("site_id", "year", "station_id", "variable")
     rows = null_safe_join(picked, daily, ["station_id", "variable", "year"], "inner")

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from agroloom.operators import merge, profile
 from agroloom.operators.columns import qualify, rescale_members
 from agroloom.operators.ids import first_row
-from agroloom.operators.nesting import collapse_columns, joined_text, unnest, zip_lists
-from agroloom.operators.quality import compare_tables, fit_metrics, midpoints, paired_values, section_dates
+from agroloom.operators.nesting import collapse_columns, joined_text, numbered_items, text_pieces, unnest, zip_lists
+from agroloom.operators.quality import compare_by_checksum, compare_tables, fit_metrics, midpoints, paired_values, section_dates
 from agroloom.operators.scale import null_safe_join, rename_join
 from agroloom.queries import Tables, query
 from agroloom.queries.profiles import star
@@ -31,6 +31,24 @@ def merged_star(t: Tables) -> DataFrame:
     return out["orders"].select("orderkey", "orders__totalprice", "customer__name", "customer__mktsegment", "nation__name", "region__name")
 
 
+@query("""
+    WITH c AS (SELECT o_orderkey, o_orderstatus, o_custkey, c_nationkey AS own, c_nationkey + CASE WHEN o_orderstatus = 'P' AND o_orderkey % 7 = 0 THEN 1 ELSE 0 END AS other
+               FROM orders JOIN customer ON o_custkey = c_custkey),
+    s AS (SELECT o_orderstatus, bool_and(own = other) AS same FROM c GROUP BY 1)
+    SELECT o_orderkey, CASE WHEN same THEN other ELSE -1 END AS nation, CASE WHEN same THEN -1 ELSE own END AS nation_x, CASE WHEN same THEN -1 ELSE other END AS nation_y
+    FROM c JOIN s USING (o_orderstatus)
+""")
+def settled_conflicts(t: Tables) -> DataFrame:
+    """Orders and their customers both know the nation; in the statuses where they agree there is one, elsewhere both stay."""
+    nations = t.customer.select("c_custkey", "c_nationkey")
+    wrong = (F.col("o_orderstatus") == "P") & (F.col("o_orderkey") % 7 == 0)
+    placed = null_safe_join(t.orders.withColumn("c_custkey", F.col("o_custkey")), nations, ["c_custkey"], "inner")
+    orders = placed.select("o_orderkey", "o_orderstatus", "c_custkey", F.col("c_nationkey").alias("nation"))
+    told = placed.select("o_orderkey", "o_orderstatus", (F.col("c_nationkey") + wrong.cast("int")).alias("nation"))
+    out = merge.merge_settled(orders, told, ["o_orderstatus", "o_orderkey"], ["o_orderstatus"])
+    return out.select("o_orderkey", "nation", "nation_x", "nation_y").fillna(-1)
+
+
 @query("""
     SELECT l_orderkey, l_linenumber, l_quantity, o_custkey, year(o_orderdate) AS year
     FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey
@@ -188,6 +206,25 @@ def zipped_lists(t: Tables) -> DataFrame:
     return zip_lists(lists, ["k", "v"])
 
 
+@query("""
+    SELECT l_returnflag, l_quantity, l_orderkey, l_linenumber, row_number() OVER (PARTITION BY l_returnflag ORDER BY l_quantity, l_orderkey, l_linenumber) AS number FROM lineitem
+""")
+def numbered_lines(t: Tables) -> DataFrame:
+    """Three lists of all lines, with the place of each item."""
+    return numbered_items(t.lineitem, ["l_quantity", "l_orderkey", "l_linenumber"], ["l_quantity"], ["l_returnflag"])
+
+
+@query("""
+    WITH d AS (SELECT DISTINCT o_orderstatus, o_orderpriority || '/' || o_custkey AS v FROM orders),
+    n AS (SELECT *, (row_number() OVER (PARTITION BY o_orderstatus ORDER BY v) - 1) // 100 AS piece FROM d)
+    SELECT o_orderstatus, piece, CASE WHEN piece > 0 THEN '; ' ELSE '' END || string_agg(v, '; ' ORDER BY v) AS text FROM n GROUP BY 1, 2
+""")
+def remark_pieces(t: Tables) -> DataFrame:
+    """Priorities and customers of a status as one long text, in pieces of a hundred."""
+    rows = t.orders.select("o_orderstatus", F.concat_ws("/", "o_orderpriority", F.col("o_custkey").cast("string")).alias("v"))
+    return text_pieces(rows, ["o_orderstatus"], "v", most=100)
+
+
 @query("""
     SELECT conv_id, string_agg(DISTINCT text, '; ' ORDER BY text) AS remarks FROM conversations GROUP BY 1
 """)
@@ -234,6 +271,18 @@ def compared_tables(t: Tables) -> DataFrame:
     return compare_tables(sim, obs, ["o_orderkey"])
 
 
+@query("""
+    SELECT 'trt' AS column_name, 0 AS n_differ, count_if(o_orderkey % 1009 <> 5) AS n_matched, count_if(o_orderkey % 1009 = 5) AS n_one_side FROM orders
+    UNION ALL SELECT 'yield', count_if(o_orderkey % 211 = 3 AND o_orderkey % 1009 <> 5), count_if(o_orderkey % 1009 <> 5), count_if(o_orderkey % 1009 = 5) FROM orders
+    UNION ALL SELECT 'day', 0, count_if(o_orderkey % 1009 <> 5), count_if(o_orderkey % 1009 = 5) FROM orders
+""")
+def checksummed_tables(t: Tables) -> DataFrame:
+    """Tables that differ in a few cells and a few rows, compared by the checksums of their ranges first."""
+    _, obs = simulated(t)
+    other = obs.withColumn("yield", F.col("yield") + F.when(F.col("o_orderkey") % 211 == 3, 2.0).otherwise(0.0)).where("o_orderkey % 1009 <> 5")
+    return compare_by_checksum(obs, other, ["o_orderkey"])
+
+
 @query("""
     SELECT p_brand, (min(p_size) + max(p_size)) / 2 AS p_size, round((min(p_retailprice) + max(p_retailprice)) / 2, 6) AS p_retailprice FROM part GROUP BY 1
 """)

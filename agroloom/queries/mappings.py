@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from agroloom.functions import dates
 from agroloom.functions.text import capitals, site_code, split_parts
+from agroloom.functions.units import convert_unit
 from agroloom.operators.columns import conform, standardize_names, upper_names, within_years
 from agroloom.operators.mapping import code_lookup, map_codes, map_data, read_mapping, unit_errors
 from agroloom.operators.scale import null_safe_join
@@ -64,6 +65,31 @@ def unknown_units(t: Tables) -> DataFrame:
     return null_safe_join(t.part.select("p_partkey"), found, ["p_partkey"]).fillna(False)
 
 
+# source unit, target unit, factor and zero of the conversion, in the spellings that datasets use
+COMPOUND_UNITS = [
+    ("kg ha-1", "g/m2", 0.1, 0.0), ("g m^-2 d^-1", "kg/(ha d)", 10.0, 0.0), ("mmol/l", "mol m-3", 1.0, 0.0), ("hPa", "bar", 0.001, 0.0),
+    ("W m-2", "MJ/m2/d", 0.0864, 0.0), ("m³ m⁻³", "%", 100.0, 0.0), ("°F", "degree_C", 5 / 9, -160 / 9), ("kg ha-1", "kg", None, None),
+]
+
+
+@query(f"""
+    WITH u AS (SELECT * FROM (VALUES {", ".join(f"({i}, {'NULL' if f is None else repr(f)}::DOUBLE, {'NULL' if z is None else repr(z)}::DOUBLE)" for i, (_, _, f, z) in enumerate(COMPOUND_UNITS))}) x(i, f, z))
+    SELECT l_orderkey, l_linenumber, l_partkey % 8 AS unit, coalesce(round(l_quantity * f + z, 6), -1) AS value FROM lineitem JOIN u ON l_partkey % 8 = i
+""")
+def compound_units(t: Tables) -> DataFrame:
+    """Quantities in products and powers of units; a pair of other dimensions has no value."""
+
+    def converted(source: str, target: str) -> Column:
+        try:
+            return convert_unit(F.col("l_quantity"), source, target)
+        except ValueError:
+            return F.lit(-1.0)
+
+    unit = F.col("l_partkey") % 8
+    values = [F.when(unit == i, converted(a, b)) for i, (a, b, _, _) in enumerate(COMPOUND_UNITS)]
+    return t.lineitem.select("l_orderkey", "l_linenumber", unit.alias("unit"), F.round(F.coalesce(*values), 6).alias("value"))
+
+
 @query("""
     SELECT DISTINCT o_custkey, coalesce(CASE o_orderpriority WHEN '1-URGENT' THEN 'U' WHEN '2-HIGH' THEN 'M' WHEN '3-MEDIUM' THEN 'M'
         WHEN '5-LOW' THEN '5-LOW' END, '-') AS priority, o_orderstatus AS status, round(o_totalprice / 10, 6) AS yield FROM orders

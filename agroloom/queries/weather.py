@@ -10,7 +10,7 @@ from agroloom.operators.merge import locate_points
 from agroloom.operators.phenology import estimate_phenology
 from agroloom.operators.scale import null_safe_join
 from agroloom.operators.soil import format_soil
-from agroloom.operators.stations import nearest_station, stations_within
+from agroloom.operators.stations import nearest_station, nearest_stations, stations_within
 from agroloom.queries import Tables, query
 from agroloom.session import scratch_path
 from agroloom.sources.files import read_archive
@@ -112,6 +112,24 @@ def impute_inner(t: Tables) -> DataFrame:
     return inner.select("event_type", text_day("day"), F.coalesce(F.round("v", 10), F.lit(-99.0)).alias("v"))
 
 
+@query("""
+    WITH o AS (SELECT o_orderstatus AS station, o_orderkey AS spot, CASE WHEN o_orderkey % 5 > 1 AND (o_orderkey // 400) % 3 > 0 THEN o_totalprice END AS v FROM orders),
+    g AS (SELECT *, row_number() OVER (PARTITION BY station ORDER BY spot) AS i FROM o),
+    s AS (SELECT *, last_value(CASE WHEN v IS NOT NULL THEN i END IGNORE NULLS) OVER a AS i0, last_value(v IGNORE NULLS) OVER a AS v0,
+                 first_value(CASE WHEN v IS NOT NULL THEN i END IGNORE NULLS) OVER b AS i1, first_value(v IGNORE NULLS) OVER b AS v1
+          FROM g WINDOW a AS (PARTITION BY station ORDER BY spot ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+                        b AS (PARTITION BY station ORDER BY spot ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))
+    SELECT station, spot, CAST(floor(1000 * CASE WHEN v IS NOT NULL THEN v WHEN v0 IS NOT NULL AND v1 IS NOT NULL THEN v0 + (v1 - v0) * (i - i0) / (i1 - i0)
+                                   ELSE coalesce(v0, v1) END + 0.5) AS BIGINT) AS v FROM s
+""")
+def impute_long_series(t: Tables) -> DataFrame:
+    """Three series of all orders, each far longer than a year, with gaps of one to hundreds of rows."""
+    at = F.col("o_orderkey")
+    known = (at % 5 > 1) & (F.floor(at / 400) % 3 > 0)
+    rows = t.orders.select(F.col("o_orderstatus").alias("station"), at.alias("spot"), F.when(known, F.col("o_totalprice")).alias("v"))
+    return w.impute_long(rows, ["station"], "spot", ["v"]).withColumn("v", F.floor(1000 * F.col("v") + 0.5))
+
+
 _PRICE_DAYS = """
     WITH d AS (SELECT o_orderstatus AS station, o_orderdate::DATE AS day, max(o_totalprice) / 9973 AS hi,
                       min(o_totalprice) / 9973 AS lo FROM orders GROUP BY 1, 2)
@@ -196,6 +214,41 @@ def stations_in_radius(t: Tables) -> DataFrame:
     return near.select("site_id", "station_id", F.round("dist_km", 6).alias("dist_km"))
 
 
+@query(f"""
+    WITH s AS (SELECT c_custkey AS site_id, {_spread_sql('c_custkey', 0)} FROM customer),
+    p AS (SELECT s_suppkey AS station_id, {_spread_sql('s_suppkey', 2)} FROM supplier),
+    d AS (SELECT site_id, station_id, round({_HAV}, 6) AS dist_km FROM s, p WHERE {_HAV} <= 300)
+    SELECT site_id, station_id, dist_km, CAST(row_number() OVER (PARTITION BY site_id ORDER BY dist_km, station_id) AS INTEGER) AS rank FROM d QUALIFY rank <= 10
+""")
+def ten_nearest_suppliers(t: Tables) -> DataFrame:
+    """The ten nearest suppliers of every customer within 300 km."""
+    sites = t.customer.select(F.col("c_custkey").alias("site_id"), *spread("c_custkey", 0))
+    stations = t.supplier.select(F.col("s_suppkey").alias("station_id"), *spread("s_suppkey", 2))
+    return nearest_stations(sites, stations, 300, 10).select("site_id", "station_id", "dist_km", "rank")
+
+
+@query(f"""
+    WITH v AS (SELECT * FROM (VALUES ('air_temperature', 400), ('precipitation', 200)) x(variable, radius)),
+    s AS (SELECT c_custkey AS site_id, CASE c_custkey % 3 WHEN 0 THEN DATE '1994-03-01' WHEN 1 THEN DATE '1996-06-01' ELSE DATE '1997-07-01' END AS d, {_spread_sql('c_custkey', 0)} FROM customer),
+    p AS (SELECT s_suppkey AS station_id, make_date((1993 + s_suppkey % 5)::INT, 1, 1) AS start_date, {_spread_sql('s_suppkey', 2)} FROM supplier),
+    near AS (SELECT site_id, station_id, variable, round({_HAV}, 6) AS dist_km FROM s, p, v WHERE start_date <= d AND {_HAV} <= radius)
+    SELECT site_id, variable, station_id, dist_km FROM near QUALIFY row_number() OVER (PARTITION BY site_id, variable ORDER BY dist_km, station_id) <= 3
+""")
+def three_nearest_valid_suppliers(t: Tables) -> DataFrame:
+    """The three nearest suppliers of every customer that are open on the customer's date, for each variable's radius."""
+    days = F.array(*[F.lit(d).cast("date") for d in ("1994-03-01", "1996-06-01", "1997-07-01")])
+    sites = t.customer.select(
+        F.col("c_custkey").alias("site_id"), F.get(days, (F.col("c_custkey") % 3).cast("int")).alias("min_date"), *spread("c_custkey", 0)
+    )
+    stations = t.supplier.select(
+        F.col("s_suppkey").alias("station_id"), F.explode(F.array(*[F.lit(p["variable"]) for p in PARAMS])).alias("variable"), F.lit("hourly").alias("res"),
+        F.make_date((1993 + F.col("s_suppkey") % 5).cast("int"), F.lit(1), F.lit(1)).alias("start_date"), F.lit("2009-12-31").cast("date").alias("end_date"),
+        *spread("s_suppkey", 2),
+    )
+    found = w.find_stations(sites, stations, PARAMS, nearest=3)
+    return found.select("site_id", "variable", "station_id", "dist_km")
+
+
 PARAMS = [
     {"variable": "air_temperature", "max_radius": 400, "res": ["hourly"], "repo_vars": ["TT_TU"]},
     {"variable": "precipitation", "max_radius": 200, "res": ["daily", "hourly"], "repo_vars": ["R1"]},
@@ -399,6 +452,21 @@ def station_sentences(t: Tables) -> DataFrame:
     return got.select("site_id", "year", "station_id", short.alias("comment"))
 
 
+@query(
+    _DAILY_SQL
+    + """SELECT site_id, year AS "Year", strftime(day, '%Y-%m-%d') AS W_DATE, coalesce(round(TMAX, 10), -99) AS TMAX,
+        coalesce(round(TMIN, 10), -99) AS TMIN, coalesce(round(TMEAN, 10), -99) AS TMEAN, coalesce(round(RAIN, 10), -99) AS RAIN FROM wide WHERE year >= 1996"""
+)
+def archive_weather_daily(t: Tables) -> DataFrame:
+    """Weather from an archive in folders by year and variable, of which the years before 1996 are never opened."""
+    inputs, path = station_inputs(t), scratch_path(t.spark, "archive")
+    w.write_archive(inputs["readings"], path, PARAMS)
+    wanted = inputs["wanted"].where("year >= 1996")
+    data = w.archive_weather(path, wanted, inputs["stations"], WEATHER_MAP, PARAMS)["data"]
+    cols = ["TMAX", "TMIN", "TMEAN", "RAIN"]
+    return data.select("site_id", "Year", text_day("W_DATE"), *[F.coalesce(F.round(c, 10), F.lit(-99.0)).alias(c) for c in cols])
+
+
 # --- archive, soil, phenology --------------------------------------------------------------------
 
 @query("""
@@ -440,6 +508,38 @@ def country_of_point(t: Tables) -> DataFrame:
     return got.select("s_suppkey", F.coalesce("country", F.lit("-")).alias("country"))
 
 
+def region_areas(t: Tables) -> DataFrame:
+    """Regions as a square with a hole, and a second square that lies across the date line."""
+
+    def square(x: Column, y: Column, side: float, west: float = 0.0) -> Column:
+        corners = ((0.0, 0.0), (side, 0.0), (side, side), (0.0, side), (0.0, 0.0))
+        turned = [F.when(x + dx + west >= 180, x + dx + west - 360).otherwise(x + dx + west) for dx, _ in corners]
+        return F.array(*[F.struct(px.cast("double").alias("lon"), (y + dy).cast("double").alias("lat")) for px, (_, dy) in zip(turned, corners)])
+
+    k = F.col("r_regionkey")
+    x, y = 6 + k * 1.5, F.lit(48.0) + k
+    rings = F.array(square(x, y, 3.0), square(x + 1, y + 1, 1.0), square(F.lit(0.0), y, 2.0, 179.0))
+    return t.region.select(F.col("r_name").alias("region"), k.alias("k"), rings.alias("rings"))
+
+
+@query(f"""
+    WITH s AS (SELECT c_custkey, {_spread_sql('c_custkey', 0)} FROM customer),
+    p AS (SELECT c_custkey, lat, CASE WHEN c_custkey % 3 = 0 THEN CASE WHEN 172 + lon >= 180 THEN lon - 188 ELSE 172 + lon END ELSE lon END AS lon FROM s),
+    r AS (SELECT r_regionkey AS k, r_name, 6 + r_regionkey * 1.5 AS x, 48.0 + r_regionkey AS y FROM region),
+    hit AS (SELECT c_custkey, r_name, k FROM p, r
+            WHERE (lat >= y AND lat < y + 3 AND lon >= x AND lon < x + 3 AND NOT (lat >= y + 1 AND lat < y + 2 AND lon >= x + 1 AND lon < x + 2))
+               OR (lat >= y AND lat < y + 2 AND (lon >= 179 OR lon < -179)))
+    SELECT p.c_custkey, coalesce(arg_min(r_name, k), '-') AS region FROM p LEFT JOIN hit ON p.c_custkey = hit.c_custkey GROUP BY 1
+""")
+def region_of_customer(t: Tables) -> DataFrame:
+    """Customers in outlines with holes and parts, some of them across the date line; of several the smallest region key counts."""
+    k, (lat, lon) = F.col("c_custkey"), spread("c_custkey", 0)
+    far = F.when(lon + 172 >= 180, lon - 188).otherwise(lon + 172)
+    points = t.customer.select("c_custkey", lat, F.when(k % 3 == 0, far).otherwise(lon).alias("lon"))
+    got = locate_points(points, region_areas(t).select("rings", "k", "region"), ["k", "region"])
+    return got.select("c_custkey", F.coalesce("region", F.lit("-")).alias("region"))
+
+
 SOIL_MAP = [
     {"std_var": "SLB", "repo_var": "lodep", "conv_fct": 1.0},
     {"std_var": "SLCL", "repo_var": "clay", "conv_fct": 0.1},
