@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -18,11 +18,9 @@ from agroloom.llm.text import map_arrow, slices, texts_of
 from agroloom.operators.scale import null_safe_join
 from agroloom.session import checkpointed
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>",
-    re.S,
-)
+_NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+_QUOTE = re.compile(r"""=\s*(["'])|>""")
+READS = 8  # times a page's length that may be spent on quoted attributes
 _ATTRIBUTE = re.compile(r"""([^\s=/"']+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 _SPACE = re.compile(r"\s+")
 _DIGITS = re.compile(r"\d+")
@@ -49,24 +47,90 @@ _SIDE = frozenset(
 _READERS = frozenset("comment comments commentlist reply replies disqus respond discussion".split())
 _WRAPPER = re.compile(r"\b(?:with|has|no|without)[-_]\w+")  # says what lies beside, not what it is
 _SIDE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert form menu menubar".split())
-# Start tags that close an open paragraph, and what an element of a list or table closes.
-_CLOSED_BY = {
-    "li": ("li", {"ul", "ol", "menu"}),
-    "dt": ("dt", {"dl"}),
-    "dd": ("dd", {"dl"}),
-    "tr": ("tr", {"table"}),
-    "td": ("td", {"tr", "table"}),
-    "th": ("th", {"tr", "table"}),
-    "option": ("option", {"select"}),
+# Elements of lists and tables: a start tag closes the nearest open one of its kind, unless a list or table begins between.
+_KINDS = {
+    "li": (("li",), ("ul", "ol", "menu")),
+    "dt": (("dt", "dd"), ("dl",)),
+    "tr": (("tr",), ("table",)),
+    "td": (("td", "th"), ("tr", "table")),
+    "option": (("option",), ("select",)),
 }
+_KIND_OF = {tag: kind for kind, (same, _) in _KINDS.items() for tag in same}
+_SCOPES = {tag: [k for k, (same, stop) in _KINDS.items() if tag in same or tag in stop] for tag in {t for x in _KINDS.values() for ts in x for t in ts}}
 
 
-class Element:
-    __slots__ = ("tag", "path", "parent", "side", "holds", "score")
+class Scanner:
+    """Markup of a page from left to right, in time linear in its length.
+
+    ``next`` gives the next tag, comment or declaration at or after ``at`` and moves ``at`` behind it; the caller may move it
+    further, as behind a script. A ``<`` that begins no markup is text.
+    """
+
+    def __init__(self, source: str):
+        self.source, self.at = source, 0
+        self.last = source.rfind(">")
+        self.spent = 0
+
+    def next(self) -> tuple[int, str, str, str] | None:
+        """Where it begins, its kind (``start``, ``end``, ``data`` or ``skip``), tag in lower case (or the data) and attributes."""
+        source, at = self.source, self.at
+        while (begin := source.find("<", at)) >= 0:
+            if source.startswith("<!--", begin):
+                return self._until(begin, "-->", 4, "skip")
+            if source.startswith("<![CDATA[", begin):
+                return self._until(begin, "]]>", 9, "data")
+            if begin > self.last:  # nothing is closed any more
+                return None
+            if source.startswith(("<!", "<?"), begin):
+                self.at = source.find(">", begin) + 1
+                return begin, "skip", "", ""
+            closing = source.startswith("/", begin + 1)
+            name = _NAME.match(source, begin + 1 + closing)
+            if name:
+                end = self._close(name.end())
+                self.at = end + 1
+                return begin, "end" if closing else "start", name[0].lower(), source[name.end() : end]
+            at = begin + 1
+        return None
+
+    def _until(self, begin: int, mark: str, skip: int, kind: str) -> tuple[int, str, str, str]:
+        end = self.source.find(mark, begin + skip)
+        self.at = len(self.source) if end < 0 else end + len(mark)
+        return begin, kind, self.source[begin + skip : len(self.source) if end < 0 else end], ""
+
+    def _close(self, at: int) -> int:
+        """The ``>`` that ends a tag: the first one outside quoted values, or the first of all where a quote stays open.
+
+        Broken quotes may lead to the end of the page again and again, so they are followed only until that has cost
+        ``READS`` times the length of the page.
+        """
+        first = self.source.find(">", at)
+        while self.spent < READS * len(self.source):
+            m = _QUOTE.search(self.source, at)
+            if m is None:
+                break
+            if m[1] is None:
+                return m.start()
+            end = self.source.find(m[1], m.end())
+            self.spent += (len(self.source) if end < 0 else end) - at
+            if end < 0:
+                break
+            at = end + 1
+        return first
 
-    def __init__(self, tag: str, path: str, parent: Element | None, side: int):
-        self.tag, self.path, self.parent, self.side = tag, path, parent, side
+
+class Element:
+    __slots__ = ("tag", "step", "path", "parent", "around", "scopes", "side", "holds", "within", "score")
+
+    def __init__(self, tag: str, step: str, path: int, parent: Element | None, side: int):
+        self.tag, self.step, self.path, self.parent, self.side = tag, step, path, parent, side
+        # the nearest container around it
+        self.around = parent if parent is None or parent.tag in _CONTAINERS else parent.around
+        self.scopes: dict[str, Element] = {} if parent is None else parent.scopes
+        if tag in _SCOPES:
+            self.scopes = self.scopes | dict.fromkeys(_SCOPES[tag], self)
         self.holds = False  # an article or main element lies inside
+        self.within = tag in ("article", "main") or parent is not None and parent.within  # it is one or lies in one
         self.score = 0.0
 
 
@@ -78,14 +142,13 @@ def _attributes(text: str) -> dict[str, str]:
 
 def _step(tag: str, marks: dict[str, str]) -> str:
     """Tag with its classes in order, digits generalised."""
-    names = sorted(set(_DIGITS.sub("#", marks.get("class", "").lower()).split()))
+    names = sorted(set(_DIGITS.sub("#", marks.get("class", "").lower().replace(">", " ")).split()))
     return ".".join([tag, *names])
 
 
-def _side_kind(tag: str, marks: dict[str, str]) -> int:
-    """2: never text; 1: side matter by its names, unless it holds the article or most of the text; 3: readers' comments, unless
-    they hold the article; 0: none."""
-    if tag in _DROPPED:
+def _side_kind(tag: str, marks: dict[str, str], in_article: bool) -> int:
+    """2: never text; 1: side matter by its names, unless it holds the article; 0: none. An article's own header is part of it."""
+    if tag in _DROPPED and not (in_article and tag == "header"):
         return 2
     if not marks:
         return 0
@@ -95,24 +158,28 @@ def _side_kind(tag: str, marks: dict[str, str]) -> int:
     if tag in ("body", "html", "article", "main"):
         return 0
     parts = _PARTS.findall(_WRAPPER.sub("", f"{marks.get('class', '')} {marks.get('id', '')}".lower()))
-    if not _READERS.isdisjoint(parts):
-        return 3
-    return int(not _SIDE.isdisjoint(parts) or marks.get("role", "").lower() in _SIDE_ROLES)
+    side = (_SIDE | _READERS).intersection(parts) - ({"header"} if in_article else set())
+    return int(bool(side) or marks.get("role", "").lower() in _SIDE_ROLES)
 
 
 class Page:
-    """The blocks of a page, each with its element and the share of link text, and the page's containers."""
+    """The blocks of a page, each with its element and the share of link text, and the page's containers.
+
+    Everything takes time linear in the page, also where tags are broken or nested without end.
+    """
 
     def __init__(self, source: str):
         self.blocks: list[tuple[Element, str, int]] = []
         self.containers: list[Element] = []
         self.kept: list[tuple[Element, str, int]] | None = None
+        self.paths: dict[tuple[int, str], int] = {}  # (path of the parent, step) -> path
         self._read(source)
 
     def _read(self, source: str) -> None:
-        here = Element("", "", None, 0)
+        here = Element("", "", 0, None, 0)
+        open_: dict[str, int] = {}
         parts: list[str] = []
-        linked, in_link, at, raw_until = 0, 0, 0, None
+        linked, in_link, scan, at = 0, 0, Scanner(source), 0
 
         def flush() -> None:
             nonlocal linked
@@ -130,27 +197,35 @@ class Page:
                 if in_link:
                     linked += len(text)
 
-        for m in _TOKEN.finditer(source):
-            if m.start() < at:
+        def close(top: Element) -> None:
+            """End ``top`` and all elements open inside it."""
+            nonlocal here
+            while True:
+                e, here = here, here.parent
+                open_[e.tag] -= 1
+                if e is top:
+                    return
+
+        while (found := scan.next()) is not None:
+            begin, kind, tag, given = found
+            add(source[at:begin])
+            at = scan.at
+            if kind == "skip":
                 continue
-            add(source[at : m.start()])
-            at = m.end()
-            tag = (m[2] or m[5] or "").lower()
-            if not tag:
-                if m[0].startswith("<![CDATA["):
-                    add(html.escape(m[0][9:].removesuffix("]]>"), quote=False))
+            if kind == "data":
+                add(html.escape(tag, quote=False))
                 continue
-            if m[1] or m[4]:  # end tag
+            if kind == "end":
                 if tag == "a":
                     in_link = 0
                 if tag in _INLINE:
                     continue
                 flush()
-                up = here
-                while up.parent is not None and up.tag != tag:
-                    up = up.parent
-                if up.parent is not None:
-                    here = up.parent
+                if open_.get(tag):
+                    up = here
+                    while up.tag != tag:
+                        up = up.parent
+                    close(up)
                 continue
             if tag == "a":
                 in_link = 1
@@ -159,11 +234,18 @@ class Page:
             if tag in _INLINE:
                 continue
             flush()
-            here = self._implied_end(here, tag)
+            if here.tag == "p":
+                close(here)
+            same = here.scopes.get(_KIND_OF.get(tag, ""))
+            if same is not None and same.tag in _KINDS[_KIND_OF[tag]][0]:
+                close(same)
             if tag in _VOID:
                 continue
-            marks = _attributes(m[3] or m[6] or "")
-            here = Element(tag, f"{here.path}>{_step(tag, marks)}", here, 2 if here.side == 2 else _side_kind(tag, marks))
+            marks = _attributes(given)
+            step = _step(tag, marks)
+            path = self.paths.setdefault((here.path, step), len(self.paths) + 1)
+            here = Element(tag, step, path, here, 2 if here.side == 2 else _side_kind(tag, marks, here.within))
+            open_[tag] = open_.get(tag, 0) + 1
             if tag in ("article", "main"):
                 up = here.parent
                 while up is not None and not up.holds:
@@ -173,45 +255,37 @@ class Page:
                 self.containers.append(here)
             if tag in _RAW:  # nothing inside is markup
                 end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(source, at)
-                at = end.start() if end else len(source)
+                at = scan.at = end.start() if end else len(source)
         add(source[at:])
         flush()
 
-    @staticmethod
-    def _implied_end(here: Element, tag: str) -> Element:
-        if here.tag == "p" and here.parent is not None:
-            here = here.parent
-        if tag in _CLOSED_BY:
-            same, stop = _CLOSED_BY[tag]
-            up = here
-            while up.parent is not None and up.tag not in stop:
-                if up.tag == same or same in ("dt", "dd") and up.tag in ("dt", "dd") or same in ("td", "th") and up.tag in ("td", "th"):
-                    return up.parent
-                up = up.parent
-        return here
-
-    def text_blocks(self) -> Iterator[tuple[Element, str, int]]:
-        """Blocks outside side matter."""
+    def text_blocks(self) -> list[tuple[Element, str, int]]:
+        """Blocks outside side matter, whatever its size; all text of a page that is side matter as a whole by its names."""
         if self.kept is None:
-            self.kept = [b for b in self.blocks if b[0].side != 2]
-            held: dict[Element, int] = {}
-            for e, text, linked in self.kept:
-                up = e
-                while up is not None:
-                    if up.side:
-                        held[up] = held.get(up, 0) + len(text) - linked
-                    up = up.parent
-            total = sum(len(text) - linked for _, text, linked in self.kept)
-            out = {e for e, n in held.items() if not e.holds and (e.side == 3 or 2 * n <= total)}
-            if out:
-                self.kept = [b for b in self.kept if not self._inside(b[0], out)]
-        yield from self.kept
+            text = [b for b in self.blocks if b[0].side != 2]
+            aside = self._lying(lambda e: e.side != 0 and not e.holds)
+            self.kept = [b for b in text if not aside(b[0])] or text
+        return self.kept
 
     @staticmethod
-    def _inside(e: Element | None, some: set[Element]) -> bool:
-        while e is not None and e not in some:
-            e = e.parent
-        return e is not None
+    def _lying(test: Callable[[Element], bool]) -> Callable[[Element], Element | None]:
+        """The nearest element around (or itself) that passes a test; what was found is kept for all elements between."""
+        known: dict[Element, Element | None] = {}
+
+        def look(e: Element | None) -> Element | None:
+            passed, found = [], None
+            while e is not None and e not in known:
+                passed.append(e)
+                if test(e):
+                    found = e
+                    break
+                e = e.parent
+            else:
+                found = known[e] if e is not None else None
+            known.update(dict.fromkeys(passed, found))
+            return found
+
+        return look
 
     def best(self) -> Element | None:
         """The container with the highest score: block text without links, whole for the nearest, then halved."""
@@ -219,66 +293,69 @@ class Page:
             e.score = 0.0
         for e, text, linked in self.text_blocks():
             weight, worth = 1.0, max(len(text) - 2 * linked, 0)
-            up = e
+            up = e if e.tag in _CONTAINERS else e.around
             while up is not None and weight > 0.1:
-                if up.tag in _CONTAINERS:
-                    up.score += worth * weight
-                    weight /= 2
-                up = up.parent
+                up.score += worth * weight
+                weight /= 2
+                up = up.around
         scored = [e for e in self.containers if e.score > 0]
         return max(scored, key=lambda e: e.score) if scored else None
 
+    @staticmethod
+    def path_of(e: Element) -> str:
+        steps = []
+        while e.parent is not None:
+            steps.append(e.step)
+            e = e.parent
+        return "".join(f">{x}" for x in reversed(steps))
+
     def on(self, path: str | None) -> list[Element]:
         """The containers on the path that hold text besides links."""
-        there = {e for e in self.containers if e.path == path}
-        found: dict[Element, None] = {}
-        if there:
-            for e, text, linked in self.text_blocks():
-                if len(text) > 2 * linked:
-                    up = e
-                    while up is not None and up not in there:
-                        up = up.parent
-                    if up is not None:
-                        found[up] = None
-        return list(found)
+        wanted = 0
+        for step in (path or "").split(">")[1:]:
+            wanted = self.paths.get((wanted, step), -1)
+        if wanted <= 0:
+            return []
+        there = self._lying(lambda e: e.path == wanted)
+        found = {there(e): None for e, text, linked in self.text_blocks() if len(text) > 2 * linked}
+        return [e for e in found if e is not None and e.tag in _CONTAINERS]
 
     def whole(self, chosen: list[Element]) -> list[Element]:
         """For each the outermost container around it that is an article or main, has text of its own beside it, or holds
         several sections of which it is one; else itself."""
         own: set[Element] = set()
-        sections: dict[Element | None, set[Element]] = {}
+        seen: set[Element] = set()
+        sections: dict[Element | None, int] = {}
         for e, text, linked in self.text_blocks():
             if len(text) > 2 * linked:
-                up, nearest = e, True
-                while up is not None:
-                    if up.tag in _CONTAINERS:
-                        if nearest:
-                            own.add(up)
-                        nearest = False
-                        if up.tag == "section":
-                            sections.setdefault(self._around(up), set()).add(up)
-                    up = up.parent
-        out = []
+                up = e if e.tag in _CONTAINERS else e.around
+                if up is not None:
+                    own.add(up)
+                while up is not None and up not in seen:
+                    seen.add(up)
+                    if up.tag == "section":
+                        sections[up.around] = sections.get(up.around, 0) + 1
+                    up = up.around
+        tops: dict[Element, Element | None] = {}  # the outermost such container around an element
         for e in chosen:
-            top, below, up = e, e, self._around(e)
-            while up is not None:
-                if up.tag in ("article", "main") or up in own or below.tag == "section" and len(sections.get(up, ())) > 1:
-                    top = up
-                up, below = self._around(up), up
-            out.append(top)
-        return out
-
-    @staticmethod
-    def _around(e: Element) -> Element | None:
-        up = e.parent
-        while up is not None and up.tag not in _CONTAINERS:
-            up = up.parent
-        return up
+            passed = []
+            while e is not None and e not in tops:
+                passed.append(e)
+                e = e.around
+            top = tops[e] if e is not None else None
+            for x in reversed(passed):
+                up = x.around
+                if top is None and up is not None:
+                    if up.tag in ("article", "main") or up in own or x.tag == "section" and sections.get(up, 0) > 1:
+                        top = up
+                tops[x] = top
+        return [tops[e] or e for e in chosen]
 
     def text_of(self, chosen: list[Element]) -> str:
         """Blocks inside the containers in page order (of the whole page without any)."""
         some = set(chosen)
-        return "\n\n".join(text for e, text, _ in self.text_blocks() if not some or self._inside(e, some))
+        inside = self._lying(lambda e: e in some)
+        return "\n\n".join(text for e, text, _ in self.text_blocks() if not some or inside(e))
 
 
 def host_of(url: str):
@@ -288,16 +365,18 @@ def host_of(url: str):
 
 
 def path_votes(df: DataFrame, page: str = "html") -> DataFrame:
-    """host, path, votes: how much text each host's pages have on their best container's path; summed before the shuffle."""
+    """host, path, votes: on how many of a host's pages the best container has the path; summed before the shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         votes: dict[tuple[str | None, str], int] = {}
         for batch in batches:
             for part in slices(batch, page):
                 for host, source in zip(part.column("host").to_pylist(), texts_of(part, page).to_pylist()):
-                    best = Page(source).best()
+                    found = Page(source)
+                    best = found.best()
                     if best is not None:
-                        votes[host, best.path] = votes.get((host, best.path), 0) + 1
+                        path = found.path_of(best)
+                        votes[host, path] = votes.get((host, path), 0) + 1
                 if len(votes) > 50_000:
                     yield _votes(votes)
                     votes = {}
