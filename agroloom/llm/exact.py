@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from agroloom.llm.text import map_arrow, slices
+from agroloom.llm.text import map_arrow, own_columns, slices
 from agroloom.operators.scale import null_safe_join
 
 SPILL_BYTES = 32 << 20  # texts a trie holds before finished subtrees leave it
@@ -183,6 +183,8 @@ def exact_groups(docs: DataFrame) -> DataFrame:
     return mark_repeats(docs.select("doc_id", "text")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+@own_columns
 def drop_repeats(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, with their own columns."""
+    """The rows of ``docs`` that stay, with their own columns, also those that are called like a result of ``mark_repeats``. An
+    empty table stays empty; ties, nulls and repeated rows as there."""
     return mark_repeats(docs).where("kept").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from agroloom.llm.text import WORD
+from agroloom.llm.text import WORD, own_columns
 from agroloom.operators.scale import null_safe_join, row_numbers
 from agroloom.session import checkpointed
 
@@ -190,6 +190,7 @@ def mix_sizes(docs: DataFrame) -> DataFrame:
     return mixed(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+@own_columns
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The mix itself, with the columns of ``docs``: a row for each whole epoch of a document, and one with the words
     that the last epoch takes of it (joined by one space, unless it is the whole text)."""

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from agroloom.llm.text import map_arrow, slices, sums_by_row, texts_of, words_of
+from agroloom.llm.text import map_arrow, own_columns, slices, sums_by_row, texts_of, words_of
 from agroloom.operators.scale import null_safe_join
 from agroloom.session import checkpointed
 
@@ -174,8 +174,10 @@ def rule_verdicts(docs: DataFrame) -> DataFrame:
     )
 
 
+@own_columns
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that the rules keep, with their own columns and whole texts."""
+    """The rows of ``docs`` that the rules keep, with their own columns (whatever they are called) and whole texts. Repeated rows
+    share a verdict; an empty table stays empty."""
     good = judged(docs).where("kept").select(F.col("doc_id").alias("__id"), F.col("host").alias("__host"), F.col("text_hash").alias("__hash"))
     marked = docs.withColumns(
         {"__id": F.col("doc_id").cast("long"), "__host": F.col("source").cast("string"), "__hash": F.coalesce(F.xxhash64("text"), F.lit(0))}

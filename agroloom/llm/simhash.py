@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from agroloom.llm.components import component_roots
-from agroloom.llm.text import joined, map_arrow, slices, texts_of, words_of
+from agroloom.llm.text import joined, map_arrow, own_columns, slices, texts_of, words_of
 from agroloom.operators.scale import null_safe_join
 from agroloom.session import checkpointed
 
@@ -251,8 +251,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return near_groups(docs).select("doc_id", hex_fingerprint().alias("fingerprint"), "component_id")
 
 
+@own_columns
 def drop_near(docs: DataFrame) -> DataFrame:
-    """One row of ``docs`` per component, that with the smallest key (null last), with its own columns."""
+    """One row of ``docs`` per component, that with the smallest key (null last), with its own columns, whatever they are called. Of
+    repeated rows one stays; an empty table stays empty."""
     groups = near_groups(docs).groupBy("root", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("ties"))
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash", "ties")).alias("first")
     stay = groups.groupBy("root").agg(first)

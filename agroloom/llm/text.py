@@ -7,6 +7,7 @@ import re
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -70,6 +71,22 @@ def sums_by_row(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return ends[last] - ends[last - counts]
 
 
+# Names that results and helper columns of the row stages have.
+HELPERS = frozenset("id host hash kept group_size ties text_sha256 keep_id text_hash root taken size part epochs parts words".split())
+
+
+def own_columns(fn: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame], DataFrame]:
+    """For functions from documents to some of their rows: columns of the caller that are called like a helper column travel under
+    other names and come back under their own."""
+
+    @wraps(fn)
+    def run(docs: DataFrame) -> DataFrame:
+        clash = {c: f"own {i}" for i, c in enumerate(docs.columns) if c.lower() in HELPERS or c.startswith("__")}
+        return fn(docs.withColumnsRenamed(clash)).toDF(*docs.columns) if clash else fn(docs)
+
+    return run
+
+
 _SHIPPED: set[str] = set()
 
 
