@@ -1,8 +1,8 @@
 """Quality classifier: a linear hinge-loss model over n-gram indicators scaled by naive Bayes log-count ratios.
 
 Features are n-grams of one to three words and of one to three word shapes (letter case, digits, symbols, last character,
-equality with the word before), told apart by 63 bits of hash and kept in two spaces. The model knows those of a bounded sample of labelled
-rows, on which it is fitted on the driver; others are ignored. Every document is scored where it lies. A text's words and shapes
+equality with the word before), told apart by 63 bits of hash and kept in two spaces. The model knows those that two rows of a bounded
+sample of labelled rows share, and is fitted on them on the driver; others are ignored. Every document is scored where it lies. A text's words and shapes
 are scaled to unit length apart, so the many words of a long text do not drown its shapes.
 """
 
@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +23,8 @@ from agroloom.llm.text import map_arrow, slices, texts_of, words_of
 
 WORD_SPACE = np.uint64(1 << 63)  # set in the codes of words, not in those of shapes
 SAMPLE_ROWS = 8_000  # labelled rows that the model is fitted on, at most
+ROW_FEATURES = 12_000  # features of a row that it is fitted on, at most: those with the smallest hash, from the whole text
+PROBE_BITS = 27  # a table of so many bits tells most unknown features from known ones
 THRESHOLD = 0.7
 COST = 0.1
 EPOCHS = 20
@@ -45,9 +48,22 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def indicators(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+class Probe:
+    """A bit for every value of the last bits of a code: set if a known code has it."""
+
+    def __init__(self, codes: np.ndarray):
+        self.table = np.zeros(1 << (PROBE_BITS - 3), np.uint8)
+        place = codes & np.uint64((1 << PROBE_BITS) - 1)
+        np.bitwise_or.at(self.table, place >> np.uint64(3), np.left_shift(1, (place & np.uint64(7)).astype(np.uint8), dtype=np.uint8))
+
+    def may_hold(self, codes: np.ndarray) -> np.ndarray:
+        place = codes & np.uint64((1 << PROBE_BITS) - 1)
+        return (self.table[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1
+
+
+def indicators(texts: pa.Array, probe: Probe | None = None) -> tuple[np.ndarray, np.ndarray]:
     """The codes of the distinct features of each text one after the other, shapes before words, and how many each has; a text
-    without words has one."""
+    without words has one. With a ``probe`` only those that it may hold, so that the others are never sorted."""
     flat, counts = words_of(texts)
     coded = flat.dictionary_encode()
     words, at = coded.dictionary.to_pylist(), coded.indices.to_numpy()
@@ -56,22 +72,31 @@ def indicators(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     kinds = [shape(w) for w in words]
     known = {k: digest(k, 1) for k in set(kinds)}
     form = np.fromiter((known[k] for k in kinds), np.uint64, len(words))[at]
-    row = np.repeat(np.arange(len(counts)), counts)
+    row = np.repeat(np.arange(len(counts), dtype=np.int32), counts)
     inside = row[1:] == row[:-1]
     form = form.copy()
     form[1:][inside & (at[1:] == at[:-1])] ^= np.uint64(0x5555555555555555)  # the same word again
-    rows, codes = [row, row], [_mixed(word) | WORD_SPACE, _mixed(form) & ~WORD_SPACE]
+    rows, codes = [], []
+
+    def take(where: np.ndarray, found: np.ndarray) -> None:
+        if probe is not None:
+            held = probe.may_hold(found)
+            where, found = where[held], found[held]
+        rows.append(where)
+        codes.append(found)
+
+    take(row, _mixed(word) | WORD_SPACE)
+    take(row, _mixed(form) & ~WORD_SPACE)
     pair = _mixed(form[:-1] * np.uint64(3) + form[1:])
     words_2 = _mixed(word[:-1] * np.uint64(3) + word[1:])
-    rows += [row[1:][inside]] * 2
-    codes += [pair[inside] & ~WORD_SPACE, words_2[inside] | WORD_SPACE]
+    take(row[1:][inside], pair[inside] & ~WORD_SPACE)
+    take(row[1:][inside], words_2[inside] | WORD_SPACE)
     if len(form) > 2:
         three = inside[1:] & inside[:-1]
-        rows += [row[2:][three]] * 2
-        codes += [_mixed(pair[:-1] * np.uint64(5) + form[2:])[three] & ~WORD_SPACE, _mixed(words_2[:-1] * np.uint64(5) + word[2:])[three] | WORD_SPACE]
-    bare = np.flatnonzero(counts == 0)
-    rows.append(bare)
-    codes.append(np.zeros(len(bare), np.uint64))
+        take(row[2:][three], _mixed(pair[:-1] * np.uint64(5) + form[2:])[three] & ~WORD_SPACE)
+        take(row[2:][three], _mixed(words_2[:-1] * np.uint64(5) + word[2:])[three] | WORD_SPACE)
+    bare = np.flatnonzero(counts == 0).astype(np.int32)
+    take(bare, np.zeros(len(bare), np.uint64))
     row, code = np.concatenate(rows), np.concatenate(codes)
     by = np.lexsort((code, row))
     row, code = row[by], code[by]
@@ -185,29 +210,35 @@ class NbSvm:
     def __getstate__(self) -> dict:
         """Spark keeps a copy of the pickled model on the disk of each executor, so it travels compressed."""
         gaps = np.diff(self.vocabulary, prepend=np.uint64(0))
-        return self.__dict__ | {"vocabulary": _packed(gaps), "weights": _packed(self.weights), "ratio": _packed(self.ratio)}
+        rest = {k: v for k, v in self.__dict__.items() if k != "probe"}
+        return rest | {"vocabulary": _packed(gaps), "weights": _packed(self.weights), "ratio": _packed(self.ratio)}
 
     def __setstate__(self, state: dict) -> None:
         self.__dict__.update(state)
         self.vocabulary, self.weights, self.ratio = np.cumsum(_unpacked(*state["vocabulary"]), dtype=np.uint64), _unpacked(*state["weights"]), _unpacked(*state["ratio"])
 
+    @cached_property
+    def probe(self) -> Probe:
+        return Probe(self.vocabulary)
+
     def scores(self, texts: pa.Array) -> np.ndarray:
         if not len(texts):
             return np.empty(0)
-        features, counts = known_features(*indicators(texts), self.vocabulary)
+        features, counts = known_features(*indicators(texts, self.probe), self.vocabulary)
         value = scaled_values(features, counts, self.ratio, self.shapes)
         row = np.repeat(np.arange(len(counts)), counts)
         margin = np.bincount(row, self.weights[features] * value, minlength=len(counts)) + self.bias
         return 1 / (1 + np.exp(-np.clip(self.slope * margin + self.offset, -30, 30)))
 
 
-def _distinct(codes: list[np.ndarray]) -> np.ndarray:
-    """Sorted distinct codes; sorted in place, as a copy would double them."""
+def shared_codes(codes: list[np.ndarray]) -> np.ndarray:
+    """Sorted codes that at least two rows have (a row has a code once); sorted in place, as a copy would double them."""
     flat = np.concatenate(codes)
     flat.sort()
-    new = np.ones(len(flat), bool)
-    np.not_equal(flat[1:], flat[:-1], out=new[1:])
-    return flat[new]
+    again = np.zeros(len(flat), bool)
+    np.equal(flat[1:], flat[:-1], out=again[1:])
+    again[1:] &= ~again[:-1]  # the second of equal ones
+    return flat[again]
 
 
 def fitted(codes: list[np.ndarray], good: np.ndarray) -> NbSvm:
@@ -215,9 +246,9 @@ def fitted(codes: list[np.ndarray], good: np.ndarray) -> NbSvm:
     if good.all() or not good.any():  # one class or none: a constant score
         p = (good.sum() + 1) / (len(good) + 2)
         return NbSvm(np.empty(0, np.uint64), 0, np.zeros(0), 0.0, 1.0, float(np.log(p / (1 - p))), np.zeros(0))
-    vocabulary = _distinct(codes)
+    vocabulary = shared_codes(codes)
     shapes, size = int(np.searchsorted(vocabulary, WORD_SPACE)), len(vocabulary)
-    rows = [np.searchsorted(vocabulary, x).astype(np.int32) for x in codes]
+    rows = [known_features(x, np.array([len(x)]), vocabulary)[0].astype(np.int32) for x in codes]
     codes.clear()  # the caller's list too: the codes are the largest thing on the driver
     fold = np.arange(len(rows)) % 3
     margin = np.zeros(len(rows))
@@ -245,21 +276,29 @@ def sampled_labels(labels: DataFrame, key: str = "doc_id", label: str = "quality
     return usable.orderBy(F.xxhash64("__id"), "__id").limit(rows)
 
 
-def fit_quality(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", rows: int = SAMPLE_ROWS) -> NbSvm:
-    """The model of a bounded sample: its rows' features, not their texts, come to the driver."""
+def fit_quality(
+    docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", rows: int = SAMPLE_ROWS, features: int = ROW_FEATURES
+) -> NbSvm:
+    """The model of a bounded sample: ``rows`` labelled keys at most, one row of each (that with the smallest hash of its text), and
+    ``features`` features of a row at most. These, not the texts, come to the driver: ``8 * rows * features`` bytes at most."""
     sample = F.broadcast(sampled_labels(labels, key, label, rows))  # at most ``rows`` pairs of numbers
-    chosen = docs.select(F.col(key).cast("long").alias("__id"), F.col(text).alias("text")).join(sample, "__id")
+    content = F.coalesce(F.col(text), F.lit(""))
+    chosen = docs.select(F.col(key).cast("long").alias("__id"), content.alias("text")).join(sample, "__id")
+    chosen = chosen.groupBy("__id").agg(F.max("__label").alias("__label"), F.min_by("text", F.xxhash64("text")).alias("text"))
+
+    def smallest(codes: np.ndarray) -> np.ndarray:
+        return codes if len(codes) <= features else np.sort(codes[np.argpartition(_mixed(codes), features)[:features]])
 
-    def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
                 found, counts = indicators(texts_of(part, "text"))
                 cut = np.split(found, np.cumsum(counts)[:-1])
-                packed = pa.array([x.tobytes() for x in cut], pa.binary())
+                packed = pa.array([smallest(x).tobytes() for x in cut], pa.binary())
                 yield pa.RecordBatch.from_arrays([part.column("__id"), part.column("__label"), packed], ["id", "label", "features"])
 
     # as one Arrow table, whose buffers the rows' codes share: objects for each row would be held several times over
-    got = map_arrow(chosen, features, "id long, label int, features binary").toArrow()
+    got = map_arrow(chosen.select("__id", "__label", "text"), run, "id long, label int, features binary").toArrow()
     ids, good = got["id"].to_pylist(), [x == 1 for x in got["label"].to_pylist()]
     codes = [np.frombuffer(x.as_buffer(), np.uint64) for x in got["features"]]
     order = sorted(range(len(ids)), key=lambda i: (xxhash.xxh64_intdigest(str(ids[i])), xxhash.xxh64_intdigest(codes[i])))
@@ -285,7 +324,11 @@ def scored(df: DataFrame, model: NbSvm, text: str = "text", name: str = "score")
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, held_out, score, predicted of every document. Without labels every score is one half; null keys are not held out."""
+    """doc_id, held_out, score, predicted of every document. Without labels every score is one half; null keys are not held out.
+
+    Repeated rows are scored each; of those with a labelled key one is learnt from. Columns beside doc_id and text are not
+    read, whatever they are called.
+    """
     model = fit_quality(docs, labels)
     out = scored(docs.select("doc_id", "text"), model)
     return out.select(

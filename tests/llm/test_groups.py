@@ -3,6 +3,7 @@
 import os
 import pickle
 import random
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -11,12 +12,14 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 import sentencepiece
+import xxhash
 from brute import components, counted, frame, near_groups, odd_documents, rules, simhash, words
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from agroloom.llm import components as stars
-from agroloom.llm import mixing, pages, quality, sharding
+from agroloom.llm import exact, mixing, pages, quality, sharding
+from agroloom.llm import rules as rules_of
 from agroloom.llm import simhash as near
 
 
@@ -140,6 +143,23 @@ def test_mixing(spark, odd, block):
     assert counted(again.select(*columns)) == Counter(tuple(r) for r in got)
 
 
+def test_rows_keep_columns_with_any_name(spark):
+    """Stages return the caller's own columns, also those called like their helpers and results."""
+    names = ["kept", "group_size", "ties", "text_sha256", "keep_id", "__id", "__hash", "__n", "__plan", "__plans", "__host", "__ties", "host", "text_hash", "a.b", "taken", "root"]
+    texts = ["one two three four five six seven eight nine ten eleven", "other words in a text that is long enough to stay here at all", None]
+    rows = [(i, texts[i % 3], "en", "s", i, *[f"{n}{i}" for n in names]) for i in range(9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int, " + ", ".join(f"`{n}` string" for n in names))
+    for stage in (exact.drop_repeats, near.drop_near, rules_of.keep_good, mixing.mixed_documents):
+        got = stage(df)
+        assert got.columns == df.columns
+        found = got.collect()
+        assert found
+        for r in found:
+            assert tuple(r)[4:] == rows[r["doc_id"]][4:], stage.__name__
+        assert stage(df.limit(0)).count() == 0
+    assert sorted(r["doc_id"] for r in exact.drop_repeats(df).collect()) == [6, 7, 8]
+
+
 def test_mixed_documents(spark, odd):
     got = mixing.mixed_documents(frame(spark, odd))
     assert got.columns == frame(spark, odd).columns
@@ -248,6 +268,38 @@ def test_quality_of_odd_documents(spark, odd):
     assert {r["score"] for r in none} == {0.5}
 
 
+def test_sample_is_bounded(spark, monkeypatch):
+    """One row of a labelled key, however often it occurs, and a bounded number of features of it."""
+    hot = next(k for k in range(7, 99) if zlib.crc32(str(k).encode()) % 4 != quality.HELD_OUT)
+    rows = [(hot, f"text number {i} of a key that a third of all rows share") for i in range(600)] + [(hot, "the same")] * 300
+    rows += [(100 + i, " ".join(f"w{i}x{k}" for k in range(40))) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    labels = spark.createDataFrame([(k, k % 2) for k in sorted({r[0] for r in rows})], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(quality, "fitted", lambda codes, good: seen.append((list(codes), good)))
+    quality.fit_quality(docs, labels, rows=50, features=20)
+    codes, good = seen[0]
+    assert 40 <= len(codes) <= 50 and len(good) == len(codes) and max(map(len, codes)) == 20
+    quality.fit_quality(docs.where(F.col("doc_id") == hot), labels, features=10**6)
+    text = min((r[1] for r in rows if r[0] == hot), key=lambda t: (lambda h: h - (1 << 64) if h >> 63 else h)(xxhash.xxh64_intdigest(t, seed=42)))
+    assert [x.tolist() for x in seen[1][0]] == [quality.indicators(pa.array([text]))[0].tolist()]
+
+
+def test_probe_changes_no_score():
+    rnd = random.Random(5)
+    texts = [" ".join(rnd.choice(["good", "bad", "Word", "12", "x!", f"r{rnd.randrange(50)}"]) for _ in range(rnd.randrange(60))) for _ in range(200)]
+    codes, counts = quality.indicators(pa.array(texts))
+    model = quality.fitted(np.split(codes, np.cumsum(counts)[:-1]), np.array([t.count("good") > t.count("bad") for t in texts]))
+    some = pa.array([*texts[:50], "", "unknown words only", "good bad"])
+    plain = quality.known_features(*quality.indicators(some), model.vocabulary)
+    probed = quality.known_features(*quality.indicators(some, model.probe), model.vocabulary)
+    assert [x.tolist() for x in plain] == [x.tolist() for x in probed]
+    again = pickle.loads(pickle.dumps(model))
+    assert again.scores(some).tolist() == model.scores(some).tolist()
+    flat = np.concatenate([c for c in np.split(codes, np.cumsum(counts)[:-1])])
+    assert model.vocabulary.tolist() == sorted(c for c, n in Counter(flat.tolist()).items() if n > 1)
+
+
 def test_word_pairs_and_triples_tell_texts_apart():
     """Good and bad texts have the same words in the same shapes; only which stand together differs."""
     rnd, texts, good = random.Random(9), [], []
@@ -336,6 +388,95 @@ def test_very_long_page():
     assert pages.main_text(source, None) == "\n\n".join(["word & word"] * 20000)
 
 
+def test_scripts_and_broken_markup():
+    story = "<article><h1>Title</h1><p>Some text of the page.</p></article>"
+    want = "Title\n\nSome text of the page."
+    for raw in (
+        "<script>for(var i=0;i<n;i++){f(i)}</script>", "<script>if (a<b && c) d('</p>')</script>", "<style>a<b{}</style>", "<script>x = '<!--'</script>",
+        "<textarea><p>a</textarea>", "<SCRIPT>a<b</Script >", "<!-- <p> -- > -->", "<svg><text>a<b</text></svg>", "<p a='<b>'></p>", "<?php a<b ?>",
+    ):
+        assert pages.main_text(f"<body>{raw}{story}</body>", None) == want, raw
+    # quoted values may hold a sign that ends a tag; an open quote ends with the tag
+    assert pages.main_text(f"<body><div title='a > b' class=\"x\">{story}</div></body>", None) == want
+    assert pages.main_text('<p class="a>one</p><p>two</p>', None) == "one\n\ntwo"
+    assert pages.main_text("<p>1 < 2 and 3 <4 <</p>", None) == "1 < 2 and 3 <4 <"
+    assert pages.main_text(f"<body>{story}<div", None) == f"{want}\n\n<div"  # never closed, so it is text
+
+
+def test_own_headers_stay_and_side_matter_goes():
+    long = "many words about cookies and consent that nobody reads " * 9
+    page = f"<body><header><p>Site</p></header><article><header class='article-header'><h1>Title</h1></header><p>Body.</p><footer>foot</footer></article><div class='notice'>{long}</div></body>"
+    assert pages.main_text(page, None) == "Title\n\nBody."
+    for name in ("sidebar", "notice", "cookie-banner", "comments"):
+        side = f"<body><div class='{name}'><p>{long}</p></div><div class='text'><p>Short text.</p></div></body>"
+        assert pages.main_text(side, None) == "Short text.", name
+        assert pages.main_text(f"<body><div class='{name}'><article>Inside.</article></div></body>", None) == "Inside."
+    # a page that is nothing else keeps its text
+    assert pages.main_text("<body><div class='social'>A post.</div></body>", None) == "A post."
+
+
+@pytest.mark.parametrize(
+    "source, n",
+    [("<a ", 60_000), ("<a \"", 60_000), ("<a b=\"' c='>", 30_000), ("<p a=\"'>x", 30_000), ("<div>", 60_000), ("<div>x</section>", 30_000), ("<li>", 60_000), ("<!- ", 60_000), ("<script></scrip", 30_000)],
+)
+def test_broken_pages_take_linear_time(source, n):
+    """Twenty times the page may take a hundred times as long, not four hundred."""
+    pages.main_text(source * 100, None)
+    start = time.process_time()
+    pages.main_text(source * (n // 20), None)
+    small = max(time.process_time() - start, 0.02)
+    start = time.process_time()
+    pages.main_text(source * n, ">div>div")
+    assert time.process_time() - start < 100 * small
+
+
+def plain_blocks(node, side, out):
+    """Texts of a tree of (tag, class, children) in page order, those in named side matter left out."""
+    tag, name, children = node
+    side = side or name in ("menu", "notice", "sidebar") or tag in ("nav", "footer", "aside")
+    for child in children:
+        if isinstance(child, str):
+            if not side:
+                out.append(child)
+        else:
+            plain_blocks(child, side, out)
+    return out
+
+
+def test_trees_against_a_plain_extractor():
+    """The whole text beside side matter, where one container holds it all."""
+    rnd = random.Random(8)
+
+    def tree(depth):
+        tag = rnd.choice(["div", "div", "section", "ul", "nav", "footer", "aside", "blockquote"])
+        name = rnd.choice(["", "", "a", "b1", "menu", "notice", "sidebar", "with-sidebar"])
+        children = [tree(depth - 1) if depth and rnd.random() < 0.5 else ("p", "", [f"t{rnd.randrange(10**6)} & <x>"]) for _ in range(rnd.randrange(1, 5))]
+        return tag, name, children
+
+    def markup(node):
+        if isinstance(node, str):
+            return node.replace("&", "&amp;").replace("<", "&lt;")
+        tag, name, children = node
+        inner = "".join(markup(c) for c in children)
+        return f"<{tag}" + (f" class='{name}'" if name else "") + f">\n{inner} </{tag}>"
+
+    for _ in range(150):
+        root = ("article", "", [("h1", "", ["Head"]), *(tree(3) for _ in range(rnd.randrange(1, 4)))])
+        got = pages.main_text(f"<html><body><nav>x</nav>{markup(root)}<p class='notice'>n</p></body></html>", None)
+        assert got.split("\n\n") == plain_blocks(root, False, [])
+
+
+def test_consensus_mends_a_page(spark):
+    """Four pages of a host agree on the story; the fifth, whose teaser is longer, is read by their path."""
+    page = "<body><div class='teaser n{n}'><p>{teaser}</p></div><div class='story'><p>{story}</p></div></body>"
+    rows = [(i, f"https://h.example/{i}", page.format(n=i, teaser="tease " * (40 if i == 4 else 2), story=f"story {i} " * 9)) for i in range(5)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in pages.page_texts(df).collect()}
+    assert got == {i: (f"story {i} " * 9).strip() for i in range(5)}
+    alone = pages.page_texts(df.where("page_id = 4")).first()["text"]
+    assert alone == ("tease " * 40).strip()
+
+
 def test_pipeline(spark, sf):
     """Every stage against its plain version, on what the stage before has kept."""
     docs = spark.read.parquet(os.path.join(os.path.dirname(sf), "sf0.001", "documents.parquet"))
