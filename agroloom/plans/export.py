@@ -168,10 +168,10 @@ def print_line(formats: dict[str, str], missing: str = "-99") -> Column:
     return F.concat(*[cell(F.col(f"`{c}`"), f, missing) for c, f in formats.items()])
 
 
-def header_line(formats: dict[str, str]) -> str:
+def header_line(formats: dict[str, str], mark: str = "@") -> str:
     """Column heads right-aligned over their cells, with the block mark in front."""
     text = "".join(c.rjust(int(f.lstrip("%-").split(".")[0].rstrip("sf"))) for c, f in formats.items())
-    return "@" + text[1:] if text.startswith(" ") else "@" + text
+    return mark + text[len(mark) :] if text.startswith(" ") else mark + text
 
 
 def sort_key(df: DataFrame, order: list[str]) -> Column:
@@ -199,11 +199,31 @@ def _with_heads(rows: DataFrame, df: DataFrame, scope: list[str], block: int, he
     return rows.unionByName(above.select(*scope, "block_no", "h.kind", empty, "h.line"))
 
 
+def present_columns(df: DataFrame, scope: list[str], columns: list[str], name: str = "present") -> DataFrame:
+    """Per scope a list of bits: which of the columns hold a value there."""
+    return df.groupBy(*scope).agg(F.array(*[F.count(f"`{c}`") > 0 for c in columns]).alias(name))
+
+
 def text_lines(
-    df: DataFrame, formats: dict[str, str], scope: list[str], order: list[str], block: int, title: str | None = None
+    df: DataFrame, formats: dict[str, str], scope: list[str], order: list[str], block: int, title: str | None = None, drop_empty: bool = False
 ) -> DataFrame:
-    """Lines of one block in columns of fixed width: (scope, block_no, kind, sort, line); heads have a negative kind."""
+    """Lines of one block in columns of fixed width: (scope, block_no, kind, sort, line); heads have a negative kind.
+
+    With ``drop_empty`` a column without any value in a scope is absent from its lines and head; the first column always stays.
+    """
     have = {c: f for c, f in formats.items() if c in df.columns}
+    if drop_empty and len(have) > 1:
+        first, *rest = have
+        known = present_columns(df, scope, rest, "__present")
+        shown = [F.when(F.get("__present", F.lit(i)), cell(F.col(f"`{c}`"), have[c], "-99")).otherwise("") for i, c in enumerate(rest)]
+        line = F.concat(cell(F.col(f"`{first}`"), have[first], "-99"), *shown)
+        rows = _line(null_safe_join(df, known, scope), scope, block, 0, order, line)
+        names = [F.when(F.get("__present", F.lit(i)), header_line({c: have[c]}, "")).otherwise("") for i, c in enumerate(rest)]
+        head = known.select(*scope, F.concat(F.lit(header_line({first: have[first]})), *names).alias("head"))
+        above = _line(head, scope, block, -1, [], F.col("head"))
+        if title:
+            above = above.unionByName(_line(head, scope, block, -2, [], F.lit(title)))
+        return rows.unionByName(above)
     rows = _line(df, scope, block, 0, order, print_line(have))
     return _with_heads(rows, df, scope, block, [*([title] if title else []), header_line(have)])
 
@@ -290,11 +310,12 @@ def management_lines(sections: dict[str, DataFrame], scope: list[str], header: D
 
 
 def observed_lines(observed: DataFrame, formats: dict[str, str], scope: list[str], header: DataFrame, kind: str) -> DataFrame:
-    """An observed file: ``kind`` is A for summaries and T for time series; columns without a format get one by their type."""
+    """An observed file: ``kind`` is A for summaries and T for time series; columns without a format get one by their type. A
+    column that is empty in one scope is absent in that scope's file only."""
     title = title_line(F.concat(F.lit(f"*EXP. DATA ({kind}): "), "EXP_DETAILS"), header, scope, 0)
     blank = title_line(F.lit(""), header, scope, 1)
     order = [c for c in ("TRTNO", "DATE") if c in observed.columns]
-    lines = text_lines(observed, observed_formats(observed, scope, formats), scope, [*order, *[c for c in observed.columns if c not in (*order, *scope)]], 2)
+    lines = text_lines(observed, observed_formats(observed, scope, formats), scope, [*order, *[c for c in observed.columns if c not in (*order, *scope)]], 2, drop_empty=True)
     return title.unionByName(blank).unionByName(lines)
 
 

@@ -209,6 +209,27 @@ def series_file(t: Tables) -> DataFrame:
     return lines.select("experiment_id", F.col("Year").cast("long").alias("Year"), F.row_number().over(place).cast("long").alias("pos"), "line")
 
 
+@query(
+    _ORDERS_SQL
+    + """r AS (SELECT *, printf('%6d', trt) || lpad(day, 6, ' ') || CASE WHEN y % 2 = 0 THEN printf('%6d', round(p, 0)::BIGINT) ELSE '' END || printf('%9d', k) AS line FROM o),
+    l AS (SELECT experiment_id, y, '*EXP. DATA (T): Trial ' || experiment_id AS line, 1 AS pos FROM s UNION ALL SELECT experiment_id, y, '', 2 FROM s
+          UNION ALL SELECT experiment_id, y, '@TRTNO  DATE' || CASE WHEN y % 2 = 0 THEN '  CDAD' ELSE '' END || ' ORDER_NO', 3 FROM s
+          UNION ALL SELECT experiment_id, y, line, 3 + row_number() OVER (PARTITION BY experiment_id, y ORDER BY trt, day, CASE WHEN y % 2 = 0 THEN round(p, 0) END, k) FROM r)
+    SELECT experiment_id, y AS "Year", pos, line FROM l"""
+)
+def series_file_by_year(t: Tables) -> DataFrame:
+    """The printed time series when a column has values in every second year only: it is absent in the files of the others."""
+    observed = t.orders.select(
+        F.col("o_orderstatus").alias("experiment_id"), F.year("o_orderdate").alias("Year"), F.col("o_custkey").alias("TRTNO"), F.to_date("o_orderdate").alias("DATE"),
+        F.when(F.year("o_orderdate") % 2 == 0, F.round("o_totalprice", 0)).alias("CDAD"), F.col("o_orderkey").alias("ORDER_NO"), F.lit(None).cast("double").alias("LAID"),
+    )
+    scopes = observed.select(*BY, "Year").distinct().withColumn("EXP_DETAILS", F.concat(F.lit("Trial "), "experiment_id"))
+    series = ex.build_series(observed, BY).select(*BY, "Year", "TRTNO", "DATE", "CDAD", "ORDER_NO", "LAID")
+    lines = ex.observed_lines(series, tpl.SERIES_FORMATS, [*BY, "Year"], scopes, "T")
+    place = Window.partitionBy(*BY, "Year").orderBy("block_no", "kind", "sort")
+    return lines.select("experiment_id", F.col("Year").cast("long").alias("Year"), F.row_number().over(place).cast("long").alias("pos"), "line")
+
+
 @query(
     """
     WITH d AS (SELECT o_orderstatus AS experiment_id, o_orderdate::DATE AS day, count(*) AS n, max(o_custkey) AS hi, min(o_custkey) AS lo FROM orders GROUP BY 1, 2),

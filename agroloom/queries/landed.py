@@ -147,6 +147,33 @@ def xml_variable_key(t: Tables) -> DataFrame:
     return key.join(elements, "page_id")
 
 
+@query("""
+    SELECT page_id, 'TT' AS name, page_id::VARCHAR AS description, 'K' AS unit FROM pages
+    UNION ALL SELECT page_id, 'RS', 'rain < ' || page_id || ' & more', '-' FROM pages WHERE page_id % 3 = 0
+""")
+def xml_elements(t: Tables) -> DataFrame:
+    """All elements of a weather archive's description, with escaped signs and without a unit in some."""
+    more = _tag("MetElement", F.concat(_tag("ShortName", F.lit("RS")), _tag("Description", _escaped(F.concat(F.lit("rain < "), F.col("page_id").cast("string"), F.lit(" & more"))))))
+    whole = F.concat(F.lit("<all>"), "value", F.when(F.col("page_id") % 3 == 0, more).otherwise(""), F.lit("</all>"))
+    return xml.read_elements(descriptions(t).select("page_id", whole.alias("value")), by=["page_id"]).fillna("-", subset=["unit"])
+
+
+@query("""
+    SELECT page_id, n AS name, u AS unit, CASE WHEN page_id % 2 = 0 THEN 'own ' || n ELSE 'for all' END AS methods, 'NA' AS missing_vals
+    FROM pages, (VALUES ('Yield', 'dt/ha'), ('N', 'kg/ha')) v(n, u)
+""")
+def xml_shared_fields(t: Tables) -> DataFrame:
+    """Methods and missing values stated for a whole document hold for the columns without their own."""
+    own = F.col("page_id") % 2 == 0
+    columns = [
+        _tag("bnr:MD_Column", F.concat(_tag("bnr:name", F.lit(n)), _tag("bnr:unit", F.lit(u)), F.when(own, _tag("bnr:methods", F.lit(f"own {n}"))).otherwise("")))
+        for n, u in (("Yield", "dt/ha"), ("N", "kg/ha"))
+    ]
+    shared = F.concat(_tag("bnr:methods", F.lit("for all")), _tag("bnr:missingValue", F.lit("NA")))
+    docs = t.pages.select("page_id", _tag("gmd:MD_Metadata", F.concat(*columns, shared)).alias("value"))
+    return xml.read_metadata(docs, by=["page_id"])["Variable_key"].select("page_id", "name", "unit", "methods", "missing_vals")
+
+
 def land_observations(t: Tables) -> str:
     """Events as JSON observations, some without result, every tenth sent twice."""
     path = scratch_path(t.spark, "observations")

@@ -102,7 +102,7 @@ def _readable(files: DataFrame, names: list[str] | None) -> tuple[dict[tuple, li
     return groups, sorted(skipped)
 
 
-def _scan(spark: SparkSession, paths: list[str], sep: str, latin: bool) -> DataFrame:
+def _scan(spark: SparkSession, paths: list[str], sep: str, latin: bool, missing: str = "NA") -> DataFrame:
     """All rows of like files as text, with the file's name and, for a row that does not fit the header, its text in ``__bad``."""
 
     def reader():
@@ -110,7 +110,7 @@ def _scan(spark: SparkSession, paths: list[str], sep: str, latin: bool) -> DataF
             spark.read.option("header", True)
             .option("sep", sep)
             .option("encoding", "ISO-8859-1" if latin else "UTF-8")
-            .option("nullValue", "NA")
+            .option("nullValue", missing)
             .option("multiLine", True)
             .option("escape", '"')
         )
@@ -122,6 +122,14 @@ def _scan(spark: SparkSession, paths: list[str], sep: str, latin: bool) -> DataF
     return rows.csv(sorted(paths)).select("*", F.col("_metadata.file_name").alias("__file"))
 
 
+def _misfits(rows: DataFrame) -> DataFrame:
+    """file, reason, record of the rows of :func:`_scan` that don't fit their header."""
+    # the reader gives the text of a misfit only along with a column of the file
+    record = F.when(F.col(f"`{rows.columns[0]}`") == "\x00", "").otherwise(F.col("__bad"))
+    found = rows.filter(F.col("__bad").isNotNull())
+    return found.select(F.col("__file").alias("file"), F.lit("row does not fit the header").alias("reason"), record.alias("record"))
+
+
 def load_tables(
     spark: SparkSession, path: str, names: list[str] | None = None, standard: bool = False, report: str | None = None
 ) -> dict[str, DataFrame]:
@@ -137,11 +145,8 @@ def load_tables(
     bad = [spark.createDataFrame([(p, r, None) for p, r in skipped], "file string, reason string, record string")]
     for (name, _, sep, latin), paths in sorted(groups.items()):
         df = _scan(spark, sorted(paths), sep, latin)
-        misfit = F.col("__bad").isNotNull()
-        # the reader gives the text of a misfit only along with a column of the file
-        record = F.when(F.col(f"`{df.columns[0]}`") == "\x00", "").otherwise(F.col("__bad"))
-        bad.append(df.filter(misfit).select(F.col("__file").alias("file"), F.lit("row does not fit the header").alias("reason"), record.alias("record")))
-        good = df.filter(~misfit).withColumn("experiment_id", experiment_name(F.col("__file"))).drop("__bad", "__file")
+        bad.append(_misfits(df))
+        good = df.filter(F.col("__bad").isNull()).withColumn("experiment_id", experiment_name(F.col("__file"))).drop("__bad", "__file")
         parts.setdefault(name, []).append(good.withColumnsRenamed({c: re.sub("^(\ufeff|ï»¿|ï\\.\\.)", "", c) for c in good.columns}))
     out = {n: typed(union_in_order(*ps), keep=["experiment_id"]) for n, ps in parts.items()}
     out = {n: standardize_names(df) for n, df in out.items()} if standard else out
@@ -149,13 +154,21 @@ def load_tables(
 
 
 def load_key(spark: SparkSession, path: str) -> DataFrame:
-    """A variable key whose files may differ in separator and columns; like files are one scan."""
-    groups: dict[tuple[str, str], list[str]] = {}
+    """A variable key whose files may differ in separator and columns; like files are one scan. Rows that don't fit their
+    header are left out; :func:`key_report` lists them."""
+    return union_in_order(*[df.filter(F.col("__bad").isNull()).drop("__bad", "__file") for df in _key_parts(spark, path)])
+
+
+def key_report(spark: SparkSession, path: str) -> DataFrame:
+    """file, reason, record of the rows that :func:`load_key` leaves out."""
+    return union_in_order(*[_misfits(df) for df in _key_parts(spark, path)])
+
+
+def _key_parts(spark: SparkSession, path: str) -> list[DataFrame]:
+    groups: dict[tuple, list[str]] = {}
     for r in scan_headers(spark, path).collect():
-        groups.setdefault((separator(r["file_name"], r["header"]), r["header"]), []).append(r["path"])
-    return union_in_order(
-        *[spark.read.option("header", True).option("sep", sep).csv(sorted(ps)) for (sep, _), ps in sorted(groups.items())]
-    )
+        groups.setdefault((separator(r["file_name"], r["header"]), r["header"], bool(r["not_utf8"])), []).append(r["path"])
+    return [_scan(spark, sorted(ps), sep, latin, "") for (sep, _, latin), ps in sorted(groups.items())]
 
 
 def read_archive(

@@ -20,11 +20,12 @@ def _text(fragment: Column, tag: str) -> Column:
 def _table(
     docs: DataFrame, doc: str, by: list[str], node: str, fields: dict[str, str], shared: tuple[str, ...] = ()
 ) -> DataFrame:
-    carried = [F.col(doc).alias("__doc")] if shared else []
-    rows = docs.select(*by, *carried, F.explode(_nodes(F.col(doc), node)).alias("__node"))
+    # a field stated once for the whole document applies to the nodes without their own; it is read before the
+    # document is taken apart, so a node carries the short text and not the document
+    common = [_text(F.col(doc), fields[n]).alias(f"__all_{n}") for n in shared]
+    rows = docs.select(*by, *common, F.explode(_nodes(F.col(doc), node)).alias("__node"))
     own = {n: _text(F.col("__node"), tag) for n, tag in fields.items()}
-    # a field stated once for the whole document applies to the nodes without their own
-    own |= {n: F.coalesce(own[n], _text(F.col("__doc"), fields[n])) for n in shared}
+    own |= {n: F.coalesce(own[n], F.col(f"__all_{n}")) for n in shared}
     return rows.select(*by, *[c.alias(n) for n, c in own.items()])
 
 

@@ -39,7 +39,7 @@ def crowd(seed=1):
     return points, sites
 
 
-@pytest.mark.parametrize("k", [1, 3, 10, 70])
+@pytest.mark.parametrize("k", [1, 10, 70])
 def test_k_nearest_equals_brute_force(spark, k):
     points, sites = crowd()
     want = set()
@@ -98,9 +98,7 @@ def small_parts(spark):
     spark.conf.unset(least)
 
 
-@pytest.mark.parametrize("rule", [1, 2])
-@pytest.mark.parametrize("position", ["row", "day"])
-@pytest.mark.parametrize("single", ["null", "fill"])
+@pytest.mark.parametrize("rule, position, single", [(1, "row", "null"), (2, "row", "fill"), (1, "day", "fill"), (2, "day", "null")])
 def test_long_series_equal_the_window(spark, rule, position, single, small_parts):
     rnd = random.Random(3)
     day = dt.date(1950, 1, 1)
@@ -156,11 +154,10 @@ def test_outlines_equal_brute_force(spark):
     df = spark.createDataFrame([(n, [[{"lon": a, "lat": b} for a, b in ring] for ring in rings]) for n, rings, *_ in areas], "name string, rings array<array<struct<lon:double,lat:double>>>")
     points = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(spots)], "id int, lon double, lat double")
     inside = {(n, i) for n, rings, *_ in areas for i, (a, b) in enumerate(spots) if in_rings(rings, a, b)}
-    got = set()
-    for n, *_ in areas:
+    for n in ("A0", "A1", "A5"):  # across the date line, large and small
         one = locate_points(points, df.where(F.col("name") == n), ["name"])
-        got |= {(n, r["id"]) for r in one.where("name IS NOT NULL").collect()}
-    assert got == inside and len(inside) > 300
+        assert {r["id"] for r in one.where("name IS NOT NULL").collect()} == {i for m, i in inside if m == n}
+    assert len(inside) > 300
     every = {r["id"]: r["name"] for r in locate_points(points, df, ["name"]).collect()}
     assert {i for i, n in every.items() if n} == {i for _, i in inside} and all((n, i) in inside for i, n in every.items() if n)
     cover, segments, _ = cell_cover(df.withColumn("id", F.col("name")).select("id", "rings"))

@@ -58,6 +58,14 @@ def test_key_separator(spark, tmp_path):
     assert rows(files.load_key(spark, str(tmp_path))) == [("x", "kg"), ("y", "m"), ("z", "s")]
 
 
+def test_key_rows_that_do_not_fit(spark, tmp_path):
+    write(tmp_path / "a.csv", 'name;unit\nx;kg\nlong;m;2\nshort\n"two\nlines";NA\n')
+    assert rows(files.load_key(spark, str(tmp_path))) == [("two\nlines", "NA"), ("x", "kg")]
+    assert rows(files.key_report(spark, str(tmp_path)).select("reason", "record")) == [
+        ("row does not fit the header", "long;m;2"), ("row does not fit the header", "short"),
+    ]
+
+
 def test_typing_of_text(spark):
     t = spark.createDataFrame([("1", "1.0", "x", None, "19670629"), (None, "2", "2", None, "19670101")], "i string, d string, s string, n string, day string")
     assert dict(files.typed(t).dtypes) == {"i": "bigint", "d": "double", "s": "string", "day": "bigint"}
