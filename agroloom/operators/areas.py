@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from agroloom.operators.scale import null_safe_join
+from agroloom.session import checkpointed, written
 
 CELLS = 64  # cells across the larger extent of an outline
 SMALLEST, LARGEST = -6, 2  # powers of two, in degrees, of the cell sizes
@@ -66,9 +67,10 @@ def outline_segments(areas: DataFrame) -> DataFrame:
 def cell_cover(areas: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Cells of each outline (id, size, cy, cx, inside), its segments by band (id, size, cy, segments) and its extent (id, area).
 
-    ``inside`` is null for a cell on the edge. A band holds the segments that reach into it: as many as the outline has there.
+    ``inside`` is null for a cell on the edge. A band holds the segments that reach into it: as many as the outline has there. Both are
+    written to the shared folder, as the points are looked up in them several times.
     """
-    lines = outline_segments(areas)
+    lines = checkpointed(outline_segments(areas))
     y = F.array_sort(F.array("y1", "y2"))
     box = lines.groupBy("id").agg(
         (F.max(F.greatest("x1", "x2")) - F.min(F.least("x1", "x2"))).alias("w"), (F.max(F.greatest("y1", "y2")) - F.min(F.least("y1", "y2"))).alias("h")
@@ -81,7 +83,7 @@ def cell_cover(areas: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     banded = sized.withColumns({"y_lo": y[0], "y_hi": y[1]}).withColumn(
         "cy", F.explode(F.sequence(F.floor(F.col("y_lo") / F.col("size")), F.floor(F.col("y_hi") / F.col("size"))))
     )
-    segments = banded.groupBy("id", "size", "cy").agg(F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("segments"))
+    segments = written(banded.groupBy("id", "size", "cy").agg(F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("segments")), "segments")
 
     def x_at(lat: Column) -> Column:
         return F.col("x1") + (lat - F.col("y1")) * (F.col("x2") - F.col("x1")) / F.nullif(F.col("y2") - F.col("y1"), F.lit(0.0))
@@ -90,13 +92,13 @@ def cell_cover(areas: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     # a little wider than the segment, against rounding
     first = F.floor((F.coalesce(F.least(low, high), F.least("x1", "x2")) - 1e-9) / F.col("size"))
     last = F.floor((F.coalesce(F.greatest(low, high), F.greatest("x1", "x2")) + 1e-9) / F.col("size"))
-    edges = banded.select("id", "size", "cy", F.explode(F.sequence(first, last)).alias("cx")).distinct()
+    edges = checkpointed(banded.select("id", "size", "cy", F.explode(F.sequence(first, last)).alias("cx")).distinct())
     rows = edges.groupBy("id", "size", "cy").agg(F.collect_list("cx").alias("on_edge"))
     between = F.array_except(F.sequence(F.array_min("on_edge"), F.array_max("on_edge")), F.col("on_edge"))
     free = null_safe_join(rows, segments, ["id", "size", "cy"]).withColumn("cx", F.explode(between))
     middle = ((F.col("cx") + 0.5) * F.col("size"), (F.col("cy") + 0.5) * F.col("size"))
     whole = free.filter(_inside(*middle, F.col("segments"))).select("id", "size", "cy", "cx", F.lit(True).alias("inside"))
-    cells = edges.withColumn("inside", F.lit(None).cast("boolean")).unionByName(whole)
+    cells = written(edges.withColumn("inside", F.lit(None).cast("boolean")).unionByName(whole), "cells")
     return cells, segments, box.select("id", (F.col("w") * F.col("h")).alias("__area"))
 
 
@@ -111,14 +113,14 @@ def locate_points(points: DataFrame, areas: DataFrame, columns: list[str], lon:
     outlines = named.select("id", "rings").dropDuplicates(["id"])
     cover, segments, extents = cell_cover(outlines)
     facts = null_safe_join(named.select("id", *columns), extents, ["id"])
-    # a handful of powers of two
-    sizes = cover.agg(F.collect_set("size").alias("s")).scalar()
+    # nine powers of two at most
+    sizes = sorted(r["size"] for r in cover.select("size").distinct().collect())
     spots = points.select(lon, lat).distinct().withColumn("__x", _around(F.col(lon).cast("double")))
-    placed = spots.withColumn("__sizes", sizes).withColumn("size", F.explode("__sizes")).drop("__sizes")
+    placed = spots.withColumn("size", F.explode(F.array(*[F.lit(x) for x in sizes]).cast("array<double>")))
     placed = placed.withColumns({"cx": F.floor(F.col("__x") / F.col("size")), "cy": F.floor(F.col(lat) / F.col("size"))})
     met = null_safe_join(placed, cover, ["size", "cy", "cx"], "inner")
-    on_edge = null_safe_join(met.filter("inside IS NULL"), segments, ["id", "size", "cy"], "inner")
-    tested = on_edge.filter(_inside(F.col("__x"), F.col(lat), F.col("segments"))).select(lon, lat, "id")
-    hits = null_safe_join(met.filter("inside").select(lon, lat, "id").unionByName(tested), facts, ["id"], "inner")
+    met = null_safe_join(met, segments, ["id", "size", "cy"])
+    held = met.filter(F.coalesce(F.col("inside"), _inside(F.col("__x"), F.col(lat), F.col("segments"))))
+    hits = null_safe_join(held.select(lon, lat, "id"), facts, ["id"], "inner")
     best = hits.groupBy(lon, lat).agg(F.min(F.struct("__area", *columns)).alias("b"))
     return null_safe_join(points, best.select(lon, lat, *[F.col("b")[c].alias(c) for c in columns]), [lon, lat])
