@@ -23,25 +23,30 @@ def half_chord(km: float) -> float:
     return math.sin(km / (2 * EARTH_KM))
 
 
-def box_bounds(lat: Column, lon: Column, lat0: Column, lat1: Column, lon0: Column, lon1: Column):
-    """Lower and upper bound of the half chord from a point to any point of a box."""
-    zero = F.lit(0.0)
-    near_lat = F.greatest(zero, lat0 - lat, lat - lat1)
-    far_lat = F.greatest(F.abs(lat - lat0), F.abs(lat - lat1))
-    # longitudes wrap: take the shorter way round for both edges
-    e0 = F.abs(F.pmod(lon - lon0 + 180, F.lit(360.0)) - 180)
-    e1 = F.abs(F.pmod(lon - lon1 + 180, F.lit(360.0)) - 180)
-    inside = (lon >= lon0) & (lon <= lon1)
-    near_lon = F.when(inside, zero).otherwise(F.least(e0, e1))
-    far_lon = F.when(lon1 - lon0 >= 180, F.lit(180.0)).otherwise(
-        F.least(F.lit(180.0), F.least(e0, e1) + (lon1 - lon0))
-    )
-    cos_a, cos_b = F.cos(F.radians(lat0)), F.cos(F.radians(lat1))
-    cos_min = F.least(cos_a, cos_b)
-    cos_max = F.when((lat0 <= 0) & (lat1 >= 0), F.lit(1.0)).otherwise(F.greatest(cos_a, cos_b))
+def box_bounds(a: tuple[Column, ...], b: tuple[Column, ...]) -> tuple[Column, Column]:
+    """Lower and upper bound of the half chord from any point of one box to any point of another.
+
+    A box is its least and greatest latitude, then longitude; longitudes lie in [0, 360) and no box crosses their ends.
+    """
+    zero, half_turn = F.lit(0.0), F.lit(180.0)
+    (south_a, north_a, west_a, east_a), (south_b, north_b, west_b, east_b) = a, b
+    near_lat = F.greatest(zero, south_b - north_a, south_a - north_b)
+    far_lat = F.greatest(north_b - south_a, north_a - south_b)
+    # longitudes wrap: take the shorter way round between the edges that face each other
+    turn = [F.least(F.abs(d), 360 - F.abs(d)) for d in (west_b - east_a, west_a - east_b)]
+    overlap = (west_a <= east_b) & (west_b <= east_a)
+    near_lon = F.when(overlap, zero).otherwise(F.least(*turn))
+    around = F.least(*turn) + (east_a - west_a) + (east_b - west_b)
+    far_lon = F.least(half_turn, F.greatest(east_b - west_a, east_a - west_b), around)
+
+    def cosines(south, north):
+        ends = [F.greatest(zero, F.cos(F.radians(c))) for c in (south, north)]
+        return F.least(*ends), F.when((south <= 0) & (north >= 0), F.lit(1.0)).otherwise(F.greatest(*ends))
+
+    (low_a, high_a), (low_b, high_b) = cosines(south_a, north_a), cosines(south_b, north_b)
 
     def arc(dlat, dlon, c):
-        a, b = F.sin(F.radians(dlat) / 2), F.sin(F.radians(dlon) / 2)
-        return F.sqrt(a * a + F.cos(F.radians(lat)) * c * b * b)
+        p, q = F.sin(F.radians(dlat) / 2), F.sin(F.radians(dlon) / 2)
+        return F.sqrt(p * p + c * q * q)
 
-    return arc(near_lat, near_lon, cos_min), arc(far_lat, far_lon, cos_max)
+    return arc(near_lat, near_lon, low_a * low_b), arc(far_lat, far_lon, high_a * high_b)

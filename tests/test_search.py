@@ -53,6 +53,45 @@ def test_k_nearest_equals_brute_force(spark, k):
     assert len(have) == len(want) and len(have ^ want) <= 0.01 * len(want)
 
 
+def shuffled_rows(plan, seen=None):
+    """Rows written by the exchanges of an executed plan, each counted once."""
+    seen = set() if seen is None else seen
+    name, total = plan.getClass().getSimpleName(), 0
+    if name == "AdaptiveSparkPlanExec":
+        return shuffled_rows(plan.executedPlan(), seen)
+    if name.endswith("QueryStageExec"):
+        return shuffled_rows(plan.plan(), seen)
+    if name == "ReusedExchangeExec":
+        return shuffled_rows(plan.child(), seen)
+    if name == "ShuffleExchangeExec":
+        if plan.id() in seen:
+            return 0
+        seen.add(plan.id())
+        total = plan.metrics().apply("shuffleRecordsWritten").value()
+    return total + sum(shuffled_rows(plan.children().apply(i), seen) for i in range(plan.children().size()))
+
+
+@pytest.mark.parametrize("k", [3])
+def test_neighbouring_sites_are_searched_together(spark, k):
+    """Sites along one shore of many stations: the result of all pairs, while a site itself is shuffled a few times only."""
+    rnd = random.Random(7)
+    points = [(i, rnd.uniform(50, 50.6), rnd.uniform(10, 10.9)) for i in range(1500)]
+    sites = [(i, rnd.uniform(50.2, 50.3), rnd.uniform(9.7, 10.1)) for i in range(1200)] + [(2000 + i, 50.25, 10.00001 + i * 1e-9) for i in range(300)]
+    want = set()
+    for s, a, b in sites:
+        found = sorted((round(d, 6), i) for i, c, e in points if abs(a - c) < 0.3 and (d := km(a, b, c, e)) <= 30)
+        want |= {(s, i, n + 1) for n, (_, i) in enumerate(found[:k])}
+    asked, stations = (spark.createDataFrame(x, f"{n} int, lat double, lon double") for x, n in ((sites, "site_id"), (points, "station_id")))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        got = nearest_stations(asked, stations, 30, k)
+        have = {(r["site_id"], r["station_id"], r["rank"]) for r in got.collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(have) == len(want) and len(have ^ want) <= 0.01 * len(want)
+    assert shuffled_rows(got._jdf.queryExecution().executedPlan()) < 25 * len(sites)
+
+
 def test_no_stations(spark):
     none = spark.createDataFrame([], "station_id int, lat double, lon double")
     assert nearest_stations(spark.createDataFrame([(1, 1.0, 2.0)], "site_id int, lat double, lon double"), none, 60, 3).count() == 0
