@@ -71,7 +71,7 @@ def shuffled_rows(plan, seen=None):
     return total + sum(shuffled_rows(plan.children().apply(i), seen) for i in range(plan.children().size()))
 
 
-@pytest.mark.parametrize("k", [3])
+@pytest.mark.parametrize("k", [1, 3])
 def test_neighbouring_sites_are_searched_together(spark, k):
     """Sites along one shore of many stations: the result of all pairs, while a site itself is shuffled a few times only."""
     rnd = random.Random(7)
