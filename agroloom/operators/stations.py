@@ -107,7 +107,7 @@ def _at_depths(points: DataFrame, lat: str, lon: str, step: float, deepest: int)
     def digit(k: int) -> Column:
         n = float(SPLIT**k)
         sub = F.pmod(F.floor(F.col("__y") * n), F.lit(SPLIT)) * SPLIT + F.pmod(F.floor(F.col("__x") * n), F.lit(SPLIT))
-        return F.substring(F.lit("0123456789abcdef"), (sub + 1).cast("int"), F.lit(1))
+        return F.substring(F.lit("0145236789cdabef"), (sub + 1).cast("int"), F.lit(1))  # in order, four make a square
 
     full = F.concat(_home_path(), *[digit(k) for k in range(1, deepest + 1)])
     depths = F.explode(F.sequence(F.lit(0), F.lit(deepest))).alias("__k")
@@ -120,32 +120,43 @@ def _home_path() -> Column:
     return F.concat(F.col("__band").cast("string"), F.lit(":"), F.col("__cell").cast("string"), F.lit(":"))
 
 
-def _cell_tree(points: DataFrame, by: list[str], lat: str, lon: str, step: float, deepest: int, most: int) -> tuple[DataFrame, DataFrame]:
+def _cell_tree(
+    points: DataFrame, by: list[str], lat: str, lon: str, step: float, deepest: int, most: int, shared: bool = False
+) -> tuple[DataFrame, DataFrame]:
     """Cells divided until they hold few points, and the points in packs of about ``most`` (``__items``).
 
     Cells are named by a path, ``band:column:`` plus one digit per division. Each cell has the
     exact extent of its points and its parent; cells below an undivided one do not exist. The
     counts of all depths come from one pass, and the tree is written once. A pack lies in one undivided
-    cell; one with too many points at the last depth has several.
+    cell; one with too many points at the last depth has several. With ``shared``, undivided cells of one
+    parent share packs, which then stay as large where a division leaves few points to a cell; such a tree
+    is there for the packs only and has no extents.
     """
     spread = _at_depths(points, lat, lon, step, deepest)
     turned = F.pmod(F.col(lon), F.lit(360.0))
-    cells = spread.groupBy(*by, "__k", "__path").agg(
-        F.count(F.lit(1)).alias("__n"),
-        F.min(lat).alias("__lat0"),
-        F.max(lat).alias("__lat1"),
-        F.min(turned).alias("__lon0"),
-        F.max(turned).alias("__lon1"),
-    )
+    extent = [f(c).alias(b) for b, f, c in zip(BOX, (F.min, F.max) * 2, (lat, lat, turned, turned))]
+    cells = spread.groupBy(*by, "__k", "__path").agg(F.count(F.lit(1)).alias("__n"), *([] if shared else extent))
     above = F.when(F.col("__k") > 0, F.expr("substring(__path, 1, length(__path) - 1)"))
     cells = cells.withColumns({"__parent": above, "__leaf": (F.col("__n") <= most) | (F.col("__k") == deepest)})
     divided = cells.filter(~F.col("__leaf")).select(*by, F.col("__path").alias("__parent"))
     inner = null_safe_join(cells.filter("__k > 0"), divided, [*by, "__parent"], "left_semi")
     tree = written(cells.filter("__k = 0").unionByName(inner), "cells")
-    leaves = tree.filter("__leaf").select(*by, "__path", F.ceil(F.col("__n") / most).alias("__packs"))
-    owned = null_safe_join(spread, leaves, [*by, "__path"], "inner")
+    leaves = tree.filter("__leaf")
+    joined = F.lit(shared) & (F.col("__n") <= most) & (F.col("__k") > 0)
+    leaves = leaves.withColumns({"__home": F.when(joined, F.col("__parent")).otherwise(F.col("__path")), "__at": F.col("__k") - joined.cast("int")})
+    if shared:  # a parent has sixteen cells at most, so its window is small
+        before = Window.partitionBy(*by, "__home").orderBy("__path").rowsBetween(Window.unboundedPreceding, -1)
+        leaves = leaves.withColumn("__first", F.floor(F.coalesce(F.sum("__n").over(before), F.lit(0)) / most))
+    else:
+        leaves = leaves.withColumn("__first", F.lit(0))
+    # a point meets its undivided cell, at one of the depths that have any
+    ends = tree.filter("__leaf").agg(F.min("__k").alias("low"), F.max("__k").alias("high")).first()
+    named = spread.filter(F.col("__k").between(ends["low"], ends["high"])).drop("__k")
+    owner = leaves.select(*by, "__path", "__home", "__at", "__first", F.ceil(F.col("__n") / most).alias("__packs"))
+    owned = null_safe_join(named, owner, [*by, "__path"], "inner")
     items = [c for c in points.columns if c not in by]
-    packs = owned.groupBy(*by, "__path", "__k", F.pmod(F.xxhash64(*items), F.col("__packs")).alias("__pack")).agg(
+    pack = (F.col("__first") + F.pmod(F.xxhash64(*items), F.col("__packs"))).alias("__pack")
+    packs = owned.groupBy(*by, F.col("__home").alias("__path"), F.col("__at").alias("__k"), pack).agg(
         F.collect_list(F.struct(*items)).alias("__items")
     )
     return tree, packs
@@ -153,7 +164,7 @@ def _cell_tree(points: DataFrame, by: list[str], lat: str, lon: str, step: float
 
 def _site_packs(spots: DataFrame, by: list[str], step: float, deepest: int) -> DataFrame:
     """The spots in packs of neighbours, with an id (``__g``) and the extent of each."""
-    packs = _cell_tree(spots, by, "lat", "lon", step, deepest, PACK_SPOTS)[1]
+    packs = _cell_tree(spots, by, "lat", "lon", step, deepest, PACK_SPOTS, shared=True)[1]
 
     def extent(of):
         every = F.transform("__items", of)

@@ -12,7 +12,7 @@ from agroloom.operators import weather
 from agroloom.operators.areas import cell_cover, locate_points
 from agroloom.operators.nesting import joined_text, numbered_items, text_pieces
 from agroloom.operators.quality import compare_by_checksum, compare_tables
-from agroloom.operators.stations import nearest_stations
+from agroloom.operators.stations import PACK_SPOTS, _site_packs, _step, nearest_stations
 
 
 def rows(df):
@@ -92,6 +92,30 @@ def test_neighbouring_sites_are_searched_together(spark, k):
     assert shuffled_rows(got._jdf.queryExecution().executedPlan()) < 25 * len(sites)
 
 
+def test_sparse_cells_share_packs(spark):
+    """Sites of which a division leaves few to a cell make packs as large as others; each is in one pack, with the result of all pairs."""
+    rnd = random.Random(11)
+    kinds = ("a", None)
+    sites = [(i, kinds[i % 2], rnd.uniform(50.001, 50.269), rnd.uniform(10, 10.4)) for i in range(3000)]
+    sites += [(4000 + i, "a", 50.1 + i * 1e-9, 10.2) for i in range(300)] + [(5000 + i, None, 52.0 + i, 10.2) for i in range(5)]
+    points = [(i, kinds[i % 2], rnd.uniform(50, 50.3), rnd.uniform(9.9, 10.5)) for i in range(400)]
+    asked = spark.createDataFrame(sites, "site_id int, kind string, lat double, lon double")
+    packs = _site_packs(asked.drop("site_id"), ["kind"], _step(30), 3).collect()
+    held = [(p["kind"], s["lat"], s["lon"]) for p in packs for s in p["__items"]]
+    assert sorted(held, key=str) == sorted((s[1:] for s in sites), key=str)
+    assert max(len(p["__items"]) for p in packs) < 2 * PACK_SPOTS and len(packs) < 2 * len(sites) / PACK_SPOTS
+    for p in packs:
+        lats, lons = zip(*[(s["lat"], s["lon"]) for s in p["__items"]])
+        assert (p["__south"], p["__north"], p["__west"], p["__east"]) == (min(lats), max(lats), min(lons), max(lons))
+    got = nearest_stations(asked, spark.createDataFrame(points, "station_id int, kind string, lat double, lon double"), 30, 2, ["kind"])
+    have = {(r["site_id"], r["station_id"], r["rank"]) for r in got.collect()}
+    want = set()
+    for s, kind, a, b in sites:
+        found = sorted((round(d, 6), i) for i, k, c, e in points if k == kind and abs(a - c) < 0.3 and (d := km(a, b, c, e)) <= 30)
+        want |= {(s, i, n + 1) for n, (_, i) in enumerate(found[:2])}
+    assert len(have) == len(want) and len(have ^ want) <= 0.01 * len(want)
+
+
 def test_no_stations(spark):
     none = spark.createDataFrame([], "station_id int, lat double, lon double")
     assert nearest_stations(spark.createDataFrame([(1, 1.0, 2.0)], "site_id int, lat double, lon double"), none, 60, 3).count() == 0
